@@ -4,22 +4,60 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from . import exact_dedup, line_dedup, mixing, piece_bpe, quality_rules, sharding, url_filter
 from .common import table
-from .exact_dedup import exact_groups
-from .url_filter import Rule, judge_urls
 
 #: The rules of the url query.
 URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
+#: Every site gets the same share of the mix.
+MIX_WEIGHTS = {f"src{i}": 1.0 for i in range(20)}
+#: Sites that share a line before it counts as boilerplate.
+MIN_SITES = 5
+SHARDS = 24
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_urls(table(spark, sf_dir, "pages"), [Rule.parse(v, r) for v, r in URL_RULES], "page_id", "url")
+    rules = [url_filter.Rule.parse(v, r) for v, r in URL_RULES]
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules, "page_id", "url")
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS)
+    return mixed.select("doc_id", "copy", "source", "text", "shuffle_key")
+
+
+def op3_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proto = piece_bpe.read_model(tokenizer_path())
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    told = piece_bpe.encode(docs, proto).select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"))
+    back = piece_bpe.decode(told, proto)
+    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_groups(table(spark, sf_dir, "documents"))
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), MIN_SITES)
+    return out.select("doc_id", "n_lines", "n_removed", "text")
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.shard_by_bytes(table(spark, sf_dir, "documents"), SHARDS)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -38,6 +76,20 @@ b AS (
 SELECT page_id, host, path, rule, coalesce(rv, 'allow') AS verdict FROM b WHERE n = 1
 """
 
+OP2_SQL = f"""
+WITH w(source, weight) AS (VALUES {", ".join(f"('{s}', {w}::DOUBLE)" for s, w in MIX_WEIGHTS.items())}),
+z AS (SELECT d.source, sum(strlen(coalesce(text, '')))::DOUBLE AS n, any_value(weight) AS weight FROM documents d JOIN w USING (source) GROUP BY d.source),
+r AS (SELECT source, weight / (SELECT sum(weight) FROM z WHERE n > 0) * (SELECT sum(n) FROM z WHERE n > 0) / n AS rate FROM z WHERE n > 0),
+p AS (SELECT source, k, exp(k * ln(rate) - rate - sum(CASE WHEN k = 0 THEN 0.0 ELSE ln(k) END) OVER (PARTITION BY source ORDER BY k)) AS p
+      FROM r, generate_series(0, 300) AS g(k) WHERE k <= ceil(rate + 12 * sqrt(rate) + 40)),
+c AS (SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS cdf FROM p),
+l AS (SELECT source, list(cdf) AS cdf FROM c GROUP BY source),
+u AS (SELECT *, CAST('0x' || substr(md5('{mixing.SEED}:' || doc_id), 1, 13) AS BIGINT)::DOUBLE / 4503599627370496.0 AS u FROM documents),
+n AS (SELECT u.doc_id, u.source, u.text, CASE WHEN l.source IS NULL THEN 0 ELSE len(list_filter(l.cdf, lambda x: x <= u.u)) END AS n FROM u JOIN l ON u.source = l.source),
+e AS (SELECT doc_id, source, text, unnest(range(n)) AS copy FROM n)
+SELECT doc_id, CAST(copy AS INTEGER) AS copy, source, text, md5('{mixing.SEED}/order:' || doc_id || ':' || copy) AS shuffle_key FROM e
+"""
+
 OP4_SQL = f"""
 WITH t AS (SELECT doc_id, {_LOWER} AS n FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY n) AS keep_id, CAST(count(*) OVER (PARTITION BY n) AS BIGINT) AS group_size,
@@ -45,10 +97,20 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY n) AS keep_id, CAST(count(*) OVER
 FROM t
 """
 
+OP9_SQL = f"""
+WITH l AS (SELECT doc_id, coalesce(source, '') AS site, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
+b AS (SELECT line, min(doc_id) AS keeper FROM l WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY line HAVING count(DISTINCT site) >= {MIN_SITES}),
+k AS (SELECT l.doc_id, count(*) AS n_lines, count(*) FILTER (WHERE keeper <> l.doc_id) AS n_removed,
+             string_agg(l.line, chr(10) ORDER BY pos) FILTER (WHERE keeper IS NULL OR keeper = l.doc_id) AS text
+      FROM l LEFT JOIN b ON l.line = b.line GROUP BY l.doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text
+FROM documents d LEFT JOIN k USING (doc_id)
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": OP1_SQL, "op4_exact_dedup": OP4_SQL}
+    return {"op1_url_filter": OP1_SQL, "op2_mixing": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op9_line_dedup": OP9_SQL}
