@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, line_dedup, mixing, piece_bpe, quality_rules, sharding, url_filter
+from . import exact_dedup, kneser_ney, line_dedup, mixing, piece_bpe, quality_rules, sharding, simhash, url_filter
 from .common import table
 
 #: The rules of the url query.
@@ -50,6 +50,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(table(spark, sf_dir, "documents"), shingle=3, radius=2)
+
+
+def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), MIN_SITES)
     return out.select("doc_id", "n_lines", "n_removed", "text")
