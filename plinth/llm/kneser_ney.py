@@ -21,9 +21,9 @@ ORDER, BOS = 5, "\x02"
 #: Characters counted at once, characters of a pack, and the largest table of a lookup.
 SLICE, PACK, LARGEST = 2 << 20, 20 << 20, 1 << 25
 STRATA = ("en", "de", "fr", "es")
-#: Kept: perplexity between these quantiles of held-out trusted documents of the language, widened by SLACK.
+#: Kept: perplexity up to this quantile of held-out trusted documents of the language, times SLACK.
 #: One trusted document in HOLDOUT, by the hash of its id, is held out of the model.
-LOW, HIGH, SLACK, HOLDOUT = 0.0005, 0.9995, 1.2, 5
+QUANTILE, SLACK, HOLDOUT = 0.9995, 1.2, 5
 
 
 class _Grams:
@@ -253,8 +253,8 @@ def perplexities(df: DataFrame, trusted: DataFrame, strata: Sequence[str] = STRA
     return dealt.mapInArrow(score, f"id {id_type}, stratum int, n_chars bigint, perplexity double")
 
 
-def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "quality", strata: Sequence[str] = STRATA, low: float = LOW, high: float = HIGH) -> DataFrame:
-    """One row per row: id, n_chars, perplexity, threshold_low, threshold_high, kept.
+def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "quality", strata: Sequence[str] = STRATA, quantile: float = QUANTILE) -> DataFrame:
+    """One row per row: id, n_chars, perplexity, threshold, kept.
 
     The model is trained on labelled good documents, a language apart from the others; thresholds are quantiles
     of the perplexities of labelled good documents that it has not seen, widened by SLACK.  Languages outside the
@@ -267,9 +267,9 @@ def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     unseen = F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(HOLDOUT)) == 0
     scored = durable(perplexities(src, src.join(good.where(~unseen), "id", "left_semi"), strata), "perplexities")
     held = scored.join(good.where(unseen), "id", "left_semi").where("perplexity is not null")
-    q = held.groupBy("stratum").agg(F.percentile_approx("perplexity", [low, high], 100_000).alias("q"))
-    bounds = q.select("stratum", (F.col("q")[0] / SLACK).alias("threshold_low"), (F.col("q")[1] * SLACK).alias("threshold_high"))
+    q = held.groupBy("stratum").agg(F.percentile_approx("perplexity", quantile, 100_000).alias("q"))
+    bounds = q.select("stratum", (F.col("q") * SLACK).alias("threshold"))
     bounds = F.broadcast(bounds)  # a row for each stratum
     told = scored.join(bounds, "stratum", "left")
-    inside = F.coalesce(F.col("perplexity").between(F.col("threshold_low"), F.col("threshold_high")), F.col("perplexity").isNotNull())
-    return told.select(F.col("id").alias(id_col), "n_chars", F.round("perplexity", 4).alias("perplexity"), "threshold_low", "threshold_high", inside.alias("kept"))
+    kept = F.coalesce(F.col("perplexity") <= F.col("threshold"), F.col("perplexity").isNotNull())
+    return told.select(F.col("id").alias(id_col), "n_chars", F.round("perplexity", 4).alias("perplexity"), "threshold", kept.alias("kept"))
