@@ -56,13 +56,14 @@ def features(df: DataFrame, id_col: str, text_col: str, stratum_col: str, strata
     src = src.select(
         "id",
         "stratum",
+        F.xxhash64("t").alias("th"),
         let(F.filter(F.split("t", f"{SPACE}+", -1), lambda w: w != ""), of_words).alias("w"),
         (F.char_length("t") - F.regexp_count("t", F.lit(SPACE))).cast("long").alias("word_chars"),
         F.regexp_count("t", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         F.regexp_count("t", F.lit(r"\p{Lu}")).cast("long").alias("n_upper"),
         let(F.filter(F.split("t", "\n", -1), lambda x: x.rlike(WORD)), of_lines).alias("l"),
     )
-    src = src.select("id", "stratum", F.col("w.n").alias("n_words"), "word_chars", "n_symbols", F.col("l.dup").alias("n_dup_lines"), F.col("w.rep").alias("n_repeat_words"), F.col("l.n").alias("n_lines"), "n_upper")
+    src = src.select("id", "stratum", "th", F.col("w.n").alias("n_words"), "word_chars", "n_symbols", F.col("l.dup").alias("n_dup_lines"), F.col("w.rep").alias("n_repeat_words"), F.col("l.n").alias("n_lines"), "n_upper")
     words, lines = F.greatest("n_words", F.lit(1)), F.greatest("n_lines", F.lit(1))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return src.select(
@@ -120,9 +121,22 @@ def judge(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     the method rejects nothing.  An empty table gives an empty result, repeated rows are judged alike, other
     columns are ignored.  Cutoffs are one row for each stratum, at most len(strata) + 1, and are broadcast.
     """
+    told = _verdicts(df, labels, id_col, text_col, stratum_col, label_col, strata, risk, delta)
+    return told.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by")
+
+
+def _verdicts(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, stratum_col: str, label_col: str, strata: Sequence[str], risk: float, delta: float) -> DataFrame:
     feats = durable(features(df, id_col, text_col, stratum_col, strata), "features")
     cuts = F.broadcast(cutoffs(feats, labels, id_col, label_col, len(strata) + 1, risk, delta))
     told = feats.join(cuts, "stratum", "left")
     by = F.filter(F.array(*(F.when(F.col(r) > F.col(f"cut_{r}"), F.lit(r)) for r in GRIDS)), lambda x: x.isNotNull())
-    told = told.withColumn("rejected_by", by)
-    return told.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & (F.size("rejected_by") == 0)).alias("kept"), F.array_join("rejected_by", ",").alias("rejected_by"))
+    told = told.withColumn("by", by)
+    return told.withColumns({"kept": ~F.col("base_failed") & (F.size("by") == 0), "rejected_by": F.array_join("by", ",")})
+
+
+def keep_good(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", label_col: str = "quality", strata: Sequence[str] = STRATA, risk: float = RISK, delta: float = DELTA) -> DataFrame:
+    """The rows of df that judge() keeps, with the columns of df.  A row is known by its id and its text's hash."""
+    told = _verdicts(df, labels, id_col, text_col, stratum_col, label_col, strata, risk, delta)
+    gone = durable(told.where("not kept").select(F.col("id").alias("__i"), F.col("th").alias("__h")).distinct(), "rejected")
+    th = F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
+    return df.join(gone, F.col(f"`{id_col}`").eqNullSafe(F.col("__i")) & (th == F.col("__h")), "left_anti")
