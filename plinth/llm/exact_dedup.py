@@ -25,10 +25,13 @@ def _hash64(chunk: Column) -> Column:
 
 
 def colliding(df: DataFrame, text: Column, hash_of=_hash64) -> DataFrame:
-    """h, chunk: all contents of every hash that names two contents or more.  One shuffle of each distinct chunk."""
+    """h, chunk: all contents of every hash that names two contents or more.
+
+    Each distinct chunk is shuffled once; only if hashes collide are their contents fetched by a second pass.
+    """
     cut = df.select(F.explode(chunks(text)).alias("chunk")).select(hash_of(F.col("chunk")).alias("h"), "chunk").distinct()
-    twice = cut.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    return cut.join(twice, "h", "left_semi")
+    twice = durable(cut.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "collisions")
+    return twice.withColumn("chunk", F.lit("")) if twice.isEmpty() else durable(cut.join(twice, "h", "left_semi"), "collided")
 
 
 def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_of=_hash64) -> DataFrame:
@@ -40,14 +43,14 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     src = df.select(F.col(id_col).alias("k"), ascii_lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("t"))
     recipe = src.select("k", F.sha2("t", 256).alias("text_sha256"), F.transform(chunks(F.col("t")), lambda c: F.struct(hash_of(c).alias("h"), F.lit(0).alias("v"))).alias("recipe"))
-    bad = durable(colliding(src, F.col("t"), hash_of), "collisions")
+    bad = colliding(src, F.col("t"), hash_of)
     if not bad.isEmpty():
         recipe = _resolved(src, bad, hash_of)
     # a recipe without collisions is an array of longs; the version is carried only where it decides
     recipe = recipe.select("k", "text_sha256", F.transform("recipe", lambda c: c["h"]).alias("r"), F.transform(F.filter("recipe", lambda c: c["v"] > 0), lambda c: c["v"]).alias("v"))
     recipe = durable(recipe, "recipes")
     groups = recipe.groupBy("r", "v").agg(F.max("k").alias("keep_id"), F.count("*").alias("group_size"))
-    joined = recipe.join(groups, ["r", "v"])
+    joined = recipe.join(durable(groups, "groups"), ["r", "v"])  # written, so that AQE may split a hot group's rows
     return joined.select(F.col("k").alias(id_col), "keep_id", "group_size", F.col("k").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
