@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Fixed value: the ASCII white space that separates words.
@@ -40,7 +43,9 @@ def durable(df: DataFrame, name: str = "t") -> DataFrame:
 
 def free_shuffles(spark: SparkSession) -> None:
     """Let the JVM drop the shuffle files of finished jobs before the next large one starts."""
+    gc.collect()
     spark.sparkContext._jvm.System.gc()
+    time.sleep(1)  # the cleaner works on a thread of its own
 
 
 def let(value: Column, body) -> Column:
@@ -53,5 +58,11 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Indices of the runs starts[i] .. starts[i] + lengths[i], one after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

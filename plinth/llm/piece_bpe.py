@@ -16,18 +16,14 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, functions as F
 
+from .common import spread
+
 META = "▁"
-#: Text bytes handled at once, words kept in the table of a worker, and rounds before a word is finished alone.
-SLICE_BYTES, TABLE_WORDS, ROUNDS = 4 << 20, 400_000, 400
+#: Text bytes and ids handled at once, words kept in the table of a worker, and rounds before a word is finished alone.
+SLICE_BYTES, SLICE_IDS, TABLE_WORDS, ROUNDS = 1 << 20, 1 << 18, 250_000, 400
 _NONE = np.int64(1) << 40
 
 
-def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Indices of the runs starts[i] .. starts[i] + lengths[i], one after the other."""
-    ends = np.cumsum(lengths)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
-
-
 class PieceModel:
     """The vocabulary of a .model file as arrays: pair ranks, characters, bytes of each piece."""
 
@@ -65,6 +61,7 @@ class PieceModel:
         self.pair_keys = keys
         self.pair_rank = np.array([pairs[k][0] for k in keys.tolist()], dtype=np.int64)
         self.pair_new = np.array([pairs[k][1] for k in keys.tolist()], dtype=np.int64)
+        self._hash_pairs()
         # a piece is loose if a pair that holds it is at least as good as the pair that makes it: then order matters
         rank_of = {i: order[sp.get_score(i)] for i in normal.values()}
         self.loose = np.zeros(self.base, dtype=bool)
@@ -84,11 +81,29 @@ class PieceModel:
         self.piece_start = np.cumsum(self.piece_len) - self.piece_len
         self.piece_bytes = np.frombuffer(b"".join(text), dtype=np.uint8)
 
+    def _hash_pairs(self) -> None:
+        """Pair keys in hash tables, each with what collided in the one before."""
+        self.levels, left = [], np.arange(len(self.pair_keys))
+        multiplier = 0x9E3779B97F4A7C15
+        while len(left):
+            bits = max(8, (4 * len(left)).bit_length())
+            slot = (self.pair_keys[left].astype(np.uint64) * np.uint64(multiplier) >> np.uint64(64 - bits)).astype(np.int64)
+            at, key = np.zeros(1 << bits, dtype=np.int32), np.full(1 << bits, -2, dtype=np.int64)
+            at[slot], key[slot] = left, self.pair_keys[left]
+            self.levels.append((np.uint64(multiplier), np.uint64(64 - bits), at, key))
+            left = left[key[slot] != self.pair_keys[left]]
+            multiplier = multiplier * 0xD1B54A32D192ED03 % (1 << 64) | 1
+
     def ranks(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank of each pair (_NONE: no such piece) and its index in the pair table."""
         key = np.where((left < self.base) & (right < self.base), left * self.base + right, -1)
-        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-        return np.where(self.pair_keys[at] == key, self.pair_rank[at], _NONE), at
+        at, found = np.zeros(len(key), dtype=np.int64), np.zeros(len(key), dtype=bool)
+        for multiplier, shift, table, keys in self.levels:
+            slot = (key.astype(np.uint64) * multiplier >> shift).astype(np.int64)
+            hit = keys[slot] == key
+            at[hit] = table[slot[hit]]
+            found |= hit
+        return np.where(found, self.pair_rank[at], _NONE), at
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and the number of ids of each word."""
@@ -100,43 +115,58 @@ class PieceModel:
         word = np.repeat(np.arange(len(words)), sizes)
         done_word, done_symbol, done_pos = [], [], []
         pos = np.arange(len(symbols))
+        if len(symbols):
+            # rank and at belong to a symbol and the next one; a word's last symbol has none
+            rank, at = self.ranks(symbols, np.r_[symbols[1:], -1])
+            rank[np.r_[word[1:] != word[:-1], True]] = _NONE
+        loose_word = np.zeros(len(words), dtype=bool)
         for _ in range(ROUNDS):
-            if len(symbols) < 2:
+            if not len(symbols):
                 break
-            rank, at = self.ranks(symbols[:-1], symbols[1:])
-            rank[word[:-1] != word[1:]] = _NONE
             first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-            best = np.minimum.reduceat(np.r_[rank, _NONE], first)
-            live = best < _NONE
             counts = np.diff(np.r_[first, len(symbols)])
-            hit = np.flatnonzero(rank == np.repeat(best, counts)[:-1]) if live.any() else np.zeros(0, dtype=np.int64)
-            hit = hit[rank[hit] < _NONE]
-            if len(hit):
-                # of touching occurrences every second one, from the left; of a loose piece only the word's first
-                new_run = np.r_[True, np.diff(hit) != 1]
-                offset = np.arange(len(hit)) - np.maximum.accumulate(np.where(new_run, np.arange(len(hit)), 0))
+            best = np.minimum.reduceat(rank, first)
+            live = np.repeat(best < _NONE, counts)
+            if not live.all():
+                ended = ~live
+                done_word.append(word[ended]), done_symbol.append(symbols[ended]), done_pos.append(pos[ended])
+                best = np.repeat(best, counts)[live]
+                symbols, word, pos, rank, at = symbols[live], word[live], pos[live], rank[live], at[live]
+                if not len(symbols):
+                    break
+            else:
+                best = np.repeat(best, counts)
+            hit = np.flatnonzero(rank == best)
+            # of touching occurrences every second one, from the left; of a loose piece only the word's first
+            step = np.arange(len(hit))
+            new_run = np.r_[True, np.diff(hit) != 1]
+            offset = step - np.maximum.accumulate(np.where(new_run, step, 0))
+            loose = self.loose[self.pair_new[at[hit]]]
+            if loose.any():
+                loose_word[:] = False
+                loose_word[word[hit[loose]]] = True
                 new_word = np.r_[True, word[hit[1:]] != word[hit[:-1]]]
-                loose_word = np.zeros(len(words), dtype=bool)
-                loose_word[word[hit[self.loose[self.pair_new[at[hit]]]]]] = True
                 hit = hit[np.where(loose_word[word[hit]], new_word, offset % 2 == 0)]
-                symbols[hit] = self.pair_new[at[hit]]
-                keep = np.ones(len(symbols), dtype=bool)
-                keep[hit + 1] = False
             else:
-                keep = np.ones(len(symbols), dtype=bool)
-            ended = ~np.repeat(live, counts)
-            out = keep & ended
-            done_word.append(word[out]), done_symbol.append(symbols[out]), done_pos.append(pos[out])
-            keep &= ~ended
-            symbols, word, pos = symbols[keep], word[keep], pos[keep]
-        if len(symbols) >= 2:  # very long words whose merges depend on each other
+                hit = hit[offset % 2 == 0]
+            symbols[hit] = self.pair_new[at[hit]]
+            keep = np.ones(len(symbols), dtype=bool)
+            keep[hit + 1] = False
+            changed = np.zeros(len(symbols), dtype=bool)
+            changed[hit] = True
+            symbols, word, pos, rank, at, changed = symbols[keep], word[keep], pos[keep], rank[keep], at[keep], changed[keep]
+            now = np.flatnonzero(changed)
+            redo = np.unique(np.r_[now, now[now > 0] - 1])
+            after = np.minimum(redo + 1, len(symbols) - 1)
+            new_rank, at[redo] = self.ranks(symbols[redo], symbols[after])
+            new_rank[(word[redo] != word[after]) | (after == redo)] = _NONE
+            rank[redo] = new_rank
+        if len(symbols):  # very long words whose merges depend on each other
             edges = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
             for a, b in zip(edges, np.r_[edges[1:], len(symbols)], strict=True):
                 left = self._finish(symbols[a:b].tolist())
                 done_word.append(np.full(len(left), word[a])), done_symbol.append(np.array(left, dtype=np.int64)), done_pos.append(pos[a] + np.arange(len(left)))
-        else:
-            done_word.append(word), done_symbol.append(symbols), done_pos.append(pos)
-        word, symbols, pos = (np.concatenate(x) for x in (done_word, done_symbol, done_pos))
+        word, symbols, pos = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (done_word, done_symbol, done_pos))
         order = np.argsort(pos, kind="stable")
         return self._fallback(symbols[order], word[order], len(words))
 
@@ -220,6 +250,8 @@ class Encoder:
 
     _WORD = re.compile(f"{META}?[^{META}\n]+|{META}+(?={META}[^{META}\n])|{META}+|\n+")
 
+    _LONE = re.compile(f"{META}(?=[{META}\n]|$)")
+
     def __init__(self, model: PieceModel):
         self.model = model
         self.clear()
@@ -247,27 +279,30 @@ class Encoder:
         """The parts of a text that no piece crosses.  Text begins with one more white space."""
         if not text:
             return []
-        return self._WORD.findall(META + text.replace(" ", META))
+        text = META + text.replace(" ", META)
+        words = self._WORD.findall(text)
+        return self._runs(words) if self._LONE.search(text) else words
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids, and the number of ids of each text."""
         if len(self.number) > TABLE_WORDS:
             self.clear()
-        parts = [self._runs(self.words(t)) for t in texts]
-        missing = list({w for p in parts for w in p if w not in self.number})
-        if missing:
-            self._add(missing)
-        number = self.number
-        flat = np.array([number[w] for p in parts for w in p], dtype=np.int64)
+        words: list[str] = []
+        sizes = np.zeros(len(texts) + 1, dtype=np.int64)
+        for k, t in enumerate(texts, 1):
+            words += self.words(t)
+            sizes[k] = len(words)
+        numbers = list(map(self.number.get, words))
+        if None in numbers:
+            self._add(list({w for w, n in zip(words, numbers, strict=True) if n is None}))
+            numbers = list(map(self.number.get, words))
+        flat = np.array(numbers, dtype=np.int64)
         counts = self.count[flat]
         ids = self.ids[spread(self.start[flat], counts)] if len(flat) else np.zeros(0, dtype=np.int32)
-        ends = np.r_[0, np.cumsum(counts)][np.r_[0, np.cumsum([len(p) for p in parts])]]
-        return ids, np.diff(ends)
+        return ids, np.diff(np.r_[0, np.cumsum(counts)][sizes])
 
     def _runs(self, words: list[str]) -> list[str]:
         """White space before a word joins the word's own first one where that stays alone; long runs in pieces of the longest."""
-        if not any(w[:2] == META * 2 or w == META for w in words):
-            return words
         if not self.model.runs_last:
             return self._joined(words)
         out: list[str] = []
@@ -305,10 +340,10 @@ class Encoder:
         return out
 
 
-def _slices(batch: pa.RecordBatch, sizes: list[int]) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, sizes: list[int], most: int) -> Iterator[pa.RecordBatch]:
     at, held = 0, 0
     for i, size in enumerate(sizes):
-        if held and held + size > SLICE_BYTES:
+        if held and held + size > most:
             yield batch.slice(at, i - at)
             at, held = i, 0
         held += size
@@ -371,7 +406,7 @@ def _mapped(df: DataFrame, proto: bytes, source: str, out: str, kind: str, body)
                 continue
             column = batch.column(batch.num_columns - 1)
             sizes = (column.value_lengths() if kind == "string" else pa.compute.binary_length(column)).fill_null(0).to_pylist()
-            for part in _slices(batch, sizes):
+            for part in _slices(batch, sizes, SLICE_IDS if kind == "string" else SLICE_BYTES):
                 last = body(part.column(part.num_columns - 1), model)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], last], names=[*part.schema.names[:-1], out])
 
