@@ -16,11 +16,10 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .bwt import ShardBwt, repeated
-from .common import durable, free_shuffles, shuffle_width
+from .common import durable, free_shuffles, shuffle_width, spread
 
 LENGTH, ANCHOR = 50, 20
 AROUND = LENGTH - ANCHOR
@@ -31,7 +30,8 @@ HOT, LOCAL = 1 << 17, 16
 #: Bytes of a shard of surroundings.
 SHARD = 1 << 18
 _P1, _P2, _P3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
-RECORD = np.dtype([("h", "<u8"), ("s", "<u8"), ("doc", "<i8"), ("pos", "<i4")])
+#: Anchor's hash, hash of its surroundings, document, begin and length of the surroundings.
+RECORD = np.dtype([("h", "<u8"), ("s", "<u8"), ("doc", "<i8"), ("pos", "<i4"), ("len", "u1")])
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -58,11 +58,11 @@ def _words(raw: bytes) -> np.ndarray:
 class _Slice:
     """Texts laid end to end: hashes of all ANCHOR-byte strings, anchors, surroundings."""
 
-    def __init__(self, parts: list[tuple[int, int, int, bytes]]):
-        """parts: document, place of the part in it, the document's length, bytes (with AROUND before and LENGTH after where there are)."""
-        self.doc, self.at, self.whole = (np.array([p[k] for p in parts], dtype=np.int64) for k in range(3))
-        self.raw = b"".join(p[3] for p in parts)
-        self.size = np.array([len(p[3]) for p in parts], dtype=np.int64)
+    def __init__(self, parts: list[tuple[int, int, bytes]]):
+        """parts: document, place of the part in it, bytes."""
+        self.doc, self.at = (np.array([p[k] for p in parts], dtype=np.int64) for k in range(2))
+        self.raw = b"".join(p[2] for p in parts)
+        self.size = np.array([len(p[2]) for p in parts], dtype=np.int64)
         self.begin = np.cumsum(self.size) - self.size
         self.w = _words(self.raw)
         n = len(self.raw)
@@ -73,8 +73,8 @@ class _Slice:
         h ^= w[ANCHOR - 8 : n + ANCHOR - 8]
         self.h = _mix(h * _P3)
 
-    def anchors(self) -> np.ndarray:
-        """Places of the leftmost least hash of every window within a text."""
+    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of the leftmost least hash of every window within a text, and the first and last window of each."""
         n = len(self.raw)
         bits = np.uint64(max(n.bit_length(), 1))
         key = (self.h >> bits << bits) | np.arange(n, dtype=np.uint64)
@@ -89,27 +89,24 @@ class _Slice:
         full = self.size >= LENGTH
         np.add.at(inside, self.begin[full], 1)
         np.add.at(inside, (self.begin + self.size - LENGTH + 1)[full], -1)
-        ok = np.cumsum(inside)[: len(least)] > 0
-        mark = np.zeros(n, dtype=bool)
-        mark[(least[ok] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)] = True
-        return np.flatnonzero(mark)
-
-    def records(self, places: np.ndarray) -> np.ndarray:
+        ok = np.flatnonzero(np.cumsum(inside)[: len(least)] > 0)
+        if not len(ok):
+            return (np.zeros(0, np.int64),) * 3
+        place = (least[ok] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+        first = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (ok[1:] != ok[:-1] + 1)])
+        return place[first], ok[first], ok[np.r_[first[1:], len(ok)] - 1]
+
+    def records(self, places: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         part = np.searchsorted(self.begin, places, "right") - 1
-        # empty texts share a begin with the next one; the last of equal begins is the one with bytes
-        pos = places - self.begin[part] + self.at[part]
-        left, right = np.minimum(pos, AROUND), np.minimum(self.whole[part] - pos, LENGTH)
+        length = last - first + LENGTH
         out = np.empty(len(places), dtype=RECORD)
-        out["h"], out["doc"], out["pos"] = self.h[places], self.doc[part], pos
-        full = (left == AROUND) & (right == LENGTH)
-        at = places[full] - AROUND
-        s = np.full(len(at), _P2)
-        for k in range(0, AROUND + LENGTH, 8):
-            s = _mix((s ^ self.w[at + k]) * _P1)
-        out["s"][full] = s
-        for i in np.flatnonzero(~full).tolist():
-            a = int(places[i])
-            out["s"][i] = xxhash.xxh64_intdigest(self.raw[a - int(left[i]) : a + int(right[i])], int(left[i]) * 64 + int(right[i]))
+        out["h"], out["doc"], out["pos"], out["len"] = self.h[places], self.doc[part], first - self.begin[part] + self.at[part], length
+        s = _mix(((length << 8) | (places - first)).astype(np.uint64) * _P2)
+        for k in range(0, LENGTH - 8, 8):
+            s = _mix((s ^ self.w[first + k]) * _P1)
+        for k in range(8, LENGTH + AROUND - (LENGTH - 8) // 8 * 8 + 8, 8):
+            s = _mix((s ^ self.w[first + length - k]) * _P1)
+        out["s"] = s
         return out
 
 
@@ -122,9 +119,8 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[_Slice]:
                 continue
             doc = _LAST if doc is None else doc
             for a in range(0, max(1, len(raw) - LENGTH + 1), PIECE):
-                b = max(0, a - AROUND)
-                cut = raw[b : a + PIECE + AROUND + LENGTH] if len(raw) > PIECE else raw
-                parts.append((doc, b, len(raw), cut))
+                cut = raw[a : a + PIECE + LENGTH - 1] if len(raw) > PIECE else raw  # each window is in one piece
+                parts.append((doc, a, cut))
                 held += len(cut)
                 if held >= SLICE:
                     yield _Slice(parts)
@@ -181,7 +177,7 @@ def merge_spans(start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.stack([start[first], reach[np.r_[first[1:] - 1, len(start) - 1]]], axis=1)
 
 
-def _meet(records: np.ndarray) -> tuple[tuple, np.ndarray]:
+def _meet(records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Spans of anchors whose surroundings an earlier document has as a whole, and the representatives to compare."""
     order = np.argsort(records["h"])
     records = records[order]
@@ -191,7 +187,7 @@ def _meet(records: np.ndarray) -> tuple[tuple, np.ndarray]:
     several = np.minimum.reduceat(records["doc"], first) != np.maximum.reduceat(records["doc"], first)
     records = records[np.repeat(several, count)]
     if not len(records):
-        return (np.zeros(0, np.int64),) * 2, records
+        return records, records
     records = records[np.lexsort((records["doc"], records["s"], records["h"]))]
     h, s, doc = records["h"], records["s"], records["doc"]
     new_class = np.r_[True, (h[1:] != h[:-1]) | (s[1:] != s[:-1])]
@@ -201,29 +197,25 @@ def _meet(records: np.ndarray) -> tuple[tuple, np.ndarray]:
     group = np.cumsum(np.r_[True, h[1:] != h[:-1]]) - 1
     classes = np.bincount(group[first])
     mixed = classes[group] > 1
-    return (doc[later], records["pos"][later].astype(np.int64)), records[mixed & ~later]
-
-
-def _around(doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return np.maximum(pos - AROUND, 0), pos + LENGTH
+    return records[later], records[mixed & ~later]
 
 
-def _compare(bucket: list[tuple[int, int, int, bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """doc, start of the windows of representatives (doc, pos, left, bytes) that an earlier document has."""
+def _compare(bucket: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """doc, start of the windows of representatives (doc, pos, bytes) that an earlier document has."""
     shards, owner, held, size = [], [], [], 0
     doc = np.array([b[0] for b in bucket], dtype=np.int64)
-    start = np.array([b[1] - b[2] for b in bucket], dtype=np.int64)
+    start = np.array([b[1] for b in bucket], dtype=np.int64)
 
     def close() -> None:
         if held:
-            lengths = np.array([len(bucket[i][3]) for i in held], dtype=np.int64)
-            data = np.frombuffer(b"".join(bucket[i][3] for i in held) + b"\0", dtype=np.uint8)
+            lengths = np.array([len(bucket[i][2]) for i in held], dtype=np.int64)
+            data = np.frombuffer(b"".join(bucket[i][2] for i in held) + b"\0", dtype=np.uint8)
             shards.append(ShardBwt.of(data, np.cumsum(lengths) - lengths, lengths))
             owner.append(doc[held])
 
     for i, b in enumerate(bucket):
         held.append(i)
-        size += len(b[3])
+        size += len(b[2])
         if size >= SHARD:
             close()
             held, size = [], 0
@@ -256,7 +248,7 @@ def spans(src: DataFrame, hot: int = HOT, local: int = LOCAL) -> DataFrame:
 
         held, size = [], 0
         for part in _slices(batches):
-            held.append(part.h[part.anchors()])
+            held.append(part.h[part.anchors()[0]])
             size += len(held[-1])
             if size >= FLUSH:
                 yield count(held)
@@ -272,7 +264,7 @@ def spans(src: DataFrame, hot: int = HOT, local: int = LOCAL) -> DataFrame:
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for part in _slices(batches):
-            records = part.records(part.anchors())
+            records = part.records(*part.anchors())
             held.append(records[~np.isin(records["h"], known.value)] if len(known.value) else records)
             size += len(records)
             if size >= FLUSH:
@@ -283,8 +275,9 @@ def spans(src: DataFrame, hot: int = HOT, local: int = LOCAL) -> DataFrame:
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for records in _grouped(batches, RECORD):
-            (doc, pos), ask = _meet(records)
-            out = [(0, d, b) for d, b in _spans(doc, *_around(doc, pos))]
+            late, ask = _meet(records)
+            start = late["pos"].astype(np.int64)
+            out = [(0, d, b) for d, b in _spans(late["doc"], start, start + late["len"])]
             ask = ask[np.argsort(ask["doc"], kind="stable")]
             edge = np.flatnonzero(np.r_[True, ask["doc"][1:] != ask["doc"][:-1]]) if len(ask) else np.zeros(0, np.int64)
             for a, b in zip(edge, np.r_[edge[1:], len(ask)] if len(ask) else edge, strict=True):
@@ -305,11 +298,10 @@ def spans(src: DataFrame, hot: int = HOT, local: int = LOCAL) -> DataFrame:
             out = []
             for doc, t, blobs in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 raw = t.as_buffer().to_pybytes() if t.is_valid else b""
-                for r in np.concatenate([np.frombuffer(b, dtype=RECORD) for b in blobs]).tolist():
-                    a = max(0, r[3] - AROUND)
-                    if r[3] + ANCHOR <= len(raw):  # another row may have the same id
-                        out.append((r[0] % buckets, doc, r[3], r[3] - a, raw[a : r[3] + LENGTH]))
-            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate((pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["bucket", "doc", "pos", "left", "cut"])
+                for h, _, _, start, length in np.concatenate([np.frombuffer(b, dtype=RECORD) for b in blobs]).tolist():
+                    if start + length <= len(raw):  # another row may have the same id
+                        out.append((h % buckets, doc, start, raw[start : start + length]))
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate((pa.int32(), pa.int64(), pa.int32(), pa.binary()))], names=["bucket", "doc", "pos", "cut"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, held = None, []
@@ -329,7 +321,7 @@ def spans(src: DataFrame, hot: int = HOT, local: int = LOCAL) -> DataFrame:
         if held:
             yield told()
 
-    cuts = rows.mapInArrow(cut, "bucket int, doc bigint, pos int, left int, cut binary").repartition(partitions, "bucket").sortWithinPartitions("bucket")
+    cuts = rows.mapInArrow(cut, "bucket int, doc bigint, pos int, cut binary").repartition(partitions, "bucket").sortWithinPartitions("bucket")
     found = durable(cuts.mapInArrow(compare, "doc bigint, blob binary"), "compared")
     free_shuffles(spark)
     out = met.where("kind = 0").select("doc", "blob").unionByName(found)
@@ -342,12 +334,9 @@ def _hot_spans(src: DataFrame, hot_set: np.ndarray) -> DataFrame:
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _slices(batches):
-            places = part.anchors()
-            places = places[np.isin(part.h[places], known.value)]
-            own = np.searchsorted(part.begin, places, "right") - 1
-            start = (places[:, None] - np.arange(AROUND + 1)[None, :])
-            ok = (start >= part.begin[own][:, None]) & (start + LENGTH <= (part.begin + part.size)[own][:, None])
-            start = np.unique(start[ok])
+            places, first, last = part.anchors()
+            hot = np.isin(part.h[places], known.value)
+            start = spread(first[hot], (last - first + 1)[hot])
             own = np.searchsorted(part.begin, start, "right") - 1
             cuts = [hashlib.md5(part.raw[a : a + LENGTH]).digest() for a in start.tolist()]
             yield pa.RecordBatch.from_arrays([pa.array(cuts, pa.binary()), pa.array(part.doc[own]), pa.array((start - part.begin[own] + part.at[own]).astype(np.int32))], names=["w", "doc", "start"])
