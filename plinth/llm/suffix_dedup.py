@@ -230,8 +230,11 @@ def _compare(bucket: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarr
 
 
 def _partitions(df: DataFrame) -> int:
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(shuffle_width(df.sparkSession), min(size // PARTITION, 1_000_000))
+    """The session's shuffle partitions, or more where the files that df is read from are large."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    known = sum(x for x in sizes if x < 1 << 60)  # rows that are not from files have no size
+    return max(shuffle_width(df.sparkSession), min(known // PARTITION, 1_000_000))
 
 
 def spans(src: DataFrame, hot: int = HOT, local: int = LOCAL) -> DataFrame:
