@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import durable, free_shuffles
 
-ORDER, BOS = 5, "\x02"
+ORDER, BOS = 4, "\x02"
 #: Characters counted at once, characters of a pack, and the largest table of a lookup.
-SLICE, PACK, LARGEST = 2 << 20, 20 << 20, 1 << 25
+SLICE, PACK, LARGEST = 1 << 19, 16 << 20, 1 << 23
 STRATA = ("en", "de", "fr", "es")
 #: Kept: perplexity up to this quantile of held-out trusted documents of the language, times SLACK.
 #: One trusted document in HOLDOUT, by the hash of its id, is held out of the model.
@@ -27,78 +27,79 @@ QUANTILE, SLACK, HOLDOUT = 0.9995, 1.2, 5
 
 
 class _Grams:
-    """The n-grams of a list of documents as 64-bit codes over the list's own alphabet."""
+    """The n-grams of a list of documents as 64-bit codes over the list's own alphabet, read in slices."""
 
     BITS = 60 // ORDER
 
     def __init__(self, docs: list[tuple[int, str]]):
-        text = "".join(BOS * (ORDER - 1) + t for _, t in docs)
-        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        self.alphabet = np.flatnonzero(np.bincount(points)).astype(np.uint32)
-        self.wide = len(self.alphabet) > 1 << self.BITS
-        table = np.zeros(int(self.alphabet[-1]) + 1 if len(self.alphabet) else 1, dtype=np.int64)
-        table[self.alphabet] = np.arange(len(self.alphabet))
-        self.symbols = table[points]
+        self.docs = docs
         self.sizes = np.array([len(t) for _, t in docs], dtype=np.int64)
-        begin = np.cumsum(self.sizes + ORDER - 1) - (self.sizes + ORDER - 1)
-        self.start = np.repeat(begin - (np.cumsum(self.sizes) - self.sizes), self.sizes) + np.arange(self.sizes.sum())
-        self.stratum = np.repeat(np.array([s for s, _ in docs], dtype=np.int64), self.sizes)
+        cut = np.cumsum(self.sizes) // SLICE
+        self.edges = [0, *(np.flatnonzero(np.diff(cut)) + 1).tolist(), len(docs)]
+        seen = np.zeros(0x110000, dtype=bool)
+        for _, t in docs:
+            seen[np.frombuffer(t.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)] = True
+        seen[ord(BOS)] = True
+        self.alphabet = np.flatnonzero(seen).astype(np.uint32)
+        self.table = np.zeros(int(self.alphabet[-1]) + 1, dtype=np.int32)
+        self.table[self.alphabet] = np.arange(len(self.alphabet))
+        self.wide = len(self.alphabet) > 1 << self.BITS
 
-    def codes(self, at: np.ndarray, stratum: np.ndarray) -> np.ndarray:
-        code = stratum.copy()
-        for k in range(ORDER):
-            code = (code << self.BITS) + self.symbols[at + k]
-        return code
+    def slices(self) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+        """Documents, their symbols (each text after ORDER - 1 begin marks), starts of n-grams, stratum of each."""
+        for a, b in zip(self.edges[:-1], self.edges[1:], strict=True):
+            text = "".join(BOS * (ORDER - 1) + t for _, t in self.docs[a:b])
+            symbols = self.table[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
+            sizes = self.sizes[a:b]
+            padded = np.cumsum(sizes + ORDER - 1) - (sizes + ORDER - 1)
+            start = np.repeat(padded - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+            yield slice(a, b), symbols, start, np.repeat(np.array([s for s, _ in self.docs[a:b]], dtype=np.int64), sizes)
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """stratum, count and text of each distinct n-gram."""
         parts, counts = [], []
-        if self.wide:
-            rows = np.stack([self.stratum, *(self.symbols[self.start + k] for k in range(ORDER))], axis=1)
-            rows, n = np.unique(rows, axis=0, return_counts=True)
-        else:
-            for a in range(0, len(self.start), SLICE):
-                u, c = np.unique(self.codes(self.start[a : a + SLICE], self.stratum[a : a + SLICE]), return_counts=True)
-                parts.append(u), counts.append(c)
-            if not parts:
-                return np.zeros(0, np.int64), np.zeros(0, np.int64), []
-            u, back = np.unique(np.concatenate(parts), return_inverse=True)
-            n = np.bincount(back, weights=np.concatenate(counts)).astype(np.int64)
+        for _, symbols, start, stratum in self.slices():
+            if self.wide:
+                u, c = np.unique(np.stack([stratum, *(symbols[start + k] for k in range(ORDER))], axis=1), axis=0, return_counts=True)
+            else:
+                code = stratum
+                for k in range(ORDER):
+                    code = (code << self.BITS) + symbols[start + k]
+                u, c = np.unique(code, return_counts=True)
+            parts.append(u), counts.append(c)
+        rows, back = np.unique(np.concatenate(parts), axis=0, return_inverse=True)
+        n = np.bincount(back.ravel(), weights=np.concatenate(counts), minlength=len(rows)).astype(np.int64)
+        if not self.wide:
             mask = (1 << self.BITS) - 1
-            rows = np.stack([u >> (ORDER * self.BITS), *(u >> ((ORDER - 1 - k) * self.BITS) & mask for k in range(ORDER))], axis=1)
+            rows = np.stack([rows >> (ORDER * self.BITS), *(rows >> ((ORDER - 1 - k) * self.BITS) & mask for k in range(ORDER))], axis=1)
         points = np.ascontiguousarray(self.alphabet[rows[:, 1:]].astype("<u4"))
-        return rows[:, 0], n, points.view(f"<U{ORDER}").ravel().tolist()
+        return rows[:, 0].astype(np.int64), n, points.view(f"<U{ORDER}").ravel().tolist()
 
     def scores(self, stratum: np.ndarray, grams: list[str], value: np.ndarray) -> np.ndarray:
         """Sum over each document of the values of its n-grams.  grams: every n-gram of the list, at least once."""
-        table = np.zeros(int(self.alphabet[-1]) + 1 if len(self.alphabet) else 1, dtype=np.int64)
-        table[self.alphabet] = np.arange(len(self.alphabet))
         points = np.array(grams, dtype=f"<U{ORDER}").view("<u4").reshape(-1, ORDER)
-        keys = [stratum, *table[points].T]
-        width = max(len(self.alphabet), 1)
+        keys = [stratum, *self.table[points].T]
+        width = len(self.alphabet)
         steps, prefix = [], keys[0].copy()
         for k in range(ORDER):
-            code = prefix * width + keys[k + 1]
-            found, prefix = np.unique(code, return_inverse=True)
-            size = int(found[-1]) + 1 if len(found) else 1
-            if size <= LARGEST:
-                direct = np.zeros(size, dtype=np.int32)
+            found, prefix = np.unique(prefix * width + keys[k + 1], return_inverse=True)
+            if int(found[-1]) < LARGEST:
+                direct = np.zeros(int(found[-1]) + 1, dtype=np.int32)
                 direct[found] = np.arange(len(found))
                 steps.append((direct, None))
             else:
                 steps.append((None, found))
-        value_of = np.zeros(len(found) if len(grams) else 1)
+        value_of = np.zeros(len(found))
         value_of[prefix] = value
-        total = np.zeros(len(self.start))
-        for a in range(0, len(self.start), SLICE):
-            at, rank = self.start[a : a + SLICE], self.stratum[a : a + SLICE]
+        out = np.zeros(len(self.docs))
+        for where, symbols, start, rank in self.slices():
             for k, (direct, found) in enumerate(steps):
-                code = rank * width + self.symbols[at + k]
+                code = rank * width + symbols[start + k]
                 rank = direct[code].astype(np.int64) if direct is not None else np.searchsorted(found, code)
-            total[a : a + SLICE] = value_of[rank]
-        ends = np.cumsum(self.sizes)
-        sums = np.r_[0.0, np.cumsum(total)]
-        return sums[ends] - sums[ends - self.sizes]
+            ends = np.cumsum(self.sizes[where])
+            sums = np.r_[0.0, np.cumsum(value_of[rank])]
+            out[where] = sums[ends] - sums[ends - self.sizes[where]]
+        return out
 
 
 def _packs(batches: Iterator[pa.RecordBatch], strata: Sequence[str]) -> Iterator[tuple[list, list[tuple[int, str]]]]:
@@ -117,11 +118,11 @@ def _packs(batches: Iterator[pa.RecordBatch], strata: Sequence[str]) -> Iterator
         yield ids, docs
 
 
-def _digest(ids: list, docs: list[tuple[int, str]]) -> str:
+def _digest(ids: list, docs: list[tuple[int, str]]) -> int:
     h = hashlib.sha256()
     for key, (s, t) in zip(ids, docs, strict=True):
         h.update(f"{key}:{s}:{len(t)}:".encode()), h.update(t.encode("utf-8", "surrogatepass"))
-    return h.hexdigest()[:32]
+    return int.from_bytes(h.digest()[:8], "little", signed=True)
 
 
 def gram_counts(df: DataFrame, strata: Sequence[str]) -> DataFrame:
@@ -131,9 +132,9 @@ def gram_counts(df: DataFrame, strata: Sequence[str]) -> DataFrame:
         for ids, docs in _packs(batches, strata):
             s, n, grams = _Grams(docs).distinct()
             pack = _digest(ids, docs)
-            yield pa.RecordBatch.from_arrays([pa.array([pack] * len(grams), pa.string()), pa.array(s.astype(np.int32)), pa.array(grams, pa.string()), pa.array(n)], names=["pack", "stratum", "gram", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), pack, dtype=np.int64)), pa.array(s.astype(np.int32)), pa.array(grams, pa.string()), pa.array(n)], names=["pack", "stratum", "gram", "n"])
 
-    return df.mapInArrow(run, "pack string, stratum int, gram string, n bigint")
+    return df.mapInArrow(run, "pack bigint, stratum int, gram string, n bigint")
 
 
 def train(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
@@ -204,9 +205,9 @@ def perplexities(df: DataFrame, trusted: DataFrame, strata: Sequence[str] = STRA
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, table.schema) as writer:
                 writer.write_table(table)
-            yield pa.RecordBatch.from_arrays([pa.array([_digest(ids, docs)]), pa.array([squeeze.compress(sink.getvalue().to_pybytes())], pa.binary())], names=["pack", "blob"])
+            yield pa.RecordBatch.from_arrays([pa.array([_digest(ids, docs)], pa.int64()), pa.array([squeeze.compress(sink.getvalue().to_pybytes())], pa.binary())], names=["pack", "blob"])
 
-    blobs = df.mapInArrow(pack, "pack string, blob binary").select("pack", F.lit(0).alias("part"), F.lit(None).cast("int").alias("stratum"), F.lit(None).cast("string").alias("gram"), F.lit(None).cast("float").alias("logp"), "blob")
+    blobs = df.mapInArrow(pack, "pack bigint, blob binary").select("pack", F.lit(0).alias("part"), F.lit(None).cast("int").alias("stratum"), F.lit(None).cast("string").alias("gram"), F.lit(None).cast("float").alias("logp"), "blob")
     rows = blobs.unionByName(answers.select("pack", F.lit(1).alias("part"), "stratum", "gram", "logp", F.lit(None).cast("binary").alias("blob")))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,7 +266,9 @@ def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     src = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang_col}`").cast("string").alias("s"), F.col(f"`{text_col}`").cast("string").alias("t"))
     good = labels.where(F.col(f"`{label_col}`") == 1).select(F.col(f"`{id_col}`").alias("id")).distinct()
     unseen = F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(HOLDOUT)) == 0
-    scored = durable(perplexities(src, src.join(good.where(~unseen), "id", "left_semi"), strata), "perplexities")
+    # a sorted join at every size: which documents are trusted grows with the corpus, so it is never broadcast
+    trusted = src.join(good.where(~unseen).hint("merge"), "id", "left_semi")
+    scored = durable(perplexities(src, trusted, strata), "perplexities")
     held = scored.join(good.where(unseen), "id", "left_semi").where("perplexity is not null")
     q = held.groupBy("stratum").agg(F.percentile_approx("perplexity", quantile, 100_000).alias("q"))
     bounds = q.select("stratum", (F.col("q") * SLACK).alias("threshold"))
