@@ -53,18 +53,18 @@ def view_type(angle: Column) -> Column:
     )
 
 
-def _edges(ring: Column):
+def edges(ring: Column) -> Column:
     """Pairs (point, next point) of a ring; the last meets the first."""
     return F.zip_with(ring, F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1)), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
 
 
-def _sum(edges: Column, term) -> Column:
-    return F.aggregate(edges, F.lit(0.0), lambda s, e: s + term(e["a"]["x"], e["a"]["y"], e["b"]["x"], e["b"]["y"]))
+def _sum(pairs: Column, term) -> Column:
+    return F.aggregate(pairs, F.lit(0.0), lambda s, e: s + term(e["a"]["x"], e["a"]["y"], e["b"]["x"], e["b"]["y"]))
 
 
 def signed_area(ring: Column) -> Column:
     """Shoelace; positive when counter-clockwise."""
-    return _sum(_edges(ring), lambda ax, ay, bx, by: (ax * by - bx * ay) / 2)
+    return _sum(edges(ring), lambda ax, ay, bx, by: (ax * by - bx * ay) / 2)
 
 
 def area(ring: Column) -> Column:
@@ -73,26 +73,31 @@ def area(ring: Column) -> Column:
 
 
 def perimeter(ring: Column) -> Column:
-    return _sum(_edges(ring), lambda ax, ay, bx, by: F.hypot(bx - ax, by - ay))
+    return _sum(edges(ring), lambda ax, ay, bx, by: F.hypot(bx - ax, by - ay))
 
 
 def centroid(ring: Column) -> Column:
     """GE-02: null components for a ring without area."""
-    edges, twice = _edges(ring), signed_area(ring) * 6
-    x = _sum(edges, lambda ax, ay, bx, by: (ax + bx) * (ax * by - bx * ay))
-    y = _sum(edges, lambda ax, ay, bx, by: (ay + by) * (ax * by - bx * ay))
+    pairs, twice = edges(ring), signed_area(ring) * 6
+    x = _sum(pairs, lambda ax, ay, bx, by: (ax + bx) * (ax * by - bx * ay))
+    y = _sum(pairs, lambda ax, ay, bx, by: (ay + by) * (ax * by - bx * ay))
     return F.struct(F.try_divide(x, twice).alias("x"), F.try_divide(y, twice).alias("y"))
 
 
 def contains(ring: Column, x: Column, y: Column) -> Column:
     """GE-19: crossing number, half-open in y, so that a shared border belongs to one side."""
+    return inside_edges(edges(ring), x, y)
+
+
+def inside_edges(edges_: Column, x: Column, y: Column) -> Column:
+    """contains() for edges() made once a ring."""
 
     def crosses(e: Column) -> Column:
         ax, ay, bx, by = e["a"]["x"], e["a"]["y"], e["b"]["x"], e["b"]["y"]
         at = (bx - ax) * F.try_divide(y - ay, by - ay) + ax
         return F.when((ay > y) != (by > y), F.when(x < at, 1).otherwise(0)).otherwise(0)
 
-    return F.aggregate(_edges(ring), F.lit(0), lambda n, e: n + crosses(e)) % 2 == 1
+    return F.aggregate(edges_, F.lit(0), lambda n, e: n + crosses(e)) % 2 == 1
 
 
 def box_ring(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
@@ -126,7 +131,7 @@ def outward_edges(ring: Column, min_length: float = 1e-6) -> Column:
         sign = F.when(nx * (c["x"] - mx) + ny * (c["y"] - my) > 0, -1.0).otherwise(1.0)
         return F.struct(ax.alias("ax"), ay.alias("ay"), bx.alias("bx"), by.alias("by"), mx.alias("mx"), my.alias("my"), (nx * sign).alias("nx"), (ny * sign).alias("ny"), length.alias("length"))
 
-    kept = F.filter(F.transform(_edges(ring), described), lambda e: e["length"] >= min_length)
+    kept = F.filter(F.transform(edges(ring), described), lambda e: e["length"] >= min_length)
     return F.transform(kept, lambda e, i: F.struct(i.alias("idx"), *(e[f].alias(f) for f in ("ax", "ay", "bx", "by", "mx", "my", "nx", "ny", "length"))))
 
 

@@ -403,3 +403,73 @@ def noise_levels(p: DataFrame) -> DataFrame:
 @query("PC-02", "points")
 def cloth_ground_points(p: DataFrame) -> DataFrame:
     return kernels.ground_points(p, KEY).groupBy(KEY).agg(F.count("*").alias("n"), F.round(F.avg("z"), 4).alias("mean_z"))
+
+
+_RASTER = f"""{_EQ}, g AS (SELECT tile_id, u, v, classification, z, r AS depth, row_number() OVER (PARTITION BY tile_id, u, v ORDER BY r, classification, pid, z) AS n FROM u), px AS (SELECT * FROM g WHERE n = 1),
+bx AS (SELECT tile_id, k AS box, CAST((tile_id * 29 + k * 83) % 300 AS DOUBLE) AS x1, CAST((tile_id * 13 + k * 37) % 150 AS DOUBLE) AS y1 FROM (SELECT DISTINCT tile_id FROM points), (SELECT unnest(range(20)) AS k)), b AS (SELECT *, x1 + 40.5 AS x2, y1 + 20.5 AS y2 FROM bx)"""
+
+
+def _raster(p: DataFrame) -> DataFrame:
+    z = pc.zbuffer(pc.equirectangular(numbered(p), _CAM, 360, 180), [KEY], ["classification", "pid", "z"])
+    return z.withColumnRenamed("r", "depth")
+
+
+@query(
+    "RS-03 RS-04 RS-05 RS-12",
+    "points",
+    sql=f"""WITH {_RASTER}, s AS (SELECT b.*, t.z AS tz, o.z AS bz, l.depth AS ld, r.depth AS rd, (SELECT avg(depth) FROM px g WHERE g.tile_id = b.tile_id AND classification = 6) AS gap FROM b
+    LEFT JOIN px t ON t.tile_id = b.tile_id AND t.u = CAST(floor((x1 + x2) / 2) AS INTEGER) AND t.v = CAST(floor(y1) AS INTEGER) LEFT JOIN px o ON o.tile_id = b.tile_id AND o.u = CAST(floor((x1 + x2) / 2) AS INTEGER) AND o.v = CAST(floor(least(y2, 179)) AS INTEGER)
+    LEFT JOIN px l ON l.tile_id = b.tile_id AND l.u = CAST(floor(x1) AS INTEGER) AND l.v = CAST(floor((y1 + y2) / 2) AS INTEGER) LEFT JOIN px r ON r.tile_id = b.tile_id AND r.u = CAST(floor(least(x2, 359)) AS INTEGER) AND r.v = CAST(floor((y1 + y2) / 2) AS INTEGER)),
+    a AS (SELECT *, coalesce(ld, gap) AS dl, coalesce(rd, gap) AS dr, radians((2 * floor(x1) / 360 - 1) * (360 * 180.0 / 11000) / 2) AS fl, radians((2 * floor(least(x2, 359)) / 360 - 1) * (360 * 180.0 / 11000) / 2) AS fr,
+    radians((2750.0 - (floor(y1) + 1375)) * (180.0 / 5500)) AS tt, radians((2750.0 - (floor(least(y2, 179)) + 1375)) * (180.0 / 5500)) AS tb FROM s),
+    m AS (SELECT *, sqrt((dr * sin(fr) - dl * sin(fl)) * (dr * sin(fr) - dl * sin(fl)) + (dr * cos(fr) - dl * cos(fl)) * (dr * cos(fr) - dl * cos(fl))) AS w, CASE WHEN tz IS NULL OR bz IS NULL THEN gap * (sin(tt) - sin(tb)) ELSE tz - bz END AS h FROM a)
+    SELECT tile_id, box, round(tz, 4) AS "top", round(bz, 4) AS bottom, round(w, 4) AS real_width, round(h, 4) + 0.0 AS real_height FROM m""",
+)
+def feature_properties(p: DataFrame) -> DataFrame:
+    from ..operators import raster
+
+    n = F.sequence(F.lit(0).cast("long"), F.lit(19).cast("long"))
+    boxes = p.select(KEY).distinct().select(KEY, F.explode(n).alias("box"))
+    boxes = boxes.withColumns({"x1": ((F.col(KEY) * 29 + F.col("box") * 83) % 300).cast("double"), "y1": ((F.col(KEY) * 13 + F.col("box") * 37) % 150).cast("double")})
+    boxes = boxes.withColumns({"x2": F.col("x1") + 40.5, "y2": F.col("y1") + 20.5})
+    out = raster.feature_properties(boxes, _raster(p), KEY, 360, 180)
+    return out.select(KEY, "box", *r4("top", "bottom", "real_width"), (F.round("real_height", 4) + 0.0).alias("real_height"))
+
+
+@query("SF-24 RS-09", "points", sql=f"WITH {_RASTER} SELECT tile_id, coalesce(min(CASE WHEN classification = 6 THEN u - 90 END), 0) AS x1, coalesce(min(CASE WHEN classification = 6 THEN v - 60 END), 0) AS y1, coalesce(max(CASE WHEN classification = 6 THEN u - 90 END), 0) AS x2, coalesce(max(CASE WHEN classification = 6 THEN v - 60 END), 0) AS y2 FROM px WHERE u >= 90 AND u < 270 AND v >= 60 AND v < 120 GROUP BY tile_id")
+def mask_boxes(p: DataFrame) -> DataFrame:
+    from ..operators import raster
+
+    inside = raster.crop(_raster(p), 90, 270, 60, 120)
+    return raster.bounding_box(inside.withColumn("value", (F.col("classification") == 6).cast("int")), [KEY])
+
+
+@query("RS-06 RS-07 RS-10", "points")
+def raster_kernels(p: DataFrame) -> DataFrame:
+    from ..operators import raster
+
+    r = _raster(p).withColumn("value", F.col("z"))
+    small = raster.resized(raster.filled(r, KEY, (180, 360)), KEY, (180, 360), (90, 180))
+    spots = p.groupBy(KEY).agg(F.lit(180.0).alias("x"), F.lit(90.0).alias("y"))
+    near = raster.ground_reference(r, spots, KEY, (180, 360), 2)
+    return rounded(small.groupBy(KEY).agg(F.count("*").alias("pixels"), F.avg("value").alias("mean")).join(near, KEY, "left"))
+
+
+@query("SF-29", "points", sql="SELECT tile_id, ok, pk, round(CASE WHEN max(intensity) OVER w = min(intensity) OVER w THEN 0.5 ELSE (intensity - min(intensity) OVER w) / (max(intensity) OVER w - min(intensity) OVER w)::DOUBLE END, 4) AS shade FROM points WINDOW w AS (PARTITION BY tile_id)")
+def intensity_shades(p: DataFrame) -> DataFrame:
+    span = p.groupBy(KEY).agg(F.min("intensity").alias("lo"), F.max("intensity").alias("hi"))
+    shade = F.when(F.col("hi") == F.col("lo"), 0.5).otherwise((F.col("intensity") - F.col("lo")) / (F.col("hi") - F.col("lo")))
+    return p.join(span, KEY).select(KEY, "ok", "pk", F.round(shade, 4).alias("shade"))
+
+
+@query("PC-24 SF-33 AG-29 SL-05", "points")
+def viewer_tiles(p: DataFrame) -> DataFrame:
+    """Bounds, class counts as JSON, and a fixed sample of points of each tile.  The sample is the feature."""
+    from pyspark.sql.window import Window
+
+    n = numbered(p)
+    classes = n.groupBy(KEY, "classification").agg(F.count("*").alias("n")).groupBy(KEY).agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("classification", "n"))))).alias("classes"))
+    box = n.groupBy(KEY).agg(*(f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max, F.avg) for c in ("x", "y", "z")))
+    w = Window.partitionBy(KEY).orderBy(F.xxhash64(F.lit(7), "pid"), "pid")
+    some = n.withColumn("k", F.row_number().over(w)).where("k <= 100").groupBy(KEY).agg(F.to_json(F.array_sort(F.collect_list(F.struct("k", "x", "y", "z", "intensity", "classification")))).alias("points"))
+    return rounded(box.join(classes, KEY).join(some, KEY))
