@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import time
 import uuid
@@ -21,12 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir.  Only where it is unset (tests) a local folder is made and set."""
+    """The cluster's spark.checkpoint.dir.  Only in local mode, where it may be unset, a folder is made and set."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         if held.isDefined():
             return held.get()
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         at = f"file://{tempfile.mkdtemp(prefix='plinth-')}"
         spark.sparkContext.setCheckpointDir(at)
         return spark.sparkContext._jsc.sc().getCheckpointDir().get()
@@ -38,9 +41,21 @@ def durable(df: DataFrame, name: str = "t") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/plinth/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Tables that durable() wrote since the last release().
+_WRITTEN: list[str] = []
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes what durable() wrote; to be called when results that read it are stored."""
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Let the JVM drop the shuffle files of finished jobs before the next large one starts."""
     for _ in range(2):  # what Python lets go in the first round the JVM finds in the second
