@@ -1,4 +1,7 @@
-"""Scans, writers and resumption over a folder of Parquet tables, with one entry point each."""
+"""Scans, writers and resumption over a folder of Parquet tables, with one entry point each.
+
+SC-01/02/07 (open, named table, Parquet by path), SK-01..07 (overwrite, create, buffered append, export, query).
+"""
 
 from __future__ import annotations
 
@@ -133,6 +136,19 @@ def file_index(spark: SparkSession, folder: str, pattern: str = "*.la[sz]") -> D
     return best.select("stem", "f.path", "f.length")
 
 
+def stamped(df: DataFrame) -> DataFrame:
+    """SF-10: the time of processing, without zone."""
+    return df.withColumn("processed_at", F.current_timestamp().cast("timestamp_ntz"))
+
+
+def limited(df: DataFrame, key: str, sample: float | None = None, limit: int | None = None, seed: int = 7) -> DataFrame:
+    """IN-04: a share of the rows by the hash of their key, and at most limit of them by that hash; both are asked for."""
+    h = F.xxhash64(F.lit(seed), F.col(key))
+    if sample is not None:
+        df = df.where(F.pmod(h, F.lit(1_000_000)) < sample * 1_000_000)
+    return df.orderBy(h, key).limit(limit) if limit is not None else df
+
+
 def table_names(text: str) -> list[str]:
     """Names in a comma list, in order, once each."""
     return list(dict.fromkeys(x for x in re.split(r"[,\s]+", text) if x))

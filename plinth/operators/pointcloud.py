@@ -259,3 +259,30 @@ def terrain(points: DataFrame, key: str, cell: float, radius: float) -> DataFram
     d = F.hypot(F.col("x") - (F.col("gx") + 0.5) * cell, F.col("y") - (F.col("gy") + 0.5) * cell)
     w = 1.0 / (d * d + 1e-6)
     return cut.where(d <= radius).groupBy(key, "gx", "gy").agg((F.sum(w * F.col("z")) / F.sum(w)).alias("z"))
+
+
+def full_record(points: DataFrame, clips: DataFrame, key: str) -> DataFrame:
+    """AG-18, PC-05/16: all statistics of each clip (key, footprint_area, and ring if footprints are known); zeros without points."""
+    from ..functions import geo
+    from .kernels import hull_areas
+
+    out = clips.join(basic_stats(points, key), key, "left")
+    for part in (height_bands, class_stats, shape_scores, height_peaks):
+        out = out.join(part(points, key), key, "left")
+    out = out.join(hull_areas(points, key).drop("corners"), key, "left")
+    area = F.col("footprint_area")
+    out = out.withColumns(
+        {
+            "building_height": F.col("z_range"),
+            "point_density": F.when(area > 0, F.col("point_count") / area).otherwise(0.0),
+            "spatial_coverage": F.when(area > 0, F.col("convex_hull_area") / area).otherwise(0.0),
+            "ground_point_count": F.col("class_2_ground"),
+            "noise_point_count": F.col("class_7_noise"),
+        }
+    )
+    if "ring" in clips.columns:
+        inside = points.join(clips.select(key, geo.edges(F.col("ring")).alias("__e")), key).groupBy(key).agg((F.count_if(geo.inside_edges(F.col("__e"), F.col("x"), F.col("y"))) / F.count("*")).alias("coverage_ratio"))
+        out = out.join(inside, key, "left")
+    else:
+        out = out.withColumn("coverage_ratio", F.lit(0.0))
+    return out.na.fill(0)

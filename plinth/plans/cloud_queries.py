@@ -473,3 +473,23 @@ def viewer_tiles(p: DataFrame) -> DataFrame:
     w = Window.partitionBy(KEY).orderBy(F.xxhash64(F.lit(7), "pid"), "pid")
     some = n.withColumn("k", F.row_number().over(w)).where("k <= 100").groupBy(KEY).agg(F.to_json(F.array_sort(F.collect_list(F.struct("k", "x", "y", "z", "intensity", "classification")))).alias("points"))
     return rounded(box.join(classes, KEY).join(some, KEY))
+
+
+@query(
+    "AG-18 PC-16 JN-16",
+    "points",
+    sql="""WITH c AS (SELECT DISTINCT tile_id FROM points UNION ALL SELECT DISTINCT tile_id + 1000000 FROM points), s AS (SELECT tile_id, count(*) AS n, min(z) AS lo, max(z) - min(z) AS rise, count(*) FILTER (WHERE classification = 6) AS b, count(*) FILTER (WHERE number_of_returns = 1) AS r, avg(intensity) AS i FROM points GROUP BY tile_id)
+    SELECT c.tile_id, coalesce(n, 0) AS point_count, round(coalesce(lo, 0), 4) AS z_min, round(coalesce(rise, 0), 4) AS building_height, coalesce(b, 0) AS class_6_building, coalesce(r, 0) AS returns_single, round(coalesce(i, 0), 4) AS intensity_mean, round(coalesce(n / 5000.0, 0), 4) AS point_density FROM c LEFT JOIN s ON c.tile_id = s.tile_id""",
+)
+def lidar_record(p: DataFrame) -> DataFrame:
+    """The whole record of each clip, zeros for clips without points; a few of its fields are compared."""
+    clips = p.select(KEY).distinct()
+    clips = clips.union(clips.select(F.col(KEY) + 1_000_000)).withColumn("footprint_area", F.lit(5000.0))
+    r = pc.full_record(p, clips, KEY)
+    return r.select(KEY, "point_count", *r4("z_min", "building_height"), "class_6_building", "returns_single", *r4("intensity_mean", "point_density"))
+
+
+@query("SF-35", "points", sql="SELECT tile_id, ok, pk, classification, CAST(least(255, round((CASE classification WHEN 2 THEN 139 WHEN 6 THEN 255 ELSE 128 END) * (0.7 + 0.6 * intensity / 255.0))) AS INTEGER) AS red FROM points")
+def point_colours(p: DataFrame) -> DataFrame:
+    base = F.when(F.col("classification") == 2, 139).when(F.col("classification") == 6, 255).otherwise(128)
+    return p.select(KEY, "ok", "pk", "classification", F.least(F.lit(255), F.round(base * (0.7 + 0.6 * F.col("intensity") / 255.0)).cast("int")).alias("red"))

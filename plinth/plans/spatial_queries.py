@@ -124,11 +124,11 @@ def clip_bounds(b: DataFrame) -> DataFrame:
 @query(
     "SF-30 SF-34",
     "points",
-    sql="SELECT ok, pk, classification, round(z - 1.5137, 3) AS rise, round(sqrt((x - 3.0137) * (x - 3.0137) + (y - 4.0219) * (y - 4.0219)), 3) AS flat, round(degrees(atan2(z - 1.5137, sqrt((x - 3.0137) * (x - 3.0137) + (y - 4.0219) * (y - 4.0219)))), 1) AS angle FROM points",
+    sql="SELECT ok, pk, classification, round(z - 1.5137, 3) + 0.0 AS rise, round(sqrt((x - 3.0137) * (x - 3.0137) + (y - 4.0219) * (y - 4.0219)), 3) AS flat, round(degrees(atan2(z - 1.5137, sqrt((x - 3.0137) * (x - 3.0137) + (y - 4.0219) * (y - 4.0219)))), 1) + 0.0 AS angle FROM points",
 )
 def measurements(p: DataFrame) -> DataFrame:
     m = geo.measurement(F.lit(3.0137), F.lit(4.0219), F.lit(1.5137), F.col("x"), F.col("y"), F.col("z"))
-    return p.select("ok", "pk", "classification", m["rise"].alias("rise"), m["flat"].alias("flat"), m["angle"].alias("angle"))
+    return p.select("ok", "pk", "classification", (m["rise"] + 0.0).alias("rise"), m["flat"].alias("flat"), (m["angle"] + 0.0).alias("angle"))
 
 
 @query("SF-25 RS-11", "buildings", sql="""WITH r AS (SELECT id, radians(CAST(id % 360 AS DOUBLE)) AS w, radians(CAST(id % 30 AS DOUBLE)) AS p, radians(CAST(id % 20 AS DOUBLE)) AS r FROM buildings)

@@ -1,4 +1,4 @@
-"""CL-01/02: stages by name, number or alias, run in the order given against one catalogue."""
+"""CL-01/02, ST-04: stages by name, number or alias, run in the order given against one catalogue."""
 
 from __future__ import annotations
 
@@ -63,10 +63,9 @@ def _validate(c: Catalog, region: str | None) -> DataFrame:
 
 def _lidar(c: Catalog, region: str | None) -> DataFrame:
     p = c.scan("clipped_points", region=region)
-    out = pointcloud.basic_stats(p, "id")
-    for more in (pointcloud.height_bands, pointcloud.class_stats, pointcloud.shape_scores, pointcloud.height_peaks):
-        out = out.join(more(p, "id"), "id", "left")
-    return out.na.fill(0)
+    ring = geo.ring_of(F.col("footprint_wkt"))
+    clips = c.scan("buildings", region=region).select("id", ring.alias("ring")).withColumn("footprint_area", geo.area(F.col("ring")))
+    return pointcloud.full_record(p, clips.join(p.select("id").distinct(), "id", "left_semi"), "id").drop("ring")
 
 
 def _qa(c: Catalog, region: str | None) -> DataFrame:
@@ -81,7 +80,7 @@ STAGES = (
     Definition("stage06", ("6", "ground"), ("clipped_points",), _ground, ("id",)),
     Definition("stage07", ("7", "ffh", "floors"), ("features", "ground"), _heights, ("id",)),
     Definition("stage08", ("8", "validate", "validation"), ("heights", "labels"), _validate, ("id", "ffh_method")),
-    Definition("stage09a", ("9a", "lidar-stats"), ("clipped_points",), _lidar, ("id",)),
+    Definition("stage09a", ("9a", "lidar-stats"), ("clipped_points", "buildings"), _lidar, ("id",)),
     Definition("qa", ("qa-run",), ("points",), _qa, ("tile_id",)),
 )
 assert HEIGHTS.least <= HEIGHTS.most

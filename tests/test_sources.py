@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plinth.catalog import Catalog, file_hashes, file_index, valid_files
+from plinth.catalog import Catalog, file_hashes, file_index, limited, stamped, valid_files
 from plinth.operators.models import detect, embed, readable
 from plinth.plans import stages
 from plinth.schemas import STAGE_SCHEMAS
@@ -88,6 +88,9 @@ def test_catalog_and_files(spark, tmp_path):
     assert c.query("SELECT count(*) AS n FROM t", ["t"]).first()["n"] == 3
     c.export(["t"], str(tmp_path / "csv"), "csv")
     assert spark.read.option("header", True).csv(str(tmp_path / "csv/t")).count() == 3
+    assert stamped(df).schema["processed_at"].dataType.simpleString() == "timestamp_ntz"
+    many = spark.range(1000)
+    assert limited(many, "id", 0.1).count() < 200 and limited(many, "id", limit=5).collect() == limited(many.repartition(7), "id", limit=5).collect()
     c.ensure("stage07_floor_heights")
     assert c.exists("stage07_floor_heights")
     c.drop("t")
