@@ -82,6 +82,21 @@ def _away(b: Column) -> Column:
     return F.hypot(F.col("cx") - (b["x0"] + b["x1"]) / 2, F.col("cy") - (b["y0"] + b["y1"]) / 2)
 
 
+def in_extent(boxes: DataFrame, tiles: DataFrame, cell: float) -> DataFrame:
+    """JN-04: boxes (id, region_id, x0..y1) that meet a tile of their region (rid, rx0..ry1): some tile of a union is met iff the union is.
+
+    Regions are few, so the join is on the region and the grid cells that both sides cover, never on the region alone.
+    """
+    from .spatial import cells_over
+
+    spread = lambda df, i, x0, x1: df.withColumn(i, F.explode(cells_over(F.col(x0), F.col(x1), cell)))
+    a = spread(spread(boxes, "__i", "x0", "x1"), "__j", "y0", "y1")
+    b = spread(spread(tiles, "__a", "rx0", "rx1"), "__b", "ry0", "ry1")
+    meet = (F.col("x0") <= F.col("rx1")) & (F.col("rx0") <= F.col("x1")) & (F.col("y0") <= F.col("ry1")) & (F.col("ry0") <= F.col("y1"))
+    on = (F.col("region_id") == F.col("rid")) & (F.col("__i") == F.col("__a")) & (F.col("__j") == F.col("__b")) & meet
+    return a.join(b, on, "left_semi").select("id").distinct()
+
+
 def profile(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """AG-06..08: one row a column: rows, nulls, null share, distinct values, least and greatest as text.  One pass."""
     columns = list(columns or df.columns)

@@ -72,8 +72,9 @@ def building_region_assign(b: DataFrame, r: DataFrame) -> DataFrame:
     sql="""SELECT id FROM buildings b WHERE EXISTS (SELECT 1 FROM tilesets t WHERE t.region_id = b.region_id AND b.cx - b.hw <= t.x1 AND t.x0 <= b.cx + b.hw AND b.cy - b.hh <= t.y1 AND t.y0 <= b.cy + b.hh)""",
 )
 def buildings_in_tile_extent(b: DataFrame, t: DataFrame) -> DataFrame:
-    meet = (F.col("cx") - F.col("hw") <= F.col("x1")) & (F.col("x0") <= F.col("cx") + F.col("hw")) & (F.col("cy") - F.col("hh") <= F.col("y1")) & (F.col("y0") <= F.col("cy") + F.col("hh"))
-    return b.join(t.withColumnRenamed("region_id", "rid"), (F.col("region_id") == F.col("rid")) & meet, "left_semi").select("id")
+    f = b.select("id", "region_id", (F.col("cx") - F.col("hw")).alias("x0"), (F.col("cy") - F.col("hh")).alias("y0"), (F.col("cx") + F.col("hw")).alias("x1"), (F.col("cy") + F.col("hh")).alias("y1"))
+    tiles = t.select(F.col("region_id").alias("rid"), *(F.col(c).alias(f"r{c}") for c in ("x0", "y0", "x1", "y1")))
+    return rel.in_extent(f, tiles, 200.0).select("id")
 
 
 @query(
