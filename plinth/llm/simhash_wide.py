@@ -24,6 +24,8 @@ WORDS, SEEDS = 16, 8
 BITS = 64 * WORDS
 #: A bucket above LIMIT is refined by a second and a third least hash; FIRST seeds of a bucket are searched one by one.
 LIMIT, LEVELS, FIRST = 1 << 13, 3, 24
+#: Buckets up to this size are compared pair by pair, many buckets at once; pairs of one go.
+SMALL, PAIRS = 48, 1 << 13
 _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _SPREAD = np.array([sum((b >> i & 1) << (8 * i) for i in range(8)) for b in range(256)], dtype=np.uint64)
 
@@ -144,13 +146,25 @@ def _bucket_links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa
         edges = np.r_[0, np.flatnonzero(key[1:] != key[:-1]) + 1, *([len(key)] if last else [])].astype(np.int64)
         sizes = np.diff(edges)
         out = [np.zeros((2, 0), dtype=np.int64)]
-        two = edges[:-1][sizes == 2]
-        for a in range(0, len(two), 4096):
-            i = two[a : a + 4096]
-            xors = prints[i] ^ prints[i + 1]
-            ok = _pairs_within(xors, radius)
-            out.append(np.stack([rep[i][ok], rep[i + 1][ok]]))
-        for k in np.flatnonzero(sizes > 2).tolist():
+        small = np.flatnonzero((sizes > 1) & (sizes <= SMALL))
+        left, right = [], []
+        held_pairs = 0
+
+        def compare() -> None:
+            i, j = np.concatenate(left), np.concatenate(right)
+            ok = _pairs_within(prints[i] ^ prints[j], radius)
+            out.append(_forest(i[ok], j[ok], rep))
+
+        for k in small.tolist():
+            a, b = np.triu_indices(int(sizes[k]), 1)
+            left.append(a + edges[k]), right.append(b + edges[k])
+            held_pairs += len(a)
+            if held_pairs >= PAIRS:
+                compare()
+                left, right, held_pairs = [], [], 0
+        if held_pairs:
+            compare()
+        for k in np.flatnonzero(sizes > SMALL).tolist():
             own = slice(edges[k], edges[k + 1])
             label = bucket_groups(prints[own], radius)
             moved = np.flatnonzero(label != np.arange(len(label)))
@@ -171,6 +185,22 @@ def _bucket_links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa
         yield links(*held, last=True)[0]
 
 
+def _forest(i: np.ndarray, j: np.ndarray, rep: np.ndarray) -> np.ndarray:
+    """Of linked places those links alone that join two trees."""
+    top: dict[int, int] = {}
+    kept = []
+    for a, b in zip(i.tolist(), j.tolist(), strict=True):
+        x, y = a, b
+        while x in top:
+            x = top[x]
+        while y in top:
+            y = top[y]
+        if x != y:
+            top[max(x, y)] = min(x, y)
+            kept.append((a, b))
+    return rep[np.array(kept, dtype=np.int64).reshape(-1, 2)].T
+
+
 def _pairs_within(xors: np.ndarray, radius: int) -> np.ndarray:
     planes = _planes(xors)
     counters = _Counters((planes.shape[1],), radius)
