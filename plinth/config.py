@@ -76,9 +76,9 @@ ZONE_PROPERTY = {
     "Residential": ("Environmental Living", "General Residential", "Inner Residential", "Large Lot Residential", "Low Density Residential", "Medium Density Residential", "Village"),
 }
 
-# Detector classes by id, label sources, LAS classes.
+# Detector classes by id, label sources (a parameter where labels come from others), LAS classes.
 CLASSES = ("Front Door", "Foundation", "Garage Door", "Stairs", "Window")
-LABEL_SOURCES = {"frontiersi": "FrontierSI Validation", "nexis": "NEXIS", "council": "Council Validation"}
+LABEL_SOURCES = {"survey": "Survey Validation", "nexis": "NEXIS", "council": "Council Validation"}
 LAS_CLASSES = ("never", "unassigned", "ground", "low_veg", "med_veg", "high_veg", "building", "noise")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
@@ -17,14 +17,14 @@ def is_small(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def source_pivot(labels: DataFrame) -> DataFrame:
-    """PF-07: a value goes to the column of its source; council values are split by method.  Null heights are left out."""
+def source_pivot(labels: DataFrame, sources: Mapping[str, str] = LABEL_SOURCES) -> DataFrame:
+    """PF-07: a value goes to the column of its source (named in sources); council values are split by method.  Null heights are left out."""
     src, h = F.col("dataset"), F.col("floor_height_m")
-    council = src == LABEL_SOURCES["council"]
+    council = src == sources["council"]
     return labels.where(h.isNotNull()).withColumns(
         {
-            "frontiersi_floor_height_m": F.when(src == LABEL_SOURCES["frontiersi"], h),
-            "nexis_floor_height_m": F.when(src == LABEL_SOURCES["nexis"], h),
+            "survey_floor_height_m": F.when(src == sources["survey"], h),
+            "nexis_floor_height_m": F.when(src == sources["nexis"], h),
             "council_surveyed_floor_height_m": F.when(council & (F.col("method") == "Surveyed"), h),
             "council_step_floor_height_m": F.when(council & (F.col("method") == "Step counting"), h),
         }

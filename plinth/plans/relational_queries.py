@@ -28,7 +28,7 @@ def zone_residential_filter(b: DataFrame) -> DataFrame:
 @query(
     "PF-07",
     "labels_long",
-    sql="""SELECT row_id, CASE WHEN dataset = 'FrontierSI Validation' THEN floor_height_m END AS frontiersi_floor_height_m, CASE WHEN dataset = 'NEXIS' THEN floor_height_m END AS nexis_floor_height_m,
+    sql="""SELECT row_id, CASE WHEN dataset = 'Survey Validation' THEN floor_height_m END AS survey_floor_height_m, CASE WHEN dataset = 'NEXIS' THEN floor_height_m END AS nexis_floor_height_m,
     CASE WHEN dataset = 'Council Validation' AND method = 'Surveyed' THEN floor_height_m END AS council_surveyed_floor_height_m,
     CASE WHEN dataset = 'Council Validation' AND method = 'Step counting' THEN floor_height_m END AS council_step_floor_height_m FROM labels_long WHERE floor_height_m IS NOT NULL""",
 )

@@ -41,7 +41,7 @@ VIEWS = {
     "labels_long": (
         "orders",
         "o_orderkey AS row_id, concat('B', CAST(o_custkey AS VARCHAR(20))) AS building_id, CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE concat('G', CAST(o_orderkey % 5 AS VARCHAR(20))) END AS gnaf_id, "
-        "CASE o_orderkey % 3 WHEN 0 THEN 'FrontierSI Validation' WHEN 1 THEN 'NEXIS' ELSE 'Council Validation' END AS dataset, "
+        "CASE o_orderkey % 3 WHEN 0 THEN 'Survey Validation' WHEN 1 THEN 'NEXIS' ELSE 'Council Validation' END AS dataset, "
         "CASE o_orderkey % 4 WHEN 0 THEN 'Surveyed' WHEN 1 THEN 'Step counting' ELSE 'Model' END AS method, "
         "CASE WHEN o_orderkey % 8 = 5 THEN NULL ELSE o_totalprice / 99991.0 END AS floor_height_m",
     ),
