@@ -85,12 +85,15 @@ def boxes_touching(left: DataFrame, right: DataFrame, cell: float, key: Sequence
     return a.join(b, ["__i", "__j"]).where(meet & first).drop("__i", "__j")
 
 
-def points_in_rings(points: DataFrame, rings: DataFrame, cell: float) -> DataFrame:
-    """JN-06: points (x, y) within rings (ring, and its box x0..y1): cell, then box, then crossing number."""
+def points_in_rings(points: DataFrame, rings: DataFrame, cell: float, by: Sequence[str] = ()) -> DataFrame:
+    """JN-06: points (x, y) within rings (ring, and its box x0..y1): cell, then box, then crossing number.
+
+    by: columns that must be equal too, as the tile of a footprint (boxes_touching() finds the tiles of each).
+    """
     cut = rings.withColumn("__e", geo.edges(F.col("ring"))).withColumn("__i", F.explode(cells_over(F.col("x0"), F.col("x1"), cell))).withColumn("__j", F.explode(cells_over(F.col("y0"), F.col("y1"), cell)))
     at = points.withColumns({"__i": cell_of(F.col("x"), cell), "__j": cell_of(F.col("y"), cell)})
     box = F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1"))
-    return at.join(cut, ["__i", "__j"]).where(box).where(geo.inside_edges(F.col("__e"), F.col("x"), F.col("y"))).drop("__i", "__j", "__e")
+    return at.join(cut, [*by, "__i", "__j"]).where(box).where(geo.inside_edges(F.col("__e"), F.col("x"), F.col("y"))).drop("__i", "__j", "__e")
 
 
 def edges_of(buildings: DataFrame) -> DataFrame:

@@ -87,10 +87,10 @@ def tiles_per_building(b: DataFrame, t: DataFrame) -> DataFrame:
     return ops.boxes_touching(f, tiles, 200.0, ["id"]).groupBy("id").agg(F.count("*").alias("tiles"), F.array_join(F.array_sort(F.collect_list("file_name")), ",").alias("names"))
 
 
-@query("JN-06 GE-19 PC-01", "points", "clip_boxes", sql="SELECT box_id, count(*) AS n, round(avg(z), 9) AS mean_z, round(sum(x), 2) AS sum_x FROM points p JOIN clip_boxes c ON p.x >= c.x0 AND p.x < c.x1 AND p.y >= c.y0 AND p.y < c.y1 GROUP BY box_id")
+@query("JN-06 GE-19 PC-01", "points", "clip_boxes", sql="SELECT box_id, count(*) AS n, round(avg(z), 9) AS mean_z, round(sum(x), 2) AS sum_x FROM points p JOIN clip_boxes c ON p.tile_id = c.tile_id AND p.x >= c.x0 AND p.x < c.x1 AND p.y >= c.y0 AND p.y < c.y1 GROUP BY box_id")
 def clip_points_to_buildings(p: DataFrame, c: DataFrame) -> DataFrame:
     rings = c.withColumn("ring", geo.box_ring(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1")))
-    return ops.points_in_rings(p.select("x", "y", "z"), rings, 8.0).groupBy("box_id").agg(F.count("*").alias("n"), F.round(F.avg("z"), 9).alias("mean_z"), F.round(F.sum("x"), 2).alias("sum_x"))
+    return ops.points_in_rings(p.select("tile_id", "x", "y", "z"), rings, 8.0, ["tile_id"]).groupBy("box_id").agg(F.count("*").alias("n"), F.round(F.avg("z"), 9).alias("mean_z"), F.round(F.sum("x"), 2).alias("sum_x"))
 
 
 _LATLON = "-41.4 + cy / 100000.0 AS lat, 147.1 + cx / 100000.0 AS lon, -41.4 + cx / 90000.0 AS lat2, 147.1 + cy / 110000.0 AS lon2, CAST(id % 360 AS DOUBLE) + 0.3 AS yaw"

@@ -35,7 +35,7 @@ VIEWS = {
     ),
     "clip_boxes": (
         "part",
-        "p_partkey AS box_id, CAST(p_size AS DOUBLE) * 2.0 - (3.0 + p_partkey % 4) AS x0, CAST(p_partkey % 50 AS DOUBLE) - (2.0 + p_partkey % 3) AS y0, "
+        "p_partkey AS box_id, CAST(floor(p_partkey / 20) AS BIGINT) AS tile_id, CAST(p_size AS DOUBLE) * 2.0 - (3.0 + p_partkey % 4) AS x0, CAST(p_partkey % 50 AS DOUBLE) - (2.0 + p_partkey % 3) AS y0, "
         "CAST(p_size AS DOUBLE) * 2.0 + 3.0 + p_partkey % 4 AS x1, CAST(p_partkey % 50 AS DOUBLE) + 2.0 + p_partkey % 3 AS y1, p_partkey AS pk",
     ),
     "labels_long": (
