@@ -4,6 +4,9 @@ A radius for similarity 0.8 is too large for tables over all choices of segments
 of SEEDS independent orders of their shingles, two documents of similarity s have a common first shingle in one at
 least with probability 1 - (1 - s)^SEEDS, 0.9999974 at 0.8.  Where documents meet, distances are counted over
 vertical bit planes as in simhash.py.
+
+Fingerprints only find candidates: their radius is loose, and within each component of loose links the sets of
+shingles are compared themselves, so links are exactly those of Jaccard similarity and no loose tree hides one.
 """
 
 from __future__ import annotations
@@ -26,12 +29,20 @@ BITS = 64 * WORDS
 LIMIT, LEVELS, FIRST = 1 << 13, 3, 24
 #: Buckets up to this size are compared pair by pair, many buckets at once; pairs of one go.
 SMALL, PAIRS = 48, 1 << 13
+#: Loose components above this many shingles are dealt in blocks, each block with each.
+BLOCK = 1 << 20
+#: Rows with texts or sets that a worker holds as Python objects at once.
+FEW = 256
 _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _SPREAD = np.array([sum((b >> i & 1) << (8 * i) for i in range(8)) for b in range(256)], dtype=np.uint64)
 
 
-def radius_for(similarity: float, slack: float = 0.05) -> int:
-    """Expected distance at a Jaccard similarity slack below the one asked for, so that few links are missed."""
+def radius_for(similarity: float, slack: float = 0.25) -> int:
+    """Expected distance at a Jaccard similarity slack below the one asked for.
+
+    At 0.8 this is 255 bits: 8 deviations above the mean of long texts, and 5 above that of sets of 4 and 5, whose
+    bits differ most often (3 in 16).
+    """
     s = similarity - slack
     return round(BITS * math.acos(2 * s / (1 + s)) / math.pi)
 
@@ -44,19 +55,25 @@ def _hash(h: np.ndarray, k: int) -> np.ndarray:
     return x
 
 
-def wide_fingerprints(texts: list[str | None], shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """(n, WORDS) fingerprints over the distinct shingles of each text and (n, SEEDS) least hashes; zeros without words."""
-    hashes: list[np.ndarray] = []
-    counts = np.zeros(len(texts), dtype=np.int64)
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """The distinct shingles of a text as sorted 64-bit hashes; none without words."""
+    words = text.encode("utf-8", "surrogatepass").lower().split() if text else ()
+    if not words:
+        return np.zeros(0, dtype=np.uint64)
     h = xxhash.xxh64_intdigest
-    for k, t in enumerate(texts):
-        words = t.encode("utf-8", "surrogatepass").lower().split() if t else ()
-        if not words:
-            continue
-        own = {h(b" ".join(words[i : i + shingle]), SEED) for i in range(max(1, len(words) - shingle + 1))}
-        hashes.append(np.fromiter(own, dtype=np.uint64, count=len(own)))
-        counts[k] = len(own)
-    prints, least = np.zeros((len(texts), WORDS), dtype=np.uint64), np.zeros((len(texts), SEEDS), dtype=np.uint64)
+    own = {h(b" ".join(words[i : i + shingle]), SEED) for i in range(max(1, len(words) - shingle + 1))}
+    return np.sort(np.fromiter(own, dtype=np.uint64, count=len(own)))
+
+
+def _whole(own: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(own.tobytes())
+
+
+def wide_fingerprints(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(n, WORDS) fingerprints over the shingles of each set and (n, SEEDS) least hashes; zeros for empty sets."""
+    hashes = [s for s in sets if len(s)]
+    counts = np.array([len(s) for s in sets], dtype=np.int64)
+    prints, least = np.zeros((len(sets), WORDS), dtype=np.uint64), np.zeros((len(sets), SEEDS), dtype=np.uint64)
     full = np.flatnonzero(counts)
     if not len(full):
         return prints, least
@@ -211,10 +228,68 @@ def _pairs_within(xors: np.ndarray, radius: int) -> np.ndarray:
     return np.unpackbits((~counters.over()).view(np.uint8), bitorder="little")[: len(xors)].astype(bool)
 
 
+def exact_groups(sets: list[np.ndarray], similarity: float) -> np.ndarray:
+    """For each set of distinct hashes, none empty, the first member of its component at that Jaccard similarity.
+
+    Each member is asked once for what is still outside of its component, among sets of a fitting size.
+    """
+    order = np.argsort([len(s) for s in sets], kind="stable")
+    n = np.array([len(sets[i]) for i in order], dtype=np.int64)
+    codes = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)[1].ravel()
+    starts = np.r_[0, np.cumsum(n)]
+    label, outside, present = np.arange(len(sets)), np.ones(len(sets), dtype=bool), np.zeros(int(codes.max()) + 1, dtype=bool)
+    live, held, edges = np.arange(len(sets)), codes, starts  # the sets to ask, smallest first
+    for seed in range(len(sets)):
+        if not outside[seed]:
+            continue
+        outside[seed] = False
+        group, at = [seed], 0
+        while at < len(group):
+            one = group[at]
+            at += 1
+            a, b = np.searchsorted(n[live], [math.floor(similarity * n[one]), math.ceil(n[one] / similarity) + 1])
+            if a == b:
+                continue
+            own = codes[starts[one] : starts[one + 1]]
+            present[own] = True
+            common = np.add.reduceat(present[held[edges[a] : edges[b]]], edges[a:b] - edges[a], dtype=np.int64)
+            present[own] = False
+            found = live[a:b][(common / (n[live[a:b]] + n[one] - common) >= similarity) & outside[live[a:b]]]
+            outside[found] = False
+            group += found.tolist()
+            left = outside[live]
+            if 2 * int(left.sum()) < len(live):
+                held = held[np.repeat(left, n[live])]
+                live = live[left]
+                edges = np.r_[0, np.cumsum(n[live])]
+        label[order[group]] = order[group].min()
+    return label
+
+
+def _exact_links(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """a, b of rows (key, rep, shingles) that come sorted by key: a tree of exact links for each key."""
+
+    def links(reps: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+        label, rep = exact_groups(sets, similarity), np.array(reps, dtype=np.int64)
+        moved = np.flatnonzero(label != np.arange(len(label)))
+        return pa.RecordBatch.from_arrays([pa.array(rep[moved]), pa.array(rep[label[moved]])], names=["a", "b"])
+
+    key, reps, sets = None, [], []
+    for batch in (b.slice(a, FEW) for b in batches for a in range(0, b.num_rows, FEW)):
+        for k, rep, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if k != key:
+                if len(reps) > 1:
+                    yield links(reps, sets)
+                key, reps, sets = k, [], []
+            reps.append(rep), sets.append(np.frombuffer(raw, dtype=np.uint64))
+    if len(reps) > 1:
+        yield links(reps, sets)
+
+
 def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """id, component_id for each row with an id: the smallest id of the documents linked by near equal fingerprints.
+    """id, component_id for each row with an id: the smallest id of the documents linked by Jaccard similarity of their shingles.
 
-    A-Z is lowered, words are split at ASCII white space; texts without words are alike.  Equal fingerprints are
+    A-Z is lowered, words are split at ASCII white space; texts without words are alike.  Equal sets of shingles are
     compared once.  Rows without an id are left out; an empty table gives an empty result.
     """
     src = df.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("t"))
@@ -224,14 +299,16 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             sizes = np.cumsum([len(t or "") for t in batch.column(1).to_pylist()]) // SLICE_BYTES
             edges = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), batch.num_rows] if batch.num_rows else []
             for a, b in zip(edges[:-1], edges[1:], strict=True):
-                prints, least = wide_fingerprints(batch.column(1).slice(a, b - a).to_pylist(), shingle)
+                sets = [shingle_set(t, shingle) for t in batch.column(1).slice(a, b - a).to_pylist()]
+                prints, least = wide_fingerprints(sets)
                 flat = least.view(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, flat.size + 1, SEEDS, dtype=np.int32)), pa.array(flat.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([p.tobytes() for p in prints], pa.binary()), lists], names=["id", "print", "least"])
+                own = [pa.array([_whole(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int32())]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *own, pa.array([p.tobytes() for p in prints], pa.binary()), lists], names=["id", "whole", "size", "print", "least"])
 
-    docs = durable(src.mapInArrow(sketch, "id bigint, print binary, least array<bigint>"), "sketches")
-    # documents with one fingerprint and the same least hashes stand for each other
-    reps = durable(docs.groupBy("print", "least").agg(F.min("id").alias("rep")), "reps")
+    docs = durable(src.mapInArrow(sketch, "id bigint, whole binary, size int, print binary, least array<bigint>"), "sketches")
+    # documents with one set of shingles, by its 128-bit hash, stand for each other
+    reps = durable(docs.groupBy("whole", "size", "print", "least").agg(F.min("id").alias("rep")), "reps")
     rows = reps.select("rep", "print", "least", F.posexplode("least").alias("k", "m")).select("rep", "print", "least", F.xxhash64("k", "m").alias("key"))
     for _ in range(LEVELS - 1):
         hot = durable(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > LIMIT).select("key"), "hot")
@@ -242,9 +319,26 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     radius = radius_for(similarity)
     dealt = rows.select("key", "rep", "print").repartition("key").sortWithinPartitions("key")
     links = dealt.mapInArrow(lambda batches: _bucket_links(batches, radius), "a bigint, b bigint")
-    roots = durable(components(links), "roots")
-    told = durable(reps.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("print", "least", F.coalesce("root", "rep").alias("component_id")), "components")
-    return docs.join(told, ["print", "least"]).select(F.col("id").alias(id_col), "component_id")
+    loose = durable(components(links).withColumnRenamed("node", "rep"), "loose")
+    members = durable(reps.select("rep", "whole", "size").join(loose, "rep"), "members")
+    blocks = members.groupBy("root").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("blocks"))
+    asked = members.join(blocks, "root").select(F.col("rep").alias("id"), "whole", "root", "blocks")
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(a, FEW) for b in batches for a in range(0, b.num_rows, FEW)):
+            sets = [shingle_set(t, shingle) for t in batch.column(4).to_pylist()]
+            own = pa.array([_whole(s) == w for s, w in zip(sets, batch.column(3).to_pylist(), strict=True)], pa.bool_())  # an id may repeat with another text
+            told = [*batch.columns[:3], pa.array([s.tobytes() for s in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(told, names=["rep", "root", "blocks", "shingles"]).filter(own)
+
+    sets = src.join(asked, "id").select("id", "root", "blocks", "whole", "t").mapInArrow(shingles, "rep bigint, root bigint, blocks int, shingles binary")
+    mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    pairs = sets.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    keyed = pairs.select(F.xxhash64("root", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"), "rep", "shingles")
+    exact = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(lambda batches: _exact_links(batches, similarity), "a bigint, b bigint")
+    roots = durable(components(exact), "roots")
+    told = durable(reps.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("whole", F.coalesce("root", "rep").alias("component_id")), "components")
+    return docs.join(told, "whole").select(F.col("id").alias(id_col), "component_id")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:

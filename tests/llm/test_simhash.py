@@ -8,6 +8,7 @@ from hypothesis import given, settings, strategies as st
 
 from plinth.llm.components import components
 from plinth.llm.simhash import bucket_links, fingerprints, near_groups, tables, within
+from plinth.llm import simhash_wide
 from plinth.llm.simhash_wide import bucket_groups, keep_one, radius_for, similar_groups
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -116,3 +117,40 @@ def test_similar_documents_keep_one(spark, awkward, nothing):
     told = {r["doc_id"]: r["component_id"] for r in similar_groups(awkward).collect()}
     assert told[4] == 4 and told[2] == told[3] == told[1] == 1 and told[7] == 7
     assert keep_one(awkward).columns == awkward.columns and keep_one(nothing).count() == 0
+
+
+def near_pairs(spark):
+    """Texts of 100 shingles in pairs of Jaccard 0.770 (not alike), 0.802 (alike), 0.786 (not), short ones of exactly 0.8."""
+    rows, want, n = [], set(), 0
+    for k in range(160):
+        size = 100 if k % 4 < 3 else 4
+        own = [f"a{k}x{i}" for i in range(size + 4)]
+        cut = (13, 11, 12, 0)[k % 4]  # changed words at the end change as many shingles
+        other = own[: len(own) - cut] + [f"b{k}x{i}" for i in range(cut)] if cut else [*own, "one"]
+        rows += [(n, " ".join(own)), (n + 1, " ".join(other))]
+        want |= {n} if k % 4 in (1, 3) else {n, n + 1}
+        n += 2
+    return spark.createDataFrame(rows, "doc_id long, text string"), want
+
+
+def test_links_are_exact(spark, monkeypatch):
+    df, want = near_pairs(spark)
+    assert {r["doc_id"] for r in keep_one(df).collect()} == want
+    # one loose component with an exact link inside: the loose tree must neither link nor hide; also block by block
+    words = [f"w{i}" for i in range(104)]
+    steps = [" ".join(f"v{i}" if i < 14 * k else w for i, w in enumerate(words)) for k in range(6)]
+    chain = spark.createDataFrame([*enumerate(steps), (6, steps[0] + " tail"), (7, steps[5] + " tail")], "doc_id long, text string")
+    for block in (simhash_wide.BLOCK, 300):
+        monkeypatch.setattr(simhash_wide, "BLOCK", block)
+        told = {r["doc_id"]: r["component_id"] for r in similar_groups(chain).collect()}
+        assert told == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 0, 7: 5}
+
+
+def test_exact_groups_against_brute_force():
+    rng = np.random.default_rng(6)
+    base = [rng.choice(60, 30, replace=False) for _ in range(5)]
+    sets = [np.unique(np.r_[rng.choice(base[i % 5], 25, replace=False), rng.integers(0, 60, i % 4)]).astype(np.uint64) for i in range(150)]
+    plain = [set(s.tolist()) for s in sets]
+    want = roots(len(sets), lambda i, j: len(plain[i] & plain[j]) >= 0.8 * len(plain[i] | plain[j]))
+    assert simhash_wide.exact_groups(sets, 0.8).tolist() == want
+    assert 5 < len(set(want)) < 150
