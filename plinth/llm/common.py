@@ -49,10 +49,12 @@ def durable(df: DataFrame, name: str = "t") -> DataFrame:
 _WRITTEN: list[str] = []
 
 
-def release(spark: SparkSession) -> None:
-    """Deletes what durable() wrote; to be called when results that read it are stored."""
-    while _WRITTEN:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+def release(spark: SparkSession, since: int = 0, but: tuple[str, ...] = ()) -> None:
+    """Deletes what durable() wrote after its first since tables; to be called when results that read it are stored."""
+    gone = [p for p in _WRITTEN[since:] if p not in but]
+    _WRITTEN[since:] = [p for p in _WRITTEN[since:] if p in but]
+    for at in gone:
+        path = spark._jvm.org.apache.hadoop.fs.Path(at)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

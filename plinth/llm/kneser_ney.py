@@ -15,9 +15,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import durable, free_shuffles
+from .common import _WRITTEN, durable, free_shuffles, release
 
-ORDER, BOS = 4, "\x02"
+ORDER, BOS = 5, "\x02"
 #: Characters counted at once, characters of a pack, and the largest table of a lookup.
 SLICE, PACK, LARGEST = 1 << 19, 16 << 20, 1 << 23
 STRATA = ("en", "de", "fr", "es")
@@ -190,12 +190,18 @@ def perplexities(df: DataFrame, trusted: DataFrame, strata: Sequence[str] = STRA
     """
     spark = df.sparkSession
     id_type = df.schema["id"].dataType.simpleString()
+    before = len(_WRITTEN)
     model = train(gram_counts(trusted, strata))
     free_shuffles(spark)
     asked = durable(gram_counts(df, strata).select("pack", "stratum", "gram"), "asked")
-    known = gram_probabilities(asked.select("stratum", "gram").distinct(), model)
+    asked_at = _WRITTEN[-1]
+    known = gram_probabilities(durable(asked.select("stratum", "gram").distinct(), "distinct"), model)
+    # the model is not read again: what is left are the packs' n-grams and the probabilities
+    release(spark, before, (asked_at, _WRITTEN[-1]))
+    free_shuffles(spark)
     answers = asked.join(known, ["stratum", "gram"]).select("pack", "stratum", "gram", F.col("logp").cast("float").alias("logp"))
     answers = durable(answers, "answers")
+    release(spark, before, (_WRITTEN[-1],))
     free_shuffles(spark)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

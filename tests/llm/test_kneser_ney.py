@@ -72,3 +72,11 @@ def test_held_out_accuracy(spark, corpus):
 def test_empty(spark, nothing):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     assert kn.classify(nothing, labels).count() == 0
+
+
+def test_fifth_character_counts(spark):
+    """What follows bcd hangs on the character before it, which a model of order 4 does not see."""
+    trusted = spark.createDataFrame([(i, "en", "abcdx " * 20 + "zbcdy " * 20) for i in range(20)], "id long, s string, t string")
+    df = spark.createDataFrame([(1, "en", "abcdx " * 20), (2, "en", "abcdy " * 20)], "id long, s string, t string")
+    got = {r["id"]: r["perplexity"] for r in kn.perplexities(df, trusted).collect()}
+    assert got[2] > 1.5 * got[1]
