@@ -80,3 +80,14 @@ def test_fifth_character_counts(spark):
     df = spark.createDataFrame([(1, "en", "abcdx " * 20), (2, "en", "abcdy " * 20)], "id long, s string, t string")
     got = {r["id"]: r["perplexity"] for r in kn.perplexities(df, trusted).collect()}
     assert got[2] > 1.5 * got[1]
+
+
+def test_one_odd_trusted_document_does_not_set_the_threshold(spark):
+    rows = [(i, "en", f"the cat sat on the mat number {i % 50} and then it slept well") for i in range(400)]
+    ids = spark.createDataFrame([(i,) for i in range(1000, 1100)], "id long")
+    odd = ids.where(f"pmod(xxhash64(3, id), {kn.HOLDOUT}) = 0").first()["id"]
+    rows += [(odd, "en", "#### zzqx %%%% ///"), (2000, "en", "zzqx sat %%%% on the ////")]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    out = {r["doc_id"]: r for r in kn.classify(df, df.where("doc_id < 2000").selectExpr("doc_id", "1 AS quality")).collect()}
+    assert not out[2000]["kept"] and not out[odd]["kept"]
+    assert sum(out[i]["kept"] for i in range(400)) >= 0.9 * 400
