@@ -14,7 +14,7 @@ from .schemas import STAGE_SCHEMAS
 
 
 class Catalog:
-    """Tables under one root: root/name.  Stage tables are partitioned by region, so a region prunes files."""
+    """Tables under one root: root/name.  Tables with a region_name are partitioned by it, so a region prunes files."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -28,16 +28,22 @@ class Catalog:
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
 
     def table(self, name: str) -> DataFrame:
-        if not self.exists(name) and name in STAGE_SCHEMAS:
+        if name not in STAGE_SCHEMAS:
+            return self.spark.read.parquet(self.path(name))
+        if not self.exists(name):
             return self.spark.createDataFrame([], STAGE_SCHEMAS[name])
-        return self.spark.read.parquet(self.path(name))
+        return self.spark.read.schema(STAGE_SCHEMAS[name]).parquet(self.path(name))
 
     def scan(self, name: str, columns: Iterable[str] | None = None, region: str | None = None, filters: Mapping[str, object] | None = None) -> DataFrame:
         """SC-03: optional region, equality filters (None: IS NULL), projection.  All reach the Parquet scan."""
         return scan(self.table(name), columns, region, filters, region_col="name" if name == "regions" else "region_name")
 
+    def _write(self, df: DataFrame, name: str, mode: str) -> None:
+        writer = df.write.mode(mode)
+        (writer.partitionBy("region_name") if "region_name" in df.columns else writer).parquet(self.path(name))
+
     def overwrite(self, df: DataFrame, name: str) -> None:
-        df.write.mode("overwrite").parquet(self.path(name))
+        self._write(df, name, "overwrite")
 
     def append(self, df: DataFrame, name: str, key: Iterable[str] = ("id",)) -> int:
         """One append a stage; rows whose key is there already are left out, so a rerun adds no second row."""
@@ -46,7 +52,7 @@ class Catalog:
         try:
             count = new.count()
             if count:
-                new.write.mode("append").parquet(self.path(name))
+                self._write(new, name, "append")
             return count
         finally:
             new.unpersist()
@@ -54,7 +60,7 @@ class Catalog:
     def ensure(self, name: str) -> None:
         """SK-03: the empty table, if it is not there."""
         if not self.exists(name):
-            self.spark.createDataFrame([], STAGE_SCHEMAS[name]).write.mode("ignore").parquet(self.path(name))
+            self._write(self.spark.createDataFrame([], STAGE_SCHEMAS[name]), name, "ignore")
 
     def drop(self, name: str) -> None:
         jvm = self.spark._jvm
@@ -108,9 +114,9 @@ def labelled(tables: Mapping[str, DataFrame], **columns: Mapping[str, object]) -
     return out
 
 
-def lookup(column: Column, groups: Mapping[str, Iterable[str]]) -> Column:
-    """PF-17: the name of the group that lists a code; null for others."""
-    entries = [F.lit(x) for name, codes in groups.items() for code in codes for x in (code, name)]
+def lookup(column: Column, names: Mapping[str, str | None]) -> Column:
+    """PF-17: the name of a code; null for others."""
+    entries = [F.lit(x) for pair in names.items() for x in pair]
     return F.try_element_at(F.create_map(*entries), column)
 
 

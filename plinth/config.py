@@ -25,55 +25,112 @@ REGIONS = (
 
 # Zones in which buildings are kept.
 RESIDENTIAL_ZONES = (
-    "Environmental Living",
     "General Residential",
     "Inner Residential",
     "Large Lot Residential",
     "Low Density Residential",
     "Medium Density Residential",
-    "Mixed Use",
+    "Environmental Living",
+    "Village",
     "Rural Activity Zone",
     "Rural Landscape",
+    "Mixed Use",
     "Urban Mixed Use",
-    "Village",
 )
 
-# Property types and the codes that mean them.
-PROPERTY_CODES = {
-    "Commercial": ("C", "Com", "Commercial"),
-    "Education": ("E", "Edu", "Education"),
-    "Emergency": ("EM", "Emer", "Emergency"),
-    "Industrial": ("I", "Ind", "Industrial"),
-    "Medical": ("M", "Med", "Medical"),
-    "Other": ("Other",),
-    "Residential": ("R", "Res", "Residential"),
-    "Worship": ("W", "Wor", "Worship"),
+# Property type codes.
+PROPERTY_TYPES = {
+    "C": "Commercial",
+    "Com": "Commercial",
+    "Commercial": "Commercial",
+    "I": "Industrial",
+    "Ind": "Industrial",
+    "Industrial": "Industrial",
+    "R": "Residential",
+    "Res": "Residential",
+    "Residential": "Residential",
+    "E": "Education",
+    "Edu": "Education",
+    "Education": "Education",
+    "EM": "Emergency",
+    "Emer": "Emergency",
+    "Emergency": "Emergency",
+    "M": "Medical",
+    "Med": "Medical",
+    "Medical": "Medical",
+    "W": "Worship",
+    "Wor": "Worship",
+    "Worship": "Worship",
+    "Other": "Other",
 }
 
-# Wall materials and the codes that mean them; NO, None and YES mean none.
-WALL_CODES = {
-    "Brick": ("BK", "BK - Brick", "BKBD - Brick Board", "BKR - Brick Rendered", "BKV - Brick Veneer", "BKVR - Brick Veneer Rendered", "BRICK", "Block", "Brick", "MBK - Masonry Brick", "MBKR - Masonry Brick Rendered", "MBKV - Masonry Brick Veneer"),
-    "Cement Sheet": ("CSHT - Cement Sheet", "CSTR - Cement Sheet Rendered"),
-    "Cladding": ("CLADDING",),
-    "Colorbond": ("CB - Colorbond",),
-    "Concrete": ("C - Concrete", "CBKV - Concrete Brick Veneer", "CBL - Concrete Block", "CBLR - Concrete Block Rendered", "CONCRETE", "CONR - Concrete Rendered", "CTP - Concrete Tilt Panel", "PCP - Precast Concrete Panel", "Precast Concrete"),
-    "Fibre Cement": ("FC", "FIBRO", "Fibro"),
-    "Galvanised Iron": ("GI - Galvanised Iron",),
-    "Glass": ("Glass",),
-    "Metal": ("METC - Metal Cladding", "Metal"),
-    "Other": ("OT", "OTHER", "Other"),
-    "Rendered": ("RENDER",),
-    "Stone": ("STON - Stone", "Stone"),
-    "Timber": ("TIMB - Timber", "TIMBER", "Timber"),
-    "Weatherboard": ("IW - Imitation Weatherboard", "VB - Vertical Board", "WB", "WB - Weatherboard"),
+# Wall material codes.
+WALL_MATERIALS = {
+    "BK": "Brick",
+    "BK - Brick": "Brick",
+    "BKBD - Brick Board": "Brick",
+    "BKR - Brick Rendered": "Brick",
+    "BKV - Brick Veneer": "Brick",
+    "BKVR - Brick Veneer Rendered": "Brick",
+    "BRICK": "Brick",
+    "Block": "Brick",
+    "Brick": "Brick",
+    "MBK - Masonry Brick": "Brick",
+    "MBKR - Masonry Brick Rendered": "Brick",
+    "MBKV - Masonry Brick Veneer": "Brick",
+    "C - Concrete": "Concrete",
+    "CB - Colorbond": "Colorbond",
+    "CBKV - Concrete Brick Veneer": "Concrete",
+    "CBL - Concrete Block": "Concrete",
+    "CBLR - Concrete Block Rendered": "Concrete",
+    "CLADDING": "Cladding",
+    "CONCRETE": "Concrete",
+    "CONR - Concrete Rendered": "Concrete",
+    "CSHT - Cement Sheet": "Cement Sheet",
+    "CSTR - Cement Sheet Rendered": "Cement Sheet",
+    "CTP - Concrete Tilt Panel": "Concrete",
+    "FC": "Fibre Cement",
+    "FIBRO": "Fibre Cement",
+    "Fibro": "Fibre Cement",
+    "GI - Galvanised Iron": "Galvanised Iron",
+    "Glass": "Glass",
+    "IW - Imitation Weatherboard": "Weatherboard",
+    "METC - Metal Cladding": "Metal",
+    "Metal": "Metal",
+    "OT": "Other",
+    "OTHER": "Other",
+    "Other": "Other",
+    "PCP - Precast Concrete Panel": "Concrete",
+    "Precast Concrete": "Concrete",
+    "RENDER": "Rendered",
+    "STON - Stone": "Stone",
+    "Stone": "Stone",
+    "TIMB - Timber": "Timber",
+    "TIMBER": "Timber",
+    "Timber": "Timber",
+    "VB - Vertical Board": "Weatherboard",
+    "WB": "Weatherboard",
+    "WB - Weatherboard": "Weatherboard",
+    "NO": None,
+    "None": None,
+    "YES": None,
 }
 
-# The property type of a zone; other zones have none.
-ZONE_PROPERTY = {
-    "Commercial": ("Commercial",),
-    "Industrial": ("Industrial",),
-    "Mixed Use": ("Mixed Use", "Urban Mixed Use"),
-    "Residential": ("Environmental Living", "General Residential", "Inner Residential", "Large Lot Residential", "Low Density Residential", "Medium Density Residential", "Village"),
+# Property types of zones.
+ZONE_PROPERTY_TYPES = {
+    "General Residential": "Residential",
+    "Inner Residential": "Residential",
+    "Low Density Residential": "Residential",
+    "Medium Density Residential": "Residential",
+    "Environmental Living": "Residential",
+    "Large Lot Residential": "Residential",
+    "Village": "Residential",
+    "Commercial": "Commercial",
+    "Industrial": "Industrial",
+    "Mixed Use": "Mixed Use",
+    "Urban Mixed Use": "Mixed Use",
+    "Rural Activity Zone": None,
+    "Rural Landscape": None,
 }
 
 # Detector classes by id, label sources (a parameter where labels come from others), LAS classes.
@@ -82,6 +139,12 @@ LABEL_SOURCES = {"survey": "Survey Validation", "nexis": "NEXIS", "council": "Co
 LAS_CLASSES = ("never", "unassigned", "ground", "low_veg", "med_veg", "high_veg", "building", "noise")
 
 
+@dataclass(frozen=True)
+class Clip:
+    tolerance: float = 0.1
+    buffer_m: float = 5.0
+
+
 @dataclass(frozen=True)
 class Views:
     search_m: float = 40.0
@@ -128,4 +191,4 @@ class Heights:
     most: float = 2.0
 
 
-VIEWS, SCORING, RASTER, HEIGHTS = Views(), Scoring(), Raster(), Heights()
+CLIP, VIEWS, SCORING, RASTER, HEIGHTS = Clip(), Views(), Scoring(), Raster(), Heights()

@@ -100,6 +100,51 @@ def inside_edges(edges_: Column, x: Column, y: Column) -> Column:
     return F.aggregate(edges_, F.lit(0), lambda n, e: n + crosses(e)) % 2 == 1
 
 
+def within_mitre(ring: Column, x: Column, y: Column, distance: float, limit: float = 5.0) -> Column:
+    """GE-07: whether a point lies in the ring's buffer with mitred corners, for any simple counter-clockwise ring.
+
+    The buffer is the union of the ring, of a rectangle on the outer side of each edge and of a kite at each corner
+    that turns left; a kite whose tip would be further than limit distances off is cut there, square to its axis.
+    """
+    sides = F.zip_with(edges(ring), F.concat(F.slice(ring, 3, F.size(ring)), F.slice(ring, 1, 2)), lambda e, c: F.struct(e["a"].alias("a"), e["b"].alias("b"), c.alias("c")))
+
+    def unit(p: Column, q: Column) -> tuple[Column, Column, Column]:
+        length = F.hypot(q["x"] - p["x"], q["y"] - p["y"])
+        return F.try_divide(q["x"] - p["x"], length), F.try_divide(q["y"] - p["y"], length), length
+
+    def near(s: Column) -> Column:
+        ux, uy, length = unit(s["a"], s["b"])
+        vx, vy, _ = unit(s["b"], s["c"])
+        along, off = (x - s["a"]["x"]) * ux + (y - s["a"]["y"]) * uy, (x - s["a"]["x"]) * uy - (y - s["a"]["y"]) * ux
+        beside = (along >= 0) & (along <= length) & (off >= 0) & (off <= distance)
+        # at the corner b: outer distances to both lines, past the end of one and before the start of the next
+        dx, dy = x - s["b"]["x"], y - s["b"]["y"]
+        o1, o2, t1, t2 = dx * uy - dy * ux, dx * vy - dy * vx, dx * ux + dy * uy, dx * vx + dy * vy
+        cosine = ux * vx + uy * vy
+        half = F.sqrt(F.greatest((1 + cosine) / 2, F.lit(0.0)))  # of half the turn: the tip lies distance / half off
+        axis = F.try_divide(o1 + o2, 2 * half)
+        corner = (ux * vy - uy * vx > 0) & (t1 >= 0) & (t2 <= 0) & (o1 <= distance) & (o2 <= distance) & (axis <= limit * distance)
+        return F.coalesce(beside | corner, F.lit(False))
+
+    return contains(ring, x, y) | F.exists(sides, near)
+
+
+def mitre_reach(ring: Column, distance: float, limit: float = 5.0) -> Column:
+    """How far the tips of within_mitre() lie from their corners at most."""
+    turns = F.zip_with(edges(ring), F.concat(F.slice(ring, 3, F.size(ring)), F.slice(ring, 1, 2)), lambda e, c: _tip(e["a"], e["b"], c))
+    return distance * F.least(F.greatest(F.coalesce(F.array_max(turns), F.lit(limit)), F.lit(1.0)), F.lit(limit))
+
+
+def _tip(a: Column, b: Column, c: Column) -> Column:
+    ux, uy, vx, vy = b["x"] - a["x"], b["y"] - a["y"], c["x"] - b["x"], c["y"] - b["y"]
+    cosine = F.try_divide(ux * vx + uy * vy, F.hypot(ux, uy) * F.hypot(vx, vy))
+    return F.try_divide(F.lit(1.0), F.sqrt(F.greatest((1 + cosine) / 2, F.lit(0.0))))
+
+
+def counter_clockwise(ring: Column) -> Column:
+    return F.when(signed_area(ring) < 0, F.reverse(ring)).otherwise(ring)
+
+
 def box_ring(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     """GE-01: counter-clockwise corners."""
     p = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))

@@ -1,7 +1,7 @@
 """Iterative kernels on one raster, footprint or clip at a time: NumPy within applyInPandas.
 
-Their groups are bounded by what one instrument delivers (a clip around one building, one raster), not by the
-size of the collection.
+Their groups are bounded by one footprint or one raster, a row a cell, not by the points or the collection; the
+cloth checks the size of its raster.
 """
 
 from __future__ import annotations
@@ -118,61 +118,65 @@ def simplify(ring: np.ndarray, tolerance: float) -> np.ndarray:
     return path[keep][:-1]
 
 
-def mitre_buffer(ring: np.ndarray, distance: float, limit: float = 5.0) -> np.ndarray:
-    """GE-07: a convex counter-clockwise ring moved outwards, its corners extended to meet."""
-    before, after = np.roll(ring, 1, axis=0), np.roll(ring, -1, axis=0)
-    unit = lambda d: d / np.maximum(np.hypot(d[:, 0], d[:, 1]), 1e-12)[:, None]
-    e1, e2 = unit(ring - before), unit(after - ring)
-    n1, n2 = np.stack([e1[:, 1], -e1[:, 0]], 1), np.stack([e2[:, 1], -e2[:, 0]], 1)
-    along = unit(n1 + n2)
-    scale = np.minimum(1 / np.maximum((along * n1).sum(1), 1e-9), limit)
-    return ring + along * (distance * scale)[:, None]
+def convex_overlap(a: np.ndarray, b: np.ndarray) -> float:
+    """GE-14: area that two convex counter-clockwise rings share: a is cut by each side of b in turn."""
+    part = a
+    for p, q in zip(b, np.roll(b, -1, axis=0), strict=True):
+        if len(part) < 3:
+            return 0.0
+        side = (q[0] - p[0]) * (part[:, 1] - p[1]) - (q[1] - p[1]) * (part[:, 0] - p[0])
+        after, ahead = np.roll(part, -1, axis=0), np.roll(side, -1)
+        out: list[np.ndarray] = []
+        for v, w, d, e in zip(part, after, side, ahead, strict=True):
+            if d >= 0:
+                out.append(v)
+            if (d >= 0) != (e >= 0):
+                out.append(v + (w - v) * (d / (d - e)))
+        part = np.array(out).reshape(-1, 2)
+    return shoelace(part)
+
+
+def simplified(rings: DataFrame, tolerance: float) -> DataFrame:
+    """GE-07: rings with ring simplified; a ring that would keep fewer than three corners stays as it is."""
+    from pyspark.sql import functions as F
 
+    @F.pandas_udf("array<struct<x: double, y: double>>")
+    def fewer(ring: pd.Series) -> pd.Series:
+        def one(r) -> list:
+            path = np.array([(p["x"], p["y"]) for p in r])
+            kept = simplify(path, tolerance) if len(path) > 3 else path
+            return [{"x": float(x), "y": float(y)} for x, y in (kept if len(kept) > 2 else path)]
 
-def plane_noise(xyz: np.ndarray, k: int = 10) -> float:
-    """PC-23: 1.4826 times the median deviation of distances to the plane of the k nearest points."""
-    if len(xyz) <= k:
-        return 0.0
-    out = np.empty(len(xyz))
-    for a in range(0, len(xyz), 512):
-        d = ((xyz[a : a + 512, None, :] - xyz[None, :, :]) ** 2).sum(2)
-        near = np.argsort(d, axis=1, kind="stable")[:, 1 : k + 1]
-        groups = xyz[near]
-        centre = groups.mean(1)
-        _, _, vh = np.linalg.svd(groups - centre[:, None, :])
-        out[a : a + 512] = np.abs(((xyz[a : a + 512] - centre) * vh[:, 2]).sum(1))
-    return float(1.4826 * np.median(np.abs(out - np.median(out))))
-
-
-def statistical_inliers(xyz: np.ndarray, k: int = 8, factor: float = 2.0) -> np.ndarray:
-    """PC-02: points whose mean distance to k neighbours is within factor deviations of the mean."""
-    if len(xyz) <= k:
-        return np.ones(len(xyz), dtype=bool)
-    mean = np.empty(len(xyz))
-    for a in range(0, len(xyz), 512):
-        d = np.sqrt(((xyz[a : a + 512, None, :] - xyz[None, :, :]) ** 2).sum(2))
-        mean[a : a + 512] = np.partition(d, k, axis=1)[:, 1 : k + 1].mean(1)
-    return mean <= mean.mean() + factor * mean.std()
-
-
-def cloth_ground(xyz: np.ndarray, resolution: float = 1.0, threshold: float = 0.5, rounds: int = 500, gravity: float = 0.2, stiffness: int = 3) -> np.ndarray:
-    """PC-02: cloth simulation filter: a cloth falls on the inverted cloud; points within threshold of it are ground.
-
-    After the published algorithm (Zhang et al. 2016), without the slope step.
+        return pd.Series([one(r) for r in ring])
+
+    return rings.withColumn("ring", fewer("ring"))
+
+
+def hull_overlaps(pairs: DataFrame) -> DataFrame:
+    """pairs (id, bid, ring, other) with the area that the convex hulls of the two rings share instead of the rings."""
+    from pyspark.sql import functions as F
+
+    @F.pandas_udf("double")
+    def shared(ring: pd.Series, other: pd.Series) -> pd.Series:
+        corners = lambda r: hull(np.array([p["x"] for p in r]), np.array([p["y"] for p in r]))
+        return pd.Series([convex_overlap(corners(r), corners(o)) for r, o in zip(ring, other, strict=True)], dtype=float)
+
+    return pairs.select("id", "bid", shared("ring", "other").alias("area"))
+
+
+def cloth_surface(i: np.ndarray, j: np.ndarray, top: np.ndarray, rounds: int = 500, gravity: float = 0.2, stiffness: int = 3) -> np.ndarray:
+    """PC-02: heights, at the cells (i, j) from 0 on, of a cloth that fell on the raster of inverted heights top.
+
+    After the published cloth simulation filter (Zhang et al. 2016), without the slope step.
     """
-    if not len(xyz):
-        return np.zeros(0, dtype=bool)
-    inverted = -xyz[:, 2]
-    i = np.floor((xyz[:, 0] - xyz[:, 0].min()) / resolution).astype(int)
-    j = np.floor((xyz[:, 1] - xyz[:, 1].min()) / resolution).astype(int)
     shape = (i.max() + 1, j.max() + 1)
     floor_ = np.full(shape, -np.inf)
-    np.maximum.at(floor_, (i, j), inverted)
+    np.maximum.at(floor_, (i, j), top)
     seen = np.isfinite(floor_)
     v, u = np.nonzero(seen)
     for a, b in zip(*np.nonzero(~seen), strict=True):
         floor_[a, b] = floor_[v[k := int(np.argmin((v - a) ** 2 + (u - b) ** 2))], u[k]]
-    cloth = np.full(shape, inverted.max() + 0.05)
+    cloth = np.full(shape, top.max() + 0.05)
     last, fixed = cloth.copy(), np.zeros(shape, dtype=bool)
     for _ in range(rounds):
         step = np.where(fixed, 0.0, (cloth - last) * 0.99 - gravity * 0.01)
@@ -194,7 +198,7 @@ def cloth_ground(xyz: np.ndarray, resolution: float = 1.0, threshold: float = 0.
         fixed |= hit
         if np.abs(cloth - last).max() < 0.005:
             break
-    return np.abs(inverted - cloth[i, j]) <= threshold
+    return cloth[i, j]
 
 
 def grouped(df: DataFrame, key: str, body, schema: str) -> DataFrame:
@@ -217,23 +221,33 @@ def hull_areas(points: DataFrame, key: str) -> DataFrame:
     return grouped(small, key, body, f"{key} {kind}, convex_hull_area double, corners int")
 
 
-def noise_levels(points: DataFrame, key: str, k: int = 10) -> DataFrame:
-    kind = points.schema[key].dataType.simpleString()
+#: Cells of one cloth; a larger raster is refused, since a clip or tile is what the filter is for.
+CLOTH_CELLS = 1 << 24
 
-    def body(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["x", "y", "z"])
-        return pd.DataFrame({key: [pdf[key].iloc[0]], "noise_level": [plane_noise(pdf[["x", "y", "z"]].to_numpy(), k)]})
 
-    return grouped(points.select(key, "x", "y", "z"), key, body, f"{key} {kind}, noise_level double")
+def ground_points(points: DataFrame, key: str, resolution: float = 1.0, threshold: float = 0.5, k: int = 8, factor: float = 2.0) -> DataFrame:
+    """PC-02: ground class, statistical outliers out, cloth simulation.  points: key, pid, x, y, z, classification.
 
+    Neighbours and the raster's highest values are Spark's; one raster, a row a cell, reaches one task.
+    """
+    from pyspark.sql import functions as F
 
-def ground_points(points: DataFrame, key: str) -> DataFrame:
-    """PC-02: ground class, statistical outliers out, cloth simulation."""
+    from .qa import neighbour_distances
+
+    ground = points.where("classification = 2").select(key, "pid", "x", "y", "z")
+    outside = neighbour_distances(ground, key, k, factor).where("d > limit").select(key, "pid")
+    inner = ground.join(outside, [key, "pid"], "left_anti")
+    box = inner.groupBy(key).agg(F.min("x").alias("__x"), F.min("y").alias("__y"))
+    index = lambda v, lo: F.floor((F.col(v) - F.col(lo)) / resolution).cast("int")
+    at = inner.join(box, key).withColumns({"i": index("x", "__x"), "j": index("y", "__y")}).drop("__x", "__y")
+    cells = at.groupBy(key, "i", "j").agg(F.max(-F.col("z")).alias("top"))
     kind = points.schema[key].dataType.simpleString()
 
-    def body(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["x", "y", "z"])
-        pdf = pdf[statistical_inliers(pdf[["x", "y", "z"]].to_numpy())]
-        return pdf[cloth_ground(pdf[["x", "y", "z"]].to_numpy())][[key, "x", "y", "z"]]
+    def fall(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["i", "j"])
+        if (int(pdf["i"].max()) + 1) * (int(pdf["j"].max()) + 1) > CLOTH_CELLS:
+            raise ValueError("a raster too large for one cloth: clip the points or take a coarser resolution")
+        return pdf[[key, "i", "j"]].assign(cloth=cloth_surface(pdf["i"].to_numpy(), pdf["j"].to_numpy(), pdf["top"].to_numpy()))
 
-    return grouped(points.where("classification = 2").select(key, "x", "y", "z"), key, body, f"{key} {kind}, x double, y double, z double")
+    cloth = grouped(cells, key, fall, f"{key} {kind}, i int, j int, cloth double")
+    return at.join(cloth, [key, "i", "j"]).where(F.abs(-F.col("z") - F.col("cloth")) <= threshold).select(key, "pid", "x", "y", "z")

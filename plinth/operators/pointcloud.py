@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from ..config import LAS_CLASSES, RASTER
+from ..tables import durable
 
 BANDS = ((0, 3), (3, 6), (6, 9), (9, 12), (12, 15), (15, 20), (20, 30), (30, 50))
 
@@ -158,18 +159,20 @@ def plane_residual(points: DataFrame, key: str) -> DataFrame:
 
 
 def gps_gaps(points: DataFrame, key: str, order: Sequence[str], factor: float = 10.0, around: int = 100) -> DataFrame:
-    """WN-09: gaps of more than factor times the 95th percentile of time steps, with the median height before and after."""
-    w = Window.partitionBy(key).orderBy("gps_time", *order)
-    rows = points.withColumns({"step": F.col("gps_time") - F.lag("gps_time").over(w), "zs_before": F.collect_list("z").over(w.rowsBetween(-around, -1)), "zs_after": F.collect_list("z").over(w.rowsBetween(0, around - 1))})
-    limit = points.withColumn("step", F.col("gps_time") - F.lag("gps_time").over(w)).groupBy(key).agg((pct("step", 0.95) * factor).alias("limit"))
-    gaps = rows.join(limit, key).where("step > limit")
-    median = lambda a: _median(F.array_sort(F.col(a)))
-    return gaps.select(key, "gps_time", "step", (median("zs_after") - median("zs_before")).alias("jump"))
-
+    """WN-09: gaps of more than factor times the 95th percentile of time steps, with the median height before and after.
 
-def _median(a: Column) -> Column:
-    n = F.size(a)
-    return F.when(n > 0, (F.get(a, F.floor((n - 1) / 2).cast("int")) + F.get(a, F.floor(n / 2).cast("int"))) / 2)
+    Gaps are found by number and time step alone; only the points around them are fetched by their numbers.
+    """
+    w = Window.partitionBy(key).orderBy("gps_time", *order)
+    rows = points.select(key, "z", "gps_time", F.row_number().over(w).alias("__n"), (F.col("gps_time") - F.lag("gps_time").over(w)).alias("step"))
+    rows = durable(rows, "steps")
+    limit = rows.groupBy(key).agg((pct("step", 0.95) * factor).alias("limit"))
+    gaps = rows.join(limit, key).where("step > limit").select(key, "gps_time", "step", F.col("__n").alias("__gap"))
+    near = gaps.withColumn("__n", F.explode(F.sequence(F.col("__gap") - around, F.col("__gap") + around - 1)))
+    near = near.join(rows.select(key, "__n", "z"), [key, "__n"])
+    before = F.col("__n") < F.col("__gap")
+    median = lambda side: F.percentile(F.when(side, F.col("z")), F.lit(0.5))
+    return near.groupBy(key, "__gap", "gps_time", "step").agg((median(~before) - median(before)).alias("jump")).drop("__gap")
 
 
 def equirectangular(points: DataFrame, camera: Sequence[float], width: int, height: int) -> DataFrame:

@@ -9,8 +9,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..tables import durable
 from .pointcloud import density_grid, gps_gaps, pct, pct_if, plane_residual
 from .spatial import nearest, typical_reach, within_distance
 
@@ -101,13 +104,60 @@ def radius_outliers(points: DataFrame, key: str, radius: float = 0.5, least: int
     return n.groupBy(key).agg(F.count("*").alias("points"), F.count_if(F.col("n") < least).alias("outliers")).withColumn("ratio", F.col("outliers") / F.col("points"))
 
 
-def knn_outliers(points: DataFrame, key: str, k: int = 20, factor: float = 2.0) -> DataFrame:
-    """QA-06: points whose mean distance to their k neighbours exceeds the tile's mean by two deviations."""
+def neighbour_distances(points: DataFrame, key: str, k: int, factor: float) -> DataFrame:
+    """key, pid, d, limit, points: each point's mean distance to its k neighbours, and the tile's mean and factor deviations."""
     cell = typical_reach(points, [key], ("x", "y", "z"), k)
     near = nearest(points.select(key, "pid", "x", "y", "z"), _other(points, key=key), k + 1, cell, ("x", "y", "z"), ("ox", "oy", "oz"), ["pid"], ["oid"], [key])
     mean = near.where(F.col("rank") > 1).groupBy(key, "pid").agg(F.avg("distance").alias("d"))
     limit = mean.groupBy(key).agg((F.avg("d") + factor * F.stddev_pop("d")).alias("limit"), F.count("*").alias("points"))
-    return mean.join(limit, key).groupBy(key).agg(F.max("points").alias("points"), F.count_if(F.col("d") > F.col("limit")).alias("outliers")).withColumn("ratio", F.col("outliers") / F.col("points"))
+    return mean.join(limit, key)
+
+
+def knn_outliers(points: DataFrame, key: str, k: int = 20, factor: float = 2.0) -> DataFrame:
+    """QA-06: points whose mean distance to their k neighbours exceeds the tile's mean by two deviations."""
+    return neighbour_distances(points, key, k, factor).groupBy(key).agg(F.max("points").alias("points"), F.count_if(F.col("d") > F.col("limit")).alias("outliers")).withColumn("ratio", F.col("outliers") / F.col("points"))
+
+
+def plane_distances(points: DataFrame, by: Sequence[str], k: int) -> DataFrame:
+    """PC-23: by, pid, away: how far each point lies from the plane through its k nearest points."""
+    cell = typical_reach(points, by, ("x", "y", "z"), k)
+    others = points.select(*by, F.col("pid").alias("oid"), F.col("x").alias("ox"), F.col("y").alias("oy"), F.col("z").alias("oz"))
+    near = nearest(points.select(*by, "pid", "x", "y", "z"), others, k + 1, cell, ("x", "y", "z"), ("ox", "oy", "oz"), ["pid"], ["oid"], by).where("rank > 1")
+    d = {a: F.col(f"o{a}") - F.col(a) for a in "xyz"}
+    pairs = [a + b for i, a in enumerate("xyz") for b in "xyz"[i:]]
+    means = near.groupBy(*by, "pid").agg(*(F.avg(d[a]).alias(f"m{a}") for a in "xyz"), *(F.avg(d[p[0]] * d[p[1]]).alias(f"s{p}") for p in pairs))
+
+    @F.pandas_udf("double")
+    def away(mx: pd.Series, my: pd.Series, mz: pd.Series, sxx: pd.Series, sxy: pd.Series, sxz: pd.Series, syy: pd.Series, syz: pd.Series, szz: pd.Series) -> pd.Series:
+        centre = np.stack([mx, my, mz], axis=1)
+        spread = np.stack([sxx, sxy, sxz, sxy, syy, syz, sxz, syz, szz], axis=1).reshape(-1, 3, 3) - centre[:, :, None] * centre[:, None, :]
+        normal = np.linalg.eigh(spread)[1][:, :, 0]
+        return pd.Series(np.abs((normal * centre).sum(1)))
+
+    return means.select(*by, "pid", away(*(f"m{a}" for a in "xyz"), *(f"s{p}" for p in pairs)).alias("away"))
+
+
+def noise_levels(points: DataFrame, by: Sequence[str], k: int = 15) -> DataFrame:
+    """PC-23: 1.4826 times the median deviation of the distances to local planes, over all points of each group."""
+    away = durable(plane_distances(points, by, k), "planes")
+    middle = away.groupBy(*by).agg(pct("away", 0.5).alias("__m"))
+    off = away.join(middle, list(by)).withColumn("__d", F.abs(F.col("away") - F.col("__m")))
+    return off.groupBy(*by).agg((1.4826 * pct("__d", 0.5)).alias("noise_level"))
+
+
+def noise(points: DataFrame, key: str, most: float = 0.05, cell: float = 10.0, least: int = 100, few: int = 5) -> DataFrame:
+    """QA-08: the noise of a tile, and tiles with over five noisy cells of ten metres; cells count with over 100 points."""
+    whole = noise_levels(points, [key])
+    box = points.groupBy(key).agg(F.min("x").alias("__x"), F.min("y").alias("__y"), F.max("x").alias("__u"), F.max("y").alias("__v"))
+    index = lambda v, lo: F.floor((F.col(v) - F.col(lo)) / cell).cast("long")
+    bins = lambda lo, hi: F.ceil((F.col(hi) - F.col(lo)) / cell)
+    at = points.join(box, key).withColumns({"__i": index("x", "__x"), "__j": index("y", "__y")})
+    at = at.where((F.col("__i") < bins("__x", "__u")) & (F.col("__j") < bins("__y", "__v"))).select(key, "__i", "__j", "pid", "x", "y", "z")
+    full = at.groupBy(key, "__i", "__j").agg(F.count("*").alias("__n")).where(F.col("__n") > least).drop("__n")
+    cells = noise_levels(at.join(full, [key, "__i", "__j"], "left_semi"), [key, "__i", "__j"], 10)
+    noisy = cells.where(F.col("noise_level") > 2 * most).groupBy(key).agg(F.count("*").alias("cells"))
+    severity = F.when(F.col("noise_level") > 2 * most, "error").otherwise("warning")
+    return issue(whole, key, "noise", severity, "noise_level", F.col("noise_level") > most).unionByName(issue(noisy, key, "noise", "warning", "cells", F.col("cells") > few))
 
 
 def outliers(points: DataFrame, key: str) -> DataFrame:
@@ -135,9 +185,9 @@ def ghosting(points: DataFrame, key: str) -> DataFrame:
     return issue(ghost_candidates(points, key), key, "ghosting", "warning", "candidates", F.col("candidates") > 5)
 
 
-def bloom_regions(points: DataFrame, key: str, radius: float = 0.5, factor: float = 3.0) -> DataFrame:
+def bloom_regions(points: DataFrame, key: str, radius: float = 0.5, factor: float = 3.0, p: float = 0.99) -> DataFrame:
     """QA-10: bright points around which points are three times as dense as in the tile."""
-    b = bright(points, key, 0.99, 50).select(key, "pid", "x", "y", "z")
+    b = bright(points, key, p, 50).select(key, "pid", "x", "y", "z")
     mean = points.groupBy(key).agg(F.try_divide(F.count("*"), (F.max("x") - F.min("x")) * (F.max("y") - F.min("y"))).alias("mean"))
     near = neighbours(b, _other(points, key=key), key, radius).groupBy(key, "pid").agg(F.count("*").alias("n")).join(mean, key)
     return near.where(F.col("n") / (math.pi * radius * radius) > factor * F.col("mean")).groupBy(key).agg(F.count("*").alias("regions"))
@@ -252,6 +302,7 @@ CHECKS = {
     "edge_artifacts": edge_artifacts,
     "blind_spots": blind_spots,
     "outliers": outliers,
+    "noise": noise,
     "ghosting": ghosting,
     "blooming": blooming,
     "weather": weather,

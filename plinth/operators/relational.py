@@ -7,6 +7,8 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
+from ..tables import durable
+
 from ..config import LABEL_SOURCES
 
 #: Sides are broadcast below this many rows, checked before; beyond it a grid join takes over.
@@ -50,7 +52,8 @@ def numbered(df: DataFrame, order: Sequence[str], name: str = "id") -> DataFrame
     """
     spark = df.sparkSession
     parts = df.repartitionByRange(*(F.col(c).asc_nulls_last() for c in order)).sortWithinPartitions(*(F.col(c).asc_nulls_last() for c in order))
-    parts = parts.withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id()).persist()
+    # written, so that rows with equal keys keep their numbers when a task is repeated
+    parts = durable(parts.withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id()), "numbered")
     counts = sorted((r["__p"], r["n"]) for r in parts.groupBy("__p").agg(F.count("*").alias("n")).collect())
     total, starts = 0, []
     for p, n in counts:

@@ -9,17 +9,13 @@ from pyspark.sql.window import Window
 
 from ..config import VIEWS
 from ..functions import geo
+from ..tables import durable
 
 
 def cell_of(v: Column, size: float) -> Column:
     return F.floor(v / size).cast("long")
 
 
-def cells_around(v: Column, size: float) -> Column:
-    c = cell_of(v, size)
-    return F.sequence(c - 1, c + 1)
-
-
 def cells_over(lo: Column, hi: Column, size: float) -> Column:
     return F.sequence(cell_of(lo, size), cell_of(hi, size))
 
@@ -27,15 +23,17 @@ def cells_over(lo: Column, hi: Column, size: float) -> Column:
 def within_distance(left: DataFrame, right: DataFrame, radius: float, axes: Sequence[str], other: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """JN-07/19/20: pairs no farther apart than radius, with their distance.
 
-    The left side is copied to its cell and the neighbours (9 in two dimensions, 27 in three), the right side lies
-    in one cell, so each pair meets once and AQE may split a dense cell.  Columns of the two sides must differ,
-    but for those of by, which must be equal.
+    Cells lie over the first two axes, since clouds are surfaces, and are two radii wide: the left side is copied to
+    the cells that its disc touches (four on average), the right side lies in one cell, so each pair meets once and
+    AQE may split a dense cell.  The smaller or narrower side should be the left one.  Columns of the two sides must
+    differ, but for those of by, which must be equal.
     """
-    keys = [f"__c{i}" for i in range(len(axes))]
+    size, reach = 2.0 * radius, radius * (1 + 1e-9)  # rounding must not lose a pair at the border of a cell
+    keys = [f"__c{i}" for i in range(2)]
     near = left
-    for k, a in zip(keys, axes, strict=True):
-        near = near.withColumn(k, F.explode(cells_around(F.col(a), radius)))
-    far = right.withColumns({k: cell_of(F.col(o), radius) for k, o in zip(keys, other, strict=True)})
+    for k, a in zip(keys, axes, strict=False):
+        near = near.withColumn(k, F.explode(cells_over(F.col(a) - reach, F.col(a) + reach, size)))
+    far = right.withColumns({k: cell_of(F.col(o), size) for k, o in zip(keys, other, strict=False)})
     d2 = sum(((F.col(a) - F.col(o)) * (F.col(a) - F.col(o)) for a, o in zip(axes, other, strict=True)), F.lit(0.0))
     return near.join(far, [*by, *keys]).where(d2 <= radius * radius).withColumn("distance", F.sqrt(d2)).drop(*keys)
 
@@ -55,13 +53,14 @@ def nearest(left: DataFrame, right: DataFrame, k: int, cell: float, axes: Sequen
     """JN-18/21: the k nearest right rows of each left row, with distance and rank.
 
     A row is settled when its k-th neighbour within the grid's reach is no farther than the cell; the others are
-    asked again with cells of twice the size.  What remains after all rounds has fewer than k rows in reach.
+    asked again with cells of twice the size.  What remains after all rounds has fewer than k rows in reach, and
+    comes with those it has.
     """
     open_, done = left, None
     for turn in range(rounds):
         found = within_distance(open_, right, cell, axes, other, by)
         w = Window.partitionBy(*by, *left_key).orderBy("distance", *right_key)
-        ranked = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).persist()
+        ranked = durable(found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k), "nearest")
         full = ranked.groupBy(*by, *left_key).agg(F.count("*").alias("__n")).where(F.col("__n") >= k).drop("__n")
         last = turn == rounds - 1
         settled = ranked if last else ranked.join(full, [*by, *left_key], "left_semi")
@@ -90,10 +89,24 @@ def points_in_rings(points: DataFrame, rings: DataFrame, cell: float, by: Sequen
 
     by: columns that must be equal too, as the tile of a footprint (boxes_touching() finds the tiles of each).
     """
-    cut = rings.withColumn("__e", geo.edges(F.col("ring"))).withColumn("__i", F.explode(cells_over(F.col("x0"), F.col("x1"), cell))).withColumn("__j", F.explode(cells_over(F.col("y0"), F.col("y1"), cell)))
+    cut = rings.withColumn("__e", geo.edges(F.col("ring")))
+    return _in_boxes(points, cut, cell, by).where(geo.inside_edges(F.col("__e"), F.col("x"), F.col("y"))).drop("__e")
+
+
+def points_in_buffers(points: DataFrame, rings: DataFrame, cell: float, distance: float, by: Sequence[str] = ()) -> DataFrame:
+    """JN-06, GE-07: points (x, y) within the mitred buffers of rings (ring, any simple one)."""
+    turned = rings.withColumn("ring", geo.counter_clockwise(F.col("ring"))).withColumn("__r", geo.mitre_reach(F.col("ring"), distance))
+    box = lambda f, d: f(F.transform("ring", lambda p: p[d]))
+    reach = {"x0": box(F.array_min, "x") - F.col("__r"), "y0": box(F.array_min, "y") - F.col("__r"), "x1": box(F.array_max, "x") + F.col("__r"), "y1": box(F.array_max, "y") + F.col("__r")}
+    near = _in_boxes(points, turned.withColumns(reach).drop("__r"), cell, by)
+    return near.where(geo.within_mitre(F.col("ring"), F.col("x"), F.col("y"), distance))
+
+
+def _in_boxes(points: DataFrame, boxes: DataFrame, cell: float, by: Sequence[str]) -> DataFrame:
+    cut = boxes.withColumn("__i", F.explode(cells_over(F.col("x0"), F.col("x1"), cell))).withColumn("__j", F.explode(cells_over(F.col("y0"), F.col("y1"), cell)))
     at = points.withColumns({"__i": cell_of(F.col("x"), cell), "__j": cell_of(F.col("y"), cell)})
-    box = F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1"))
-    return at.join(cut, [*by, "__i", "__j"]).where(box).where(geo.inside_edges(F.col("__e"), F.col("x"), F.col("y"))).drop("__i", "__j", "__e")
+    inside = F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1"))
+    return at.join(cut, [*by, "__i", "__j"]).where(inside).drop("__i", "__j")
 
 
 def edges_of(buildings: DataFrame) -> DataFrame:
@@ -102,13 +115,17 @@ def edges_of(buildings: DataFrame) -> DataFrame:
 
 
 def candidate_views(buildings: DataFrame, cameras: DataFrame, radius: float = VIEWS.search_m) -> DataFrame:
-    """JN-07, GE-12/13, SF-15/16: cameras within radius of an edge's midpoint, on its outer side, outside the building, by view type."""
-    edges = edges_of(buildings).join(buildings.select("id", "ring"), "id")
-    pairs = within_distance(edges, cameras.select("pano_id", F.col("x").alias("px"), F.col("y").alias("py")), radius, ("mx", "my"), ("px", "py"))
+    """JN-07, GE-12/13, SF-15/16: cameras within radius of an edge's midpoint, on its outer side, outside the building, by view type.
+
+    Cameras, three columns, are copied to cells; rings meet only the pairs that the angle has left.
+    """
+    edges = edges_of(buildings).select("id", F.col("idx").alias("edge_idx"), "mx", "my", "nx", "ny")
+    pairs = within_distance(cameras.select("pano_id", F.col("x").alias("px"), F.col("y").alias("py")), edges, radius, ("px", "py"), ("mx", "my"))
     vx, vy = F.col("px") - F.col("mx"), F.col("py") - F.col("my")
-    seen = pairs.where((F.col("nx") * vx + F.col("ny") * vy > 0) & ~geo.contains(F.col("ring"), F.col("px"), F.col("py")))
     angle = geo.signed_angle(F.col("nx"), F.col("ny"), vx, vy)
-    return seen.withColumn("angle", angle).withColumn("view_type", geo.view_type(F.col("angle"))).where("view_type IS NOT NULL").select("id", F.col("idx").alias("edge_idx"), "pano_id", "view_type", "distance", "angle", "mx", "my", "px", "py")
+    ahead = pairs.where(F.col("nx") * vx + F.col("ny") * vy > 0).withColumn("angle", angle).withColumn("view_type", geo.view_type(F.col("angle"))).where("view_type IS NOT NULL").drop("nx", "ny")
+    seen = ahead.join(buildings.select("id", "ring"), "id").where(~geo.contains(F.col("ring"), F.col("px"), F.col("py")))
+    return seen.select("id", "edge_idx", "pano_id", "view_type", "distance", "angle", "mx", "my", "px", "py")
 
 
 def chosen(candidates: DataFrame) -> DataFrame:
@@ -117,19 +134,36 @@ def chosen(candidates: DataFrame) -> DataFrame:
     return candidates.withColumn("is_chosen", F.row_number().over(w) == 1)
 
 
-def occluded(rays: DataFrame, blockers: DataFrame, cell: float, slack: float = VIEWS.occlusion_slack) -> DataFrame:
-    """JN-08: the keys (ray_id) of rays P to M that another building's edge crosses more than slack before M.
+def overlapping(buildings: DataFrame, cell: float, least: float = VIEWS.overlap_area) -> DataFrame:
+    """GE-14: id, bid: buildings whose convex hulls overlap by more than least, each pair both ways.  Boxes meet first."""
+    from .kernels import hull_overlaps
+
+    box = lambda f, d: f(F.transform("ring", lambda p: p[d]))
+    b = buildings.select("id", "ring", box(F.array_min, "x").alias("x0"), box(F.array_min, "y").alias("y0"), box(F.array_max, "x").alias("x1"), box(F.array_max, "y").alias("y1"))
+    near = boxes_touching(b, b.select(F.col("id").alias("bid"), F.col("ring").alias("other"), *(F.col(c).alias(f"r{c}") for c in ("x0", "y0", "x1", "y1"))), cell, ["id"])
+    pairs = near.where(F.col("id") < F.col("bid")).select("id", "bid", "ring", "other")
+    kept = hull_overlaps(pairs).where(F.col("area") > least)
+    return kept.select("id", "bid").unionByName(kept.select(F.col("bid").alias("id"), F.col("id").alias("bid")))
+
+
+def visible(rays: DataFrame, blockers: DataFrame, cell: float, keys: Sequence[str], overlaps: DataFrame | None = None, slack: float = VIEWS.occlusion_slack) -> DataFrame:
+    """JN-08: the rays (keys, id, px..my) from P to M that no other building's edge crosses more than slack before M.
 
-    Blockers (bid, ax..by) lie in the cells their boxes cover, rays in those theirs cover; the building of the ray
-    itself and those whose overlap is listed by the caller are left out before.
+    Blockers (bid, ax..by) lie in the cells their boxes cover, rays in those theirs cover.  Buildings that overlap the
+    ray's own (id, bid of overlaps) do not block.  Hits are one grouped maximum, combined map-side.
     """
     lo, hi = (lambda a, b: F.least(F.col(a), F.col(b))), (lambda a, b: F.greatest(F.col(a), F.col(b)))
     r = rays.withColumn("__i", F.explode(cells_over(lo("px", "mx"), hi("px", "mx"), cell))).withColumn("__j", F.explode(cells_over(lo("py", "my"), hi("py", "my"), cell)))
     b = blockers.withColumn("__i", F.explode(cells_over(lo("ax", "bx"), hi("ax", "bx"), cell))).withColumn("__j", F.explode(cells_over(lo("ay", "by"), hi("ay", "by"), cell)))
     hit = geo.segment_hit(*(F.col(c) for c in ("px", "py", "mx", "my", "ax", "ay", "bx", "by")))
     length = F.hypot(F.col("mx") - F.col("px"), F.col("my") - F.col("py"))
-    crossed = r.join(b, ["__i", "__j"]).where((F.col("id") != F.col("bid")) & (hit * length + slack < length))
-    return crossed.select("ray_id").distinct()
+    met = r.join(b, ["__i", "__j"], "left")
+    blocked = F.coalesce((F.col("id") != F.col("bid")) & (hit * length + slack < length), F.lit(False))
+    met = met.select(*rays.columns, "bid", blocked.alias("blocked"))
+    if overlaps is not None:
+        met = met.join(overlaps.withColumn("__own", F.lit(True)), ["id", "bid"], "left").withColumn("blocked", F.col("blocked") & F.col("__own").isNull())
+    rest = [c for c in rays.columns if c not in keys]
+    return met.groupBy(*keys).agg(F.max("blocked").alias("blocked"), *(F.first(c).alias(c) for c in rest)).where(~F.col("blocked")).select(*rays.columns)
 
 
 def clip_bounds(pixels: DataFrame, keys: Sequence[str], width: int, height: int, upper: float, lower: float, margin: float = 0.05, least: int = 20) -> DataFrame:

@@ -192,11 +192,7 @@ def ghosting(p: DataFrame) -> DataFrame:
     SELECT n.tile_id, count(*) AS regions FROM n JOIN d ON n.tile_id = d.tile_id WHERE n / (pi() * 4) > 1.2 * mean GROUP BY n.tile_id""",
 )
 def blooming(p: DataFrame) -> DataFrame:
-    p = numbered(p)
-    b = qa.bright(p, KEY, 0.8, 50).select(KEY, "pid", "x", "y", "z")
-    mean = p.groupBy(KEY).agg(F.try_divide(F.count("*"), (F.max("x") - F.min("x")) * (F.max("y") - F.min("y"))).alias("mean"))
-    near = qa.neighbours(b, qa._other(p, key=KEY), KEY, 2.0).groupBy(KEY, "pid").agg(F.count("*").alias("n")).join(mean, KEY)
-    return near.where(F.col("n") / (F.pi() * 4.0) > 1.2 * F.col("mean")).groupBy(KEY).agg(F.count("*").alias("regions"))
+    return qa.bloom_regions(numbered(p), KEY, 2.0, 1.2, 0.8)
 
 
 @query(
@@ -397,12 +393,12 @@ def hull_areas(p: DataFrame) -> DataFrame:
 
 @query("PC-23 QA-08", "points")
 def noise_levels(p: DataFrame) -> DataFrame:
-    return rounded(kernels.noise_levels(p, KEY))
+    return rounded(qa.noise_levels(numbered(p), [KEY], 10))
 
 
 @query("PC-02", "points")
 def cloth_ground_points(p: DataFrame) -> DataFrame:
-    return kernels.ground_points(p, KEY).groupBy(KEY).agg(F.count("*").alias("n"), F.round(F.avg("z"), 4).alias("mean_z"))
+    return kernels.ground_points(numbered(p), KEY).groupBy(KEY).agg(F.count("*").alias("n"), F.round(F.avg("z"), 4).alias("mean_z"))
 
 
 _RASTER = f"""{_EQ}, g AS (SELECT tile_id, u, v, classification, z, r AS depth, row_number() OVER (PARTITION BY tile_id, u, v ORDER BY r, classification, pid, z) AS n FROM u), px AS (SELECT * FROM g WHERE n = 1),

@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..catalog import labelled, lookup, pending, scan, standardised
-from ..config import PROPERTY_CODES, WALL_CODES, ZONE_PROPERTY
+from ..config import PROPERTY_TYPES, WALL_MATERIALS, ZONE_PROPERTY_TYPES
 from ..functions import text
 from ..operators import relational as rel
 from .registry import query, rounded
 
 
-def _case(column: str, groups: dict) -> str:
-    return f"CASE {' '.join(f'''WHEN {column} IN ({', '.join(f"'{c}'" for c in codes)}) THEN '{name}' ''' for name, codes in groups.items())} END"
-
-
 @query("SC-03 PF-06 PF-09 PF-14", "buildings", sql="SELECT id, building_id, land_use_zone, acctbal FROM buildings WHERE region_id = 2 AND gnaf_id IS NULL AND acctbal > 0")
 def scan_filter_project(b: DataFrame) -> DataFrame:
     return scan(b, ["id", "building_id", "land_use_zone", "acctbal"], region=2, filters={"gnaf_id": None}, region_col="region_id").where("acctbal > 0")
@@ -182,14 +180,25 @@ def bytes_humanised(b: DataFrame) -> DataFrame:
     return b.select("id", text.humanised(F.expr(f"CAST({_SIZE} AS DOUBLE)")).alias("size"))
 
 
-_CODE = "CASE id % 6 WHEN 0 THEN 'Com' WHEN 1 THEN 'R' WHEN 2 THEN 'Emer' WHEN 3 THEN 'Other' WHEN 4 THEN 'none' ELSE 'Wor' END"
-_WALL = "CASE id % 5 WHEN 0 THEN 'BK' WHEN 1 THEN 'FIBRO' WHEN 2 THEN 'NO' WHEN 3 THEN 'WB' ELSE 'CONCRETE' END"
-_ZONE = "CASE id % 4 WHEN 0 THEN 'Village' WHEN 1 THEN 'Urban Mixed Use' WHEN 2 THEN 'Rural Landscape' ELSE 'Industrial' END"
+def _pick(codes: Iterable[str]) -> str:
+    """A code of the list, by id; one unknown code is among them."""
+    codes = [*codes, "unknown"]
+    return "CASE id % {} {} END".format(len(codes), " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(codes)))
 
 
-@query("PF-17", "buildings", sql=f"SELECT id, {_case(_CODE, PROPERTY_CODES)} AS property, {_case(_WALL, WALL_CODES)} AS wall, {_case(_ZONE, ZONE_PROPERTY)} AS zone FROM buildings")
+@query(
+    "PF-17",
+    "buildings",
+    # the oracle names codes by rule, so an entry of the tables that is wrong differs from it
+    sql=f"""WITH k AS (SELECT id, {_pick(PROPERTY_TYPES)} AS p, {_pick(WALL_MATERIALS)} AS w, {_pick(ZONE_PROPERTY_TYPES)} AS z FROM buildings)
+    SELECT id, CASE WHEN p = 'unknown' THEN NULL WHEN upper(p) LIKE 'EM%' THEN 'Emergency' WHEN p LIKE 'E%' THEN 'Education' WHEN p LIKE 'C%' THEN 'Commercial' WHEN p LIKE 'I%' THEN 'Industrial' WHEN p LIKE 'R%' THEN 'Residential' WHEN p LIKE 'M%' THEN 'Medical' WHEN p LIKE 'W%' THEN 'Worship' ELSE 'Other' END AS property,
+    CASE WHEN w ILIKE '%concrete%' THEN 'Concrete' WHEN w ILIKE '%cement sheet%' THEN 'Cement Sheet' WHEN w ILIKE '%brick%' OR w IN ('BK', 'Block') THEN 'Brick' WHEN w ILIKE 'fibro' OR w = 'FC' THEN 'Fibre Cement' WHEN w ILIKE '%board' OR w = 'WB' THEN 'Weatherboard' WHEN w ILIKE '%metal%' THEN 'Metal'
+    WHEN w ILIKE '%colorbond' THEN 'Colorbond' WHEN w ILIKE '%iron' THEN 'Galvanised Iron' WHEN w = 'Glass' THEN 'Glass' WHEN w ILIKE '%stone' THEN 'Stone' WHEN w ILIKE '%timber' THEN 'Timber' WHEN w = 'RENDER' THEN 'Rendered' WHEN w = 'CLADDING' THEN 'Cladding' WHEN w ILIKE 'ot%' THEN 'Other' END AS wall,
+    CASE WHEN z LIKE '%Mixed Use' THEN 'Mixed Use' WHEN z IN ('Commercial', 'Industrial') THEN z WHEN z LIKE 'Rural%' OR z = 'unknown' THEN NULL ELSE 'Residential' END AS zone FROM k""",
+)
 def code_mapping(b: DataFrame) -> DataFrame:
-    return b.select("id", lookup(F.expr(_CODE), PROPERTY_CODES).alias("property"), lookup(F.expr(_WALL), WALL_CODES).alias("wall"), lookup(F.expr(_ZONE), ZONE_PROPERTY).alias("zone"))
+    told = ((PROPERTY_TYPES, "property"), (WALL_MATERIALS, "wall"), (ZONE_PROPERTY_TYPES, "zone"))
+    return b.select("id", *(lookup(F.expr(_pick(names)), names).alias(name) for names, name in told))
 
 
 @query("AG-27", "labels_long", sql="SELECT building_id, gnaf_id, count(*) AS n FROM labels_long GROUP BY building_id, gnaf_id HAVING count(*) > 1")

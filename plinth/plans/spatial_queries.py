@@ -45,14 +45,13 @@ def nearest_candidate_per_edge(b: DataFrame, p: DataFrame) -> DataFrame:
     sql=f"""WITH {_CANDIDATES}, k AS (SELECT c.id, edge_idx, pano_id, px, py, mx, my, e.id AS bid, e.ax, e.ay, e.bx, e.by_, (mx - px) * (e.by_ - e.ay) - (my - py) * (e.bx - e.ax) AS cr FROM c JOIN (SELECT id, ax, ay, bx, by_ FROM e) e
     ON e.id <> c.id AND least(e.ax, e.bx) <= greatest(c.px, c.mx) AND greatest(e.ax, e.bx) >= least(c.px, c.mx) AND least(e.ay, e.by_) <= greatest(c.py, c.my) AND greatest(e.ay, e.by_) >= least(c.py, c.my)),
     t AS (SELECT *, CASE WHEN cr = 0 THEN NULL ELSE ((ax - px) * (by_ - ay) - (ay - py) * (bx - ax)) / cr END AS t, CASE WHEN cr = 0 THEN NULL ELSE ((ax - px) * (my - py) - (ay - py) * (mx - px)) / cr END AS u FROM k),
-    h AS (SELECT DISTINCT id, edge_idx, pano_id FROM t WHERE t BETWEEN 0 AND 1 AND u BETWEEN 0 AND 1 AND t * sqrt((mx - px) * (mx - px) + (my - py) * (my - py)) + 0.5 < sqrt((mx - px) * (mx - px) + (my - py) * (my - py)))
+    h AS (SELECT DISTINCT t.id, edge_idx, pano_id FROM t JOIN f o ON o.id = t.id JOIN f w ON w.id = bid WHERE greatest(0, least(o.x1, w.x1) - greatest(o.x0, w.x0)) * greatest(0, least(o.y1, w.y1) - greatest(o.y0, w.y0)) <= 1e-4 AND t BETWEEN 0 AND 1 AND u BETWEEN 0 AND 1 AND t * sqrt((mx - px) * (mx - px) + (my - py) * (my - py)) + 0.5 < sqrt((mx - px) * (mx - px) + (my - py) * (my - py)))
     SELECT c.id, c.edge_idx, c.pano_id FROM c ANTI JOIN h ON c.id = h.id AND c.edge_idx = h.edge_idx AND c.pano_id = h.pano_id""",
 )
 def ray_occlusion(b: DataFrame, p: DataFrame) -> DataFrame:
     f = footprints(b)
-    rays = ops.candidate_views(f, p).withColumn("ray_id", F.concat_ws(":", "id", "edge_idx", "pano_id"))
     walls = ops.edges_of(f).select(F.col("id").alias("bid"), "ax", "ay", "bx", "by")
-    return rays.join(ops.occluded(rays, walls, 40.0), "ray_id", "left_anti").select("id", "edge_idx", "pano_id")
+    return ops.visible(ops.candidate_views(f, p), walls, 40.0, ("id", "edge_idx", "pano_id"), ops.overlapping(f.select("id", "ring"), 40.0)).select("id", "edge_idx", "pano_id")
 
 
 @query("GE-10 GE-11 SC-15", "buildings", sql=f"WITH {_EDGES} SELECT id, idx, round(mx, 4) AS mx, round(my, 4) AS my, round(nx, 4) AS nx, round(ny, 4) AS ny, round(sqrt((bx - ax) * (bx - ax) + (by_ - ay) * (by_ - ay)), 4) AS length, round(mx + 40 * nx, 4) AS arc_x, round(my + 40 * ny, 4) AS arc_y FROM e")

@@ -8,9 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ..catalog import Catalog
-from ..config import HEIGHTS
-from ..functions import geo
-from ..operators import pointcloud, qa, relational, spatial, views
+from ..config import CLIP, HEIGHTS
+from ..functions import geo, text
+from ..operators import kernels, pointcloud, qa, relational, spatial, views
 
 Stage = Callable[[Catalog, str | None], DataFrame]
 
@@ -24,58 +24,80 @@ class Definition:
     key: tuple[str, ...]
 
 
+def _of(c: Catalog, name: str, region: str | None) -> DataFrame:
+    """A table's rows of a region: by its own column, else by its buildings."""
+    df = c.table(name)
+    if region is None:
+        return df
+    if "region_name" in df.columns:
+        return c.scan(name, region=region)
+    return df.join(c.scan("buildings", ["id"], region=region), "id", "left_semi") if "id" in df.columns else df
+
+
+def _footprints(c: Catalog, region: str | None) -> DataFrame:
+    return c.scan("buildings", region=region).withColumn("ring", geo.ring_of(F.col("footprint_wkt")))
+
+
 def _clip(c: Catalog, region: str | None) -> DataFrame:
-    b = c.scan("buildings", region=region).withColumn("ring", geo.ring_of(F.col("footprint_wkt")))
-    box = lambda f, d: f(F.transform("ring", lambda p: p[d]))
-    f = b.select("id", "building_id", "region_name", "ring", (box(F.array_min, "x") - 5).alias("x0"), (box(F.array_min, "y") - 5).alias("y0"), (box(F.array_max, "x") + 5).alias("x1"), (box(F.array_max, "y") + 5).alias("y1"))
-    grown = f.withColumn("ring", geo.box_ring(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1")))
-    return spatial.points_in_rings(c.scan("points"), grown, 50.0).drop("ring", "x0", "y0", "x1", "y1")
+    """Points within the mitred buffer of the simplified footprint."""
+    rings = kernels.simplified(_footprints(c, region).select("id", "building_id", "region_name", "ring"), CLIP.tolerance)
+    points = _of(c, "points", region).drop("region_name")
+    return spatial.points_in_buffers(points, rings, 50.0, CLIP.buffer_m).drop("ring", "x0", "y0", "x1", "y1")
 
 
 def _harvest(c: Catalog, region: str | None) -> DataFrame:
-    b = c.scan("buildings", region=region).withColumn("ring", geo.ring_of(F.col("footprint_wkt"))).select("id", "ring")
-    rays = spatial.candidate_views(b, c.scan("panoramas", region=region)).withColumn("ray_id", F.concat_ws(":", "id", "edge_idx", "pano_id"))
+    b = _footprints(c, region).select("id", "ring")
+    rays = spatial.candidate_views(b, _of(c, "panoramas", region))
     walls = spatial.edges_of(b).select(F.col("id").alias("bid"), "ax", "ay", "bx", "by")
-    seen = rays.join(spatial.occluded(rays, walls, 40.0), "ray_id", "left_anti").drop("ray_id")
-    return spatial.chosen(seen)
+    return spatial.chosen(spatial.visible(rays, walls, 40.0, ("id", "edge_idx", "pano_id"), spatial.overlapping(b, 40.0)))
+
+
+def _downloads(c: Catalog, region: str | None) -> DataFrame:
+    """Chosen views with the first of their possible object names that the listing (name, path) holds."""
+    views_ = _of(c, "candidate_views", region).where("is_chosen").drop("region_name").join(c.scan("buildings", ["id", "region_name"], region=region), "id")
+    names = text.object_names(F.col("pano_id").cast("string"), F.col("region_name"))
+    asked = views_.select(*views.VIEW, F.posexplode(names).alias("turn", "name"))
+    found = asked.join(c.scan("pano_files", ["name", "path"]), "name").groupBy(*views.VIEW).agg(F.min(F.struct("turn", "path")).alias("f"))
+    return found.select(*views.VIEW, F.col("f.path").alias("download_path"))
 
 
 def _best(c: Catalog, region: str | None) -> DataFrame:
-    s = views.with_distance(views.detection_scores(c.scan("detections", region=region)), c.scan("candidate_views"))
-    s = s.join(c.scan("image_scores"), list(views.VIEW), "left").na.fill(0.0, ["siglip_score", "ground_visibility"])
+    s = views.with_distance(views.detection_scores(_of(c, "detections", region)), _of(c, "candidate_views", region))
+    s = s.join(_of(c, "image_scores", region).drop("region_name"), list(views.VIEW), "left").na.fill(0.0, ["siglip_score", "ground_visibility"])
     return views.best_view(views.combined(s, F.col("siglip_score"), F.col("ground_visibility"), F.lit(0.0), F.col("distance")))
 
 
 def _ground(c: Catalog, region: str | None) -> DataFrame:
-    return pointcloud.ground_elevation(c.scan("clipped_points", region=region), "id").withColumn("method", F.lit("statistics"))
+    return pointcloud.ground_elevation(_of(c, "clipped_points", region), "id").withColumn("method", F.lit("statistics"))
 
 
 def _heights(c: Catalog, region: str | None) -> DataFrame:
-    best = views.best_feature(c.scan("features", region=region), F.col("image_width"), F.col("image_height"))
-    return views.floor_heights(best, c.scan("ground", filters=None))
+    best = views.best_feature(_of(c, "features", region), F.col("image_width"), F.col("image_height"))
+    return views.floor_heights(best, _of(c, "ground", region))
 
 
 def _validate(c: Catalog, region: str | None) -> DataFrame:
-    found = relational.first_per_key(c.scan("heights"), ["id"], [F.col("id")])
-    truth = relational.first_per_key(c.scan("labels", region=region), ["id"], [F.col("floor_height_m")]).select("id", "floor_height_m")
+    found = relational.first_per_key(_of(c, "heights", region), ["id"], [F.col("id")])
+    truth = relational.first_per_key(_of(c, "labels", region), ["id"], [F.col("floor_height_m")]).select("id", "floor_height_m")
     return relational.unpivot_heights(found.join(truth, "id"), ["id"], ["ffh1", "ffh2", "ffh3"], "floor_height_m")
 
 
 def _lidar(c: Catalog, region: str | None) -> DataFrame:
-    p = c.scan("clipped_points", region=region)
+    p = _of(c, "clipped_points", region)
     ring = geo.ring_of(F.col("footprint_wkt"))
     clips = c.scan("buildings", region=region).select("id", ring.alias("ring")).withColumn("footprint_area", geo.area(F.col("ring")))
     return pointcloud.full_record(p, clips.join(p.select("id").distinct(), "id", "left_semi"), "id").drop("ring")
 
 
 def _qa(c: Catalog, region: str | None) -> DataFrame:
-    p = c.scan("points", region=region).withColumn("pid", F.concat_ws("-", "tile_id", "point_id"))
+    p = _of(c, "points", region).withColumn("pid", F.concat_ws("-", "tile_id", "point_id"))
     return qa.report(p.select("tile_id").distinct(), qa.run_checks(p, "tile_id"), "tile_id", pointcloud.density_grid(p, "tile_id", 1.0))
 
 
 STAGES = (
     Definition("stage01", ("1", "clip"), ("buildings", "points"), _clip, ("id", "x", "y", "z")),
     Definition("stage02a", ("2a", "harvest"), ("buildings", "panoramas"), _harvest, ("id", "edge_idx", "view_type", "pano_id")),
+    Definition("stage02b", ("2b", "downloads"), ("candidate_views", "buildings", "pano_files"), _downloads, views.VIEW),
     Definition("stage04b", ("4b", "best-view"), ("detections", "candidate_views", "image_scores"), _best, ("id",)),
     Definition("stage06", ("6", "ground"), ("clipped_points",), _ground, ("id",)),
     Definition("stage07", ("7", "ffh", "floors"), ("features", "ground"), _heights, ("id",)),

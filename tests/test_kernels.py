@@ -54,23 +54,130 @@ def test_hull_holds_every_point(points):
 def test_simplify_and_buffer():
     ring = np.array([[0, 0], [5, 0.01], [10, 0], [10, 10], [0, 10]], dtype=float)
     assert len(k.simplify(ring, 0.1)) == 4 and len(k.simplify(ring, 0.001)) == 5
-    square = np.array([[0, 0], [10, 0], [10, 10], [0, 10]], dtype=float)
-    assert k.shoelace(k.mitre_buffer(square, 5.0)) == pytest.approx(400.0)
 
 
-def test_noise_and_cloth():
+def in_pieces(ring, x, y, d, limit=5.0):
+    """The buffer as plain Python: the ring, a rectangle a side, a (cut) kite a left turn."""
+    inside = False
+    n = len(ring)
+    for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1], strict=True):
+        if (ay > y) != (by > y) and x < (bx - ax) * (y - ay) / (by - ay) + ax:
+            inside = not inside
+    if inside:
+        return True
+    for i in range(n):
+        a, b, c = (np.array(ring[(i + j) % n]) for j in range(3))
+        u, v, q = (b - a) / np.hypot(*(b - a)), (c - b) / np.hypot(*(c - b)), np.array([x, y])
+        n1, n2 = np.array([u[1], -u[0]]), np.array([v[1], -v[0]])
+        if 0 <= (q - a) @ u <= np.hypot(*(b - a)) and 0 <= (q - a) @ n1 <= d:
+            return True
+        if u[0] * v[1] - u[1] * v[0] > 0 and (q - b) @ u >= 0 >= (q - b) @ v and max((q - b) @ n1, (q - b) @ n2) <= d:
+            m = (n1 + n2) / np.hypot(*(n1 + n2))
+            if (q - b) @ m <= limit * d:
+                return True
+    return False
+
+
+#: A square, an L with a corner that turns right, a sharp spike, and the L clockwise.
+RINGS = [
+    [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0)],
+    [(0.0, 0.0), (12.0, 0.0), (12.0, 4.0), (3.0, 4.0), (3.0, 9.0), (0.0, 9.0)],
+    [(0.0, 0.0), (20.0, 0.5), (0.0, 1.0)],
+]
+
+
+def test_mitred_buffers_are_brute_force(spark):
+    rng = np.random.default_rng(5)
+    points = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(-12, 50, (4000, 2)))]
+    rows = [(i, r if i < 3 else r[::-1]) for i, r in enumerate([*RINGS, RINGS[1]])]
+    rings = spark.createDataFrame([(i, [{"x": x, "y": y} for x, y in r]) for i, r in rows], "id long, ring array<struct<x: double, y: double>>")
+    p = spark.createDataFrame(points, "pid long, x double, y double")
+    got = {(r["id"], r["pid"]) for r in spatial.points_in_buffers(p, rings, 7.0, 5.0).collect()}
+    want = {(i, pid) for i, r in enumerate([*RINGS, RINGS[1]]) for pid, x, y in points if in_pieces(r, x, y, 5.0)}
+    assert got == want
+    # the square's buffer is a square; the right-turning corner adds no kite; the spike is cut
+    square = {pid for i, pid in got if i == 0}
+    assert square == {pid for pid, x, y in points if -5 <= x <= 15 and -5 <= y <= 15}
+    assert {pid for i, pid in got if i == 1} == {pid for i, pid in got if i == 3}
+    assert max(x for pid, x, y in points if (2, pid) in got) <= 20 + 5 * 5.0 + 1e-9
+
+
+def test_simplified_rings(spark):
+    ring = [{"x": x, "y": y} for x, y in ((0.0, 0.0), (5.0, 0.01), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0))]
+    flat = [{"x": float(x), "y": 0.0} for x in range(5)]
+    df = spark.createDataFrame([(1, ring), (2, flat)], "id long, ring array<struct<x: double, y: double>>")
+    got = {r["id"]: len(r["ring"]) for r in k.simplified(df, 0.1).collect()}
+    assert got == {1: 4, 2: 5}
+
+
+def test_hulls_that_overlap(spark):
+    square = lambda x, y, s: [{"x": x + a * s, "y": y + b * s} for a, b in ((0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0))]
+    diamond = [{"x": 5.0 + a, "y": 5.0 + b} for a, b in ((2.0, 0.0), (0.0, 2.0), (-2.0, 0.0), (0.0, -2.0))]
+    b = spark.createDataFrame([(1, square(0.0, 0.0, 5.0)), (2, diamond), (3, square(5.0, 0.0, 3.0)), (4, square(40.0, 40.0, 2.0))], "id long, ring array<struct<x: double, y: double>>")
+    assert {(r["id"], r["bid"]) for r in spatial.overlapping(b, 4.0).collect()} == {(1, 2), (2, 1)}  # the third only touches
+    area = k.convex_overlap(np.array([[p["x"], p["y"]] for p in square(0.0, 0.0, 5.0)]), np.array([[p["x"], p["y"]] for p in diamond]))
+    assert area == pytest.approx(2.0)  # a quarter of the diamond
+
+
+def test_buildings_that_overlap_do_not_block(spark):
+    """A target, a blocker between it and the camera, and a neighbour that overlaps the target and reaches before it."""
+    box = lambda x0, y0, x1, y1: [{"x": x0, "y": y0}, {"x": x1, "y": y0}, {"x": x1, "y": y1}, {"x": x0, "y": y1}]
+    cameras = spark.createDataFrame([(1, 5.0, -25.0), (2, 35.0, 5.0)], "pano_id long, x double, y double")
+    target, neighbour, blocker = (1, box(0.0, 0.0, 10.0, 10.0)), (2, box(-2.0, -3.0, 12.0, 1.0)), (3, box(0.0, -15.0, 10.0, -12.0))
+    seen = {}
+    for name, rows in (("alone", [target]), ("neighbour", [target, neighbour]), ("blocker", [target, neighbour, blocker])):
+        b = spark.createDataFrame(rows, "id long, ring array<struct<x: double, y: double>>")
+        walls = spatial.edges_of(b).select(F.col("id").alias("bid"), "ax", "ay", "bx", "by")
+        rays = spatial.candidate_views(b, cameras)
+        free = spatial.visible(rays, walls, 40.0, ("id", "edge_idx", "pano_id"), spatial.overlapping(b, 40.0))
+        seen[name] = {(r["edge_idx"], r["pano_id"]) for r in free.collect() if r["id"] == 1}
+    assert seen["alone"] == seen["neighbour"] == {(0, 1), (1, 2)}
+    assert seen["blocker"] == {(1, 2)}
+
+
+def numbered(spark, xyz, classification=2):
+    rows = [(1, i, *map(float, p), classification) for i, p in enumerate(xyz)]
+    return spark.createDataFrame(rows, "tile long, pid long, x double, y double, z double, classification int")
+
+
+def plain_noise(xyz, n):
+    d = np.sqrt(((xyz[:, None] - xyz[None]) ** 2).sum(2))
+    away = []
+    for i, row in enumerate(d):
+        near = xyz[[j for j in np.argsort(row, kind="stable") if j != i][:n]]
+        c = near.mean(0)
+        away.append(abs((xyz[i] - c) @ np.linalg.svd(near - c)[2][2]))
+    return 1.4826 * np.median(np.abs(away - np.median(away)))
+
+
+def test_noise_and_cloth(spark):
     rng = np.random.default_rng(1)
     x, y = np.meshgrid(np.arange(12.0), np.arange(12.0))
     flat = np.stack([x.ravel(), y.ravel(), np.zeros(144)], axis=1)
-    assert k.plane_noise(flat) < 1e-9
-    rough = flat + np.array([0, 0, 1]) * rng.normal(0, 0.2, (144, 1))
-    assert k.plane_noise(rough) > 0.05
+    level = lambda p, n: qa.noise_levels(numbered(spark, p), ["tile"], n).first()["noise_level"]
+    assert level(flat, 10) < 1e-9
+    rough = rng.uniform(0, 12, (150, 3)) * np.array([1, 1, 0.05])
+    assert level(rough, 10) == pytest.approx(plain_noise(rough, 10), abs=1e-9)
+    issues = {(r["issue_type"], r["severity"]): r["value"] for r in qa.noise(numbered(spark, rough), "tile", most=0.02).collect()}
+    assert issues == {("noise", "error"): pytest.approx(plain_noise(rough, 15), abs=1e-9)}
     roof = flat.copy()
     roof[(roof[:, 0] > 4) & (roof[:, 0] < 8) & (roof[:, 1] > 4) & (roof[:, 1] < 8), 2] = 5.0
-    ground = k.cloth_ground(roof)
-    assert ground[roof[:, 2] == 0].mean() > 0.9 and not ground[roof[:, 2] == 5].any()
+    kept = {r["pid"] for r in k.ground_points(numbered(spark, roof), "tile").collect()}
+    low = set(np.flatnonzero(roof[:, 2] == 0).tolist())
+    assert len(kept & low) > 0.9 * len(low) and not kept - low
     far = np.vstack([flat, [[100.0, 100.0, 50.0]]])
-    assert not k.statistical_inliers(far)[-1] and k.statistical_inliers(far)[:-1].all()
+    assert {r["pid"] for r in k.ground_points(numbered(spark, far), "tile").collect()} == set(range(144))
+    # clearly noisy cells: 36 cells of ten metres with 120 points each
+    cells = np.concatenate([rng.uniform(0, 10, (120, 3)) * np.array([1, 1, 0.4]) + np.array([10.0 * i, 10.0 * j, 0]) for i in range(6) for j in range(6)])
+    found = {(r["issue_type"], r["severity"]): r["value"] for r in qa.noise(numbered(spark, cells), "tile").collect()}
+    assert 30 <= found[("noise", "warning")] <= 36 and ("noise", "error") in found
+
+
+def test_gaps_in_time(spark):
+    rows = [(1, i, float(i) if i < 300 else float(i + 500), 0.0 if i < 300 else 0.5) for i in range(600)]
+    df = spark.createDataFrame(rows, "tile long, pid long, gps_time double, z double")
+    got = [(r["gps_time"], r["step"], r["jump"]) for r in pc.gps_gaps(df, "tile", ["pid"]).collect()]
+    assert got == [(800.0, 501.0, 0.5)]
 
 
 def test_grid_joins_are_brute_force(spark):
