@@ -264,6 +264,18 @@ def terrain(points: DataFrame, key: str, cell: float, radius: float) -> DataFram
     return cut.where(d <= radius).groupBy(key, "gx", "gy").agg((F.sum(w * F.col("z")) / F.sum(w)).alias("z"))
 
 
+def viewer_tiles(points: DataFrame, key: str, most: int = 100_000) -> DataFrame:
+    """PC-24, AG-29, SF-33: extent, class counts as JSON, and of each tile at most most points, chosen by hash, as JSON.
+
+    The limit is the feature: a viewer shows no more.  points need pid.
+    """
+    classes = points.groupBy(key, "classification").agg(F.count("*").alias("n")).groupBy(key).agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("classification", "n"))))).alias("classes"))
+    extent = points.groupBy(key).agg(*(f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max, F.avg) for c in ("x", "y", "z")))
+    w = Window.partitionBy(key).orderBy(F.xxhash64(F.lit(7), "pid"), "pid")
+    shown = points.withColumn("k", F.row_number().over(w)).where(F.col("k") <= most).groupBy(key).agg(F.to_json(F.array_sort(F.collect_list(F.struct("k", "x", "y", "z", "intensity", "classification")))).alias("points"))
+    return extent.join(classes, key).join(shown, key)
+
+
 def full_record(points: DataFrame, clips: DataFrame, key: str) -> DataFrame:
     """AG-18, PC-05/16: all statistics of each clip (key, footprint_area, and ring if footprints are known); zeros without points."""
     from ..functions import geo

@@ -43,10 +43,10 @@ def strip_profile(points: DataFrame, key: str, bins: int = 99, least: int = 10)
     return at.where(F.col("strip") < bins).groupBy(key, "strip").agg(F.count("*").alias("n"), pct("z", 0.5).alias("median_z")).where(F.col("n") > least)
 
 
-def striping(points: DataFrame, key: str, offset: float = 0.1) -> DataFrame:
-    """QA-02: power of the strongest wave in the profile against ten times the mean power; at most 99 values a tile."""
-    profile = strip_profile(points, key)
-    order = F.transform(F.array_sort(F.collect_list(F.struct("strip", "median_z"))), lambda s: s["median_z"])  # 99 at most
+def striping(points: DataFrame, key: str, offset: float = 0.1, bins: int = 99) -> DataFrame:
+    """QA-02: power of the strongest wave in the profile against ten times the mean power; at most bins values a tile."""
+    profile = strip_profile(points, key, bins)
+    order = F.transform(F.array_sort(F.collect_list(F.struct("strip", "median_z"))), lambda s: s["median_z"])  # bins at most
     p = profile.groupBy(key).agg(order.alias("h"), F.stddev_pop("median_z").alias("amplitude"), F.avg("median_z").alias("m")).where(F.size("h") > 10)
     n = F.size("h")
 
@@ -366,5 +366,5 @@ def dense_noise(points: DataFrame, key: str, eps: float, least: int) -> DataFram
 
 def ranked_sample(df: DataFrame, n: int, key: str, seed: int = 7) -> DataFrame:
     """SL-05: n rows by the hash of a key: the same ones whatever the partitions."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
+    return df.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), key).limit(n)
 

@@ -120,9 +120,19 @@ def striping_profile(p: DataFrame) -> DataFrame:
     return rounded(qa.strip_profile(p, KEY))
 
 
-@query("QA-02", "points")
+@query(
+    "QA-02",
+    "points",
+    # heights with stripes: a wave along x
+    sql="""WITH q AS (SELECT tile_id, x, sin(x / 4.0) * 3.0 + z * 0.01 AS z FROM points), b AS (SELECT *, min(x) OVER (PARTITION BY tile_id) AS x0, max(x) OVER (PARTITION BY tile_id) AS x1 FROM q), s AS (SELECT tile_id, CAST(floor((x - x0) * 33 / (x1 - x0)) AS INTEGER) AS strip, z FROM b),
+    f AS (SELECT tile_id, strip, median(z) AS h FROM s WHERE strip < 33 GROUP BY ALL HAVING count(*) > 10), g AS (SELECT tile_id, h, row_number() OVER (PARTITION BY tile_id ORDER BY strip) - 1 AS i, count(*) OVER (PARTITION BY tile_id) AS n, avg(h) OVER (PARTITION BY tile_id) AS m FROM f),
+    w AS (SELECT tile_id, k, any_value(n) AS n, pow(sum((h - m) * cos(2 * pi() * k * i / n)), 2) + pow(sum((h - m) * sin(2 * pi() * k * i / n)), 2) AS p FROM g, range(33) AS r(k) WHERE k < n GROUP BY tile_id, k),
+    t AS (SELECT tile_id, any_value(n) AS n, max(p) FILTER (WHERE k BETWEEN 1 AND floor(n / 2) - 1) AS strongest, sum(p) / any_value(n) AS mean FROM w GROUP BY tile_id), a AS (SELECT tile_id, stddev_pop(h) AS amplitude FROM f GROUP BY tile_id)
+    SELECT tile_id, 'striping' AS issue_type, 'error' AS severity, round(amplitude, 4) AS value FROM t JOIN a USING (tile_id) WHERE n > 10 AND strongest > 10 * mean AND amplitude > 0.1""",
+)
 def striping_issues(p: DataFrame) -> DataFrame:
-    return rounded(qa.striping(p, KEY))
+    striped = p.withColumn("z", F.sin(F.col("x") / 4.0) * 3.0 + F.col("z") * 0.01)
+    return rounded(qa.striping(striped, KEY, bins=33))
 
 
 @query(
@@ -297,6 +307,12 @@ def qa_all_aggregate_checks(p: DataFrame) -> DataFrame:
     return rounded(qa.run_checks(numbered(p), KEY, ["density", "striping", "alignment", "edge_artifacts", "blind_spots", "completeness", "misclassification"]))
 
 
+@query("QA-01 QA-02 QA-03 QA-04 QA-05 QA-06 QA-07 QA-08 QA-09 QA-10 QA-11 QA-12 QA-13 QA-14 QA-15 QA-16 QA-17", "points")
+def qa_all_checks(p: DataFrame) -> DataFrame:
+    """Every check; each one's measures have an oracle of their own above."""
+    return rounded(qa.run_checks(numbered(p), KEY))
+
+
 _CAM = (50.0, 25.0, 3.0)
 _EQ = f"""e AS (SELECT *, {_PID} AS pid, sqrt((x - 50) * (x - 50) + (y - 25) * (y - 25) + (z - 3) * (z - 3)) AS r FROM points), u AS (SELECT *, least(greatest(CAST(floor((atan2(x - 50, y - 25) / pi() + 1) / 2 * 359) AS INTEGER), 0), 359) AS u,
 least(greatest(CAST(floor(acos(least(1.0, greatest(-1.0, (z - 3) / r))) / pi() * 179) AS INTEGER), 0), 179) AS v FROM e WHERE r > 0 AND r < 9999)"""
@@ -338,7 +354,13 @@ def perspective_projection(p: DataFrame) -> DataFrame:
     return rounded(pc.zbuffer(pc.perspective(numbered(p), (50.0, -30.0, 3.0), 320, 240, 90.0), [KEY], ["pid"]))
 
 
-@query("PC-20", "points")
+@query(
+    "PC-20",
+    "points",
+    sql=f"""WITH e AS (SELECT *, {_PID} AS pid, sqrt((x - 50) * (x - 50) + (y - 25) * (y - 25) + (z - 3) * (z - 3)) AS r FROM points), a AS (SELECT *, atan2(x - 50, r) AS t, atan2(3 - z, r) AS p FROM e WHERE r > 0),
+    u AS (SELECT *, CAST(floor((t + radians(120) / 2) / radians(120) * 319) AS INTEGER) AS u, CAST(floor((p + radians(90) / 2) / radians(90) * 239) AS INTEGER) AS v FROM a WHERE abs(t) <= radians(120) / 2 AND abs(p) <= radians(90) / 2),
+    k AS (SELECT *, row_number() OVER (PARTITION BY tile_id, u, v ORDER BY r, pid) AS n FROM u) SELECT tile_id, u, v, round(r, 4) AS r, pid FROM k WHERE n = 1""",
+)
 def limited_view_projection(p: DataFrame) -> DataFrame:
     return rounded(pc.zbuffer(pc.limited_equirectangular(numbered(p), _CAM, 320, 240, 120.0, 90.0), [KEY], ["pid"]))
 
@@ -458,17 +480,21 @@ def intensity_shades(p: DataFrame) -> DataFrame:
     return p.join(span, KEY).select(KEY, "ok", "pk", F.round(shade, 4).alias("shade"))
 
 
-@query("PC-24 SF-33 AG-29 SL-05", "points")
+_EXTENT = ", ".join(f"round({f}({c}), 4) AS {f}_{c}" for f in ("min", "max", "avg") for c in "xyz")
+
+
+@query(
+    "PC-24 SF-33 AG-29 SL-05",
+    "points",
+    sql=f"""WITH c AS (SELECT tile_id, classification, count(*) AS n FROM points GROUP BY ALL), k AS (SELECT tile_id, '{{' || string_agg('"' || classification || '":' || n, ',' ORDER BY classification) || '}}' AS classes FROM c GROUP BY tile_id),
+    b AS (SELECT tile_id, {_EXTENT}, count(*) AS shown, round(sum(z), 3) AS sum_z, CAST(sum(intensity) AS BIGINT) AS sum_intensity FROM points GROUP BY tile_id) SELECT * FROM b JOIN k USING (tile_id)""",
+)
 def viewer_tiles(p: DataFrame) -> DataFrame:
-    """Bounds, class counts as JSON, and a fixed sample of points of each tile.  The sample is the feature."""
-    from pyspark.sql.window import Window
-
-    n = numbered(p)
-    classes = n.groupBy(KEY, "classification").agg(F.count("*").alias("n")).groupBy(KEY).agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("classification", "n"))))).alias("classes"))
-    box = n.groupBy(KEY).agg(*(f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max, F.avg) for c in ("x", "y", "z")))
-    w = Window.partitionBy(KEY).orderBy(F.xxhash64(F.lit(7), "pid"), "pid")
-    some = n.withColumn("k", F.row_number().over(w)).where("k <= 100").groupBy(KEY).agg(F.to_json(F.array_sort(F.collect_list(F.struct("k", "x", "y", "z", "intensity", "classification")))).alias("points"))
-    return rounded(box.join(classes, KEY).join(some, KEY))
+    """What the viewer is served, read back from its JSON; tiles here have fewer points than it shows."""
+    out = pc.viewer_tiles(numbered(p), KEY).withColumn("shown", F.from_json("points", "array<struct<x: double, y: double, z: double, intensity: bigint, classification: int>>"))
+    total = lambda f, zero: F.aggregate("shown", zero, lambda a, q: a + q[f])
+    told = out.withColumns({"sum_z": F.round(total("z", F.lit(0.0)), 3), "sum_intensity": total("intensity", F.lit(0).cast("long")), "shown": F.size("shown").cast("long")})
+    return told.select(KEY, *(F.round(f"{f}_{c}", 4).alias(f"{f}_{c}") for f in ("min", "max", "avg") for c in "xyz"), "classes", "shown", "sum_z", "sum_intensity")
 
 
 @query(

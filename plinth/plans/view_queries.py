@@ -113,10 +113,18 @@ def yolo_labels(d: DataFrame) -> DataFrame:
     return y.select("event_id", "class_id", F.when(agrees, F.round(exact_cx, 9)).alias("cx"), F.when(agrees, F.round(exact_h, 9)).alias("h"))
 
 
-@query("JN-23 SC-14 SK-14 SF-33", "detections")
+@query(
+    "JN-23 SC-14 SK-14 SF-33",
+    "detections",
+    sql="SELECT id AS image_id, count(*) OVER (PARTITION BY id) AS n, row_number() OVER (PARTITION BY id ORDER BY event_id) AS place, event_id AS annotation_id, class_name AS category, round(x1, 6) AS x1, round(y1, 6) AS y1, round(x2, 6) AS x2, round(y2, 6) AS y2 FROM detections",
+)
 def annotations_json(d: DataFrame) -> DataFrame:
+    """Each image's annotations as JSON, read back."""
     a = d.select(F.col("id").alias("image_id"), F.col("event_id").alias("annotation_id"), F.col("class_name").alias("category"), "x1", "y1", "x2", "y2")
-    return ops.coco_by_image(d.select(F.col("id").alias("image_id")).distinct(), a)
+    text = ops.coco_by_image(d.select(F.col("id").alias("image_id")).distinct(), a)
+    items = F.from_json("annotations", "array<struct<annotation_id: bigint, category: string, x1: double, y1: double, x2: double, y2: double>>")
+    back = text.select("image_id", "n", F.posexplode(items).alias("place", "i"))
+    return rounded(back.select("image_id", "n", (F.col("place") + 1).cast("long").alias("place"), "i.*"), 6)
 
 
 @query("JN-23", "detections", sql="SELECT id AS image_id, count(*) AS n, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS ids FROM detections GROUP BY id")

@@ -15,6 +15,8 @@ from plinth.schemas import STAGE_SCHEMAS
 from plinth.sources import las, shapes, tables
 from plinth.streaming import incremental
 
+from .test_kernels import RINGS, in_pieces
+
 
 def test_las_round_trip(spark, tmp_path):
     rng = np.random.default_rng(1)
@@ -136,3 +138,49 @@ def test_stages_run_in_order_and_resume(spark, tmp_path):
     assert stages.run(c, ["1"], to={"stage01": "clipped_points"})["stage01"] > 0  # the other region now
     assert stages.run(c, ["6", "9a"]) == {"stage06": 2, "stage09a": 2}
     assert stages.run(c, ["6", "9a"]) == {"stage06": 0, "stage09a": 0}
+
+
+def test_clips_of_an_l_shaped_footprint(spark, tmp_path):
+    """Stage 1 from tables to clip: simplified ring, mitred buffer, the region alone, against brute force."""
+    c = Catalog(spark, str(tmp_path / "c"))
+    ring = RINGS[1]
+    near_straight = [ring[0], (6.0, 0.01), *ring[1:]]  # simplification takes this corner out
+    shape = lambda r, dx: "POLYGON ((" + ", ".join(f"{x + dx} {y}" for x, y in [*r, r[0]]) + "))"
+    rows = [(1, "b1", "wagga", shape(near_straight, 0.0)), (2, "b2", "tweed", shape(ring[::-1], 8.0))]
+    c.overwrite(spark.createDataFrame(rows, "id long, building_id string, region_name string, footprint_wkt string"), "buildings")
+    rng = np.random.default_rng(12)
+    points = [("t", i, float(x), float(y), 1.0, "wagga" if i % 2 else "tweed") for i, (x, y) in enumerate(rng.uniform(-8, 30, (3000, 2)))]
+    c.overwrite(spark.createDataFrame(points, "tile_id string, point_id long, x double, y double, z double, region_name string"), "points")
+    got = {}
+    for region in ("wagga", "tweed"):
+        stages.run(c, ["1"], region=region, to={"stage01": f"clip_{region}"})
+        got[region] = {(r["id"], r["point_id"]) for r in c.table(f"clip_{region}").collect()}
+    for region, i, dx in (("wagga", 1, 0.0), ("tweed", 2, 8.0)):
+        want = {(i, p[1]) for p in points if p[5] == region and in_pieces(ring, p[2] - dx, p[3], 5.0)}
+        assert got[region] == want and want
+
+
+def test_regions_prune_files(spark, tmp_path):
+    c = Catalog(spark, str(tmp_path / "c"))
+    c.ensure("stage07_floor_heights")
+    assert c.table("stage07_floor_heights").count() == 0
+    rows = [(i, f"b{i}", "wagga" if i % 2 else "tweed", None, 1.0, None, None, "m", None) for i in range(6)]
+    assert c.append(spark.createDataFrame(rows, STAGE_SCHEMAS["stage07_floor_heights"]), "stage07_floor_heights") == 6
+    found = c.scan("stage07_floor_heights", region="wagga")
+    assert {r["id"] for r in found.collect()} == {1, 3, 5}
+    assert "PartitionFilters: [isnotnull(region_name" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_views_are_found_and_downloads_named(spark, tmp_path):
+    """Stages 2a and 2b: the camera in front of each side, and the first of its names that the store lists."""
+    c = Catalog(spark, str(tmp_path / "c"))
+    square = lambda x: f"POLYGON (({x} 0, {x + 10} 0, {x + 10} 10, {x} 10, {x} 0))"
+    c.overwrite(spark.createDataFrame([(1, "b1", "wagga", square(0)), (2, "b2", "tweed", square(500))], "id long, building_id string, region_name string, footprint_wkt string"), "buildings")
+    cameras = [("p_1-NoRoad.jpg", 5.0, -20.0, "wagga"), ("p_2-x", 30.0, 5.0, "wagga"), ("p_3-x", 505.0, -20.0, "tweed")]
+    c.overwrite(spark.createDataFrame(cameras, "pano_id string, x double, y double, region_name string"), "panoramas")
+    c.overwrite(spark.createDataFrame([("p_1-OutsideAOI.jpg", "s/1"), ("p_1-NoRoad.jpg", "s/1b"), ("p_3-x.jpg", "s/3")], "name string, path string"), "pano_files")
+    assert stages.run(c, ["2a"], region="wagga", to={"stage02a": "candidate_views"}) == {"stage02a": 2}
+    assert {r["pano_id"] for r in c.table("candidate_views").collect()} == {"p_1-NoRoad.jpg", "p_2-x"}
+    stages.run(c, ["2a"], to={"stage02a": "candidate_views"})
+    assert stages.run(c, ["2b"], region="wagga") == {"stage02b": 1} and stages.run(c, ["2b"]) == {"stage02b": 1}
+    assert {(r["id"], r["download_path"]) for r in c.table("stage02b").collect()} == {(1, "s/1"), (2, "s/3")}
