@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import gc
-import re
-import tempfile
 import time
-import uuid
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..tables import durable, last_written, release, shared_folder, written  # noqa: F401
+
 #: Fixed value: the ASCII white space that separates words.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -21,43 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir.  Only in local mode, where it may be unset, a folder is made and set."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if held.isDefined():
-            return held.get()
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        at = f"file://{tempfile.mkdtemp(prefix='plinth-')}"
-        spark.sparkContext.setCheckpointDir(at)
-        return spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    return at
-
-
-def durable(df: DataFrame, name: str = "t") -> DataFrame:
-    """df written to the shared folder and read again: lineage ends there and a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/plinth/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _WRITTEN.append(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-#: Tables that durable() wrote since the last release().
-_WRITTEN: list[str] = []
-
-
-def release(spark: SparkSession, since: int = 0, but: tuple[str, ...] = ()) -> None:
-    """Deletes what durable() wrote after its first since tables; to be called when results that read it are stored."""
-    gone = [p for p in _WRITTEN[since:] if p not in but]
-    _WRITTEN[since:] = [p for p in _WRITTEN[since:] if p in but]
-    for at in gone:
-        path = spark._jvm.org.apache.hadoop.fs.Path(at)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def free_shuffles(spark: SparkSession) -> None:
     """Let the JVM drop the shuffle files of finished jobs before the next large one starts."""
     for _ in range(2):  # what Python lets go in the first round the JVM finds in the second

@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import durable
+from .common import durable, last_written, release, written
 from .components import components
 
 SEED = 42
@@ -230,9 +230,11 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     empty table gives an empty result; other columns are ignored.
     """
     docs = durable(with_fingerprint(df, id_col, text_col, shingle), "fingerprints")
+    docs_at, since = last_written(), written() - 1
     fps = durable(docs.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
     roots = components(links(fps.select("fp"), radius))
     member = durable(fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "members")
     named = durable(member.groupBy("root").agg(F.min("least").alias("component_id")), "named")
     told = durable(member.join(named, "root").select("fp", "component_id"), "components")
+    release(df.sparkSession, since, (docs_at, last_written()))
     return docs.join(told, "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
