@@ -5,6 +5,13 @@ of SEEDS independent orders of their shingles, two documents of similarity s hav
 least with probability 1 - (1 - s)^SEEDS, 0.9999974 at 0.8.  Where documents meet, distances are counted over
 vertical bit planes as in simhash.py.
 
+A shingle that very many documents share makes a heavy bucket.  Its members meet in blocks first, each document in
+one.  Those that are not linked yet meet again by a second least hash: members of the largest group of such a finer
+bucket are dealt out over blocks, the others go to each of them, and buckets of one group fall away.  So a large
+group of near copies costs a few copies of each document, a common passage is told apart by the second hash, no task
+holds more than two blocks, and every pair of a bucket that shares a second least hash is compared.  A pair of
+similarity 0.8 shares two of the eight with probability 0.99992.
+
 Fingerprints only find candidates: their radius is loose, and within each component of loose links the sets of
 shingles are compared themselves, so links are exactly those of Jaccard similarity and no loose tree hides one.
 """
@@ -19,18 +26,18 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import durable
+from .common import durable, last_written, release, written
 from .components import components
 from .simhash import SEED, SLICE_BYTES, _Counters
 
 WORDS, SEEDS = 16, 8
 BITS = 64 * WORDS
-#: A bucket above LIMIT is refined by a second and a third least hash; FIRST seeds of a bucket are searched one by one.
-LIMIT, LEVELS, FIRST = 1 << 13, 3, 24
+#: Documents of a bucket above which it is heavy, and of a block; FIRST seeds of a bucket are searched one by one.
+LIMIT, FIRST = 1 << 13, 24
 #: Buckets up to this size are compared pair by pair, many buckets at once; pairs of one go.
 SMALL, PAIRS = 48, 1 << 13
-#: Loose components above this many shingles are dealt in blocks, each block with each.
-BLOCK = 1 << 20
+#: Shingles of a loose component above which it is heavy, and of a block.
+BLOCK = 1 << 18
 #: Rows with texts or sets that a worker holds as Python objects at once.
 FEW = 256
 _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -286,63 +293,127 @@ def _exact_links(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterat
         yield links(reps, sets)
 
 
-def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """id, component_id for each row with an id: the smallest id of the documents linked by Jaccard similarity of their shingles.
+def first_meeting(rows: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | None]:
+    """rows (key, rep, w, ...) with keys above limit of w cut into blocks, and the rows of these heavy keys, if any."""
+    heavy = durable(rows.groupBy("key").agg(F.ceil(F.sum("w") / limit).cast("int").alias("blocks")).where("blocks > 1"), "heavy")
+    if heavy.isEmpty():
+        return rows, None
+    hot = rows.join(heavy, "key")
+    dealt = hot.withColumn("key", F.xxhash64("key", F.pmod(F.xxhash64("rep"), F.col("blocks"))))
+    return rows.join(heavy, "key", "left_anti").unionByName(dealt.drop("blocks")), hot.drop("blocks")
 
-    A-Z is lowered, words are split at ASCII white space; texts without words are alike.  Equal sets of shingles are
-    compared once.  Rows without an id are left out; an empty table gives an empty result.
+
+def second_meeting(hot: DataFrame, roots: DataFrame, limit: int) -> DataFrame:
+    """key, rep: keys under which all pairs of hot (key, used, least, rep, w) meet that are in different groups.
+
+    roots (node, root) are the groups so far.  Pairs must share a least hash of an order that is not in used.
     """
-    src = df.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("t"))
+    named = hot.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    finer = named.select("key", "used", "rep", "root", "w", F.posexplode("least").alias("k", "m")).where(~F.array_contains("used", F.col("k")))
+    finer = durable(finer.select(F.xxhash64("key", "k", "m").alias("key"), "rep", "root", "w"), "finer")
+    shares = finer.groupBy("key", "root").agg(F.sum("w").alias("w"))
+    largest = shares.groupBy("key").agg(F.count("*").alias("groups"), F.sum("w").alias("all"), F.max(F.struct("w", "root")).alias("top")).where("groups > 1")
+    blocks = lambda w: F.ceil(w / limit).cast("int")
+    largest = largest.select("key", F.col("top.root").alias("main"), blocks(F.col("top.w")).alias("m"), blocks(F.col("all") - F.col("top.w")).alias("o"))
+    is_main = F.col("root") == F.col("main")
+    cut = finer.join(durable(largest, "largest"), "key").withColumn("mine", F.pmod(F.xxhash64("rep"), F.when(is_main, F.col("m")).otherwise(F.col("o"))).cast("int"))
+    to = lambda n, body: F.transform(F.sequence(F.lit(0), F.col(n) - 1), body)
+    with_main = lambda i, j: F.xxhash64("key", F.lit(0), i, j)
+    others = F.transform(F.filter(F.sequence(F.lit(0), F.col("o") - 1), lambda i: i != F.col("mine")), lambda i: F.xxhash64("key", F.lit(1), F.least(i, "mine"), F.greatest(i, "mine")))
+    keys = F.when(is_main, to("o", lambda j: with_main(F.col("mine"), j))).otherwise(F.concat(to("m", lambda i: with_main(i, F.col("mine"))), others))
+    return cut.select(F.explode(keys).alias("key"), "rep")
+
+
+def _named(reps: DataFrame, twice: DataFrame) -> DataFrame:
+    other = reps.join(twice, "first", "left_semi").withColumn("rep", F.xxhash64("whole"))
+    return durable(reps.join(twice, "first", "left_anti").withColumn("rep", F.col("first")).unionByName(other), "reps")
+
+
+def _groups(df: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float) -> DataFrame:
+    """id, th (hash of the text), component_id for each row with an id."""
+    text = F.col(f"`{text_col}`").cast("string")
+    src = df.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("th"), text.alias("t"))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = np.cumsum([len(t or "") for t in batch.column(1).to_pylist()]) // SLICE_BYTES
+            sizes = np.cumsum([len(t or "") for t in batch.column(2).to_pylist()]) // SLICE_BYTES
             edges = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), batch.num_rows] if batch.num_rows else []
             for a, b in zip(edges[:-1], edges[1:], strict=True):
-                sets = [shingle_set(t, shingle) for t in batch.column(1).slice(a, b - a).to_pylist()]
+                part = batch.slice(a, b - a)
+                sets = [shingle_set(t, shingle) for t in part.column(2).to_pylist()]
                 prints, least = wide_fingerprints(sets)
                 flat = least.view(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, flat.size + 1, SEEDS, dtype=np.int32)), pa.array(flat.ravel()))
                 own = [pa.array([_whole(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int32())]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *own, pa.array([p.tobytes() for p in prints], pa.binary()), lists], names=["id", "whole", "size", "print", "least"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], *own, pa.array([p.tobytes() for p in prints], pa.binary()), lists], names=["id", "th", "whole", "size", "print", "least"])
 
-    docs = durable(src.mapInArrow(sketch, "id bigint, whole binary, size int, print binary, least array<bigint>"), "sketches")
+    docs = durable(src.mapInArrow(sketch, "id bigint, th bigint, whole binary, size int, print binary, least array<bigint>"), "sketches")
+    docs_at, since = last_written(), written() - 1
     # documents with one set of shingles, by its 128-bit hash, stand for each other
-    reps = durable(docs.groupBy("whole", "size", "print", "least").agg(F.min("id").alias("rep")), "reps")
-    rows = reps.select("rep", "print", "least", F.posexplode("least").alias("k", "m")).select("rep", "print", "least", F.xxhash64("k", "m").alias("key"))
-    for _ in range(LEVELS - 1):
-        hot = durable(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > LIMIT).select("key"), "hot")
-        if hot.isEmpty():
-            break
-        finer = rows.join(hot, "key", "left_semi").select("rep", "print", "least", "key", F.posexplode("least").alias("k", "m")).select("rep", "print", "least", F.xxhash64("key", "k", "m").alias("key"))
-        rows = durable(rows.join(hot, "key", "left_anti").select("rep", "print", "least", "key").unionByName(finer.where(~F.col("key").isNull())), "refined")
+    reps = durable(docs.groupBy("whole", "size", "print", "least").agg(F.min("id").alias("first")), "reps")
+    # an id that repeats with another text is no name for either
+    twice = durable(reps.groupBy("first").agg(F.count("*").alias("n")).where("n > 1").select("first"), "repeated_ids")
+    reps = reps.withColumn("rep", F.col("first")) if twice.isEmpty() else _named(reps, twice)
+    met = reps.select("rep", "print", "least", F.posexplode("least").alias("k", "m")).select(F.xxhash64("k", "m").alias("key"), F.array("k").alias("used"), "least", "rep", F.lit(1).alias("w"), "print")
     radius = radius_for(similarity)
-    dealt = rows.select("key", "rep", "print").repartition("key").sortWithinPartitions("key")
-    links = dealt.mapInArrow(lambda batches: _bucket_links(batches, radius), "a bigint, b bigint")
+
+    def near(rows: DataFrame) -> DataFrame:
+        dealt = rows.select("key", "rep", "print").repartition("key").sortWithinPartitions("key")
+        return dealt.mapInArrow(lambda batches: _bucket_links(batches, radius), "a bigint, b bigint")
+
+    rows, hot = first_meeting(met, LIMIT)
+    links = durable(near(rows), "near")
+    if hot is not None:
+        again = second_meeting(hot.drop("print"), components(links), LIMIT)
+        links = links.unionByName(near(again.join(reps.select("rep", "print"), "rep")))
     loose = durable(components(links).withColumnRenamed("node", "rep"), "loose")
-    members = durable(reps.select("rep", "whole", "size").join(loose, "rep"), "members")
-    blocks = members.groupBy("root").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("blocks"))
-    asked = members.join(blocks, "root").select(F.col("rep").alias("id"), "whole", "root", "blocks")
+
+    members = durable(reps.select("rep", "first", "whole", F.col("size").alias("w"), "least").join(loose, "rep"), "members")
+    rows, hot = first_meeting(members.select(F.col("root").alias("key"), F.array().cast("array<int>").alias("used"), "least", "rep", "w", "first", "whole"), BLOCK)
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(a, FEW) for b in batches for a in range(0, b.num_rows, FEW)):
-            sets = [shingle_set(t, shingle) for t in batch.column(4).to_pylist()]
-            own = pa.array([_whole(s) == w for s, w in zip(sets, batch.column(3).to_pylist(), strict=True)], pa.bool_())  # an id may repeat with another text
-            told = [*batch.columns[:3], pa.array([s.tobytes() for s in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays(told, names=["rep", "root", "blocks", "shingles"]).filter(own)
+            sets = [shingle_set(t, shingle) for t in batch.column(3).to_pylist()]
+            own = pa.array([_whole(s) == w for s, w in zip(sets, batch.column(2).to_pylist(), strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array([s.tobytes() for s in sets], pa.binary())], names=["key", "rep", "shingles"]).filter(own)
+
+    # a sorted join at every size: how many documents are alike grows with the corpus
+    asked = src.join(rows.select(F.col("first").alias("id"), "key", "rep", "whole").hint("merge"), "id").select("key", "rep", "whole", "t")
+    sets = durable(asked.mapInArrow(shingles, "key bigint, rep bigint, shingles binary"), "sets")
+
+    def alike(rows: DataFrame) -> DataFrame:
+        dealt = rows.select("key", "rep", "shingles").repartition("key").sortWithinPartitions("key")
+        return dealt.mapInArrow(lambda batches: _exact_links(batches, similarity), "a bigint, b bigint")
+
+    links = durable(alike(sets), "alike")
+    if hot is not None:
+        again = second_meeting(hot.drop("first", "whole"), components(links), BLOCK)
+        links = links.unionByName(alike(again.join(sets.select("rep", "shingles").dropDuplicates(["rep"]), "rep")))
+    roots = durable(components(links), "roots")
+    member = durable(reps.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("whole", "first", F.coalesce("root", "rep").alias("root")), "members")
+    named = durable(member.groupBy("root").agg(F.min("first").alias("component_id")), "named")
+    told = durable(member.join(named, "root").select("whole", "component_id"), "components")
+    release(df.sparkSession, since, (docs_at, last_written()))
+    return docs.join(told, "whole").select("id", "th", "component_id")
 
-    sets = src.join(asked, "id").select("id", "root", "blocks", "whole", "t").mapInArrow(shingles, "rep bigint, root bigint, blocks int, shingles binary")
-    mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    pairs = sets.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    keyed = pairs.select(F.xxhash64("root", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"), "rep", "shingles")
-    exact = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(lambda batches: _exact_links(batches, similarity), "a bigint, b bigint")
-    roots = durable(components(exact), "roots")
-    told = durable(reps.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("whole", F.coalesce("root", "rep").alias("component_id")), "components")
-    return docs.join(told, "whole").select(F.col("id").alias(id_col), "component_id")
+
+def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """id, component_id for each row with an id: the smallest id of the documents linked by Jaccard similarity of their shingles.
+
+    A-Z is lowered, words are split at ASCII white space; texts without words are alike.  Equal sets of shingles are
+    compared once.  Ids are integers.  Rows without an id are left out; rows that repeat an id are told apart by
+    their texts; an empty table gives an empty result.
+    """
+    return _groups(df, id_col, text_col, shingle, similarity).select(F.col("id").alias(id_col), "component_id")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of df whose id is the smallest of their group, and rows without an id."""
-    groups = similar_groups(df, id_col, text_col, shingle, similarity)
-    gone = durable(groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone")).distinct(), "copies")
-    return df.join(gone, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
+    """The rows of df whose id is the smallest of their group, and rows without an id.
+
+    A row is known by its id and its text, so a row that repeats an id with another text is judged by its own; rows
+    that repeat both stay or go together.
+    """
+    groups = _groups(df, id_col, text_col, shingle, similarity)
+    gone = durable(groups.where("id <> component_id").select(F.col("id").alias("__i"), F.col("th").alias("__h")).distinct(), "copies")
+    th = F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
+    return df.join(gone, (F.col(f"`{id_col}`") == F.col("__i")) & (th == F.col("__h")), "left_anti")

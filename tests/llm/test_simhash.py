@@ -5,6 +5,7 @@ import re
 import numpy as np
 import xxhash
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from plinth.llm.components import components
 from plinth.llm.simhash import bucket_links, fingerprints, near_groups, tables, within
@@ -146,6 +147,76 @@ def test_links_are_exact(spark, monkeypatch):
         assert told == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 0, 7: 5}
 
 
+def groups(spark, texts):
+    """component of each text by brute force, and by similar_groups()."""
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [{tuple(w[i : i + 5]) for w in [t.split()] for i in range(max(1, len(w) - 4))} for t in texts]
+    want = roots(len(texts), lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]))
+    return want, [r["component_id"] for r in sorted(similar_groups(df).collect(), key=lambda r: r["doc_id"])]
+
+
+def test_common_passage(spark, monkeypatch):
+    """A passage in most documents makes large buckets: none stays above two blocks, and no link is lost."""
+    rng = np.random.default_rng(8)
+    passage = " ".join(f"p{i}" for i in range(80))
+    texts = []
+    for i in range(240):
+        own = [f"d{i}x{j}" for j in range(20)]
+        texts.append(f"{passage} {' '.join(own)}")
+        if i % 4 == 0:
+            texts.append(f"{passage} {' '.join(own)} more {'words' if i % 8 else 'here'}")
+    texts = [texts[i] for i in rng.permutation(len(texts))]
+    sizes = []
+    monkeypatch.setattr(simhash_wide, "LIMIT", 40)
+    monkeypatch.setattr(simhash_wide, "BLOCK", 4000)
+    plain = simhash_wide.first_meeting, simhash_wide.second_meeting
+
+    def biggest(rows, weight):
+        return rows.groupBy("key").agg(F.sum(weight).alias("w")).agg(F.max("w")).first()[0] or 0
+
+    def first(rows, limit):
+        out, hot = plain[0](rows, limit)
+        assert hot is not None and biggest(rows, "w") > 3 * limit
+        sizes.append(biggest(out, "w") / limit)
+        return out, hot
+
+    def second(hot, roots, limit):
+        out = plain[1](hot, roots, limit)
+        sizes.append(biggest(out.join(hot.select("rep", "w").distinct(), "rep"), "w") / limit)
+        return out
+
+    monkeypatch.setattr(simhash_wide, "first_meeting", first)
+    monkeypatch.setattr(simhash_wide, "second_meeting", second)
+    want, got = groups(spark, texts)
+    assert got == want and len(set(want)) == 240
+    # one block each, then two, which hashing fills unevenly
+    assert len(sizes) == 4 and max(sizes[0], sizes[2]) <= 2 and max(sizes[1], sizes[3]) <= 3
+
+
+def test_large_group_of_near_copies(spark, monkeypatch):
+    """All links of a group that is many blocks large, with documents of other groups between them; few copies travel."""
+    rng = np.random.default_rng(9)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(300):
+        own = list(base)
+        for j in rng.choice(120, int(rng.integers(0, 3)), replace=False):
+            own[j] = f"x{i}y{j}"
+        if i % 10 == 0:
+            own[40:80] = [f"z{i}y{j}" for j in range(40)]
+        texts.append(" ".join(own))
+    monkeypatch.setattr(simhash_wide, "LIMIT", 30)
+    monkeypatch.setattr(simhash_wide, "BLOCK", 3000)
+    want, got = groups(spark, texts)
+    assert got == want and 30 < len(set(want)) < 200 and max(want.count(x) for x in set(want)) > 150
+
+
+def test_repeated_ids_are_told_apart(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    df = spark.createDataFrame([(1, a), (2, a + " tail"), (2, b), (3, b + " end"), (2, b), (None, a), (4, c)], "doc_id long, text string")
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in keep_one(df).collect()) == sorted([(1, a), (2, b), (2, b), (0, a), (4, c)])
+
+
 def test_exact_groups_against_brute_force():
     rng = np.random.default_rng(6)
     base = [rng.choice(60, 30, replace=False) for _ in range(5)]
