@@ -16,13 +16,17 @@ def uniform(seed: int, *parts: Column) -> Column:
 
 
 def poisson_cdf(rate: Column) -> Column:
-    """P(X <= k) for k = 0, 1 ... until the rest is below 1e-16, in logarithms, so that any rate will do."""
+    """P(X <= k) for k = 0, 1 ... until the rest is below 1e-16: running sums, in logarithms, so that any rate will do."""
     top = F.ceil(rate + 12 * F.sqrt(rate) + 40).cast("int")
-    logs = F.transform(F.sequence(F.lit(1), top), lambda i: F.ln(i.cast("double")))
-    add = lambda a, x: a + x
-    terms = F.transform(F.concat(F.array(F.lit(0.0)), logs), lambda _, k: F.exp(k * F.ln(rate) - rate - F.aggregate(F.slice(logs, F.lit(1), k), F.lit(0.0), add)))
-    sums = F.transform(terms, lambda _, k: F.aggregate(F.slice(terms, F.lit(1), k + 1), F.lit(0.0), add))
-    return F.when(rate > 0, sums).otherwise(F.array(F.lit(2.0)))
+    none = F.exp(-rate)
+    start = F.struct((-rate).alias("log"), none.alias("sum"), F.array(none).alias("cdf"))
+
+    def step(a: Column, k: Column) -> Column:
+        log = a["log"] + F.ln(rate) - F.ln(k.cast("double"))
+        total = a["sum"] + F.exp(log)
+        return F.struct(log.alias("log"), total.alias("sum"), F.array_append(a["cdf"], total).alias("cdf"))
+
+    return F.when(rate > 0, F.aggregate(F.sequence(F.lit(1), top), start, step, lambda a: a["cdf"])).otherwise(F.array(F.lit(2.0)))
 
 
 def repetition_rates(df: DataFrame, weights: Mapping[str, float], source_col: str, size: Column) -> DataFrame:
