@@ -21,13 +21,16 @@ def split_lines(df: DataFrame, id_col: str, text_col: str, site_col: str) -> Dat
 def widespread(lines: DataFrame, min_sites: int, rsd: float = RSD) -> DataFrame:
     """h1, h2, first (smallest id): the lines that min_sites sites or more have.
 
-    Sketches of a few dozen bytes merge map-side; a line whose estimate is within BAND errors of the threshold
-    (but two at least) is counted exactly, on its distinct (line, site) pairs alone.
+    Sketches of a few dozen bytes merge map-side.  A line with fewer occurrences than sites are asked for, or of one
+    site alone, is out for sure; one whose estimate is within BAND errors of the threshold is counted exactly, on its
+    distinct (line, site) pairs alone.
     """
-    est = lines.groupBy("h1", "h2").agg(F.approx_count_distinct("site", rsd).alias("est"), F.min("id").alias("first"))
-    low = max(1, int(min_sites * (1 - BAND * rsd)))
+    site = F.xxhash64("site")
+    est = lines.groupBy("h1", "h2").agg(F.approx_count_distinct("site", rsd).alias("est"), F.min("id").alias("first"), F.count("*").alias("n"), (F.min(site) < F.max(site)).alias("several"))
+    low = int(min_sites * (1 - BAND * rsd))
     high = int(min_sites * (1 + BAND * rsd)) + 1
-    est = durable(est.where(F.col("est") > (low if min_sites > 1 else 0)), "spread")
+    able = (F.col("n") >= min_sites) & (F.col("several") | F.lit(min_sites < 2)) & (F.col("est") > low)
+    est = durable(est.where(able), "spread")
     sure = est.where(F.col("est") > high).select("h1", "h2", "first")
     near = est.where(F.col("est") <= high).select("h1", "h2", "first")
     pairs = lines.join(near.select("h1", "h2"), ["h1", "h2"], "left_semi").select("h1", "h2", "site").distinct()
