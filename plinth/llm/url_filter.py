@@ -9,6 +9,8 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .common import durable
+
 #: The trie is broadcast only up to this many bytes of rules; beyond it rules are matched by an equi-join.
 MAX_BROADCAST_BYTES = 32 << 20
 _URL = re.compile(r"(?s)^.*?://([^/?#]*)([^?#]*)")
@@ -121,6 +123,7 @@ def _judge_by_join(src: DataFrame, rules: list[Rule], id_col: str, default: str)
     table = spark.createDataFrame([(r.host, r.path, r.verdict, r.name) for r in rules], "rh string, rp string, v string, rule string")
     url = src.select("k", F.monotonically_increasing_id().alias("n"), F.regexp_extract("u", r"(?s)^.*?://([^/?#]*)", 1).alias("h"), F.regexp_extract("u", r"(?s)^.*?://[^/?#]*([^?#]*)", 1).alias("path"))
     url = url.select("k", "n", F.coalesce(F.translate("h", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit("")).alias("host"), F.coalesce("path", F.lit("")).alias("path"))
+    url = durable(url, "urls")  # a row keeps its number when a task is repeated
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, -i, i), "."))
     hits = url.select("n", "path", F.explode(suffixes).alias("rh")).join(table, "rh").where(F.col("path").startswith(F.col("rp")) & (F.col("rh") != ""))
