@@ -111,6 +111,29 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY n) AS keep_id, CAST(count(*) OVER
 FROM t
 """
 
+_LEVEL, _LEAST = quality_rules._tests(quality_rules.STRATA, quality_rules.RISK, quality_rules.DELTA)
+_CUTS = {r: f"[{', '.join(map(str, cuts))}]::DOUBLE[]" for r, cuts in quality_rules.PATH.items()}
+OP5_SQL = f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t, CASE WHEN lang IN {quality_rules.STRATA} THEN lang ELSE '*' END AS stratum FROM documents),
+w AS (SELECT doc_id, stratum, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w FROM t),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM w WHERE len(w) >= 8)),
+twin AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM g) WHERE c > 1),
+rep AS (SELECT doc_id, count(DISTINCT i + o) AS rep FROM twin, range(8) AS r(o) GROUP BY doc_id),
+l AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS dup FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM t) WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
+c AS (SELECT doc_id, stratum, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars, CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(dup, 0) AS n_dup_lines,
+             coalesce(rep, 0) AS n_repeat_words, greatest(coalesce(n_lines, 0), 1) AS lines, greatest(len(w), 1) AS words, len(regexp_extract_all(t, '\\p{{Lu}}')) AS n_upper FROM w LEFT JOIN l USING (doc_id) LEFT JOIN rep USING (doc_id)),
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, n_symbols / words AS symbols_per_word, n_dup_lines / lines AS duplicate_line_share, n_repeat_words / words AS repeated_word_share,
+             word_chars / words AS long_words, -word_chars / words AS short_words, n_upper / greatest(word_chars, 1) AS shouting FROM c),
+h AS (SELECT f.*, (SELECT count(*) FROM range({quality_rules.STEPS}) AS s(j) WHERE NOT ({" OR ".join(f"{r} > ({cuts})[j + 1]" for r, cuts in _CUTS.items())})) AS first
+      FROM f WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
+name AS (SELECT stratum, CASE WHEN count(*) < {_LEAST} THEN '{quality_rules.POOL}' ELSE stratum END AS test FROM h GROUP BY stratum),
+k AS (SELECT test, j, count(*) AS n, count(*) FILTER (WHERE first <= j) AS k FROM h JOIN name USING (stratum), range({quality_rules.STEPS}) AS s(j) GROUP BY test, j),
+p AS (SELECT test, j, k > n * {quality_rules.RISK} AS above, list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({quality_rules.RISK}) + (n - i) * ln(1 - {quality_rules.RISK})))) AS p FROM k),
+step AS (SELECT stratum, max(j) AS step FROM name JOIN p USING (test) WHERE NOT above AND p <= {_LEVEL} GROUP BY stratum),
+v AS (SELECT f.*, concat_ws(',', {", ".join(f"CASE WHEN {r} > ({cuts})[step + 1] THEN '{r}' END" for r, cuts in _CUTS.items())}) AS rejected_by FROM f LEFT JOIN step USING (stratum))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rejected_by = '' AS kept, rejected_by FROM v
+"""
+
 OP9_SQL = f"""
 WITH l AS (SELECT doc_id, coalesce(source, '') AS site, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
 b AS (SELECT line, min(doc_id) AS keeper FROM l WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY line HAVING count(DISTINCT site) >= {MIN_SITES}),
@@ -127,4 +150,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": OP1_SQL, "op2_mixing": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op9_line_dedup": OP9_SQL}
+    return {"op1_url_filter": OP1_SQL, "op2_mixing": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op5_quality_rules": OP5_SQL, "op9_line_dedup": OP9_SQL}
