@@ -1,13 +1,13 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model of characters.
 
 The model is a set of tables (stratum, gram, ...), one for each order, made and joined by Spark in shards; nothing
-of it is broadcast, so it may grow with the trusted text.  Documents are read in packs; a pack asks for its
-distinct n-grams, gets their log probabilities back in one row and scores its documents with them.
+of it is broadcast, so it may grow with the trusted text.  Documents are written once in packs; a pack
+asks for its distinct n-grams, gets their log probabilities back and scores its documents with them.
 """
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -15,7 +15,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import _WRITTEN, durable, free_shuffles, release
+from .common import durable, free_shuffles, last_written, release, written
 
 ORDER, BOS = 5, "\x02"
 #: Characters counted at once, characters of a pack, and the largest table of a lookup.
@@ -119,23 +119,51 @@ def _packs(batches: Iterator[pa.RecordBatch], strata: Sequence[str]) -> Iterator
         yield ids, docs
 
 
-def _digest(ids: list, docs: list[tuple[int, str]]) -> int:
-    h = hashlib.sha256()
-    for key, (s, t) in zip(ids, docs, strict=True):
-        h.update(f"{key}:{s}:{len(t)}:".encode()), h.update(t.encode("utf-8", "surrogatepass"))
-    return int.from_bytes(h.digest()[:8], "little", signed=True)
+def gram_counts(df: DataFrame, strata: Sequence[str]) -> DataFrame:
+    """stratum, gram, n of the distinct n-grams of runs of documents of df (id, s, t); a gram may come in several runs."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, docs in _packs(batches, strata):
+            s, n, grams = _Grams(docs).distinct()
+            yield pa.RecordBatch.from_arrays([pa.array(s.astype(np.int32)), pa.array(grams, pa.string()), pa.array(n)], names=["stratum", "gram", "n"])
 
-def gram_counts(df: DataFrame, strata: Sequence[str]) -> DataFrame:
-    """pack, stratum, gram, n of the distinct n-grams of each pack of df (id, s, t)."""
+    return df.mapInArrow(run, "stratum int, gram string, n bigint")
+
+
+def packed(df: DataFrame, strata: Sequence[str]) -> DataFrame:
+    """pack, blob: runs of documents of df (id, s, t) under a number of their own; to be written before it is used twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3)
         for ids, docs in _packs(batches, strata):
-            s, n, grams = _Grams(docs).distinct()
-            pack = _digest(ids, docs)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), pack, dtype=np.int64)), pa.array(s.astype(np.int32)), pa.array(grams, pa.string()), pa.array(n)], names=["pack", "stratum", "gram", "n"])
+            table = pa.table({"id": pa.array(ids), "s": pa.array([s for s, _ in docs], pa.int32()), "t": pa.array([t for _, t in docs], pa.string())})
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema) as writer:
+                writer.write_table(table)
+            number = int.from_bytes(uuid.uuid4().bytes[:8], "little", signed=True)
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([squeeze.compress(sink.getvalue().to_pybytes())], pa.binary())], names=["pack", "blob"])
+
+    return df.mapInArrow(run, "pack bigint, blob binary")
+
+
+def _unpacked(blob: bytes) -> pa.Table:
+    return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(blob)).read_all().combine_chunks()
 
-    return df.mapInArrow(run, "pack bigint, stratum int, gram string, n bigint")
+
+def _documents(table: pa.Table) -> list[tuple[int, str]]:
+    return list(zip(table["s"].to_pylist(), table["t"].to_pylist(), strict=True))
+
+
+def asked_of(packs: DataFrame) -> DataFrame:
+    """pack, stratum, gram: the distinct n-grams of each pack."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for pack, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                s, _, grams = _Grams(_documents(_unpacked(blob.as_py()))).distinct()
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), pack, dtype=np.int64)), pa.array(s.astype(np.int32)), pa.array(grams, pa.string())], names=["pack", "stratum", "gram"])
+
+    return packs.mapInArrow(run, "pack bigint, stratum int, gram string")
 
 
 def train(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
@@ -191,71 +219,54 @@ def perplexities(df: DataFrame, trusted: DataFrame, strata: Sequence[str] = STRA
     """
     spark = df.sparkSession
     id_type = df.schema["id"].dataType.simpleString()
-    before = len(_WRITTEN)
+    before = written()
+    packs = durable(packed(df, strata), "packs")
+    packs_at = last_written()
     model = train(gram_counts(trusted, strata))
     free_shuffles(spark)
-    asked = durable(gram_counts(df, strata).select("pack", "stratum", "gram"), "asked")
-    asked_at = _WRITTEN[-1]
+    asked = durable(asked_of(packs), "asked")
+    asked_at = last_written()
     known = gram_probabilities(durable(asked.select("stratum", "gram").distinct(), "distinct"), model)
-    # the model is not read again: what is left are the packs' n-grams and the probabilities
-    release(spark, before, (asked_at, _WRITTEN[-1]))
+    # the model is not read again: what is left are the packs, their n-grams and the probabilities
+    release(spark, before, (packs_at, asked_at, last_written()))
     free_shuffles(spark)
     answers = asked.join(known, ["stratum", "gram"]).select("pack", "stratum", "gram", F.col("logp").cast("float").alias("logp"))
     answers = durable(answers, "answers")
-    release(spark, before, (_WRITTEN[-1],))
+    release(spark, before, (packs_at, last_written()))
     free_shuffles(spark)
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=3)
-        for ids, docs in _packs(batches, strata):
-            table = pa.table({"id": pa.array(ids), "s": pa.array([s for s, _ in docs], pa.int32()), "t": pa.array([t for _, t in docs], pa.string())})
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, table.schema) as writer:
-                writer.write_table(table)
-            yield pa.RecordBatch.from_arrays([pa.array([_digest(ids, docs)], pa.int64()), pa.array([squeeze.compress(sink.getvalue().to_pybytes())], pa.binary())], names=["pack", "blob"])
-
-    blobs = df.mapInArrow(pack, "pack bigint, blob binary").select("pack", F.lit(0).alias("part"), F.lit(None).cast("int").alias("stratum"), F.lit(None).cast("string").alias("gram"), F.lit(None).cast("float").alias("logp"), "blob")
+    blobs = packs.select("pack", F.lit(0).alias("part"), F.lit(None).cast("int").alias("stratum"), F.lit(None).cast("string").alias("gram"), F.lit(None).cast("float").alias("logp"), "blob")
     rows = blobs.unionByName(answers.select("pack", F.lit(1).alias("part"), "stratum", "gram", "logp", F.lit(None).cast("binary").alias("blob")))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, blob, held = None, [], []
-
-        def told():
-            if name is None:
-                return
-            if not blob:
-                raise RuntimeError("answers to a pack that is not there: documents changed between two reads")
-            s = np.concatenate([h[0] for h in held]) if held else np.zeros(0, np.int64)
-            value = np.concatenate([h[2] for h in held]) if held else np.zeros(0)
-            grams = [g for h in held for g in h[1]]
-            for raw in blob:
-                docs = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(raw)).read_all()
-                own = _Grams(list(zip(docs["s"].to_pylist(), docs["t"].to_pylist(), strict=True)))
-                if own.sizes.sum() and not len(grams):
-                    raise RuntimeError("a pack without answers: documents changed between two reads")
-                total = own.scores(s, grams, value) if own.sizes.sum() else np.zeros(len(own.sizes))
-                n = own.sizes
-                ppl = np.exp(-total / np.maximum(n, 1))
-                yield pa.RecordBatch.from_arrays([docs["id"].combine_chunks() if docs["id"].num_chunks != 1 else docs["id"].chunk(0), docs["s"].combine_chunks() if docs["s"].num_chunks != 1 else docs["s"].chunk(0), pa.array(n), pa.array(ppl, mask=n == 0)], names=["id", "stratum", "n_chars", "perplexity"])
+        name, blob, held = None, None, []
+
+        def told() -> pa.RecordBatch:
+            docs = _unpacked(blob)
+            own = _Grams(_documents(docs))
+            n, total = own.sizes, np.zeros(len(own.sizes))
+            if n.sum():
+                s, value = (np.concatenate([h[k] for h in held]) for k in (0, 2))
+                total = own.scores(s, [g for h in held for g in h[1]], value)
+            ppl = np.exp(-total / np.maximum(n, 1))
+            flat = [docs[c].chunk(0) for c in ("id", "s")]
+            return pa.RecordBatch.from_arrays([*flat, pa.array(n), pa.array(ppl, mask=n == 0)], names=["id", "stratum", "n_chars", "perplexity"])
 
         for batch in batches:
-            names = batch.column(0).to_pylist()
-            at = 0
-            while at < len(names):
-                end = at + 1
-                while end < len(names) and names[end] == names[at]:
-                    end += 1
+            names = batch.column(0).to_numpy()
+            edges = [0, *(np.flatnonzero(names[1:] != names[:-1]) + 1).tolist(), len(names)] if len(names) else []
+            for at, end in zip(edges[:-1], edges[1:], strict=True):
                 if names[at] != name:
-                    yield from told()
-                    name, blob, held = names[at], [], []
+                    if name is not None:
+                        yield told()
+                    name, blob, held = names[at], None, []
                 part = batch.slice(at, end - at)
-                kinds = part.column(1).to_numpy()
-                blob += [b for b in part.column(5).to_pylist() if b is not None]
-                mine = part.filter(pa.array(kinds == 1))
-                if mine.num_rows:
-                    held.append((mine.column(2).to_numpy(zero_copy_only=False).astype(np.int64), mine.column(3).to_pylist(), mine.column(4).to_numpy(zero_copy_only=False).astype(float)))
-                at = end
-        yield from told()
+                if part.column(1)[0].as_py() == 0:  # the pack comes before its answers
+                    blob = part.column(5)[0].as_py()
+                    part = part.slice(1)
+                if part.num_rows:
+                    held.append((part.column(2).to_numpy(zero_copy_only=False).astype(np.int64), part.column(3).to_pylist(), part.column(4).to_numpy(zero_copy_only=False).astype(float)))
+        if name is not None:
+            yield told()
 
     dealt = rows.repartition("pack").sortWithinPartitions("pack", "part")
     return dealt.mapInArrow(score, f"id {id_type}, stratum int, n_chars bigint, perplexity double")

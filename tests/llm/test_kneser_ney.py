@@ -74,6 +74,17 @@ def test_empty(spark, nothing):
     assert kn.classify(nothing, labels).count() == 0
 
 
+def test_awkward_rows(spark, awkward, rows):
+    """Nulls, very long texts, repeated rows and clashing columns; good documents make a model, others none."""
+    labels = spark.createDataFrame([(i, 1) for i in range(100, 140)] * 2 + [(None, 1), (4, None)], "doc_id long, quality int")
+    out = kn.classify(awkward, labels).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"]) for r in out if r["doc_id"] is not None) == sorted((False, r[0]) for r in rows if r[0] is not None)
+    assert len(out) == len(rows) and all((r["n_chars"] == 0) == (r["perplexity"] is None) for r in out)
+    four = [r for r in out if r["doc_id"] == 4]
+    assert len(four) == 2 and four[0] == four[1]
+    assert not any(r["kept"] for r in out if r["perplexity"] is None)
+
+
 def test_fifth_character_counts(spark):
     """What follows bcd hangs on the character before it, which a model of order 4 does not see."""
     trusted = spark.createDataFrame([(i, "en", "abcdx " * 20 + "zbcdy " * 20) for i in range(20)], "id long, s string, t string")
