@@ -19,14 +19,20 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, functions as F
 
 from .bwt import ShardBwt, repeated
-from .common import durable, free_shuffles, shuffle_width, spread
+from ..operators.relational import numbered
+from .common import durable, free_shuffles, last_written, release, shuffle_width, written
 
 LENGTH, ANCHOR = 50, 20
 AROUND = LENGTH - ANCHOR
 #: Bytes of text hashed at once, anchors sent together, windows of a very long text, input bytes for a partition.
 SLICE, FLUSH, PIECE, PARTITION = 1 << 20, 1 << 20, 1 << 22, 16 << 20
-#: Anchors that occur this often are resolved window by window, where equal ones combine before they are shuffled.
-HOT, LOCAL = 1 << 17, 16
+#: Of the anchors one in RATE, by place, is counted to find the hot ones: a quarter of a mean bucket or more, and HOT_LEAST
+#: at least.  At most HOT_MOST anchors can be that hot by the bound that is taken, so eight MB are broadcast.
+RATE, HOT_LEAST, HOT_MOST = 16, 1 << 10, 1 << 20
+#: Bits of a document's number that tell rows of one id apart, where ids repeat.
+ROWS = 28
+#: Mark of a record in its length: its anchor is hot.
+_HOT = 128
 #: Bytes of a shard of surroundings.
 SHARD = 1 << 18
 _P1, _P2, _P3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -117,7 +123,6 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[_Slice]:
             raw = t.as_buffer().to_pybytes() if t.is_valid else b""
             if len(raw) < LENGTH:
                 continue
-            doc = _LAST if doc is None else doc
             for a in range(0, max(1, len(raw) - LENGTH + 1), PIECE):
                 cut = raw[a : a + PIECE + LENGTH - 1] if len(raw) > PIECE else raw  # each window is in one piece
                 parts.append((doc, a, cut))
@@ -129,12 +134,12 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[_Slice]:
         yield _Slice(parts)
 
 
-#: A null id is larger than any other.
-_LAST = (1 << 63) - 1
-
-
-def _deal(records: np.ndarray, buckets: int) -> pa.RecordBatch:
+def _deal(records: np.ndarray, buckets: int, hot: np.ndarray) -> pa.RecordBatch:
+    """Records under their anchor's bucket; those of hot anchors by document under as many buckets beyond."""
     bucket = (records["h"] % np.uint64(buckets)).astype(np.int64)
+    if len(hot):
+        common = np.isin(records["h"], hot)
+        bucket[common] = buckets + (_mix(records["doc"][common].view(np.uint64) * _P1) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     ends = np.flatnonzero(np.r_[np.diff(bucket[order]) != 0, True]) + 1
     first = np.r_[0, ends[:-1]]
@@ -142,18 +147,18 @@ def _deal(records: np.ndarray, buckets: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(bucket[order][first].astype(np.int32)), pa.array([rows[a:b].tobytes() for a, b in zip(first, ends, strict=True)], pa.binary())], names=["bucket", "blob"])
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], dtype: np.dtype) -> Iterator[np.ndarray]:
-    """The records of one bucket after the other; buckets come in order."""
+def _grouped(batches: Iterator[pa.RecordBatch], dtype: np.dtype) -> Iterator[tuple[int, np.ndarray]]:
+    """Each bucket and its records, one after the other; buckets come in order."""
     name, held = None, []
     for batch in batches:
         for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             if bucket != name and held:
-                yield np.concatenate(held)
+                yield name, np.concatenate(held)
                 held = []
             name = bucket
             held.append(np.frombuffer(blob.as_buffer(), dtype=dtype))
     if held:
-        yield np.concatenate(held)
+        yield name, np.concatenate(held)
 
 
 def _spans(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[tuple[int, bytes]]:
@@ -177,7 +182,7 @@ def merge_spans(start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.stack([start[first], reach[np.r_[first[1:] - 1, len(start) - 1]]], axis=1)
 
 
-def _meet(records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _meet(records: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
     """Spans of anchors whose surroundings an earlier document has as a whole, and the representatives to compare."""
     order = np.argsort(records["h"])
     records = records[order]
@@ -193,14 +198,29 @@ def _meet(records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     new_class = np.r_[True, (h[1:] != h[:-1]) | (s[1:] != s[:-1])]
     first = np.flatnonzero(new_class)
     least = np.repeat(doc[first], np.diff(np.r_[first, len(h)]))
-    later = doc > least
+    later = doc >> shift > least >> shift
     group = np.cumsum(np.r_[True, h[1:] != h[:-1]]) - 1
     classes = np.bincount(group[first])
     mixed = classes[group] > 1
     return records[later], records[mixed & ~later]
 
 
-def _compare(bucket: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+def _settle(records: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of hot records those whose surroundings an earlier document has among them, and the others."""
+    records = records[np.lexsort((records["doc"], records["s"], records["h"]))]
+    h, s, doc = records["h"], records["s"], records["doc"]
+    first = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (s[1:] != s[:-1])])
+    later = doc >> shift > np.repeat(doc[first], np.diff(np.r_[first, len(h)])) >> shift
+    return records[later], records[~later]
+
+
+def _by_document(kind: int, records: np.ndarray) -> list[tuple[int, int, bytes]]:
+    records = records[np.argsort(records["doc"], kind="stable")]
+    edges = [*np.flatnonzero(np.r_[True, records["doc"][1:] != records["doc"][:-1]]).tolist(), len(records)] if len(records) else []
+    return [(kind, int(records["doc"][a]), records[a:b].tobytes()) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
+def _compare(bucket: list[tuple[int, int, bytes]], shift: int) -> tuple[np.ndarray, np.ndarray]:
     """doc, start of the windows of representatives (doc, pos, bytes) that an earlier document has."""
     shards, owner, held, size = [], [], [], 0
     doc = np.array([b[0] for b in bucket], dtype=np.int64)
@@ -225,7 +245,7 @@ def _compare(bucket: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarr
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     first = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
     least = np.repeat(np.minimum.reduceat(doc[string], first), np.diff(np.r_[first, len(block)]))
-    later = doc[string] > least
+    later = doc[string] >> shift > least >> shift
     return doc[string][later], (start[string] + offset)[later]
 
 
@@ -237,64 +257,82 @@ def _partitions(df: DataFrame) -> int:
     return max(shuffle_width(df.sparkSession), min(known // PARTITION, 1_000_000))
 
 
-def spans(src: DataFrame, hot: int = HOT, local: int = LOCAL) -> DataFrame:
-    """doc, blob: spans to remove, in any number of rows a document.  src: id (long), t (string)."""
-    spark = src.sparkSession
-    partitions = _partitions(src)
-    buckets = partitions * 4
+def hot_anchors(src: DataFrame, buckets: int, hot: int | None = None) -> np.ndarray:
+    """Sorted hashes of the anchors that are too common for a bucket.
 
-    def heavy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def count(held):
+    One anchor in RATE is counted.  Taken are those counted half as often as an anchor of the least hot size is on
+    average, so one of that size (1,024 at least, 64 counted) is missed with a chance of 1e-5 at most, and costs a
+    task a little more, never a result.
+    """
+
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def count() -> pa.RecordBatch:
             h, n = np.unique(np.concatenate(held), return_counts=True)
-            often = n >= local
-            return pa.RecordBatch.from_arrays([pa.array(h[often].view(np.int64)), pa.array(n[often])], names=["h", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
 
         held, size = [], 0
         for part in _slices(batches):
-            held.append(part.h[part.anchors()[0]])
+            places = part.anchors()[0]
+            own = np.searchsorted(part.begin, places, "right") - 1
+            chance = _mix(_mix(part.doc[own].view(np.uint64) * _P2) ^ (places - part.begin[own] + part.at[own]).astype(np.uint64))
+            held.append(part.h[places[chance % np.uint64(RATE) == 0]])
             size += len(held[-1])
             if size >= FLUSH:
-                yield count(held)
+                yield count()
                 held, size = [], 0
         if held:
-            yield count(held)
+            yield count()
+
+    seen = durable(src.mapInArrow(sample, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")), "sampled")
+    total = RATE * (seen.agg(F.sum("n")).first()[0] or 0)
+    least = max(HOT_LEAST, total // buckets // 4, 2 * total // HOT_MOST) if hot is None else hot
+    often = seen.where(F.col("n") >= max(1, least // (2 * RATE))).select("h").toArrow()
+    return np.sort(often["h"].to_numpy().view(np.uint64))
 
-    # at most anchors / hot rows: eight bytes for each 2^17 anchors, about 2 MB of text
-    often = src.mapInArrow(heavy, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= hot).select("h")
-    hot_set = np.sort(np.array([r[0] for r in often.collect()], dtype=np.int64).view(np.uint64))
-    known = spark.sparkContext.broadcast(hot_set)
+
+def spans(src: DataFrame, shift: int = 0, hot: int | None = None) -> DataFrame:
+    """doc, blob: spans to remove, in any number of rows a document.  src: doc (long), t (string).
+
+    Documents are earlier than others by doc >> shift.  hot: occurrences of an anchor above which it is hot.
+    """
+    spark = src.sparkSession
+    partitions = _partitions(src)
+    buckets = partitions * 4
+    since = written()
+    hot_set = hot_anchors(src, buckets, hot)
+    known = spark.sparkContext.broadcast(hot_set)  # HOT_MOST anchors at most
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for part in _slices(batches):
-            records = part.records(*part.anchors())
-            held.append(records[~np.isin(records["h"], known.value)] if len(known.value) else records)
-            size += len(records)
+            held.append(part.records(*part.anchors()))
+            size += len(held[-1])
             if size >= FLUSH:
-                yield _deal(np.concatenate(held), buckets)
+                yield _deal(np.concatenate(held), buckets, known.value)
                 held, size = [], 0
         if size:
-            yield _deal(np.concatenate(held), buckets)
+            yield _deal(np.concatenate(held), buckets, known.value)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for records in _grouped(batches, RECORD):
-            late, ask = _meet(records)
+        for bucket, records in _grouped(batches, RECORD):
+            late, ask = (_meet if bucket < buckets else _settle)(records, shift)
             start = late["pos"].astype(np.int64)
-            out = [(0, d, b) for d, b in _spans(late["doc"], start, start + late["len"])]
-            ask = ask[np.argsort(ask["doc"], kind="stable")]
-            edge = np.flatnonzero(np.r_[True, ask["doc"][1:] != ask["doc"][:-1]]) if len(ask) else np.zeros(0, np.int64)
-            for a, b in zip(edge, np.r_[edge[1:], len(ask)] if len(ask) else edge, strict=True):
-                out.append((1, int(ask["doc"][a]), ask[a:b].tobytes()))
+            out = [(0, d, b) for d, b in _spans(late["doc"], start, start + late["len"])] + _by_document(1 if bucket < buckets else 2, ask)
             yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.binary())], names=["kind", "doc", "blob"])
 
     dealt = src.mapInArrow(deal, "bucket int, blob binary").repartition(partitions, "bucket").sortWithinPartitions("bucket")
     met = durable(dealt.mapInArrow(meet, "kind int, doc bigint, blob binary"), "met")
     del dealt
     free_shuffles(spark)
+    parts, asked = [met.where("kind = 0").select("doc", "blob")], met.where("kind = 1").select("doc", "blob")
+    if len(hot_set):
+        late, ask = _hot_classes(met.where("kind = 2").select("blob"), shift)
+        parts.append(late)
+        asked = asked.unionByName(ask)
 
     # the surroundings of representatives, cut out of their texts
-    asked = met.where("kind = 1").groupBy("doc").agg(F.collect_list("blob").alias("asked"))  # of one document: bounded by its text
-    rows = src.select(F.coalesce("id", F.lit(_LAST)).alias("doc"), "t").join(asked, "doc")
+    asked = asked.groupBy("doc").agg(F.collect_list("blob").alias("asked"))  # of one document: bounded by its text
+    rows = src.join(asked, "doc").select("doc", "t", "asked")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -302,7 +340,9 @@ def spans(src: DataFrame, hot: int = HOT, local: int = LOCAL) -> DataFrame:
             for doc, t, blobs in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 raw = t.as_buffer().to_pybytes() if t.is_valid else b""
                 for h, _, _, start, length in np.concatenate([np.frombuffer(b, dtype=RECORD) for b in blobs]).tolist():
-                    if start + length <= len(raw):  # another row may have the same id
+                    if length & _HOT:  # window by window
+                        out += [(-1, doc, a, hashlib.md5(raw[a : a + LENGTH]).digest()) for a in range(start, start + (length ^ _HOT) - LENGTH + 1)]
+                    else:
                         out.append((h % buckets, doc, start, raw[start : start + length]))
             yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate((pa.int32(), pa.int64(), pa.int32(), pa.binary()))], names=["bucket", "doc", "pos", "cut"])
 
@@ -310,9 +350,8 @@ def spans(src: DataFrame, hot: int = HOT, local: int = LOCAL) -> DataFrame:
         name, held = None, []
 
         def told():
-            doc, start = _compare(held)
-            out = list(_spans(doc, start, start + LENGTH))
-            return pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())], names=["doc", "blob"])
+            doc, start = _compare(held, shift)
+            return _packed(doc, start, LENGTH)
 
         for batch in batches:
             for bucket, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -324,51 +363,109 @@ def spans(src: DataFrame, hot: int = HOT, local: int = LOCAL) -> DataFrame:
         if held:
             yield told()
 
-    cuts = rows.mapInArrow(cut, "bucket int, doc bigint, pos int, cut binary").repartition(partitions, "bucket").sortWithinPartitions("bucket")
-    found = durable(cuts.mapInArrow(compare, "doc bigint, blob binary"), "compared")
+    cuts = rows.mapInArrow(cut, "bucket int, doc bigint, pos int, cut binary")
+    cuts = durable(cuts, "cuts") if len(hot_set) else cuts
+    dealt = cuts.where("bucket >= 0").repartition(partitions, "bucket").sortWithinPartitions("bucket")
+    parts.append(durable(dealt.mapInArrow(compare, "doc bigint, blob binary"), "compared"))
+    del dealt
+    if len(hot_set):
+        parts.append(_hot_windows(cuts.where("bucket < 0").select("doc", "pos", F.col("cut").alias("w")), shift))
+    out = durable(_union(parts), "spans")
+    release(spark, since, (last_written(),))
     free_shuffles(spark)
-    out = met.where("kind = 0").select("doc", "blob").unionByName(found)
-    return out.unionByName(_hot_spans(src, hot_set)) if len(hot_set) else out
+    return out
 
 
-def _hot_spans(src: DataFrame, hot_set: np.ndarray) -> DataFrame:
-    """Windows around very common anchors, each against the least document that has it: minima combine map-side."""
-    known = src.sparkSession.sparkContext.broadcast(hot_set)
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _slices(batches):
-            places, first, last = part.anchors()
-            hot = np.isin(part.h[places], known.value)
-            start = spread(first[hot], (last - first + 1)[hot])
-            own = np.searchsorted(part.begin, start, "right") - 1
-            cuts = [hashlib.md5(part.raw[a : a + LENGTH]).digest() for a in start.tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array(cuts, pa.binary()), pa.array(part.doc[own]), pa.array((start - part.begin[own] + part.at[own]).astype(np.int32))], names=["w", "doc", "start"])
-
-    rows = durable(src.mapInArrow(windows, "w binary, doc bigint, start int"), "windows")
+
+def _packed(doc: np.ndarray, start: np.ndarray, length: np.ndarray | int) -> pa.RecordBatch:
+    out = list(_spans(doc, start, start + length))
+    return pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())], names=["doc", "blob"])
+
+
+def _hot_classes(blobs: DataFrame, shift: int) -> tuple[DataFrame, DataFrame]:
+    """Of hot records: spans of those whose surroundings an earlier document has, and marked representatives of the others.
+
+    The least document of equal surroundings is a grouped minimum, so no task gathers what a hot anchor has.
+    """
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            r = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=RECORD)
+            cols = [r["h"].view(np.int64), r["s"].view(np.int64), r["doc"], r["pos"], r["len"].astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in cols], names=["h", "s", "doc", "pos", "len"])
+
+    rows = durable(blobs.mapInArrow(unpack, "h bigint, s bigint, doc bigint, pos int, len int"), "hot")
+    classes = durable(rows.groupBy("h", "s").agg(F.min("doc").alias("least")), "classes")
+    several = classes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    told = rows.join(classes, ["h", "s"]).withColumn("late", F.shiftright("doc", shift) > F.shiftright("least", shift))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc, pos, length = (batch.column(k).to_numpy().astype(np.int64) for k in range(3))
+            yield _packed(doc, pos, length)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            r = np.zeros(batch.num_rows, dtype=RECORD)
+            r["doc"], r["pos"], r["len"] = (batch.column(k).to_numpy() for k in range(3))
+            r["len"] |= _HOT
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in r], pa.binary())], names=["doc", "blob"])
+
+    late = told.where("late").select("doc", "pos", "len").mapInArrow(pack, "doc bigint, blob binary")
+    ask = told.where("NOT late").join(several, "h", "left_semi").select("doc", "pos", "len").mapInArrow(mark, "doc bigint, blob binary")
+    return late, ask
+
+
+def _hot_windows(rows: DataFrame, shift: int) -> DataFrame:
+    """Windows (doc, pos, w: hash) against the least document that has each: minima combine map-side."""
     least = durable(rows.groupBy("w").agg(F.min("doc").alias("least")), "least")
-    late = rows.join(least, "w").where("doc > least").select("doc", "start")
+    late = rows.join(least, "w").where(F.shiftright("doc", shift) > F.shiftright("least", shift)).select("doc", "pos")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, start = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)
-            out = list(_spans(doc, start, start + LENGTH))
-            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())], names=["doc", "blob"])
+            yield _packed(batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64), LENGTH)
 
-    return durable(late.mapInArrow(pack, "doc bigint, blob binary"), "hot")
+    return late.mapInArrow(pack, "doc bigint, blob binary")
 
 
-def dedup_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, local: int = LOCAL) -> DataFrame:
+def _told_apart(src: DataFrame) -> tuple[DataFrame, int]:
+    """src (id, t) with doc, and the shift that orders doc.  Usually doc is the id.
+
+    Where ids are null or repeat with other texts, rows get a number for their id's order and one for the text.
+    """
+    keyed = src.withColumn("__h", F.xxhash64(F.coalesce("t", F.lit(""))))
+    rows = durable(keyed.select("id", "__h").distinct(), "rows")
+    if rows.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 OR id IS NULL").isEmpty():
+        return src.withColumn("doc", F.col("id")), 0
+    placed = numbered(rows, ["id", "__h"], "n")
+    placed = durable(placed, "placed")
+    first = placed.groupBy(F.col("id").alias("__id")).agg(F.min("n").alias("first"))
+    doc = F.shiftleft(F.col("first"), ROWS) + (F.col("n") - F.col("first"))
+    named = durable(placed.join(first, F.col("id").eqNullSafe(F.col("__id"))).select("__id", F.col("__h").alias("__k"), doc.alias("doc")), "named")
+    out = keyed.join(named, F.col("id").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__k"))).select("id", "t", "doc")
+    return durable(out, "told_apart"), ROWS
+
+
+def dedup_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int | None = None) -> DataFrame:
     """One row per row: id, n_bytes, spans (array of start and end, in bytes), kept (the remaining bytes).
 
     Every byte is removed that a string of 50 bytes covers which also starts in a row with a smaller id; strings
     are those of the input and never cross documents.  Ids are integers; rows that repeat an id do not count as
-    earlier than each other; a null id is later than any other.  A null text has no bytes, texts under 50 bytes
+    earlier than each other, and each is cut by its own text; a null id is later than any other and null ids are no
+    earlier than each other.  A null text has no bytes, texts under 50 bytes
     stay whole; an empty table gives an empty result; other columns are ignored.
     """
     kind = df.schema[id_col].dataType.simpleString()
     src = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("t"))
-    cuts = spans(src, hot, local).groupBy("doc").agg(F.collect_list("blob").alias("blobs"))  # of one document
-    rows = src.withColumn("doc", F.coalesce("id", F.lit(_LAST))).join(cuts, "doc", "left").select("id", "t", "blobs")
+    src, shift = _told_apart(src)
+    cuts = spans(src.select("doc", "t"), shift, hot).groupBy("doc").agg(F.collect_list("blob").alias("blobs"))  # of one document
+    rows = src.join(cuts, "doc", "left").select("id", "t", "blobs")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -380,8 +477,6 @@ def dedup_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     kept.append(raw), gone.append([])
                     continue
                 pairs = np.concatenate([np.frombuffer(b, dtype="<i4").reshape(-1, 2) for b in blobs]).astype(np.int64)
-                pairs[:, 1] = np.minimum(pairs[:, 1], len(raw))
-                pairs = pairs[pairs[:, 0] < pairs[:, 1]]
                 pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
                 own = merge_spans(pairs[:, 0], pairs[:, 1]).tolist()
                 gone.append([{"start": a, "end": b} for a, b in own])

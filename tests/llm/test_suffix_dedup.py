@@ -6,6 +6,9 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
+from plinth.llm import suffix_dedup
 from plinth.llm.bwt import ShardBwt, repeated
 from plinth.llm.suffix_dedup import dedup_passages, merge_spans
 
@@ -67,9 +70,33 @@ def got(df, **options):
     return sorted(((r["doc_id"], r["n_bytes"], [(s["start"], s["end"]) for s in r["spans"]], bytes(r["kept"])) for r in dedup_passages(df, **options).collect()), key=repr)
 
 
-@pytest.mark.parametrize("options", [{}, {"hot": 2, "local": 1}])
-def test_against_brute_force(awkward, rows, options):
-    assert got(awkward, **options) == plain([(r[0], r[1]) for r in rows])
+@pytest.mark.parametrize("hot", [None, 2])
+def test_against_brute_force(spark, awkward, rows, hot, monkeypatch):
+    if hot:  # every anchor that is there twice takes the way of common ones
+        monkeypatch.setattr(suffix_dedup, "RATE", 1)
+    assert got(awkward, hot=hot) == plain([(r[0], r[1]) for r in rows])
+
+
+@pytest.mark.parametrize("hot", [None, 2])
+def test_rows_of_one_id_are_told_apart(spark, rows, hot, monkeypatch):
+    if hot:
+        monkeypatch.setattr(suffix_dedup, "RATE", 1)
+    base = rows[5][1]
+    more = [(r[0], r[1]) for r in rows] + [(None, "own start of a text " + base[40:400]), (None, "x" * 30 + base[100:300] + "another end"), (4, "other " * 3 + rows[3][1][:120]), (4, base[:200]), (2, base[50:150])]
+    df = spark.createDataFrame(more, "doc_id long, text string").repartition(3)
+    assert got(df, hot=hot) == plain(more)
+
+
+def test_common_anchors_are_found_and_spread(spark):
+    """A passage in every document: its anchors are hot, their records go over all buckets, the result stays."""
+    rng = random.Random(4)
+    noise = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    shared = noise(200)
+    rows = [(i, noise(rng.randint(20, 60)) + shared + noise(rng.randint(20, 60))) for i in range(2500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    hot = suffix_dedup.hot_anchors(df.select(F.col("doc_id").alias("doc"), F.col("text").alias("t")), 4000)
+    assert 5 <= len(hot) <= 40
+    assert got(df) == plain(rows)
 
 
 def test_periodic_and_shifted(spark):
