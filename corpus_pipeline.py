@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plinth.llm import line_dedup, mixing, piece_bpe, quality_rules, simhash_wide
-from plinth.llm.common import durable, table
+from plinth.llm.common import durable, last_written, release, table, written
 from plinth.llm.queries import MIN_SITES, MIX_WEIGHTS, tokenizer_path
 
 #: Near-duplicates: words of a shingle and the least similarity.
@@ -49,12 +49,14 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality rules", quality), ("line dedup", lines), ("near duplicates", near_duplicates), ("mixing", mixture), ("encoding", encoding)]
 
-#: Fingerprints and encoding are beyond SQL; tests hold the pipeline against a plain version.
+#: Similarity and encoding are beyond SQL; tests hold all rows of run() against plain stages.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """Documents after all stages.  A stage's tables are deleted when its result is written; the last result is the caller's."""
+    docs, since = table(spark, sf_dir, "documents"), written()
     for name, stage in STAGES[:-1]:
         docs = durable(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        release(spark, since, (last_written(),))
     return STAGES[-1][1](spark, docs, sf_dir)
