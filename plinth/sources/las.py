@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
+from . import stores
+
 SCHEMA = "tile_id string, point_id bigint, x double, y double, z double, intensity int, classification int, number_of_returns int, scan_angle float, gps_time double, red int, green int, blue int"
 POINTS = 1 << 20
 
@@ -77,27 +79,24 @@ class _Range(InputPartition):
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
-        self.folder, self.points = options["path"].removeprefix("file:"), int(options.get("points", POINTS))
+        self.folder, self.points = options["path"], int(options.get("points", POINTS))
 
     def partitions(self) -> list[InputPartition]:
-        at = Path(self.folder)
-        files = sorted(at.rglob("*.las")) if at.is_dir() else [at]
         out = []
-        for path in files:
-            with path.open("rb") as f:
-                count = read_header(f.read(375)).count
-            out += [_Range(str(path), a, min(self.points, count - a)) for a in range(0, count, self.points)]
+        for path in stores.files_below(self.folder, ".las"):
+            count = read_header(stores.read_at(path, 0, 375)).count
+            out += [_Range(path, a, min(self.points, count - a)) for a in range(0, count, self.points)]
         return out or [_Range("", 0, 0)]
 
     def read(self, part: InputPartition) -> Iterator[pa.RecordBatch]:
         if not part.count:
             return
-        with open(part.path, "rb") as f:
-            header = read_header(f.read(375))
+        store, at = stores.opened(part.path)
+        with store.open_input_file(at) as f:
+            header = read_header(f.read_at(min(375, f.size()), 0))
             for a in range(part.first, part.first + part.count, 65_536):
                 n = min(65_536, part.first + part.count - a)
-                f.seek(header.offset + a * header.length)
-                yield decode_points(f.read(n * header.length), header, Path(part.path).stem, a)
+                yield decode_points(f.read_at(n * header.length, header.offset + a * header.length), header, Path(part.path).stem, a)
 
 
 class LasSource(DataSource):
@@ -148,7 +147,7 @@ def encode_las(x: np.ndarray, y: np.ndarray, z: np.ndarray, intensity=None, clas
 
 
 def write_las(points, folder: str, key: str) -> None:
-    """SK-10: one LAS file a clip; the points of one clip lie around one building."""
+    """SK-10: one LAS file a clip, in a folder of any store; the points of one clip lie around one building."""
     from pyspark.sql import functions as F
 
     def body(pdf):
@@ -161,10 +160,9 @@ def write_las(points, folder: str, key: str) -> None:
     files = points.groupBy(key).applyInPandas(body, "name string, content binary")
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        Path(folder).mkdir(parents=True, exist_ok=True)
         for batch in batches:
             for name, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                Path(folder, f"{name}.las").write_bytes(raw)
+                stores.write_file(f"{folder.rstrip('/')}/{name}.las", raw)
             yield batch.select(["name"])
 
     files.mapInArrow(put, "name string").agg(F.count("*")).collect()

@@ -1,7 +1,7 @@
-"""Shapefiles and GeoPackages: geometry as rings, attributes as columns.
+"""Shapefiles and GeoPackages as Spark data sources: geometry as rings, attributes as columns.
 
-Both are small index files that the driver can open; the rows become a DataFrame.  Large collections are converted
-to Parquet once (convert()) and read from there.
+The driver reads headers and counts; a partition is a range of records, which an executor seeks and decodes.
+A GeoPackage is a database file and must lie on a mount that executors share.
 """
 
 from __future__ import annotations
@@ -9,24 +9,39 @@ from __future__ import annotations
 import sqlite3
 import struct
 from collections.abc import Iterator
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
+from . import stores
+
 RING = ArrayType(StructType([StructField("x", DoubleType()), StructField("y", DoubleType())]))
-#: Rows held by the driver at a time while converting.
+#: Records of a partition.
 BATCH = 50_000
 
 
+class _Records(InputPartition):
+    def __init__(self, first: int, count: int):
+        self.first, self.count = first, count
+
+
+def _cut(first: int, count: int, batch: int) -> list[InputPartition]:
+    return [_Records(a, min(batch, first + count - a)) for a in range(first, first + count, batch)] or [_Records(first, 0)]
+
+
+def _beside(path: str, suffix: str) -> str:
+    return path.removesuffix(".shp") + suffix
+
+
 def shapefile_complete(path: str) -> bool:
     """VF-03: .shp, .dbf and .shx lie together."""
-    return all(Path(path).with_suffix(s).exists() for s in (".shp", ".dbf", ".shx"))
+    return all(stores.exists(_beside(path, s)) for s in (".shp", ".dbf", ".shx"))
 
 
 def shp_rings(raw: bytes) -> Iterator[list[tuple[float, float]] | None]:
-    """Outer ring (the first part) of polygons, single points as one-point rings; null shapes are none."""
-    at = 100
+    """Outer ring (the first part) of polygons, single points as one-point rings; null shapes are none.  raw: records."""
+    at = 0
     while at + 8 <= len(raw):
         size = struct.unpack_from(">i", raw, at + 4)[0] * 2
         body = at + 8
@@ -46,8 +61,8 @@ def shp_rings(raw: bytes) -> Iterator[list[tuple[float, float]] | None]:
         at = body + size
 
 
-def dbf_rows(raw: bytes) -> tuple[list[tuple[str, str]], Iterator[tuple]]:
-    """Fields (name, Spark type) and the rows; blank values are null."""
+def dbf_fields(raw: bytes) -> tuple[int, int, int, list[tuple[str, str, int, int]]]:
+    """Rows, bytes of the header and of a row, and the fields: name, Spark type, place, length.  raw: the header."""
     count, header, size = struct.unpack_from("<IHH", raw, 4)
     fields, at, place = [], 32, 1
     while raw[at] != 0x0D:
@@ -56,24 +71,59 @@ def dbf_rows(raw: bytes) -> tuple[list[tuple[str, str]], Iterator[tuple]]:
         fields.append((name, "double" if kind in "FN" and places or kind == "F" else "long" if kind == "N" else "string", place, length))
         place += length
         at += 32
+    return count, header, size, fields
+
+
+def dbf_rows(raw: bytes, size: int, fields: list[tuple[str, str, int, int]]) -> Iterator[tuple]:
+    """The rows in raw; blank values are null."""
+    for at in range(0, len(raw) - size + 1, size):
+        text = [raw[at + p : at + p + n].decode("utf-8", "replace").strip() for _, _, p, n in fields]
+        yield tuple(None if t in ("", "*" * len(t)) else float(t) if k == "double" else int(t) if k == "long" else t for t, (_, k, _, _) in zip(text, fields, strict=True))
+
+
+def _dbf_header(path: str) -> tuple[int, int, int, list[tuple[str, str, int, int]]]:
+    at = _beside(path, ".dbf")
+    return dbf_fields(stores.read_at(at, 0, struct.unpack("<H", stores.read_at(at, 8, 2))[0]))
+
+
+class _ShapeReader(DataSourceReader):
+    def __init__(self, path: str, batch: int):
+        self.path, self.batch = path, batch
 
-    def rows() -> Iterator[tuple]:
-        for i in range(count):
-            row = raw[header + i * size : header + (i + 1) * size]
-            text = [row[p : p + n].decode("utf-8", "replace").strip() for _, _, p, n in fields]
-            yield tuple(None if t in ("", "*" * len(t)) else float(t) if k == "double" else int(t) if k == "long" else t for t, (_, k, _, _) in zip(text, fields, strict=True))
+    def partitions(self) -> list[InputPartition]:
+        return _cut(0, (stores.size_of(_beside(self.path, ".shx")) - 100) // 8, self.batch)
 
-    return [(n, k) for n, k, _, _ in fields], rows()
+    def read(self, part: InputPartition) -> Iterator[tuple]:
+        if not part.count:
+            return
+        _, header, size, fields = _dbf_header(self.path)
+        index = struct.unpack(f">{2 * part.count}i", stores.read_at(_beside(self.path, ".shx"), 100 + 8 * part.first, 8 * part.count))
+        begin, end = 2 * index[0], 2 * (index[-2] + index[-1]) + 8  # in words of two bytes; a record has a head of eight
+        rings = shp_rings(stores.read_at(self.path, begin, end - begin))
+        rows = dbf_rows(stores.read_at(_beside(self.path, ".dbf"), header + part.first * size, part.count * size), size, fields)
+        for row, ring in zip(rows, rings, strict=True):
+            yield (*row, ring)
 
 
-def read_shapefile(spark: SparkSession, path: str) -> DataFrame:
+class ShapeSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "shapefile"
+
+    def schema(self) -> StructType:
+        kinds = {"double": DoubleType(), "long": LongType(), "string": StringType()}
+        return StructType([*(StructField(n, kinds[k]) for n, k, _, _ in _dbf_header(self.options["path"])[3]), StructField("ring", RING)])
+
+    def reader(self, schema: StructType) -> DataSourceReader:
+        return _ShapeReader(self.options["path"], int(self.options.get("records", BATCH)))
+
+
+def read_shapefile(spark: SparkSession, path: str, records: int = BATCH) -> DataFrame:
     """SC-06: attributes and ring."""
     if not shapefile_complete(path):
         raise FileNotFoundError(f"{path} lacks its .dbf or .shx")
-    fields, rows = dbf_rows(Path(path).with_suffix(".dbf").read_bytes())
-    kinds = {"double": DoubleType(), "long": LongType(), "string": StringType()}
-    schema = StructType([*(StructField(n, kinds[k]) for n, k in fields), StructField("ring", RING)])
-    return spark.createDataFrame([(*r, ring) for r, ring in zip(rows, shp_rings(Path(path).read_bytes()), strict=True)], schema)
+    spark.dataSource.register(ShapeSource)
+    return spark.read.format("shapefile").option("records", records).load(path)
 
 
 def gpkg_ring(blob: bytes | None) -> list[tuple[float, float]] | None:
@@ -117,38 +167,62 @@ def ring_wkb(ring) -> bytes | None:
 
 
 def gpkg_layers(path: str) -> list[str]:
-    with sqlite3.connect(f"file:{path}?mode=ro", uri=True) as db:
+    with _open(path) as db:
         return [r[0] for r in db.execute("SELECT table_name FROM gpkg_contents WHERE data_type = 'features' ORDER BY table_name")]
 
 
-def gpkg_batches(path: str, layer: str | None = None) -> tuple[StructType, Iterator[list[tuple]]]:
-    db = sqlite3.connect(f"file:{path}?mode=ro", uri=True)
-    layer = layer or gpkg_layers(path)[0]
-    geom = db.execute("SELECT column_name FROM gpkg_geometry_columns WHERE table_name = ?", (layer,)).fetchone()[0]
-    info = db.execute(f'PRAGMA table_info("{layer}")').fetchall()
+def _open(path: str) -> sqlite3.Connection:
+    return sqlite3.connect(f"file:{path.removeprefix('file:')}?mode=ro", uri=True)
+
+
+def _gpkg_columns(path: str, layer: str) -> tuple[str, StructType]:
+    with _open(path) as db:
+        geom = db.execute("SELECT column_name FROM gpkg_geometry_columns WHERE table_name = ?", (layer,)).fetchone()[0]
+        info = db.execute(f'PRAGMA table_info("{layer}")').fetchall()
     kind = lambda t: LongType() if "INT" in t.upper() else DoubleType() if t.upper() in ("REAL", "DOUBLE", "FLOAT") else StringType()
-    names = [(r[1], kind(r[2])) for r in info if r[1] != geom]
-    schema = StructType([*(StructField(n, k) for n, k in names), StructField("ring", RING)])
-    columns = ", ".join(f'"{n}"' for n, _ in names)
+    return geom, StructType([*(StructField(r[1], kind(r[2])) for r in info if r[1] != geom), StructField("ring", RING)])
+
+
+class _PackageReader(DataSourceReader):
+    def __init__(self, path: str, layer: str, batch: int):
+        self.path, self.layer, self.batch = path, layer, batch
+
+    def partitions(self) -> list[InputPartition]:
+        with _open(self.path) as db:
+            first, last = db.execute(f'SELECT min(rowid), max(rowid) FROM "{self.layer}"').fetchone()
+        return _cut(first or 0, 0 if first is None else last - first + 1, self.batch)
+
+    def read(self, part: InputPartition) -> Iterator[tuple]:
+        geom, schema = _gpkg_columns(self.path, self.layer)
+        fields = schema.fields[:-1]
+        columns = ", ".join(f'"{f.name}"' for f in fields)
+        with _open(self.path) as db:
+            for *row, blob in db.execute(f'SELECT {columns}, "{geom}" FROM "{self.layer}" WHERE rowid >= ? AND rowid < ?', (part.first, part.first + part.count)):
+                yield (*(str(v) if v is not None and isinstance(f.dataType, StringType) else v for v, f in zip(row, fields, strict=True)), gpkg_ring(blob))
+
+
+class PackageSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "geopackage"
+
+    def _layer(self) -> str:
+        return self.options.get("layer") or gpkg_layers(self.options["path"])[0]
 
-    def rows() -> Iterator[list[tuple]]:
-        cur = db.execute(f'SELECT {columns}, "{geom}" FROM "{layer}"')
-        while got := cur.fetchmany(BATCH):
-            yield [(*(str(v) if v is not None and isinstance(k, StringType) else v for v, (_, k) in zip(r[:-1], names, strict=True)), gpkg_ring(r[-1])) for r in got]
-        db.close()
+    def schema(self) -> StructType:
+        return _gpkg_columns(self.options["path"], self._layer())[1]
 
-    return schema, rows()
+    def reader(self, schema: StructType) -> DataSourceReader:
+        return _PackageReader(self.options["path"], self._layer(), int(self.options.get("records", BATCH)))
 
 
-def read_geopackage(spark: SparkSession, path: str, layer: str | None = None) -> DataFrame:
-    """SC-05: attributes and ring of one layer."""
-    schema, batches = gpkg_batches(path, layer)
-    return spark.createDataFrame([r for b in batches for r in b], schema)
+def read_geopackage(spark: SparkSession, path: str, layer: str | None = None, records: int = BATCH) -> DataFrame:
+    """SC-05: attributes and ring of one layer, the first if none is named."""
+    spark.dataSource.register(PackageSource)
+    reader = spark.read.format("geopackage").option("records", records)
+    return (reader.option("layer", layer) if layer else reader).load(path)
 
 
 def convert(spark: SparkSession, path: str, to: str, layer: str | None = None) -> None:
-    """SK-01: a layer as Parquet, a batch at a time."""
-    schema, batches = gpkg_batches(path, layer)
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(to)
-    for rows in batches:
-        spark.createDataFrame(rows, schema).write.mode("append").parquet(to)
+    """SK-01: a layer as Parquet."""
+    read_geopackage(spark, path, layer).write.mode("overwrite").parquet(to)

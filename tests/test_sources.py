@@ -46,9 +46,12 @@ def test_shapefile(spark, tmp_path):
     field = lambda n, k, w, d: n.encode().ljust(11, b"\0") + k.encode() + bytes(4) + bytes([w, d]) + bytes(14)
     fields = field("FILENAME", "C", 8, 0) + field("N", "N", 4, 0) + field("V", "N", 6, 2)
     dbf = struct.pack("<4BIHH20x", 3, 0, 0, 0, 2, 32 + len(fields) + 1, 19) + fields + b"\r" + b" tile1   " + b"  12" + b"  1.50" + b" tile2   " + b"    " + b"      "
-    for suffix, raw in ((".shp", shp), (".dbf", dbf), (".shx", b"")):
+    shx = bytes(100) + struct.pack(">4i", 50, len(body) // 2, 54 + len(body) // 2, 2)
+    for suffix, raw in ((".shp", shp), (".dbf", dbf), (".shx", shx)):
         (tmp_path / f"t{suffix}").write_bytes(raw)
-    rows = shapes.read_shapefile(spark, str(tmp_path / "t.shp")).collect()
+    split = shapes.read_shapefile(spark, f"file://{tmp_path}/t.shp", records=1)
+    assert split.rdd.getNumPartitions() == 2 and split.collect() == shapes.read_shapefile(spark, str(tmp_path / "t.shp")).collect()
+    rows = split.collect()
     assert [(r["FILENAME"], r["N"], r["V"], r["ring"] and len(r["ring"])) for r in rows] == [("tile1", 12, 1.5, 4), ("tile2", None, None, None)]
     (tmp_path / "t.shx").unlink()
     with pytest.raises(FileNotFoundError):
@@ -63,7 +66,7 @@ def test_geopackage(spark, tmp_path):
     blob = b"GP\0\x03" + struct.pack("<i4d", 7844, 1, 3, 1, 2) + shapes.ring_wkb(ring)
     db.executemany("INSERT INTO b VALUES(?, ?, ?, ?)", [(1, "x", 2.5, blob), (2, None, None, None)])
     db.commit()
-    rows = shapes.read_geopackage(spark, path).orderBy("id").collect()
+    rows = shapes.read_geopackage(spark, path, records=1).orderBy("id").collect()
     assert [tuple(p) for p in rows[0]["ring"]] == ring and rows[1]["ring"] is None and rows[0]["h"] == 2.5
     shapes.convert(spark, path, str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
