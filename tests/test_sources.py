@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import json
 import sqlite3
 import struct
@@ -105,7 +106,9 @@ def test_catalog_and_files(spark, tmp_path):
     (tmp_path / "img/b.jpg").write_bytes(b"bad")
     files = spark.read.format("binaryFile").load(str(tmp_path / "img"))
     assert {r["path"][-5:]: r["valid"] for r in valid_files(files, 1000, bytes.fromhex("ffd8ff")).collect()} == {"a.jpg": True, "b.jpg": False}
-    assert file_hashes(files).count() == 2 and readable(files).count() == 1
+    told = {r["path"][-5:]: (r["length"], r["md5"], r["sha256"]) for r in file_hashes(files, 2).collect()}
+    assert told["b.jpg"] == (3, hashlib.md5(b"bad").hexdigest(), hashlib.sha256(b"bad").hexdigest()) and len(told) == 2
+    assert readable(files).count() == 1
     done = spark.createDataFrame([(1, str(tmp_path / "img/a.jpg")), (2, str(tmp_path / "img/gone.jpg"))], "id long, path string")
     assert [r["id"] for r in incremental.redo(done, files.select("path", "length"), "path").collect()] == [2]
 
