@@ -166,6 +166,20 @@ def visible(rays: DataFrame, blockers: DataFrame, cell: float, keys: Sequence[st
     return met.groupBy(*keys).agg(F.max("blocked").alias("blocked"), *(F.first(c).alias(c) for c in rest)).where(~F.col("blocked")).select(*rays.columns)
 
 
+def vertex_pixels(views: DataFrame, rings: DataFrame, width: int, short: float = 0.999) -> DataFrame:
+    """GE-15, SF-12: views (id, cam_x, cam_y, yaw, ...) with px, the column of each corner of the ring that they see.
+
+    A corner is seen if the ray to it, cut just before it, meets no edge of the ring.
+    """
+    at = views.join(rings.select("id", "ring"), "id").withColumn("__v", F.explode("ring"))
+    dx, dy = F.col("__v.x") - F.col("cam_x"), F.col("__v.y") - F.col("cam_y")
+    to_x, to_y = F.col("cam_x") + short * dx, F.col("cam_y") + short * dy
+    meets = lambda e: geo.segment_hit(F.col("cam_x"), F.col("cam_y"), to_x, to_y, e["a"]["x"], e["a"]["y"], e["b"]["x"], e["b"]["y"]).isNotNull()
+    seen = at.where(~F.exists(geo.edges(F.col("ring")), meets))
+    bearing = F.pmod(F.degrees(F.atan2(dx, dy)), F.lit(360.0))
+    return seen.withColumn("px", geo.bearing_pixel(bearing, F.col("yaw"), width)).drop("__v", "ring", "cam_x", "cam_y", "yaw")
+
+
 def clip_bounds(pixels: DataFrame, keys: Sequence[str], width: int, height: int, upper: float, lower: float, margin: float = 0.05, least: int = 20) -> DataFrame:
     """GE-16/17: columns from the least to the greatest visible pixel with a margin, and the rows kept; empty windows are left out."""
     span = pixels.groupBy(*keys).agg(F.min("px").alias("lo"), F.max("px").alias("hi"))

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ..catalog import Catalog
-from ..config import CLIP, HEIGHTS
+from ..config import CLIP, HEIGHTS, RASTER
 from ..functions import geo, text
 from ..operators import kernels, pointcloud, qa, relational, spatial, views
 
@@ -61,6 +61,14 @@ def _downloads(c: Catalog, region: str | None) -> DataFrame:
     return found.select(*views.VIEW, F.col("f.path").alias("download_path"))
 
 
+def _windows(c: Catalog, region: str | None) -> DataFrame:
+    """The window of each downloaded panorama that shows the building."""
+    asked = _of(c, "candidate_views", region).where("is_chosen").join(_of(c, "downloads", region).select(*views.VIEW), list(views.VIEW), "left_semi")
+    cameras = _of(c, "panoramas", region).select("pano_id", F.col("x").alias("cam_x"), F.col("y").alias("cam_y"), F.col("heading").alias("yaw"))
+    pixels = spatial.vertex_pixels(asked.select(*views.VIEW).join(cameras, "pano_id"), _footprints(c, region), RASTER.width)
+    return spatial.clip_bounds(pixels, views.VIEW, RASTER.width, RASTER.height, RASTER.upper_crop, RASTER.lower_crop)
+
+
 def _best(c: Catalog, region: str | None) -> DataFrame:
     s = views.with_distance(views.detection_scores(_of(c, "detections", region)), _of(c, "candidate_views", region))
     s = s.join(_of(c, "image_scores", region).drop("region_name"), list(views.VIEW), "left").na.fill(0.0, ["siglip_score", "ground_visibility"])
@@ -98,6 +106,7 @@ STAGES = (
     Definition("stage01", ("1", "clip"), ("buildings", "points"), _clip, ("id", "x", "y", "z")),
     Definition("stage02a", ("2a", "harvest"), ("buildings", "panoramas"), _harvest, ("id", "edge_idx", "view_type", "pano_id")),
     Definition("stage02b", ("2b", "downloads"), ("candidate_views", "buildings", "pano_files"), _downloads, views.VIEW),
+    Definition("stage03", ("3", "windows"), ("candidate_views", "downloads", "panoramas", "buildings"), _windows, views.VIEW),
     Definition("stage04b", ("4b", "best-view"), ("detections", "candidate_views", "image_scores"), _best, ("id",)),
     Definition("stage06", ("6", "ground"), ("clipped_points",), _ground, ("id",)),
     Definition("stage07", ("7", "ffh", "floors"), ("features", "ground"), _heights, ("id",)),

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 import sqlite3
 import struct
 
@@ -182,11 +183,18 @@ def test_views_are_found_and_downloads_named(spark, tmp_path):
     c = Catalog(spark, str(tmp_path / "c"))
     square = lambda x: f"POLYGON (({x} 0, {x + 10} 0, {x + 10} 10, {x} 10, {x} 0))"
     c.overwrite(spark.createDataFrame([(1, "b1", "wagga", square(0)), (2, "b2", "tweed", square(500))], "id long, building_id string, region_name string, footprint_wkt string"), "buildings")
-    cameras = [("p_1-NoRoad.jpg", 5.0, -20.0, "wagga"), ("p_2-x", 30.0, 5.0, "wagga"), ("p_3-x", 505.0, -20.0, "tweed")]
-    c.overwrite(spark.createDataFrame(cameras, "pano_id string, x double, y double, region_name string"), "panoramas")
+    cameras = [("p_1-NoRoad.jpg", 5.0, -20.0, 0.0, "wagga"), ("p_2-x", 30.0, 5.0, 0.0, "wagga"), ("p_3-x", 505.0, -20.0, 0.0, "tweed")]
+    c.overwrite(spark.createDataFrame(cameras, "pano_id string, x double, y double, heading double, region_name string"), "panoramas")
     c.overwrite(spark.createDataFrame([("p_1-OutsideAOI.jpg", "s/1"), ("p_1-NoRoad.jpg", "s/1b"), ("p_3-x.jpg", "s/3")], "name string, path string"), "pano_files")
     assert stages.run(c, ["2a"], region="wagga", to={"stage02a": "candidate_views"}) == {"stage02a": 2}
     assert {r["pano_id"] for r in c.table("candidate_views").collect()} == {"p_1-NoRoad.jpg", "p_2-x"}
     stages.run(c, ["2a"], to={"stage02a": "candidate_views"})
-    assert stages.run(c, ["2b"], region="wagga") == {"stage02b": 1} and stages.run(c, ["2b"]) == {"stage02b": 1}
-    assert {(r["id"], r["download_path"]) for r in c.table("stage02b").collect()} == {(1, "s/1"), (2, "s/3")}
+    to = {"stage02b": "downloads"}
+    assert stages.run(c, ["2b"], region="wagga", to=to) == {"stage02b": 1} and stages.run(c, ["2b"], to=to) == {"stage02b": 1}
+    assert {(r["id"], r["download_path"]) for r in c.table("downloads").collect()} == {(1, "s/1"), (2, "s/3")}
+    # of each square the near corners are seen, 14.04 degrees to both sides, and a margin of a twentieth is added
+    assert stages.run(c, ["3"], region="wagga") == {"stage03": 1} and stages.run(c, ["3"]) == {"stage03": 1}
+    side = 5500 / 180 * math.degrees(math.atan(5 / 20))
+    lo, hi = round(5500 - side), round(5500 + side)
+    margin = int((hi - lo) * 0.05)
+    assert {(r["id"], r["clip_left"], r["clip_right"], r["clip_top"], r["clip_bottom"]) for r in c.table("stage03").collect()} == {(i, lo - margin, hi + margin, 1375, 3300) for i in (1, 2)}
