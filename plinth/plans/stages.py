@@ -128,11 +128,19 @@ def missing(c: Catalog, stage: Definition) -> list[str]:
     return [t for t in stage.needs if not c.exists(t)]
 
 
-def run(c: Catalog, names: Iterable[str], region: str | None = None, to: dict[str, str] | None = None) -> dict[str, int]:
-    """Rows added by each stage; the region holds in every stage, and a rerun adds nothing twice."""
+def run(c: Catalog, names: Iterable[str], region: str | None = None, to: dict[str, str] | None = None, failed: dict[str, Exception] | None = None) -> dict[str, int]:
+    """Rows added by each stage; the region holds in every stage, and a rerun adds nothing twice.
+
+    Where failed is given, a stage that fails is put there with its error and the next ones still run.
+    """
     added = {}
     for stage in resolve(names):
-        if gone := missing(c, stage):
-            raise FileNotFoundError(f"{stage.name} needs {', '.join(gone)}")
-        added[stage.name] = c.append(stage.run(c, region), (to or {}).get(stage.name, stage.name), stage.key)
+        try:
+            if gone := missing(c, stage):
+                raise FileNotFoundError(f"{stage.name} needs {', '.join(gone)}")
+            added[stage.name] = c.append(stage.run(c, region), (to or {}).get(stage.name, stage.name), stage.key)
+        except Exception as e:
+            if failed is None:
+                raise
+            failed[stage.name] = e
     return added

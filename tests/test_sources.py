@@ -144,7 +144,9 @@ def test_stages_run_in_order_and_resume(spark, tmp_path):
     assert {r["id"] for r in c.table("clipped_points").select("id").distinct().collect()} == {1}
     assert stages.run(c, ["1"], to={"stage01": "clipped_points"})["stage01"] > 0  # the other region now
     assert stages.run(c, ["6", "9a"]) == {"stage06": 2, "stage09a": 2}
-    assert stages.run(c, ["6", "9a"]) == {"stage06": 0, "stage09a": 0}
+    failed = {}
+    assert stages.run(c, ["4b", "6", "9a"], failed=failed) == {"stage06": 0, "stage09a": 0}
+    assert isinstance(failed["stage04b"], FileNotFoundError)
 
 
 def test_clips_of_an_l_shaped_footprint(spark, tmp_path):
