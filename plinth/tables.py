@@ -24,11 +24,11 @@ def shared_folder(spark: SparkSession) -> str:
     return at
 
 
-def durable(df: DataFrame, name: str = "t") -> DataFrame:
+def durable(df: DataFrame, name: str = "t", compression: str = "snappy") -> DataFrame:
     """df written to the shared folder and read again: lineage ends there and a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/plinth/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
