@@ -402,7 +402,8 @@ def _hot_classes(blobs: DataFrame, shift: int) -> tuple[DataFrame, DataFrame]:
 
     rows = durable(blobs.mapInArrow(unpack, "h bigint, s bigint, doc bigint, pos int, len int"), "hot")
     classes = durable(rows.groupBy("h", "s").agg(F.min("doc").alias("least")), "classes")
-    several = classes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # a row for each hot anchor, HOT_MOST at most: joined without dealing what one anchor has to one task
+    several = F.broadcast(classes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
     told = rows.join(classes, ["h", "s"]).withColumn("late", F.shiftright("doc", shift) > F.shiftright("least", shift))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
