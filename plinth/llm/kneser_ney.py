@@ -20,6 +20,8 @@ from .common import durable, free_shuffles, last_written, release, written
 ORDER, BOS = 5, "\x02"
 #: Characters counted at once, characters of a pack, and the largest table of a lookup.
 SLICE, PACK, LARGEST = 1 << 19, 16 << 20, 1 << 23
+#: Packs are answered and scored in this many rounds, so that one share of the answers is on disk at a time.
+ROUNDS = 4
 STRATA = ("en", "de", "fr", "es")
 #: Kept: perplexity up to this quantile of held-out trusted documents of the language, so one good document in 20 goes.
 #: Twenty of them are enough to estimate it, and one odd document does not set it.
@@ -220,22 +222,17 @@ def perplexities(df: DataFrame, trusted: DataFrame, strata: Sequence[str] = STRA
     spark = df.sparkSession
     id_type = df.schema["id"].dataType.simpleString()
     before = written()
-    packs = durable(packed(df, strata), "packs")
-    packs_at = last_written()
     model = train(gram_counts(trusted, strata))
     free_shuffles(spark)
-    asked = durable(asked_of(packs), "asked")
+    packs = durable(packed(df, strata), "packs")
+    packs_at = last_written()
+    asked = durable(asked_of(packs), "asked", "zstd")
     asked_at = last_written()
-    known = gram_probabilities(durable(asked.select("stratum", "gram").distinct(), "distinct"), model)
+    known = durable(gram_probabilities(durable(asked.select("stratum", "gram").distinct(), "distinct"), model), "known")
     # the model is not read again: what is left are the packs, their n-grams and the probabilities
-    release(spark, before, (packs_at, asked_at, last_written()))
-    free_shuffles(spark)
-    answers = asked.join(known, ["stratum", "gram"]).select("pack", "stratum", "gram", F.col("logp").cast("float").alias("logp"))
-    answers = durable(answers, "answers")
-    release(spark, before, (packs_at, last_written()))
+    kept = [packs_at, asked_at, last_written()]
+    release(spark, before, tuple(kept))
     free_shuffles(spark)
-    blobs = packs.select("pack", F.lit(0).alias("part"), F.lit(None).cast("int").alias("stratum"), F.lit(None).cast("string").alias("gram"), F.lit(None).cast("float").alias("logp"), "blob")
-    rows = blobs.unionByName(answers.select("pack", F.lit(1).alias("part"), "stratum", "gram", "logp", F.lit(None).cast("binary").alias("blob")))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, blob, held = None, None, []
@@ -268,8 +265,24 @@ def perplexities(df: DataFrame, trusted: DataFrame, strata: Sequence[str] = STRA
         if name is not None:
             yield told()
 
-    dealt = rows.repartition("pack").sortWithinPartitions("pack", "part")
-    return dealt.mapInArrow(score, f"id {id_type}, stratum int, n_chars bigint, perplexity double")
+    scored = []
+    for turn in range(ROUNDS):
+        mine = F.pmod("pack", F.lit(ROUNDS)) == turn
+        answers = asked.where(mine).join(known, ["stratum", "gram"]).select("pack", "stratum", "gram", F.col("logp").cast("float").alias("logp"))
+        answers = durable(answers, "answers", "zstd")
+        blobs = packs.where(mine).select("pack", F.lit(0).alias("part"), F.lit(None).cast("int").alias("stratum"), F.lit(None).cast("string").alias("gram"), F.lit(None).cast("float").alias("logp"), "blob")
+        rows = blobs.unionByName(answers.select("pack", F.lit(1).alias("part"), "stratum", "gram", "logp", F.lit(None).cast("binary").alias("blob")))
+        dealt = rows.repartition("pack").sortWithinPartitions("pack", "part")
+        scored.append(durable(dealt.mapInArrow(score, f"id {id_type}, stratum int, n_chars bigint, perplexity double"), "scored"))
+        del answers, rows, dealt
+        kept.append(last_written())
+        release(spark, before, tuple(kept))
+        free_shuffles(spark)
+    release(spark, before, tuple(kept[3:]))
+    out = scored[0]
+    for part in scored[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "quality", strata: Sequence[str] = STRATA, quantile: float = QUANTILE) -> DataFrame:
@@ -286,7 +299,10 @@ def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     unseen = F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(HOLDOUT)) == 0
     # a sorted join at every size: which documents are trusted grows with the corpus, so it is never broadcast
     trusted = src.join(good.where(~unseen).hint("merge"), "id", "left_semi")
-    scored = durable(perplexities(src, trusted, strata), "perplexities")
+    # written, so that the shuffle of all texts goes before the model is counted
+    trusted = durable(trusted, "trusted")
+    free_shuffles(df.sparkSession)
+    scored = perplexities(src, trusted, strata)
     held = scored.join(good.where(unseen), "id", "left_semi").where("perplexity is not null")
     bounds = held.groupBy("stratum").agg(F.percentile_approx("perplexity", quantile, 100_000).alias("threshold"))
     bounds = F.broadcast(bounds)  # a row for each stratum
