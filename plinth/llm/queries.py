@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, kneser_ney, line_dedup, mixing, piece_bpe, quality_rules, sharding, simhash, suffix_dedup, url_filter
+from . import collocations, exact_dedup, importance, kneser_ney, language_id, line_dedup, mixing, piece_bpe, quality_rules, sharding, simhash, suffix_dedup, url_filter
 from .common import table
 
 #: The rules of the url query.
@@ -74,6 +74,20 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = language_id.identify(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), longest=3, least=10, share=50, top=2000)
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=10, least_words=20, longest=1, keep=["doc_id"])
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP1_SQL = r"""
@@ -144,10 +158,44 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_re
 FROM documents d LEFT JOIN k USING (doc_id)
 """
 
+OP12_SQL = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 4) AS r(k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, phrase, count(*) AS n FROM g GROUP BY ALL),
+t AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND n >= 10),
+u AS (SELECT lang, k, phrase, a, cut, array_to_string(w[1:cut], ' ') AS x, array_to_string(w[cut + 1:], ' ') AS y FROM (SELECT *, unnest(range(1, k)) AS cut FROM c)),
+b AS (SELECT u.lang, u.k, u.phrase, u.a, l.n AS l, r.n AS r, (1000000::HUGEINT * u.a * u.a // (l.n::HUGEINT * r.n))::BIGINT AS score, cut
+      FROM u JOIN f AS l ON l.lang = u.lang AND l.phrase = x JOIN f AS r ON r.lang = u.lang AND r.phrase = y),
+s AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+m AS (SELECT lang, sub, max(a) AS most FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS sub FROM c WHERE k = 3) GROUP BY ALL),
+o AS (SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, phrase) AS rank FROM s LEFT JOIN m ON m.lang = s.lang AND m.sub = s.phrase WHERE most IS NULL OR 100 * most < 50 * a)
+SELECT o.lang, rank, phrase, a, l, r, t.n, score FROM o JOIN t USING (lang) WHERE rank <= 2000
+"""
+
+#: The CRC is the usual one, reflected, by a table of 256 entries made from its polynomial; distinct words are hashed once.
+OP13_SQL = rf"""
+WITH e AS (SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY b) AS crc FROM range(256) AS r(b)),
+d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+x AS (SELECT doc_id, unnest(w) AS w FROM d),
+y AS (SELECT unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+v AS (SELECT w, hex(encode(w)) AS hex FROM (SELECT w FROM x UNION SELECT w FROM y)),
+h AS (SELECT w, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, len(hex) // 2), lambda i: ('0x' || substr(hex, 2 * i + 1, 2))::BIGINT)), lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) % {importance.BUCKETS} AS bucket FROM v, e),
+s AS (SELECT bucket, count(*) AS s FROM x JOIN h USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM y JOIN h USING (w) GROUP BY bucket),
+g AS (SELECT r.bucket, floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * ((SELECT coalesce(sum(s), 0) FROM s)::DOUBLE + {importance.BUCKETS}) / ((coalesce(s, 0) + 1.0::DOUBLE) * ((SELECT coalesce(sum(t), 0) FROM t)::DOUBLE + {importance.BUCKETS}))))::BIGINT AS gain
+      FROM range({importance.BUCKETS}) AS r(bucket) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+z AS (SELECT doc_id, sum(gain)::BIGINT AS weight FROM x JOIN h USING (w) JOIN g USING (bucket) GROUP BY doc_id),
+k AS (SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('{importance.SEED}:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM d LEFT JOIN z USING (doc_id)),
+o AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM k WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank FROM k LEFT JOIN o USING (doc_id)
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": OP1_SQL, "op2_mixing": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op5_quality_rules": OP5_SQL, "op9_line_dedup": OP9_SQL}
+    return {"op1_url_filter": OP1_SQL, "op2_mixing": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op5_quality_rules": OP5_SQL, "op9_line_dedup": OP9_SQL, "op12_collocations": OP12_SQL, "op13_importance": OP13_SQL}

@@ -28,7 +28,7 @@ def test_against_oracle(spark, name):
 
 def test_registered():
     names = entry.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
 
 
 def near_components(texts):
