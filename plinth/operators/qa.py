@@ -14,8 +14,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..tables import durable
+from .neighbours import nearest
 from .pointcloud import density_grid, gps_gaps, pct, pct_if, plane_residual
-from .spatial import nearest, typical_reach, within_distance
+from .spatial import within_distance
 
 SEVERITIES = ("info", "warning", "error", "critical")
 
@@ -106,8 +107,7 @@ def radius_outliers(points: DataFrame, key: str, radius: float = 0.5, least: int
 
 def neighbour_distances(points: DataFrame, key: str, k: int, factor: float) -> DataFrame:
     """key, pid, d, limit, points: each point's mean distance to its k neighbours, and the tile's mean and factor deviations."""
-    cell = typical_reach(points, [key], ("x", "y", "z"), k)
-    near = nearest(points.select(key, "pid", "x", "y", "z"), _other(points, key=key), k + 1, cell, ("x", "y", "z"), ("ox", "oy", "oz"), ["pid"], ["oid"], [key])
+    near = nearest(points, _other(points, key=key), k + 1, ("x", "y", "z"), ("ox", "oy", "oz"), "pid", "oid", [key])
     mean = near.where(F.col("rank") > 1).groupBy(key, "pid").agg(F.avg("distance").alias("d"))
     limit = mean.groupBy(key).agg((F.avg("d") + factor * F.stddev_pop("d")).alias("limit"), F.count("*").alias("points"))
     return mean.join(limit, key)
@@ -120,9 +120,8 @@ def knn_outliers(points: DataFrame, key: str, k: int = 20, factor: float = 2.0)
 
 def plane_distances(points: DataFrame, by: Sequence[str], k: int) -> DataFrame:
     """PC-23: by, pid, away: how far each point lies from the plane through its k nearest points."""
-    cell = typical_reach(points, by, ("x", "y", "z"), k)
     others = points.select(*by, F.col("pid").alias("oid"), F.col("x").alias("ox"), F.col("y").alias("oy"), F.col("z").alias("oz"))
-    near = nearest(points.select(*by, "pid", "x", "y", "z"), others, k + 1, cell, ("x", "y", "z"), ("ox", "oy", "oz"), ["pid"], ["oid"], by).where("rank > 1")
+    near = nearest(points, others, k + 1, ("x", "y", "z"), ("ox", "oy", "oz"), "pid", "oid", by).where("rank > 1")
     d = {a: F.col(f"o{a}") - F.col(a) for a in "xyz"}
     pairs = [a + b for i, a in enumerate("xyz") for b in "xyz"[i:]]
     means = near.groupBy(*by, "pid").agg(*(F.avg(d[a]).alias(f"m{a}") for a in "xyz"), *(F.avg(d[p[0]] * d[p[1]]).alias(f"s{p}") for p in pairs))
@@ -203,8 +202,7 @@ def weather_scores(points: DataFrame, key: str, rise: float = 2.0) -> DataFrame:
     high = points.join(cut, key).where("z > cut")
     box = high.groupBy(key).agg(F.count("*").alias("n"), ((F.max("x") - F.min("x")) * (F.max("y") - F.min("y"))).alias("area"), pct("intensity", 0.5).alias("high_i"), F.first("all_i").alias("all_i")).where("n > 100")
     own = high.join(box.select(key), key, "left_semi")
-    cell = typical_reach(own, [key], ("x", "y"), 1)
-    near = nearest(own.select(key, "pid", "x", "y"), own.select(key, F.col("pid").alias("oid"), F.col("x").alias("ox"), F.col("y").alias("oy")), 2, cell, ("x", "y"), ("ox", "oy"), ["pid"], ["oid"], [key])
+    near = nearest(own, own.select(key, F.col("pid").alias("oid"), F.col("x").alias("ox"), F.col("y").alias("oy")), 2, ("x", "y"), ("ox", "oy"), "pid", "oid", [key])
     mean = near.where("rank = 2").groupBy(key).agg(F.avg("distance").alias("d"))
     out = mean.join(box, key).withColumn("scatter", F.coalesce(F.try_divide(F.col("d"), 0.5 * F.sqrt(F.col("area") / F.col("n"))), F.lit(0.0)))
     dark = F.try_divide(F.col("high_i"), F.col("all_i")) < 0.2

@@ -9,7 +9,6 @@ from pyspark.sql.window import Window
 
 from ..config import VIEWS
 from ..functions import geo
-from ..tables import durable
 
 
 def cell_of(v: Column, size: float) -> Column:
@@ -38,42 +37,6 @@ def within_distance(left: DataFrame, right: DataFrame, radius: float, axes: Sequ
     return near.join(far, [*by, *keys]).where(d2 <= radius * radius).withColumn("distance", F.sqrt(d2)).drop(*keys)
 
 
-def typical_reach(points: DataFrame, by: Sequence[str], axes: Sequence[str], k: int) -> float:
-    """A cell size within which a point has about three times k neighbours, from the mean density of the groups (one number)."""
-    spans = [F.greatest(F.max(a) - F.min(a), F.lit(1e-3)) for a in axes]
-    volume = spans[0]
-    for s in spans[1:]:
-        volume = volume * s
-    found = points.groupBy(*by).agg((volume / F.count("*")).alias("v")).agg(F.avg("v")).first()[0] or 1.0
-    unit = 4.19 if len(axes) == 3 else 3.14
-    return (3.0 * k * found / unit) ** (1.0 / len(axes))
-
-
-def nearest(left: DataFrame, right: DataFrame, k: int, cell: float, axes: Sequence[str], other: Sequence[str], left_key: Sequence[str], right_key: Sequence[str], by: Sequence[str] = (), rounds: int = 12) -> DataFrame:
-    """JN-18/21: the k nearest right rows of each left row, with distance and rank.
-
-    A row is settled when its k-th neighbour within the grid's reach is no farther than the cell; the others are
-    asked again with cells of twice the size.  What remains after all rounds has fewer than k rows in reach, and
-    comes with those it has.
-    """
-    open_, done = left, None
-    for turn in range(rounds):
-        found = within_distance(open_, right, cell, axes, other, by)
-        w = Window.partitionBy(*by, *left_key).orderBy("distance", *right_key)
-        ranked = durable(found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k), "nearest")
-        full = ranked.groupBy(*by, *left_key).agg(F.count("*").alias("__n")).where(F.col("__n") >= k).drop("__n")
-        last = turn == rounds - 1
-        settled = ranked if last else ranked.join(full, [*by, *left_key], "left_semi")
-        done = settled if done is None else done.unionByName(settled)
-        if last:
-            break
-        open_ = open_.join(full, [*by, *left_key], "left_anti")
-        if open_.isEmpty():
-            break
-        cell *= 2
-    return done
-
-
 def boxes_touching(left: DataFrame, right: DataFrame, cell: float, key: Sequence[str]) -> DataFrame:
     """JN-05: pairs of boxes (x0..y1 and rx0..ry1) that meet.  Both sides are copied to the cells they cover."""
     a = left.withColumn("__i", F.explode(cells_over(F.col("x0"), F.col("x1"), cell))).withColumn("__j", F.explode(cells_over(F.col("y0"), F.col("y1"), cell)))

@@ -184,6 +184,19 @@ def knn_outliers(p: DataFrame) -> DataFrame:
     return rounded(qa.knn_outliers(numbered(p), KEY, 5))
 
 
+@query(
+    "QA-06 JN-18",
+    "points",
+    sql=f"""WITH {_IDS}, s AS (SELECT * REPLACE (CASE WHEN pk % 89 = 0 THEN x + 9000000.0 ELSE x END AS x) FROM q), n AS (SELECT a.tile_id, a.pid, sqrt({_D2}) AS d, row_number() OVER (PARTITION BY a.tile_id, a.pid ORDER BY {_D2}, b.pid) AS k FROM s a JOIN s b ON a.tile_id = b.tile_id),
+    m AS (SELECT tile_id, pid, avg(d) AS d FROM n WHERE k BETWEEN 2 AND 6 GROUP BY ALL) SELECT tile_id, count(*) AS points, count(*) FILTER (WHERE d > 1000) AS far, round(max(d), 2) AS farthest, round(min(d), 4) AS closest FROM m GROUP BY tile_id""",
+)
+def far_points(p: DataFrame) -> DataFrame:
+    """Tiles with points 9,000 km off: all have their neighbours' true distances."""
+    stray = numbered(p).withColumn("x", F.when(F.col("pk") % 89 == 0, F.col("x") + 9000000.0).otherwise(F.col("x")))
+    d = qa.neighbour_distances(stray, KEY, 5, 2.0)
+    return d.groupBy(KEY).agg(F.count("*").alias("points"), F.count_if(F.col("d") > 1000).alias("far"), F.round(F.max("d"), 2).alias("farthest"), F.round(F.min("d"), 4).alias("closest"))
+
+
 @query(
     "QA-09",
     "points",
@@ -480,7 +493,7 @@ def intensity_shades(p: DataFrame) -> DataFrame:
     return p.join(span, KEY).select(KEY, "ok", "pk", F.round(shade, 4).alias("shade"))
 
 
-_EXTENT = ", ".join(f"round({f}({c}), 4) AS {f}_{c}" for f in ("min", "max", "avg") for c in "xyz")
+_EXTENT = ", ".join(f"round(avg({c}), 4) AS avg_{c}" if f == "avg" else f"{f}({c}) AS {f}_{c}" for f in ("min", "max", "avg") for c in "xyz")
 
 
 @query(
@@ -494,7 +507,7 @@ def viewer_tiles(p: DataFrame) -> DataFrame:
     out = pc.viewer_tiles(numbered(p), KEY).withColumn("shown", F.from_json("points", "array<struct<x: double, y: double, z: double, intensity: bigint, classification: int>>"))
     total = lambda f, zero: F.aggregate("shown", zero, lambda a, q: a + q[f])
     told = out.withColumns({"sum_z": F.round(total("z", F.lit(0.0)), 3), "sum_intensity": total("intensity", F.lit(0).cast("long")), "shown": F.size("shown").cast("long")})
-    return told.select(KEY, *(F.round(f"{f}_{c}", 4).alias(f"{f}_{c}") for f in ("min", "max", "avg") for c in "xyz"), "classes", "shown", "sum_z", "sum_intensity")
+    return told.select(KEY, *(f"{f}_{c}" for f in ("min", "max") for c in "xyz"), *(F.round(f"avg_{c}", 4).alias(f"avg_{c}") for c in "xyz"), "classes", "shown", "sum_z", "sum_intensity")
 
 
 @query(

@@ -12,6 +12,7 @@ from plinth.functions.registry import register_functions
 from plinth.operators import kernels as k
 from plinth.operators import pointcloud as pc
 from plinth.operators import qa, spatial, views
+from plinth.operators.neighbours import nearest
 
 
 def test_components_and_holes():
@@ -188,9 +189,55 @@ def test_grid_joins_are_brute_force(spark):
     d = np.sqrt(((p[:, None] - p[None]) ** 2).sum(2))
     got = {(r["pid"], r["oid"]) for r in spatial.within_distance(a, b, 4.0, ("x", "y", "z"), ("ox", "oy", "oz")).collect()}
     assert got == set(zip(*map(lambda v: v.tolist(), np.nonzero(d <= 4.0)), strict=True))
-    near = spatial.nearest(a, b, 4, 2.0, ("x", "y", "z"), ("ox", "oy", "oz"), ["pid"], ["oid"])
-    got = {(r["pid"], r["oid"]) for r in near.collect()}
-    assert got == {(i, j) for i in range(300) for j in np.argsort(d[i], kind="stable")[:4].tolist()}
+
+
+def by_brute_force(left, right, k):
+    """(group, left id, right id, rank) of the k nearest, ties by id."""
+    out = set()
+    for g, i, *p in left:
+        there = sorted((math.dist(p, q), j) for h, j, *q in right if h == g)[:k]
+        out |= {(g, i, j, r) for r, (_, j) in enumerate(there, 1)}
+    return out
+
+
+def neighbours_of(spark, left, right, k, dims=3):
+    axes = list("xyz")[:dims]
+    a = spark.createDataFrame(left, f"tile int, pid long, {', '.join(f'{x} double' for x in axes)}")
+    b = spark.createDataFrame(right, f"tile int, oid long, {', '.join(f'o{x} double' for x in axes)}")
+    return nearest(a, b, k, axes, [f"o{x}" for x in axes], "pid", "oid", ["tile"])
+
+
+@pytest.mark.parametrize("dims", [2, 3])
+def test_nearest_is_brute_force_at_any_density(spark, dims):
+    """Dense and thin clusters, stray points, repeated places, small groups, and left rows where no right ones are."""
+    rng = np.random.default_rng(4)
+    parts = [rng.normal(0, 0.01, (250, dims)), rng.uniform(-300, 300, (300, dims)), np.repeat(rng.uniform(5, 6, (3, dims)), 40, axis=0), [[9e6] * dims, [-1e12] * dims, [7.0] * dims]]
+    rows = [(0, i, *map(float, p)) for i, p in enumerate(np.concatenate(parts))] + [(1, i, float(i), *[0.0] * (dims - 1)) for i in range(3)] + [(2, 0, *[1.0] * dims)]
+    other = [r for r in rows if r[1] % 2]
+    ask = [(0, 10_000 + i, *map(float, p)) for i, p in enumerate(rng.uniform(-2000, 2000, (40, dims)))]
+    for left, right, k in ((rows, rows, 6), (rows[::3], other, 1), (ask, other, 9)):
+        got = neighbours_of(spark, left, right, k, dims).collect()
+        assert {(r["tile"], r["pid"], r["oid"], r["rank"]) for r in got} == by_brute_force(left, right, k)
+        assert len(got) == len({(r["tile"], r["pid"], r["rank"]) for r in got})
+
+
+def test_far_points_keep_their_neighbours(spark):
+    """QA-06: a point 9,000 km off is there, with its true distances; unusable coordinates are nobody's."""
+    grid = [(t, t * 1000 + i, float(i % 20), float(i // 20), 0.0) for t in (1, 2) for i in range(400 if t == 1 else 100)]
+    p = spark.createDataFrame([*grid, (2, 5000, 9e6, 9e6, 0.0), (2, 5001, None, 1.0, 0.0), (2, 5002, float("nan"), 1.0, 0.0)], "tile int, pid long, x double, y double, z double")
+    d = {(r["tile"], r["pid"]): r["d"] for r in qa.neighbour_distances(p, "tile", 5, 2.0).collect()}
+    assert len([k for k in d if k[0] == 2]) == 101 and len(d) == 501
+    want = sorted(math.dist((9e6, 9e6), (x, y)) for t, _, x, y, _ in grid if t == 2)[:5]
+    assert abs(d[2, 5000] - sum(want) / 5) < 1e-6
+
+
+def test_nearest_by_text_keys_and_empty_sides(spark):
+    a = spark.createDataFrame([("b", 0.0), ("a", 0.0), ("c", 2.0)], "pid string, x double")
+    b = a.select(F.col("pid").alias("oid"), F.col("x").alias("ox"))
+    got = {(r["pid"], r["oid"], r["rank"], r["distance"]) for r in nearest(a, b, 2, ["x"], ["ox"], "pid", "oid").collect()}
+    assert got == {("a", "a", 1, 0.0), ("a", "b", 2, 0.0), ("b", "a", 1, 0.0), ("b", "b", 2, 0.0), ("c", "c", 1, 0.0), ("c", "a", 2, 2.0)}
+    assert nearest(a, b.limit(0), 2, ["x"], ["ox"], "pid", "oid").count() == 0
+    assert nearest(a.limit(0), b, 2, ["x"], ["ox"], "pid", "oid").count() == 0
 
 
 def test_view_types_at_their_borders(spark):
