@@ -2,41 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from ..config import LAS_CLASSES, RASTER
 from ..tables import durable
+from .quantiles import aggregated
 
 BANDS = ((0, 3), (3, 6), (6, 9), (9, 12), (12, 15), (15, 20), (20, 30), (30, 50))
 
 
-def pct(column: str, p: float) -> Column:
-    """Exact, with linear interpolation."""
-    return F.expr(f"percentile({column}, {p}D)")
-
-
-def pct_if(column: str, when: str, p: float) -> Column:
-    return F.expr(f"percentile({column}, {p}D) FILTER (WHERE {when})")
-
-
 def basic_stats(points: DataFrame, key: str) -> DataFrame:
     """PC-03/06/07."""
-    return points.groupBy(key).agg(
+    plain = [
         F.count("*").alias("point_count"),
         F.min("z").alias("z_min"),
         F.max("z").alias("z_max"),
         (F.max("z") - F.min("z")).alias("z_range"),
         F.avg("z").alias("z_mean"),
         F.stddev_pop("z").alias("z_std"),
-        *(pct("z", p / 100).alias(f"z_p{p}") for p in (10, 25, 50, 75, 90)),
         F.count_if(F.col("number_of_returns") == 1).alias("returns_single"),
         F.count_if(F.col("number_of_returns") != 1).alias("returns_multiple"),
         F.avg("intensity").alias("intensity_mean"),
         F.stddev_pop("intensity").alias("intensity_std"),
-    )
+    ]
+    return aggregated(points, [key], plain, {f"z_p{p}": ("z", p / 100, None) for p in (10, 25, 50, 75, 90)})
 
 
 def _relative(points: DataFrame, key: str, where: Column | None = None, name: str = "z_rel") -> DataFrame:
@@ -65,24 +60,26 @@ def class_stats(points: DataFrame, key: str) -> DataFrame:
     of = lambda c: F.col("classification") == c
     n = lambda c: F.count_if(of(c))
     var = lambda c: F.when(n(c) > 3, F.var_pop(F.when(of(c), F.col("z")))).otherwise(0.0)
-    iqr = lambda c: F.when(n(c) > 3, pct_if("z", f"classification = {c}", 0.75) - pct_if("z", f"classification = {c}", 0.25)).otherwise(0.0)
-    return points.groupBy(key).agg(
+    plain = [
         *(n(i).alias(f"class_{i}_{name}") for i, name in enumerate(LAS_CLASSES)),
         F.coalesce(F.avg(F.when(of(2), F.col("z"))), F.lit(0.0)).alias("ground_z_mean"),
         F.coalesce(F.stddev_pop(F.when(of(2), F.col("z"))), F.lit(0.0)).alias("ground_z_std"),
         (n(3) + n(4) + n(5)).alias("vegetation_proximity_count"),
         var(6).alias("roof_z_variance"),
         var(2).alias("ground_height_variance"),
-        iqr(2).alias("ground_height_iqr"),
         var(6).alias("building_height_variance"),
-        iqr(6).alias("building_height_iqr"),
-    )
+    ]
+    quartiles = {f"__q{c}_{p}": ("z", p / 100, f"classification = {c}") for c in (2, 6) for p in (25, 75)}
+    told = aggregated(points, [key], plain, quartiles)
+    count = {c: F.col(f"class_{c}_{LAS_CLASSES[c]}") for c in (2, 6)}
+    iqr = {f"{name}_height_iqr": F.when(count[c] > 3, F.col(f"__q{c}_75") - F.col(f"__q{c}_25")).otherwise(0.0) for c, name in ((2, "ground"), (6, "building"))}
+    return told.withColumns(iqr).drop(*quartiles)
 
 
 def shape_scores(points: DataFrame, key: str) -> DataFrame:
     """PC-10/13: verticality, planarity, and the facade score (0.8 where a 3 m slab of edge points is dense)."""
     building = points.where("classification = 6")
-    limits = building.groupBy(key).agg(F.count("*").alias("nb"), F.min("z").alias("bz"), F.max("z").alias("tz"), pct("x", 0.1).alias("x10"), pct("x", 0.9).alias("x90"), pct("y", 0.1).alias("y10"), pct("y", 0.9).alias("y90"))
+    limits = aggregated(building, [key], [F.count("*").alias("nb"), F.min("z").alias("bz"), F.max("z").alias("tz")], {f"{c}{p}": (c, p / 100, None) for c in "xy" for p in (10, 90)})
     outer = (F.col("x") < F.col("x10")) | (F.col("x") > F.col("x90")) | (F.col("y") < F.col("y10")) | (F.col("y") > F.col("y90"))
     edge = building.join(limits.where("nb > 100"), key).where(outer).withColumn("slab", F.floor((F.col("z") - F.col("bz")) / 3.0))
     slabs = edge.groupBy(key, "slab").agg(F.count("*").alias("n"), F.first("bz").alias("bz"), F.first("tz").alias("tz"))
@@ -122,17 +119,15 @@ def height_peaks(points: DataFrame, key: str, bin_m: float = 0.5, least: int = 1
 
 def ground_elevation(points: DataFrame, key: str) -> DataFrame:
     """AG-16, SF-27 over the ground class."""
-    return points.where("classification = 2").groupBy(key).agg(
+    plain = [
         F.avg("z").alias("ground_elevation_m"),
-        pct("z", 0.5).alias("median"),
         F.min("z").alias("min_z"),
         F.max("z").alias("max_z"),
         F.stddev_pop("z").alias("std"),
-        pct("z", 0.25).alias("p25"),
-        pct("z", 0.75).alias("p75"),
         F.count("*").alias("ground_points_count"),
         F.least(F.lit(1.0), F.count("*") / 100.0).alias("confidence_score"),
-    )
+    ]
+    return aggregated(points.where("classification = 2"), [key], plain, {"median": ("z", 0.5, None), "p25": ("z", 0.25, None), "p75": ("z", 0.75, None)})
 
 
 def density_grid(points: DataFrame, key: str, cell: float) -> DataFrame:
@@ -158,15 +153,43 @@ def plane_residual(points: DataFrame, key: str) -> DataFrame:
     return s.select(key, "a", "b", F.sqrt(rest).alias("residual_std"))
 
 
+def stepped(rows: DataFrame, key: str, value: str, order: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """WN-09: key, value, keep, __n, step: rows in order of (key, value, order), numbered, with value less that of the row before.
+
+    Rows are dealt by ranges of that order, so a key of any size is spread.  Within a range the row before is at hand;
+    the last row of each range, one a partition, is carried to the next one.  The first row of a key has no step.
+    """
+    names = [key, value, *keep]
+    dealt = rows.select(*names, *(c for c in order if c not in names)).repartitionByRange(key, value, *order).sortWithinPartitions(key, value, *order)
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, last = 0, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, values = (batch.column(i) for i in (0, 1))
+            before = [pa.concat_arrays([pa.array([last[i] if last else None], c.type), c.slice(0, len(c) - 1)]) for i, c in enumerate((keys, values))]
+            step = pc.if_else(pc.fill_null(pc.equal(keys, before[0]), False), pc.subtract(values, before[1]), pa.scalar(None, values.type))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.arange(at, at + len(keys))), step], names=[*batch.schema.names, "__i", "step"])
+            at, last = at + len(keys), (keys[-1].as_py(), values[-1].as_py())
+
+    cut = dealt.select(*names, F.spark_partition_id().alias("__part"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema)
+    told = durable(cut.mapInArrow(numbered, f"{kinds}, __i bigint, step {cut.schema[value].dataType.simpleString()}"), "steps")
+    parts = told.groupBy("__part").agg(F.count("*").alias("n"), F.max_by(F.struct(F.col(key).alias("key"), F.col(value).alias("value")), "__i").alias("last"))
+    w = Window.orderBy("__part")  # a row a partition
+    carried = parts.select("__part", (F.sum("n").over(w) - F.col("n")).alias("__base"), F.lag("last").over(w).alias("__last"))
+    first = F.when((F.col("__i") == 0) & (F.col("__last.key") == F.col(key)), F.col(value) - F.col("__last.value"))
+    return told.join(F.broadcast(carried), "__part").select(*names, (F.col("__base") + F.col("__i")).alias("__n"), F.coalesce("step", first).alias("step"))
+
+
 def gps_gaps(points: DataFrame, key: str, order: Sequence[str], factor: float = 10.0, around: int = 100) -> DataFrame:
     """WN-09: gaps of more than factor times the 95th percentile of time steps, with the median height before and after.
 
     Gaps are found by number and time step alone; only the points around them are fetched by their numbers.
     """
-    w = Window.partitionBy(key).orderBy("gps_time", *order)
-    rows = points.select(key, "z", "gps_time", F.row_number().over(w).alias("__n"), (F.col("gps_time") - F.lag("gps_time").over(w)).alias("step"))
-    rows = durable(rows, "steps")
-    limit = rows.groupBy(key).agg((pct("step", 0.95) * factor).alias("limit"))
+    rows = stepped(points, key, "gps_time", order, ["z"])
+    limit = aggregated(rows, [key], [], {"limit": ("step", 0.95, None)}).withColumn("limit", F.col("limit") * factor)
     gaps = rows.join(limit, key).where("step > limit").select(key, "gps_time", "step", F.col("__n").alias("__gap"))
     near = gaps.withColumn("__n", F.explode(F.sequence(F.col("__gap") - around, F.col("__gap") + around - 1)))
     near = near.join(rows.select(key, "__n", "z"), [key, "__n"])

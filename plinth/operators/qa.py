@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..tables import durable
 from .neighbours import nearest
-from .pointcloud import density_grid, gps_gaps, pct, pct_if, plane_residual
+from .pointcloud import density_grid, gps_gaps, plane_residual
+from .quantiles import aggregated
 from .spatial import within_distance
 
 SEVERITIES = ("info", "warning", "error", "critical")
@@ -41,7 +42,7 @@ def strip_profile(points: DataFrame, key: str, bins: int = 99, least: int = 10)
     """QA-02: median height of each of 99 equal strips in x that has more than 10 points; the greatest x is in none."""
     box = points.groupBy(key).agg(F.min("x").alias("x0"), F.max("x").alias("x1"))
     at = points.join(box, key).withColumn("strip", F.floor(F.try_divide((F.col("x") - F.col("x0")) * bins, F.col("x1") - F.col("x0"))).cast("int"))
-    return at.where(F.col("strip") < bins).groupBy(key, "strip").agg(F.count("*").alias("n"), pct("z", 0.5).alias("median_z")).where(F.col("n") > least)
+    return aggregated(at.where(F.col("strip") < bins), [key, "strip"], [F.count("*").alias("n")], {"median_z": ("z", 0.5, None)}).where(F.col("n") > least)
 
 
 def striping(points: DataFrame, key: str, offset: float = 0.1, bins: int = 99) -> DataFrame:
@@ -139,9 +140,9 @@ def plane_distances(points: DataFrame, by: Sequence[str], k: int) -> DataFrame:
 def noise_levels(points: DataFrame, by: Sequence[str], k: int = 15) -> DataFrame:
     """PC-23: 1.4826 times the median deviation of the distances to local planes, over all points of each group."""
     away = durable(plane_distances(points, by, k), "planes")
-    middle = away.groupBy(*by).agg(pct("away", 0.5).alias("__m"))
+    middle = aggregated(away, by, [], {"__m": ("away", 0.5, None)})
     off = away.join(middle, list(by)).withColumn("__d", F.abs(F.col("away") - F.col("__m")))
-    return off.groupBy(*by).agg((1.4826 * pct("__d", 0.5)).alias("noise_level"))
+    return aggregated(off, by, [], {"__d": ("__d", 0.5, None)}).select(*by, (1.4826 * F.col("__d")).alias("noise_level"))
 
 
 def noise(points: DataFrame, key: str, most: float = 0.05, cell: float = 10.0, least: int = 100, few: int = 5) -> DataFrame:
@@ -167,7 +168,7 @@ def outliers(points: DataFrame, key: str) -> DataFrame:
 
 def bright(points: DataFrame, key: str, p: float, least: int) -> DataFrame:
     """Points above a percentile of their tile's intensity, where there are more than least of them."""
-    cut = points.groupBy(key).agg(pct("intensity", p).alias("__cut"))
+    cut = aggregated(points, [key], [], {"__cut": ("intensity", p, None)})
     out = points.join(cut, key).where("intensity > __cut").drop("__cut")
     many = out.groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") > least).select(key)
     return out.join(many, key, "left_semi")
@@ -176,7 +177,7 @@ def bright(points: DataFrame, key: str, p: float, least: int) -> DataFrame:
 def ghost_candidates(points: DataFrame, key: str, radius: float = 2.0, rise: float = 0.5) -> DataFrame:
     """QA-09: bright points more than half a metre above the median of over ten neighbours."""
     b = bright(points, key, 0.95, 10).select(key, "pid", "x", "y", "z")
-    near = neighbours(b, _other(points, key=key), key, radius).groupBy(key, "pid", "z").agg(F.count("*").alias("n"), pct("oz", 0.5).alias("m"))
+    near = neighbours(b, _other(points, key=key), key, radius).groupBy(key, "pid", "z").agg(F.count("*").alias("n"), F.percentile("oz", 0.5).alias("m"))
     return near.where((F.col("n") > 10) & (F.col("z") - F.col("m") > rise)).groupBy(key).agg(F.count("*").alias("candidates"))
 
 
@@ -198,9 +199,10 @@ def blooming(points: DataFrame, key: str) -> DataFrame:
 
 def weather_scores(points: DataFrame, key: str, rise: float = 2.0) -> DataFrame:
     """QA-11: how far apart points well above the 95th percentile lie, against evenly scattered ones; twice that if they are dark."""
-    cut = points.groupBy(key).agg((pct("z", 0.95) + rise).alias("cut"), pct("intensity", 0.5).alias("all_i"))
+    cut = aggregated(points, [key], [], {"cut": ("z", 0.95, None), "all_i": ("intensity", 0.5, None)}).withColumn("cut", F.col("cut") + rise)
     high = points.join(cut, key).where("z > cut")
-    box = high.groupBy(key).agg(F.count("*").alias("n"), ((F.max("x") - F.min("x")) * (F.max("y") - F.min("y"))).alias("area"), pct("intensity", 0.5).alias("high_i"), F.first("all_i").alias("all_i")).where("n > 100")
+    plain = [F.count("*").alias("n"), ((F.max("x") - F.min("x")) * (F.max("y") - F.min("y"))).alias("area"), F.first("all_i").alias("all_i")]
+    box = aggregated(high, [key], plain, {"high_i": ("intensity", 0.5, None)}).where("n > 100")
     own = high.join(box.select(key), key, "left_semi")
     near = nearest(own, own.select(key, F.col("pid").alias("oid"), F.col("x").alias("ox"), F.col("y").alias("oy")), 2, ("x", "y"), ("ox", "oy"), "pid", "oid", [key])
     mean = near.where("rank = 2").groupBy(key).agg(F.avg("distance").alias("d"))
@@ -228,7 +230,8 @@ def completeness(points: DataFrame, key: str) -> DataFrame:
 def class_shares(points: DataFrame, key: str, low: float = 0.5) -> DataFrame:
     """QA-13: shares of ground far above the lowest point, of buildings at ground height, of vegetation outside its band."""
     c = F.col("classification")
-    base = points.groupBy(key).agg(F.min("z").alias("z0"), pct_if("z", "classification = 2", 0.5).alias("gm"), F.count_if(c == 2).alias("n2"), F.count_if(c == 6).alias("n6"), *(F.count_if(c == v).alias(f"n{v}") for v in (3, 4, 5)))
+    plain = [F.min("z").alias("z0"), F.count_if(c == 2).alias("n2"), F.count_if(c == 6).alias("n6"), *(F.count_if(c == v).alias(f"n{v}") for v in (3, 4, 5))]
+    base = aggregated(points, [key], plain, {"gm": ("z", 0.5, "classification = 2")})
     p = points.join(base, key)
     above = F.col("z") - F.col("gm")
     out_of = {3: (above < 0.0) | (above > 0.5), 4: (above < 0.5) | (above > 2.0), 5: above < 2.0}

@@ -7,9 +7,9 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from ..tables import durable
-
 from ..config import LABEL_SOURCES
+from ..tables import durable
+from .quantiles import aggregated
 
 #: Sides are broadcast below this many rows, checked before; beyond it a grid join takes over.
 SMALL_ROWS = 10_000
@@ -150,6 +150,11 @@ def error_metrics(df: DataFrame, *by: str) -> DataFrame:
         F.avg(e).alias("me"),
         F.when(F.count("*") > 1, F.corr("predicted_ffh", "ground_truth_ffh")).alias("r"),
         F.stddev_pop(e).alias("std"),
-        F.expr("percentile(abs(error), 0.95)").alias("p95"),
     ]
-    return df.rollup("ffh_method", *by).agg(*aggs).where("ffh_method IS NOT NULL")
+    out = None
+    for n in range(len(by), -1, -1):
+        groups = ["ffh_method", *by[:n]]
+        told = aggregated(df.where("ffh_method IS NOT NULL"), groups, aggs, {"p95": ("abs(error)", 0.95, None)})
+        told = told.select(*groups, *(F.lit(None).cast(df.schema[c].dataType).alias(c) for c in by[n:]), *(c for c in told.columns if c not in groups))
+        out = told if out is None else out.unionByName(told)
+    return out

@@ -102,7 +102,7 @@ def ground_elevation_stats(p: DataFrame) -> DataFrame:
 @query("AG-17", "points", sql="WITH g AS (SELECT tile_id, avg(z) AS m FROM points WHERE classification = 2 GROUP BY tile_id) SELECT count(*) AS n, round(avg(m), 4) AS mean, round(median(m), 4) AS median, round(stddev_samp(m), 4) AS std, round(max(m) - min(m), 4) AS span, round(sum(m), 3) AS total FROM g")
 def stage_summary(p: DataFrame) -> DataFrame:
     g = pc.ground_elevation(p, KEY).select(F.col("ground_elevation_m").alias("m"))
-    return g.agg(F.count("*").alias("n"), F.round(F.avg("m"), 4).alias("mean"), F.round(pc.pct("m", 0.5), 4).alias("median"), F.round(F.stddev_samp("m"), 4).alias("std"), F.round(F.max("m") - F.min("m"), 4).alias("span"), F.round(F.sum("m"), 3).alias("total"))
+    return g.agg(F.count("*").alias("n"), F.round(F.avg("m"), 4).alias("mean"), F.round(F.percentile("m", 0.5), 4).alias("median"), F.round(F.stddev_samp("m"), 4).alias("std"), F.round(F.max("m") - F.min("m"), 4).alias("span"), F.round(F.sum("m"), 3).alias("total"))
 
 
 _GRID = """b AS (SELECT tile_id, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1, greatest(1, CAST(ceil((max(x) - min(x)) / 5.0) AS INTEGER)) AS nx, greatest(1, CAST(ceil((max(y) - min(y)) / 5.0) AS INTEGER)) AS ny FROM points GROUP BY tile_id),
