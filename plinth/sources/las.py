@@ -1,6 +1,7 @@
 """LAS point clouds as a Spark data source: one partition a file and range of points.
 
-Uncompressed files of point formats 0 to 3 and 6 to 8 (LAS 1.2 to 1.4).  Absent dimensions are null.
+Uncompressed files of point formats 0 to 3 and 6 to 8 (LAS 1.2 to 1.4).  Absent dimensions are null.  flags has bit 0 for
+synthetic points, 1 for key points, 2 for withheld ones, 3 for the scan direction and 4 for the edge of a flight line.
 """
 
 from __future__ import annotations
@@ -12,12 +13,14 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
-from . import stores
+from . import files, stores
 
-SCHEMA = "tile_id string, point_id bigint, x double, y double, z double, intensity int, classification int, number_of_returns int, scan_angle float, gps_time double, red int, green int, blue int"
+SCHEMA = "tile_id string, point_id bigint, x double, y double, z double, intensity int, classification int, number_of_returns int, scan_angle float, gps_time double, red int, green int, blue int, return_number int, flags int, user_data int, point_source int"
 POINTS = 1 << 20
 
 
@@ -68,7 +71,9 @@ def decode_points(raw: bytes, header: Header, tile: str, first: int) -> pa.Recor
     angle = p["angle"].astype(np.float32) * (1.0 if old else 0.006)
     xyz = [pa.array(p[c].astype(np.float64) * s + t) for c, s, t in zip("XYZ", header.scale, header.shift, strict=True)]
     kind = p["class"] & 31 if old else p["class"]
-    arrays = [pa.array([tile] * n, pa.string()), pa.array(np.arange(first, first + n)), *xyz, column("intensity", np.int32), pa.array(kind.astype(np.int32)), pa.array(returns.astype(np.int32)), pa.array(angle.astype(np.float32)), column("gps", np.float64), *(column(c, np.int32) for c in ("red", "green", "blue"))]
+    number = p["bits"] & (7 if old else 15)
+    flags = (p["class"] >> 5) | (p["bits"] >> 6) << 3 if old else (p["flags"] & 7) | (p["flags"] >> 6) << 3
+    arrays = [pa.array([tile] * n, pa.string()), pa.array(np.arange(first, first + n)), *xyz, column("intensity", np.int32), pa.array(kind.astype(np.int32)), pa.array(returns.astype(np.int32)), pa.array(angle.astype(np.float32)), column("gps", np.float64), *(column(c, np.int32) for c in ("red", "green", "blue")), *(pa.array(v.astype(np.int32)) for v in (number, flags)), *(column(c, np.int32) for c in ("user", "source"))]
     return pa.RecordBatch.from_arrays(arrays, names=[f.split()[0] for f in SCHEMA.split(", ")])
 
 
@@ -126,43 +131,84 @@ def from_binary(files):
     return files.select("path", "content").mapInArrow(run, SCHEMA)
 
 
-def encode_las(x: np.ndarray, y: np.ndarray, z: np.ndarray, intensity=None, classification=None, returns=None, gps=None, scale: float = 0.001) -> bytes:
-    """SK-10: a LAS 1.2 file of point format 1, scale 0.001, offsets at the least coordinates."""
-    n = len(x)
-    zero = np.zeros(n)
-    low = [float(np.floor(v.min())) if n else 0.0 for v in (x, y, z)]
-    out = np.zeros(n, dtype=point_type(1, 28))
-    for name, v, o in zip("XYZ", (x, y, z), low, strict=True):
-        out[name] = np.rint((v - o) / scale)
-    out["intensity"] = zero if intensity is None else intensity
-    out["class"] = zero if classification is None else classification
-    out["bits"] = 1 | (np.ones(n, dtype=np.uint8) if returns is None else np.asarray(returns, dtype=np.uint8)) << 3
-    out["gps"] = zero if gps is None else gps
-    head = bytearray(227)
+#: Point formats 1 (with time) and 3 (with colour too), and the length of their records and of the header.
+PLAIN, COLOURED, HEADER = 1, 3, 227
+LENGTHS = {PLAIN: 28, COLOURED: 34}
+SCALE = 0.001
+#: Columns of a point file besides x, y and z, their greatest value, and what stands for a missing one.
+DIMENSIONS = {"intensity": (65_535, 0), "classification": (31, 0), "number_of_returns": (7, 1), "return_number": (7, 1), "flags": (31, 0), "user_data": (255, 0), "point_source": (65_535, 0), "red": (65_535, 0), "green": (65_535, 0), "blue": (65_535, 0)}
+
+
+def encode_points(columns: dict[str, np.ndarray], shift: tuple[float, float, float], form: int) -> bytes:
+    """Records of a point format; columns beyond x, y and z may be missing.  Values that a record cannot hold are an error."""
+    n = len(columns["x"])
+    out = np.zeros(n, dtype=point_type(form, LENGTHS[form]))
+    for name, low in zip("XYZ", shift, strict=True):
+        whole = np.rint((columns[name.lower()] - low) / SCALE)
+        if not (np.abs(whole) < 1 << 31).all():
+            raise ValueError(f"{name.lower()} is missing or beyond what a file can hold")
+        out[name] = whole
+    v = {}
+    for name, (most, none) in DIMENSIONS.items():
+        got = columns.get(name)
+        v[name] = np.full(n, none) if got is None else np.where(np.isnan(got.astype(float)), none, got).astype(np.int64)
+        if ((v[name] < 0) | (v[name] > most)).any():
+            raise ValueError(f"{name} is beyond what a record holds")
+    out["intensity"], out["user"], out["source"] = v["intensity"], v["user_data"], v["point_source"]
+    out["class"] = v["classification"] | (v["flags"] & 7) << 5
+    out["bits"] = v["return_number"] | v["number_of_returns"] << 3 | (v["flags"] >> 3) << 6
+    out["angle"] = np.clip(np.rint(np.nan_to_num(columns.get("scan_angle", np.zeros(n)).astype(float))), -90, 90)
+    out["gps"] = np.nan_to_num(columns.get("gps_time", np.zeros(n)).astype(float))
+    if form == COLOURED:
+        for c in ("red", "green", "blue"):
+            out[c] = v[c]
+    return out.tobytes()
+
+
+def encode_header(count: int, low: tuple[float, ...], high: tuple[float, ...], form: int, by_return: tuple[int, ...] = (0,) * 5) -> bytes:
+    """SK-10: the header of a LAS 1.2 file: scale 0.001, offsets at the least coordinates."""
+    head = bytearray(HEADER)
     head[:4], head[24], head[25] = b"LASF", 1, 2
-    struct.pack_into("<HIIBHI", head, 94, 227, 227, 0, 1, 28, n)
-    box = [f(v) if n else 0.0 for v in (x, y, z) for f in (np.max, np.min)]
-    struct.pack_into("<12d", head, 131, scale, scale, scale, *low, *map(float, box))
-    return bytes(head) + out.tobytes()
-
-
-def write_las(points, folder: str, key: str) -> None:
-    """SK-10: one LAS file a clip, in a folder of any store; the points of one clip lie around one building."""
-    from pyspark.sql import functions as F
-
-    def body(pdf):
-        import pandas as pd
-
-        name = str(pdf[key].iloc[0])
-        raw = encode_las(*(pdf[c].to_numpy(dtype=float) for c in "xyz"), pdf["intensity"], pdf["classification"], pdf["number_of_returns"], pdf["gps_time"])
-        return pd.DataFrame({"name": [name], "content": [raw]})
-
-    files = points.groupBy(key).applyInPandas(body, "name string, content binary")
-
-    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    struct.pack_into("<HIIBHI5I", head, 94, HEADER, HEADER, 0, form, LENGTHS[form], count, *by_return)
+    box = [v for pair in zip(high, low, strict=True) for v in pair]
+    struct.pack_into("<12d", head, 131, SCALE, SCALE, SCALE, *np.floor(low), *box)
+    return bytes(head)
+
+
+def write_las(points, folder: str, key: str, order: tuple[str, ...] = (), replace: bool = False) -> None:
+    """SK-10: KEY.las for each key that is not null, in a folder of any store, through a writer that commits.
+
+    All that a file of format 1 holds is kept where points have the column: intensity, class, return and number of returns,
+    angle (whole degrees), flags, user data, source and time; with red, green and blue it is format 3.  Dimensions of
+    other names are left out.  Points are encoded in ranges of (key, order), so a large file is encoded by many tasks.
+    """
+    own = points.where(F.col(key).isNotNull())
+    form = COLOURED if {"red", "green", "blue"} <= set(points.columns) else PLAIN
+    names = [c for c in ("x", "y", "z", *DIMENSIONS, "scan_angle", "gps_time") if c in points.columns]
+    first = F.coalesce(F.col("return_number"), F.lit(1)) if "return_number" in points.columns else F.lit(1)
+    box = [f(c).cast("double").alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in "xyz"]
+    sizes = own.groupBy(F.col(key).cast("string").alias("__key")).agg(F.count("*").alias("n"), *box, *(F.count_if(first == r).alias(f"r{r}") for r in range(1, 6)))
+
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                stores.write_file(f"{folder.rstrip('/')}/{name}.las", raw)
-            yield batch.select(["name"])
+            rows = batch.to_pylist()
+            raw = [encode_header(r["n"], tuple(r[f"min_{c}"] for c in "xyz"), tuple(r[f"max_{c}"] for c in "xyz"), form, tuple(r[f"r{i}"] for i in range(1, 6))) for r in rows]
+            yield pa.RecordBatch.from_arrays([pa.array([f"{r['__key']}.las" for r in rows], pa.string()), pa.array([-1] * len(rows), pa.int64()), pa.array(raw, pa.binary())], names=["name", "seq", "content"])
 
-    files.mapInArrow(put, "name string").agg(F.count("*")).collect()
+    def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch.column("__key")
+            edges = [0, *(np.flatnonzero(np.asarray(pc.not_equal(keys[1:], keys[:-1]))) + 1).tolist(), batch.num_rows]
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                part = batch.slice(a, b - a)
+                shift = tuple(float(np.floor(part.column(f"min_{c}")[0].as_py())) for c in "xyz")
+                raw = encode_points({c: part.column(c).to_numpy(zero_copy_only=False) for c in names}, shift, form)
+                yield pa.RecordBatch.from_arrays([pa.array([f"{part.column('__key')[0].as_py()}.las"]), pa.array([(part.column("__part")[0].as_py() << 32) + at], pa.int64()), pa.array([raw], pa.binary())], names=["name", "seq", "content"])
+                at += 1
+
+    numbered = own.select(F.col(key).cast("string").alias("__key"), *names, *(c for c in order if c not in names)).join(sizes.select("__key", *(f"min_{c}" for c in "xyz")), "__key")
+    dealt = numbered.repartitionByRange("__key", *order).sortWithinPartitions("__key", *order).withColumn("__part", F.spark_partition_id().cast("long"))
+    files.write_pieces(sizes.mapInArrow(heads, files.PIECES).unionByName(dealt.mapInArrow(bodies, files.PIECES)), folder, replace)

@@ -25,7 +25,8 @@ def files_below(path: str, suffix: str) -> list[str]:
         return [path]
     scheme = path[: len(path) - len(at)] if path.endswith(at) else ""
     found = store.get_file_info(fs.FileSelector(at, recursive=True))
-    return sorted(scheme + f.path for f in found if f.type == fs.FileType.File and f.path.endswith(suffix))
+    hidden = lambda f: any(p.startswith("_") for p in f.path[len(at) :].split("/"))  # noqa: E731  what a writer has not committed
+    return sorted(scheme + f.path for f in found if f.type == fs.FileType.File and f.path.endswith(suffix) and not hidden(f))
 
 
 def read_at(path: str, offset: int, size: int) -> bytes:
@@ -39,8 +40,22 @@ def size_of(path: str) -> int:
     return store.get_file_info(at).size
 
 
-def write_file(path: str, raw: bytes) -> None:
+def sink(path: str):
+    """A stream into a new file; folders above it are made."""
     store, at = opened(path)
     store.create_dir(at.rsplit("/", 1)[0], recursive=True)
-    with store.open_output_stream(at) as f:
-        f.write(raw)
+    return store.open_output_stream(at)
+
+
+def move(path: str, to: str) -> None:
+    """The file under its new name in the same store; one that is there is replaced."""
+    store, at = opened(path)
+    there = opened(to)[1]
+    store.create_dir(there.rsplit("/", 1)[0], recursive=True)
+    store.move(at, there)
+
+
+def delete_folder(path: str) -> None:
+    store, at = opened(path)
+    if store.get_file_info(at).type == fs.FileType.Directory:
+        store.delete_dir(at)
