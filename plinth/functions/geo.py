@@ -196,6 +196,17 @@ def segment_hit(px: Column, py: Column, qx: Column, qy: Column, ax: Column, ay:
     return F.when((t >= 0) & (t <= 1) & (u >= 0) & (u <= 1), t)
 
 
+def intersects(ring: Column, other: Column) -> Column:
+    """GE-05: whether two simple rings meet: their borders touch or cross, or one lies inside the other."""
+    first = lambda r, d: F.element_at(r, 1)[d]
+
+    def meets(e: Column):
+        return lambda o: segment_hit(e["a"]["x"], e["a"]["y"], e["b"]["x"], e["b"]["y"], o["a"]["x"], o["a"]["y"], o["b"]["x"], o["b"]["y"]).isNotNull()
+
+    borders = F.exists(edges(ring), lambda e: F.exists(edges(other), meets(e)))
+    return borders | contains(ring, first(other, "x"), first(other, "y")) | contains(other, first(ring, "x"), first(ring, "y"))
+
+
 def measurement(x1: Column, y1: Column, z1: Column, x2: Column, y2: Column, z2: Column) -> Column:
     """SF-30: height difference, horizontal and slope distance, angle in degrees."""
     flat, rise = F.hypot(x2 - x1, y2 - y1), z2 - z1

@@ -118,24 +118,6 @@ def simplify(ring: np.ndarray, tolerance: float) -> np.ndarray:
     return path[keep][:-1]
 
 
-def convex_overlap(a: np.ndarray, b: np.ndarray) -> float:
-    """GE-14: area that two convex counter-clockwise rings share: a is cut by each side of b in turn."""
-    part = a
-    for p, q in zip(b, np.roll(b, -1, axis=0), strict=True):
-        if len(part) < 3:
-            return 0.0
-        side = (q[0] - p[0]) * (part[:, 1] - p[1]) - (q[1] - p[1]) * (part[:, 0] - p[0])
-        after, ahead = np.roll(part, -1, axis=0), np.roll(side, -1)
-        out: list[np.ndarray] = []
-        for v, w, d, e in zip(part, after, side, ahead, strict=True):
-            if d >= 0:
-                out.append(v)
-            if (d >= 0) != (e >= 0):
-                out.append(v + (w - v) * (d / (d - e)))
-        part = np.array(out).reshape(-1, 2)
-    return shoelace(part)
-
-
 def simplified(rings: DataFrame, tolerance: float) -> DataFrame:
     """GE-07: rings with ring simplified; a ring that would keep fewer than three corners stays as it is."""
     from pyspark.sql import functions as F
@@ -152,18 +134,6 @@ def simplified(rings: DataFrame, tolerance: float) -> DataFrame:
     return rings.withColumn("ring", fewer("ring"))
 
 
-def hull_overlaps(pairs: DataFrame) -> DataFrame:
-    """pairs (id, bid, ring, other) with the area that the convex hulls of the two rings share instead of the rings."""
-    from pyspark.sql import functions as F
-
-    @F.pandas_udf("double")
-    def shared(ring: pd.Series, other: pd.Series) -> pd.Series:
-        corners = lambda r: hull(np.array([p["x"] for p in r]), np.array([p["y"] for p in r]))
-        return pd.Series([convex_overlap(corners(r), corners(o)) for r, o in zip(ring, other, strict=True)], dtype=float)
-
-    return pairs.select("id", "bid", shared("ring", "other").alias("area"))
-
-
 def cloth_surface(i: np.ndarray, j: np.ndarray, top: np.ndarray, rounds: int = 500, gravity: float = 0.2, stiffness: int = 3) -> np.ndarray:
     """PC-02: heights, at the cells (i, j) from 0 on, of a cloth that fell on the raster of inverted heights top.
 

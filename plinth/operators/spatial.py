@@ -9,6 +9,8 @@ from pyspark.sql.window import Window
 
 from ..config import VIEWS
 from ..functions import geo
+from ..tables import durable
+from .overlaps import with_overlap
 
 
 def cell_of(v: Column, size: float) -> Column:
@@ -97,36 +99,50 @@ def chosen(candidates: DataFrame) -> DataFrame:
     return candidates.withColumn("is_chosen", F.row_number().over(w) == 1)
 
 
-def overlapping(buildings: DataFrame, cell: float, least: float = VIEWS.overlap_area) -> DataFrame:
-    """GE-14: id, bid: buildings whose convex hulls overlap by more than least, each pair both ways.  Boxes meet first."""
-    from .kernels import hull_overlaps
+def _of(d: str):
+    return lambda p: p[d]
 
-    box = lambda f, d: f(F.transform("ring", lambda p: p[d]))
-    b = buildings.select("id", "ring", box(F.array_min, "x").alias("x0"), box(F.array_min, "y").alias("y0"), box(F.array_max, "x").alias("x1"), box(F.array_max, "y").alias("y1"))
-    near = boxes_touching(b, b.select(F.col("id").alias("bid"), F.col("ring").alias("other"), *(F.col(c).alias(f"r{c}") for c in ("x0", "y0", "x1", "y1"))), cell, ["id"])
-    pairs = near.where(F.col("id") < F.col("bid")).select("id", "bid", "ring", "other")
-    kept = hull_overlaps(pairs).where(F.col("area") > least)
-    return kept.select("id", "bid").unionByName(kept.select(F.col("bid").alias("id"), F.col("id").alias("bid")))
+
+def with_box(rings: DataFrame, ring: str = "ring", prefix: str = "") -> DataFrame:
+    """rings with x0, y0, x1, y1, the box of each ring."""
+    ends = {f"{prefix}{d}{i}": f(F.transform(ring, _of(d))) for d in "xy" for i, f in ((0, F.array_min), (1, F.array_max))}
+    return rings.withColumns(ends)
+
+
+def rings_meeting(left: DataFrame, right: DataFrame, cell: float, key: str, other: str) -> DataFrame:
+    """JN-05, GE-05: pairs (key, ring) and (other, other_ring) of any simple rings that meet, by border or inside; boxes meet first."""
+    a = with_box(left.select(key, "ring"))
+    b = with_box(right.select(F.col(key).alias(other), F.col("ring").alias("other_ring")), "other_ring", "r")
+    near = boxes_touching(a, b, cell, [key]).where(geo.intersects(F.col("ring"), F.col("other_ring")))
+    return near.select(key, other, "ring", "other_ring")
+
+
+def overlapping(buildings: DataFrame, cell: float, least: float = VIEWS.overlap_area) -> DataFrame:
+    """GE-14: id, bid: buildings whose rings share more than least, each pair both ways.  Boxes meet first."""
+    b = with_box(buildings.select("id", "ring"))
+    other = with_box(buildings.select(F.col("id").alias("bid"), F.col("ring").alias("other")), "other", "r")
+    pairs = boxes_touching(b, other, cell, ["id"]).where(F.col("id") < F.col("bid")).select("id", "bid", "ring", "other")
+    kept = durable(with_overlap(pairs).where(F.col("area") > least).select("id", "bid"), "overlaps")
+    return kept.unionByName(kept.select(F.col("bid").alias("id"), F.col("id").alias("bid")))
 
 
 def visible(rays: DataFrame, blockers: DataFrame, cell: float, keys: Sequence[str], overlaps: DataFrame | None = None, slack: float = VIEWS.occlusion_slack) -> DataFrame:
     """JN-08: the rays (keys, id, px..my) from P to M that no other building's edge crosses more than slack before M.
 
-    Blockers (bid, ax..by) lie in the cells their boxes cover, rays in those theirs cover.  Buildings that overlap the
-    ray's own (id, bid of overlaps) do not block.  Hits are one grouped maximum, combined map-side.
+    Blockers (bid, ax..by) lie in the cells their boxes cover, rays in those theirs cover.  Only pairs that hit go on:
+    those of buildings that overlap the ray's own (id, bid of overlaps) are taken out, and rays with a hit left are dropped.
     """
+    rays = durable(rays, "rays")
     lo, hi = (lambda a, b: F.least(F.col(a), F.col(b))), (lambda a, b: F.greatest(F.col(a), F.col(b)))
-    r = rays.withColumn("__i", F.explode(cells_over(lo("px", "mx"), hi("px", "mx"), cell))).withColumn("__j", F.explode(cells_over(lo("py", "my"), hi("py", "my"), cell)))
+    r = rays.select(*dict.fromkeys([*keys, "id", "px", "py", "mx", "my"]))
+    r = r.withColumn("__i", F.explode(cells_over(lo("px", "mx"), hi("px", "mx"), cell))).withColumn("__j", F.explode(cells_over(lo("py", "my"), hi("py", "my"), cell)))
     b = blockers.withColumn("__i", F.explode(cells_over(lo("ax", "bx"), hi("ax", "bx"), cell))).withColumn("__j", F.explode(cells_over(lo("ay", "by"), hi("ay", "by"), cell)))
     hit = geo.segment_hit(*(F.col(c) for c in ("px", "py", "mx", "my", "ax", "ay", "bx", "by")))
     length = F.hypot(F.col("mx") - F.col("px"), F.col("my") - F.col("py"))
-    met = r.join(b, ["__i", "__j"], "left")
-    blocked = F.coalesce((F.col("id") != F.col("bid")) & (hit * length + slack < length), F.lit(False))
-    met = met.select(*rays.columns, "bid", blocked.alias("blocked"))
+    hits = r.join(b, ["__i", "__j"]).where((F.col("id") != F.col("bid")) & (hit * length + slack < length)).select(*dict.fromkeys([*keys, "id", "bid"]))
     if overlaps is not None:
-        met = met.join(overlaps.withColumn("__own", F.lit(True)), ["id", "bid"], "left").withColumn("blocked", F.col("blocked") & F.col("__own").isNull())
-    rest = [c for c in rays.columns if c not in keys]
-    return met.groupBy(*keys).agg(F.max("blocked").alias("blocked"), *(F.first(c).alias(c) for c in rest)).where(~F.col("blocked")).select(*rays.columns)
+        hits = hits.join(overlaps, ["id", "bid"], "left_anti")
+    return rays.join(hits.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def vertex_pixels(views: DataFrame, rings: DataFrame, width: int, short: float = 0.999) -> DataFrame:

@@ -8,6 +8,7 @@ from ..config import RASTER
 from ..functions import geo
 from ..operators import relational as rel
 from ..operators import spatial as ops
+from ..operators.overlaps import with_overlap
 from .registry import query, r4, rounded
 
 _BOX = "cx - hw AS x0, cy - hh AS y0, cx + hw AS x1, cy + hh AS y1"
@@ -54,6 +55,50 @@ def ray_occlusion(b: DataFrame, p: DataFrame) -> DataFrame:
     return ops.visible(ops.candidate_views(f, p), walls, 40.0, ("id", "edge_idx", "pano_id"), ops.overlapping(f.select("id", "ring"), 40.0)).select("id", "edge_idx", "pano_id")
 
 
+def shaped(b: DataFrame) -> DataFrame:
+    """Footprints as L of two boxes, or as U of three where the nation is odd."""
+    x, y, w, h = F.col("cx"), F.col("cy"), F.col("hw") * 4, F.col("hh") * 4
+    at = lambda *corners: F.array(*(F.struct((x + u).alias("x"), (y + v).alias("y")) for u, v in corners))
+    zero = w - w
+    ell = at((-w, -h), (w, -h), (w, zero), (zero, zero), (zero, h), (-w, h))
+    cup = at((-w, -h), (w, -h), (w, h), (w / 2, h), (w / 2, zero), (-w / 2, zero), (-w / 2, h), (-w, h))
+    # every third ring runs the other way round
+    ring = F.when(F.col("nation") % 2 == 0, ell).otherwise(cup)
+    return b.select("id", F.when(F.col("id") % 3 == 0, F.reverse(ring)).otherwise(ring).alias("ring"))
+
+
+_SHAPED = """w AS (SELECT id, nation, cx, cy, hw * 4 AS w, hh * 4 AS h FROM buildings),
+s AS (SELECT id, cx + -w AS x0, cy + -h AS y0, cx + w AS x1, cy AS y1 FROM w UNION ALL SELECT id, cx + -w, cy, cx, cy + h FROM w WHERE nation % 2 = 0
+UNION ALL SELECT id, cx + -w, cy, cx + -w / 2, cy + h FROM w WHERE nation % 2 = 1 UNION ALL SELECT id, cx + w / 2, cy, cx + w, cy + h FROM w WHERE nation % 2 = 1)"""
+
+
+@query(
+    "GE-05 GE-14 JN-05",
+    "buildings",
+    sql=f"""WITH {_SHAPED} SELECT a.id, b.id AS bid, round(sum(greatest(0, least(a.x1, b.x1) - greatest(a.x0, b.x0)) * greatest(0, least(a.y1, b.y1) - greatest(a.y0, b.y0))), 4) AS area
+    FROM s a JOIN s b ON a.id < b.id AND a.x0 <= b.x1 AND b.x0 <= a.x1 AND a.y0 <= b.y1 AND b.y0 <= a.y1 GROUP BY ALL HAVING area > 0""",
+)
+def shared_footprints(b: DataFrame) -> DataFrame:
+    """L- and U-shaped footprints that share an area (borders may touch by the last bit only); the SQL adds up the boxes they are made of."""
+    f = shaped(b)
+    met = ops.rings_meeting(f, f, 40.0, "id", "bid").where("id < bid")
+    return with_overlap(met, "ring", "other_ring").select("id", "bid", F.round("area", 4).alias("area")).where("area > 0")
+
+
+@query(
+    "JN-05 GE-05",
+    "buildings",
+    "tilesets",
+    sql=f"""WITH {_SHAPED}, t AS (SELECT DISTINCT tile_id, x0 + 50 AS x0, y0 + 50 AS y0, x1 - 50 AS x1, y1 - 50 AS y1 FROM tilesets)
+    SELECT tile_id, count(DISTINCT id) AS buildings, min(id) AS first_id FROM s JOIN t ON s.x0 <= t.x1 AND t.x0 <= s.x1 AND s.y0 <= t.y1 AND t.y0 <= s.y1 GROUP BY tile_id""",
+)
+def footprints_in_tiles(b: DataFrame, t: DataFrame) -> DataFrame:
+    """Footprints that meet the inner part of each tile, also those around a corner that their box covers but they do not."""
+    tiles = t.select("tile_id", geo.box_ring(F.col("x0") + 50, F.col("y0") + 50, F.col("x1") - 50, F.col("y1") - 50).alias("ring"))
+    met = ops.rings_meeting(tiles.withColumnRenamed("tile_id", "id"), shaped(b), 40.0, "id", "bid")
+    return met.groupBy(F.col("id").alias("tile_id")).agg(F.count_distinct("bid").alias("buildings"), F.min("bid").alias("first_id"))
+
+
 @query("GE-10 GE-11 SC-15", "buildings", sql=f"WITH {_EDGES} SELECT id, idx, round(mx, 4) AS mx, round(my, 4) AS my, round(nx, 4) AS nx, round(ny, 4) AS ny, round(sqrt((bx - ax) * (bx - ax) + (by_ - ay) * (by_ - ay)), 4) AS length, round(mx + 40 * nx, 4) AS arc_x, round(my + 40 * ny, 4) AS arc_y FROM e")
 def edge_enumeration(b: DataFrame) -> DataFrame:
     e = ops.edges_of(footprints(b))

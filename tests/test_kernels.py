@@ -13,6 +13,7 @@ from plinth.operators import kernels as k
 from plinth.operators import pointcloud as pc
 from plinth.operators import qa, spatial, views
 from plinth.operators.neighbours import nearest
+from plinth.operators.overlaps import with_overlap
 
 
 def test_components_and_holes():
@@ -111,13 +112,13 @@ def test_simplified_rings(spark):
     assert got == {1: 4, 2: 5}
 
 
-def test_hulls_that_overlap(spark):
+def test_buildings_that_overlap(spark):
     square = lambda x, y, s: [{"x": x + a * s, "y": y + b * s} for a, b in ((0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0))]
     diamond = [{"x": 5.0 + a, "y": 5.0 + b} for a, b in ((2.0, 0.0), (0.0, 2.0), (-2.0, 0.0), (0.0, -2.0))]
     b = spark.createDataFrame([(1, square(0.0, 0.0, 5.0)), (2, diamond), (3, square(5.0, 0.0, 3.0)), (4, square(40.0, 40.0, 2.0))], "id long, ring array<struct<x: double, y: double>>")
     assert {(r["id"], r["bid"]) for r in spatial.overlapping(b, 4.0).collect()} == {(1, 2), (2, 1)}  # the third only touches
-    area = k.convex_overlap(np.array([[p["x"], p["y"]] for p in square(0.0, 0.0, 5.0)]), np.array([[p["x"], p["y"]] for p in diamond]))
-    assert area == pytest.approx(2.0)  # a quarter of the diamond
+    shared = {(r["id"], r["bid"]): r["area"] for r in with_overlap(b.alias("a").join(b.select(F.col("id").alias("bid"), F.col("ring").alias("other")), F.col("id") < F.col("bid"))).collect()}
+    assert shared[1, 2] == pytest.approx(2.0) and shared[1, 3] == 0.0  # a quarter of the diamond; a border has no area
 
 
 def test_buildings_that_overlap_do_not_block(spark):
