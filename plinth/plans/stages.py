@@ -85,7 +85,8 @@ def _heights(c: Catalog, region: str | None) -> DataFrame:
 
 
 def _validate(c: Catalog, region: str | None) -> DataFrame:
-    found = relational.first_per_key(_of(c, "heights", region), ["id"], [F.col("id")])
+    heights = _of(c, "heights", region)
+    found = relational.first_per_key(heights, ["id"], [F.to_json(F.struct(*sorted(heights.columns)))])  # a total order
     truth = relational.first_per_key(_of(c, "labels", region), ["id"], [F.col("floor_height_m")]).select("id", "floor_height_m")
     return relational.unpivot_heights(found.join(truth, "id"), ["id"], ["ffh1", "ffh2", "ffh3"], "floor_height_m")
 
@@ -103,7 +104,7 @@ def _qa(c: Catalog, region: str | None) -> DataFrame:
 
 
 STAGES = (
-    Definition("stage01", ("1", "clip"), ("buildings", "points"), _clip, ("id", "x", "y", "z")),
+    Definition("stage01", ("1", "clip"), ("buildings", "points"), _clip, ("id", "tile_id", "point_id")),
     Definition("stage02a", ("2a", "harvest"), ("buildings", "panoramas"), _harvest, ("id", "edge_idx", "view_type", "pano_id")),
     Definition("stage02b", ("2b", "downloads"), ("candidate_views", "buildings", "pano_files"), _downloads, views.VIEW),
     Definition("stage03", ("3", "windows"), ("candidate_views", "downloads", "panoramas", "buildings"), _windows, views.VIEW),

@@ -39,8 +39,3 @@ def redo(done: DataFrame, files: DataFrame, path_col: str, least: int = 1) -> Da
     """IN-02: rows whose output file is missing or too short, to be done again."""
     good = files.where(F.col("length") >= least).select(F.regexp_replace("path", "^file:/*", "/").alias("__p"))
     return done.join(good, F.regexp_replace(F.col(path_col), "^file:/*", "/") == F.col("__p"), "left_anti")
-
-
-def windowed_counts(events: DataFrame, by: str, late: str = "10 minutes", size: str = "5 minutes") -> DataFrame:
-    """An extension: events a window and kind, with a watermark for late ones."""
-    return events.withWatermark("ts", late).groupBy(F.window("ts", size), by).agg(F.count("*").alias("n"))

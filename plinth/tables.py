@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,28 +30,36 @@ def durable(df: DataFrame, name: str = "t", compression: str = "snappy") -> Data
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/plinth/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
-    _WRITTEN.append(path)
+    _written().append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Tables that durable() wrote since the last release().  Who calls an operator owns what it leaves for its result to
-#: read: release() it when the result is stored.  What an operator itself reads no more it releases itself.
-_WRITTEN: list[str] = []
+#: Tables that durable() wrote in this thread since the last release(); queries in other threads have lists of their own.
+#: Who calls an operator owns what it leaves for its result to read: release() it when the result is stored.  What an
+#: operator itself reads no more it releases itself.
+_OWN = threading.local()
+
+
+def _written() -> list[str]:
+    if not hasattr(_OWN, "paths"):
+        _OWN.paths = []
+    return _OWN.paths
 
 
 def written() -> int:
     """How many tables are there: a mark to release() from."""
-    return len(_WRITTEN)
+    return len(_written())
 
 
 def last_written() -> str:
-    return _WRITTEN[-1]
+    return _written()[-1]
 
 
 def release(spark: SparkSession, since: int = 0, but: tuple[str, ...] = ()) -> None:
     """Deletes what durable() wrote after its first since tables; to be called when results that read it are stored."""
-    gone = [p for p in _WRITTEN[since:] if p not in but]
-    _WRITTEN[since:] = [p for p in _WRITTEN[since:] if p in but]
+    paths = _written()
+    gone = [p for p in paths[since:] if p not in but]
+    paths[since:] = [p for p in paths[since:] if p in but]
     for at in gone:
         path = spark._jvm.org.apache.hadoop.fs.Path(at)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
