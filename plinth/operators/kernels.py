@@ -12,24 +12,68 @@ from pyspark.sql import DataFrame
 
 
 def labels_of(mask: np.ndarray, eight: bool) -> np.ndarray:
-    """Components of a mask from 1 on in order of their first pixel; 0 outside."""
+    """Components of a mask from 1 on in order of their first pixel; 0 outside.
+
+    Pixels are taken in runs of a row; runs of neighbouring rows that touch are hung under the first of them until
+    nothing changes, so the work goes by runs and not by pixels.
+    """
+    edge = np.diff(np.pad(mask.astype(np.int8), ((0, 0), (1, 1))), axis=1)
+    row, start = np.nonzero(edge == 1)
+    end = np.nonzero(edge == -1)[1]
     out = np.zeros(mask.shape, dtype=np.int32)
-    steps = [(0, 1), (1, 0), (0, -1), (-1, 0)] + ([(1, 1), (1, -1), (-1, 1), (-1, -1)] if eight else [])
-    n = 0
-    for start in zip(*np.nonzero(mask), strict=True):
-        if out[start]:
-            continue
-        n += 1
-        out[start] = n
-        stack = [start]
-        while stack:
-            v, u = stack.pop()
-            for dv, du in steps:
-                a, b = v + dv, u + du
-                if 0 <= a < mask.shape[0] and 0 <= b < mask.shape[1] and mask[a, b] and not out[a, b]:
-                    out[a, b] = n
-                    stack.append((a, b))
-    return out
+    if not len(row):
+        return out
+    width, reach = mask.shape[1] + 3, 1 if eight else 0
+    below = (row + 1) * width
+    first = np.searchsorted(row * width + end, below + start - reach, side="right")
+    last = np.searchsorted(row * width + start, below + end + reach, side="left")
+    n = np.maximum(last - first, 0)
+    a = np.repeat(np.arange(len(row)), n)
+    b = np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+    root = np.arange(len(row))
+    while len(a):
+        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        open_ = low != high
+        if not open_.any():
+            break
+        np.minimum.at(root, high[open_], low[open_])
+        while not np.array_equal(up := root[root], root):
+            root = up
+    label = np.unique(root, return_inverse=True)[1] + 1
+    step = np.zeros(mask.size + 1, dtype=np.int64)
+    at = row * mask.shape[1]
+    np.add.at(step, at + start, label)
+    np.add.at(step, at + end, -label)
+    return np.cumsum(step[:-1]).reshape(mask.shape).astype(np.int32)
+
+
+def nearest_valid(valid: np.ndarray, v: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of the valid pixel nearest to each pixel (v, u); of equally near ones the first row by row.
+
+    One pass finds the nearest valid pixel of each column, above and below; then columns are tried outwards until no
+    farther one can be nearer.  valid must have a pixel.
+    """
+    h, w = valid.shape
+    rows = np.arange(h)[:, None]
+    above = np.maximum.accumulate(np.where(valid, rows, -1), axis=0)
+    below = np.minimum.accumulate(np.where(valid, rows, h)[::-1], axis=0)[::-1]
+    best = np.full(len(v), np.iinfo(np.int64).max)
+    left = np.arange(len(v))
+    for off in range(w):
+        left = left[off * off <= best[left] // (h * w)]
+        if not len(left):
+            break
+        for side in (-off, off) if off else (0,):
+            x = u[left] + side
+            inside = left[(x >= 0) & (x < w)]
+            x = u[inside] + side
+            for near in (above, below):
+                y = near[v[inside], x].astype(np.int64)
+                there = (y >= 0) & (y < h)
+                key = ((y - v[inside]) ** 2 + off * off) * (h * w) + y * w + x
+                best[inside] = np.where(there, np.minimum(best[inside], key), best[inside])
+    at = best % (h * w)
+    return at // w, at % w
 
 
 def fill_holes(raster: np.ndarray, nodata: float, most: int = 10) -> np.ndarray:
@@ -39,9 +83,8 @@ def fill_holes(raster: np.ndarray, nodata: float, most: int = 10) -> np.ndarray:
         return out
     label = labels_of(hole, eight=False)
     size = np.bincount(label.ravel())
-    v, u = np.nonzero(~hole)
-    for a, b in zip(*np.nonzero((label > 0) & (size[label] <= most)), strict=True):
-        out[a, b] = raster[v[k := int(np.argmin((v - a) ** 2 + (u - b) ** 2))], u[k]]
+    v, u = np.nonzero((label > 0) & (size[label] <= most))
+    out[v, u] = raster[nearest_valid(~hole, v, u)]
     return out
 
 
@@ -134,22 +177,22 @@ def simplified(rings: DataFrame, tolerance: float) -> DataFrame:
     return rings.withColumn("ring", fewer("ring"))
 
 
-def cloth_surface(i: np.ndarray, j: np.ndarray, top: np.ndarray, rounds: int = 500, gravity: float = 0.2, stiffness: int = 3) -> np.ndarray:
+def cloth_surface(i: np.ndarray, j: np.ndarray, top: np.ndarray, rounds: int = 500, gravity: float = 0.2, tick: float = 0.65, stiffness: int = 3, slope: float | None = 0.3) -> np.ndarray:
     """PC-02: heights, at the cells (i, j) from 0 on, of a cloth that fell on the raster of inverted heights top.
 
-    After the published cloth simulation filter (Zhang et al. 2016), without the slope step.
+    After the published cloth simulation filter (Zhang et al. 2016) with its step for steep slopes: a cell that still
+    hangs beside one that lies, where the two heights below differ by less than slope, lies too (None: no such step).
     """
     shape = (i.max() + 1, j.max() + 1)
     floor_ = np.full(shape, -np.inf)
     np.maximum.at(floor_, (i, j), top)
     seen = np.isfinite(floor_)
-    v, u = np.nonzero(seen)
-    for a, b in zip(*np.nonzero(~seen), strict=True):
-        floor_[a, b] = floor_[v[k := int(np.argmin((v - a) ** 2 + (u - b) ** 2))], u[k]]
+    v, u = np.nonzero(~seen)
+    floor_[v, u] = floor_[nearest_valid(seen, v, u)]
     cloth = np.full(shape, top.max() + 0.05)
     last, fixed = cloth.copy(), np.zeros(shape, dtype=bool)
     for _ in range(rounds):
-        step = np.where(fixed, 0.0, (cloth - last) * 0.99 - gravity * 0.01)
+        step = np.where(fixed, 0.0, (cloth - last) * 0.99 - gravity * tick * tick)
         last, cloth = cloth, cloth + step
         for _ in range(stiffness):
             for axis in (0, 1):
@@ -168,6 +211,18 @@ def cloth_surface(i: np.ndarray, j: np.ndarray, top: np.ndarray, rounds: int = 5
         fixed |= hit
         if np.abs(cloth - last).max() < 0.005:
             break
+    while slope is not None:
+        laid = np.zeros(shape, dtype=bool)
+        for axis in (0, 1):
+            near = np.abs(np.diff(floor_, axis=axis)) < slope
+            a, b = [slice(None)] * 2, [slice(None)] * 2
+            a[axis], b[axis] = slice(None, -1), slice(1, None)
+            laid[tuple(a)] |= near & fixed[tuple(b)]
+            laid[tuple(b)] |= near & fixed[tuple(a)]
+        laid &= ~fixed
+        if not laid.any():
+            break
+        cloth, fixed = np.where(laid, floor_, cloth), fixed | laid
     return cloth[i, j]
 
 

@@ -26,6 +26,71 @@ def test_components_and_holes():
     assert (out[1, 1:4] != 9999.0).all() and (out[3:6, 2:6] == 9999.0).all()
 
 
+def flooded(mask, eight):
+    """Components pixel by pixel."""
+    out, n = np.zeros(mask.shape, dtype=int), 0
+    steps = [(a, b) for a in (-1, 0, 1) for b in (-1, 0, 1) if (a or b) and (eight or not (a and b))]
+    for start in zip(*np.nonzero(mask), strict=True):
+        if out[start]:
+            continue
+        n += 1
+        out[start], stack = n, [start]
+        while stack:
+            v, u = stack.pop()
+            for a, b in steps:
+                if 0 <= v + a < mask.shape[0] and 0 <= u + b < mask.shape[1] and mask[v + a, u + b] and not out[v + a, u + b]:
+                    out[v + a, u + b] = n
+                    stack.append((v + a, u + b))
+    return out
+
+
+def test_components_are_those_of_a_flood():
+    rng = np.random.default_rng(11)
+    spiral = np.zeros((41, 41), dtype=bool)
+    for r in range(0, 20, 2):
+        spiral[r, r:41 - r] = spiral[40 - r, r:41 - r] = spiral[r:41 - r, r] = spiral[r:41 - r, 40 - r] = True
+        spiral[r + 1, r] = False
+        spiral[r + 2, r + 1] = True
+    masks = [rng.random((h, w)) < p for h, w in ((1, 1), (1, 30), (30, 1), (25, 40)) for p in (0.0, 0.3, 0.5, 0.6, 1.0)] + [spiral]
+    for mask in masks:
+        for eight in (False, True):
+            assert np.array_equal(k.labels_of(mask, eight), flooded(mask, eight))
+
+
+def test_nearest_valid_pixel_is_brute_force():
+    rng = np.random.default_rng(12)
+    for h, w, p in ((1, 20, 0.1), (20, 1, 0.2), (30, 40, 0.02), (30, 40, 0.5), (25, 25, 0.9)):
+        valid = rng.random((h, w)) < p
+        valid[rng.integers(h), rng.integers(w)] = True
+        v, u = np.nonzero(~valid)
+        y, x = np.nonzero(valid)
+        got = k.nearest_valid(valid, v, u)
+        want = [int(np.argmin((y - a) ** 2 + (x - b) ** 2)) for a, b in zip(v, u, strict=True)]
+        assert got[0].tolist() == y[want].tolist() and got[1].tolist() == x[want].tolist()
+
+
+def test_large_rasters_take_seconds():
+    import time
+
+    rng = np.random.default_rng(13)
+    raster = np.where(rng.random((3000, 5500)) < 0.02, 9999.0, 1.0)
+    began = time.time()
+    out = k.fill_holes(raster, 9999.0)
+    assert (out == 1.0).all() and time.time() - began < 60
+
+
+def test_cloth_falls_and_lies_on_steep_slopes():
+    """It reaches the ground, hangs over a tower, and lies on the whole of a terrace only with the step for slopes."""
+    i, j = (v.ravel() for v in np.indices((30, 12)))
+    off = lambda ground, slope: np.abs(k.cloth_surface(i, j, -ground[i, j], slope=slope) + ground[i, j]).reshape(30, 12)
+    terrace = np.where(np.arange(30)[:, None] >= 15, 5.0, 0.0) + np.zeros((1, 12))
+    assert off(terrace, None).max() > 1 and off(terrace, 0.3).max() < 1e-9
+    tower = np.zeros((30, 12))
+    tower[10:14, 4:8] = 4.0
+    away = off(tower, 0.3)
+    assert away[10:14, 4:8].min() > 3 and np.delete(away, slice(10, 14), axis=0).max() < 1e-9
+
+
 def test_resize_keeps_missing_apart():
     r = np.full((4, 4), 2.0)
     r[:, 3] = 9999.0
