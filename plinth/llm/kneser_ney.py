@@ -1,8 +1,12 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model of characters.
 
-The model is a set of tables (stratum, gram, ...), one for each order, made and joined by Spark in shards; nothing
-of it is broadcast, so it may grow with the trusted text.  Documents are written once in packs; a pack
-asks for its distinct n-grams, gets their log probabilities back and scores its documents with them.
+Characters are written as symbols of 12 bits, so an n-gram of order 5 is one 64-bit code everywhere: code points below
+DIRECT are one symbol, all others two (a lead and a trail), by a fixed rule and without an alphabet of the data.
+
+The model is a set of tables (stratum, code, ...), one for each order, made and joined by Spark in shards; nothing
+of it is broadcast, so it may grow with the trusted text.  Documents are written once in packs.  A pack asks for its
+distinct codes in one blob a shard; the shard answers with one blob of log probabilities in the order of the codes, and
+the pack scores its documents with them.  Codes and strata do not travel back.
 """
 
 from __future__ import annotations
@@ -11,17 +15,21 @@ import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from .common import durable, free_shuffles, last_written, release, written
 
 ORDER, BOS = 5, "\x02"
-#: Characters counted at once, characters of a pack, and the largest table of a lookup.
-SLICE, PACK, LARGEST = 1 << 19, 16 << 20, 1 << 23
-#: Packs are answered and scored in this many rounds, so that one share of the answers is on disk at a time.
-ROUNDS = 4
+#: Bits of a symbol; code points of one symbol; first symbol of the second halves of all others.
+BITS, DIRECT, TRAIL = 12, 1984, 3072
+#: Symbols counted at once, and characters of a pack.
+SLICE, PACK = 1 << 19, 16 << 20
+#: Shards of codes that ask and answer (a prime, so that a remainder depends on all symbols), and packs that one task answers.
+SHARDS, TOGETHER = 37, 4096
 STRATA = ("en", "de", "fr", "es")
 #: Kept: perplexity up to this quantile of held-out trusted documents of the language, so one good document in 20 goes.
 #: Twenty of them are enough to estimate it, and one odd document does not set it.
@@ -29,107 +37,97 @@ STRATA = ("en", "de", "fr", "es")
 QUANTILE, HOLDOUT = 0.95, 5
 
 
-class _Grams:
-    """The n-grams of a list of documents as 64-bit codes over the list's own alphabet, read in slices."""
-
-    BITS = 60 // ORDER
-
-    def __init__(self, docs: list[tuple[int, str]]):
-        self.docs = docs
-        self.sizes = np.array([len(t) for _, t in docs], dtype=np.int64)
-        cut = np.cumsum(self.sizes) // SLICE
-        self.edges = [0, *(np.flatnonzero(np.diff(cut)) + 1).tolist(), len(docs)]
-        seen = np.zeros(0x110000, dtype=bool)
-        for _, t in docs:
-            seen[np.frombuffer(t.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)] = True
-        seen[ord(BOS)] = True
-        self.alphabet = np.flatnonzero(seen).astype(np.uint32)
-        self.table = np.zeros(int(self.alphabet[-1]) + 1, dtype=np.int32)
-        self.table[self.alphabet] = np.arange(len(self.alphabet))
-        self.wide = len(self.alphabet) > 1 << self.BITS
-
-    def slices(self) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
-        """Documents, their symbols (each text after ORDER - 1 begin marks), starts of n-grams, stratum of each."""
-        for a, b in zip(self.edges[:-1], self.edges[1:], strict=True):
-            text = "".join(BOS * (ORDER - 1) + t for _, t in self.docs[a:b])
-            symbols = self.table[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
-            sizes = self.sizes[a:b]
-            padded = np.cumsum(sizes + ORDER - 1) - (sizes + ORDER - 1)
-            start = np.repeat(padded - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-            yield slice(a, b), symbols, start, np.repeat(np.array([s for s, _ in self.docs[a:b]], dtype=np.int64), sizes)
-
-    def distinct(self) -> tuple[np.ndarray, np.ndarray, list[str]]:
-        """stratum, count and text of each distinct n-gram."""
-        parts, counts = [], []
-        for _, symbols, start, stratum in self.slices():
-            if self.wide:
-                u, c = np.unique(np.stack([stratum, *(symbols[start + k] for k in range(ORDER))], axis=1), axis=0, return_counts=True)
-            else:
-                code = stratum
-                for k in range(ORDER):
-                    code = (code << self.BITS) + symbols[start + k]
-                u, c = np.unique(code, return_counts=True)
-            parts.append(u), counts.append(c)
-        rows, back = np.unique(np.concatenate(parts), axis=0, return_inverse=True)
-        n = np.bincount(back.ravel(), weights=np.concatenate(counts), minlength=len(rows)).astype(np.int64)
-        if not self.wide:
-            mask = (1 << self.BITS) - 1
-            rows = np.stack([rows >> (ORDER * self.BITS), *(rows >> ((ORDER - 1 - k) * self.BITS) & mask for k in range(ORDER))], axis=1)
-        points = np.ascontiguousarray(self.alphabet[rows[:, 1:]].astype("<u4"))
-        return rows[:, 0].astype(np.int64), n, points.view(f"<U{ORDER}").ravel().tolist()
-
-    def scores(self, stratum: np.ndarray, grams: list[str], value: np.ndarray) -> np.ndarray:
-        """Sum over each document of the values of its n-grams.  grams: every n-gram of the list, at least once."""
-        points = np.array(grams, dtype=f"<U{ORDER}").view("<u4").reshape(-1, ORDER)
-        keys = [stratum, *self.table[points].T]
-        width = len(self.alphabet)
-        steps, prefix = [], keys[0].copy()
+def _symbols(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols of a text, and how many each character takes."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+    wide = points >= DIRECT
+    width = wide + 1
+    if not wide.any():
+        return points, width
+    at = np.cumsum(width) - width
+    out = np.empty(int(width.sum()), dtype=np.int64)
+    out[at] = np.where(wide, DIRECT + (points >> 10), points)
+    out[at[wide] + 1] = TRAIL + (points[wide] & 1023)
+    return out, width
+
+
+def _slices(pack: pa.Table) -> Iterator[tuple[int, int, int, np.ndarray, np.ndarray]]:
+    """First row, row after the last, stratum, codes of all n-grams, and where each row's codes end.
+
+    pack: s, lead, t ordered by s.  Each symbol of t ends one n-gram; lead gives the ORDER - 1 characters before it.
+    """
+    strata = pack["s"].to_numpy()
+    sizes = pa.compute.utf8_length(pack["t"]).to_numpy()
+    part = np.cumsum(sizes) // SLICE
+    edges = np.flatnonzero((np.diff(part) != 0) | (np.diff(strata) != 0)) + 1
+    for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(strata)], strict=True):
+        if a == b:
+            continue
+        leads, texts = pack["lead"].slice(a, b - a).to_pylist(), pack["t"].slice(a, b - a).to_pylist()
+        symbols, width = _symbols("".join(x for pair in zip(leads, texts, strict=True) for x in pair))
+        lengths = np.array([(len(x), len(t)) for x, t in zip(leads, texts, strict=True)], dtype=np.int64).ravel()
+        own = np.repeat(np.repeat(np.tile([False, True], b - a), lengths), width)
+        code = np.zeros(max(len(symbols) - ORDER + 1, 0), dtype=np.int64)
         for k in range(ORDER):
-            found, prefix = np.unique(prefix * width + keys[k + 1], return_inverse=True)
-            if int(found[-1]) < LARGEST:
-                direct = np.zeros(int(found[-1]) + 1, dtype=np.int32)
-                direct[found] = np.arange(len(found))
-                steps.append((direct, None))
-            else:
-                steps.append((None, found))
-        value_of = np.zeros(len(found))
-        value_of[prefix] = value
-        out = np.zeros(len(self.docs))
-        for where, symbols, start, rank in self.slices():
-            for k, (direct, found) in enumerate(steps):
-                code = rank * width + symbols[start + k]
-                rank = direct[code].astype(np.int64) if direct is not None else np.searchsorted(found, code)
-            ends = np.cumsum(self.sizes[where])
-            sums = np.r_[0.0, np.cumsum(value_of[rank])]
-            out[where] = sums[ends] - sums[ends - self.sizes[where]]
-        return out
-
-
-def _packs(batches: Iterator[pa.RecordBatch], strata: Sequence[str]) -> Iterator[tuple[list, list[tuple[int, str]]]]:
-    """Ids and (stratum, text) of runs of documents of about PACK characters."""
+            code = (code << BITS) | symbols[k : k + len(code)]
+        of_text = own[ORDER - 1 :]
+        ends = np.cumsum(np.r_[0, own])[np.cumsum(np.r_[0, width])[np.cumsum(lengths)[1::2]]]
+        yield a, b, int(strata[a]), code[of_text], ends
+
+
+def _distinct(pack: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For each stratum of a pack its distinct codes in order, and their counts."""
+    parts: dict[int, list] = {}
+    for _, _, s, code, _ in _slices(pack):
+        parts.setdefault(s, []).append(np.unique(code, return_counts=True))
+    out = {}
+    for s, found in parts.items():
+        codes, back = np.unique(np.concatenate([u for u, _ in found]), return_inverse=True)
+        n = np.bincount(back, weights=np.concatenate([c for _, c in found]), minlength=len(codes)).astype(np.int64)
+        out[s] = codes, n
+    return out
+
+
+def _packs(batches: Iterator[pa.RecordBatch], strata: Sequence[str]) -> Iterator[pa.Table]:
+    """Runs of about PACK characters: row, id, s, lead, t, cut, ordered by s.
+
+    A text longer than a pack is cut; its pieces share the number row, and cut is true.  t is in lower case.
+    """
     number = {s: i for i, s in enumerate(strata)}
-    ids, docs, held = [], [], 0
+    base, rows, held, n = int.from_bytes(uuid.uuid4().bytes[:8], "little") >> 1, [], 0, 0
+    id_type = pa.null()
+
+    def packed() -> pa.Table:
+        rows.sort(key=lambda r: r[2])
+        names = ("row", "id", "s", "lead", "t", "cut")
+        types = (pa.int64(), id_type, pa.int32(), pa.large_string(), pa.large_string(), pa.bool_())
+        return pa.table({k: pa.array(c, y) for k, c, y in zip(names, zip(*rows, strict=True), types, strict=True)})
+
     for batch in batches:
+        id_type = batch.column(0).type
         for key, s, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            t = (t or "").lower().replace("\0", "�")
-            ids.append(key), docs.append((number.get(s, len(strata)), t))
-            held += len(t) + ORDER
-            if held >= PACK:
-                yield ids, docs
-                ids, docs, held = [], [], 0
-    if ids:
-        yield ids, docs
+            t = (t or "").lower()
+            n += 1
+            for at in range(0, max(len(t), 1), PACK):
+                lead = t[at - ORDER + 1 : at] if at else BOS * (ORDER - 1)
+                rows.append(((base + n) % (1 << 63), key, number.get(s, len(strata)), lead, t[at : at + PACK], len(t) > PACK))
+                held += len(rows[-1][4]) + ORDER
+                if held >= PACK:
+                    yield packed()
+                    rows, held = [], 0
+    if rows:
+        yield packed()
 
 
 def gram_counts(df: DataFrame, strata: Sequence[str]) -> DataFrame:
-    """stratum, gram, n of the distinct n-grams of runs of documents of df (id, s, t); a gram may come in several runs."""
+    """stratum, code, n of the distinct n-grams of runs of documents of df (id, s, t); a code may come in several runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, docs in _packs(batches, strata):
-            s, n, grams = _Grams(docs).distinct()
-            yield pa.RecordBatch.from_arrays([pa.array(s.astype(np.int32)), pa.array(grams, pa.string()), pa.array(n)], names=["stratum", "gram", "n"])
+        for pack in _packs(batches, strata):
+            for s, (codes, n) in _distinct(pack).items():
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), s, dtype=np.int32)), pa.array(codes), pa.array(n)], names=["stratum", "code", "n"])
 
-    return df.mapInArrow(run, "stratum int, gram string, n bigint")
+    return df.mapInArrow(run, "stratum int, code bigint, n bigint")
 
 
 def packed(df: DataFrame, strata: Sequence[str]) -> DataFrame:
@@ -137,8 +135,7 @@ def packed(df: DataFrame, strata: Sequence[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3)
-        for ids, docs in _packs(batches, strata):
-            table = pa.table({"id": pa.array(ids), "s": pa.array([s for s, _ in docs], pa.int32()), "t": pa.array([t for _, t in docs], pa.string())})
+        for table in _packs(batches, strata):
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, table.schema) as writer:
                 writer.write_table(table)
@@ -152,29 +149,58 @@ def _unpacked(blob: bytes) -> pa.Table:
     return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(blob)).read_all().combine_chunks()
 
 
-def _documents(table: pa.Table) -> list[tuple[int, str]]:
-    return list(zip(table["s"].to_pylist(), table["t"].to_pylist(), strict=True))
+def _squeezed(codes: np.ndarray) -> bytes:
+    """Codes in order as differences; the planes of their bytes lie apart, as the high ones are mostly zero."""
+    planes = np.diff(codes, prepend=0).view(np.uint8).reshape(-1, 8).T
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def _codes(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.int64).ravel())
 
 
 def asked_of(packs: DataFrame) -> DataFrame:
-    """pack, stratum, gram: the distinct n-grams of each pack."""
+    """pack, stratum, shard, codes: the distinct codes of each pack in order, a blob for each shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for pack, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                s, _, grams = _Grams(_documents(_unpacked(blob.as_py()))).distinct()
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), pack, dtype=np.int64)), pa.array(s.astype(np.int32)), pa.array(grams, pa.string())], names=["pack", "stratum", "gram"])
+                rows = []
+                for s, (codes, _) in _distinct(_unpacked(blob.as_py())).items():
+                    shard = codes % SHARDS
+                    rows += [(pack, s, k, _squeezed(codes[shard == k])) for k in np.unique(shard).tolist()]
+                if rows:
+                    types = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, y) for c, y in zip(zip(*rows, strict=True), types, strict=True)], names=["pack", "stratum", "shard", "codes"])
+
+    return packs.mapInArrow(run, "pack bigint, stratum int, shard int, codes binary")
+
+
+def distinct_codes(asked: DataFrame) -> DataFrame:
+    """stratum, code of all packs; a task brings what its rows of a shard have in common together before it is shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                codes = _codes(blob.as_py())
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), s, dtype=np.int32)), pa.array(codes)], names=["stratum", "code"])
+
+    return asked.select("stratum", "codes").mapInArrow(run, "stratum int, code bigint").distinct()
+
 
-    return packs.mapInArrow(run, "pack bigint, stratum int, gram string")
+def _last(code, symbols: int):
+    """The code of the last symbols of a code."""
+    return F.col(code).bitwiseAND(F.lit((1 << BITS * symbols) - 1))
 
 
 def train(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
-    """For each order from 1: (stratum, gram, p) with p the discounted share, and (stratum, ctx, total, gamma).
+    """For each order from 1: (stratum, code, p) with p the discounted share, and (stratum, ctx, total, gamma).
 
     The highest order counts occurrences, lower ones the distinct one-longer grams that end in a gram.  Discounts
     are those of modified Kneser-Ney from the counts of counts of each stratum and order.
     """
-    held = durable(counts.groupBy("stratum", "gram").agg(F.sum("n").alias("c")), "counts")
+    held = durable(counts.groupBy("stratum", "code").agg(F.sum("n").alias("c")), "counts")
     out = []
     for order in range(ORDER, 0, -1):
         freq = held.groupBy("stratum").agg(*(F.count_if(F.col("c") == k).alias(f"n{k}") for k in (1, 2, 3, 4)))
@@ -184,105 +210,92 @@ def train(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
         discounts = freq.select("stratum", *(bound(F.lit(float(k)) - (k + 1) * y * ratio(k), k).alias(f"d{k}") for k in (1, 2, 3)))
         rows = held.join(F.broadcast(discounts), "stratum")  # a row for each stratum
         d = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
-        rows = rows.select("stratum", "gram", "c", d.alias("d"), F.col("gram").substr(1, order - 1).alias("ctx") if order > 1 else F.lit("").alias("ctx"))
+        rows = rows.select("stratum", "code", "c", d.alias("d"), F.shiftright("code", BITS).alias("ctx"))
         ctx = durable(rows.groupBy("stratum", "ctx").agg(F.sum("c").alias("total"), F.sum("d").alias("free")).select("stratum", "ctx", F.col("total").cast("double").alias("total"), (F.col("free") / F.col("total")).alias("gamma")), f"context{order}")
-        share = durable(rows.join(ctx, ["stratum", "ctx"]).select("stratum", "gram", ((F.col("c") - F.col("d")) / F.col("total")).alias("p")), f"order{order}")
+        share = durable(rows.join(ctx, ["stratum", "ctx"]).select("stratum", "code", ((F.col("c") - F.col("d")) / F.col("total")).alias("p")), f"order{order}")
         out.append((share, ctx))
         if order > 1:
-            held = durable(held.groupBy("stratum", F.substring("gram", 2, order).alias("gram")).agg(F.count("*").alias("c")), "continuations")
+            held = durable(held.groupBy("stratum", _last("code", order - 1).alias("code")).agg(F.count("*").alias("c")), "continuations")
     return out[::-1]
 
 
 def gram_probabilities(asked: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """stratum, gram, logp for each distinct (stratum, gram) of asked: interpolated from order 1 up."""
+    """stratum, code, logp for each row of asked (stratum, code; distinct): interpolated from order 1 up."""
     wanted = [asked]
     for order in range(ORDER - 1, 0, -1):
-        wanted.append(durable(wanted[-1].select("stratum", F.substring("gram", 2, order).alias("gram")).distinct(), "asked"))
+        wanted.append(durable(wanted[-1].select("stratum", _last("code", order).alias("code")).distinct(), "asked"))
     sizes = model[0][0].groupBy("stratum").agg((1.0 / (F.count("*") + 1)).alias("q"))
-    low = wanted[-1].join(F.broadcast(sizes), "stratum", "left").select("stratum", "gram", F.coalesce("q", F.lit(1e-4)).alias("q"))
+    low = wanted[-1].join(F.broadcast(sizes), "stratum", "left").select("stratum", "code", F.coalesce("q", F.lit(1e-4)).alias("q"))
     for order, (share, ctx) in enumerate(model, 1):
         rows = wanted[ORDER - order]
         if order > 1:
-            rows = rows.select("stratum", "gram", F.substring("gram", 2, order - 1).alias("tail"))
-            rows = rows.join(low.select("stratum", F.col("gram").alias("tail"), "q"), ["stratum", "tail"])
+            rows = rows.select("stratum", "code", _last("code", order - 1).alias("tail"))
+            rows = rows.join(low.select("stratum", F.col("code").alias("tail"), "q"), ["stratum", "tail"])
         else:
             rows = low
-        rows = rows.join(share, ["stratum", "gram"], "left")
-        rows = rows.withColumn("ctx", F.substring("gram", 1, order - 1)).join(ctx.select("stratum", "ctx", "gamma"), ["stratum", "ctx"], "left")
+        rows = rows.join(share, ["stratum", "code"], "left")
+        rows = rows.withColumn("ctx", F.shiftright("code", BITS)).join(ctx.select("stratum", "ctx", "gamma"), ["stratum", "ctx"], "left")
         p = F.coalesce("p", F.lit(0.0)) + F.coalesce("gamma", F.lit(1.0)) * F.col("q")
-        low = durable(rows.select("stratum", "gram", p.alias("q")), f"p{order}")
-    return low.select("stratum", "gram", F.ln("q").alias("logp"))
+        low = durable(rows.select("stratum", "code", p.alias("q")), f"p{order}")
+    return low.select("stratum", "code", F.ln("q").alias("logp"))
+
+
+def _answered(known: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+    """pack, stratum, shard, values of each blob of codes of a shard, from the shard's code and logp."""
+    known = known.sort_values("code")
+    codes, logp = known["code"].to_numpy(), known["logp"].to_numpy()
+    values = [logp[np.searchsorted(codes, _codes(blob))].astype(np.float32).tobytes() for blob in asked["codes"]]
+    return pd.DataFrame({"pack": asked["pack"], "stratum": asked["stratum"], "shard": asked["shard"], "values": values})
+
+
+def _scored(pack: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+    """row, id, stratum, n_chars, logp, cut of the pieces of one pack."""
+    docs = _unpacked(pack["blob"].iloc[0])
+    told = {(s, k): np.frombuffer(v, dtype=np.float32) for s, k, v in zip(answers["stratum"], answers["shard"], answers["values"], strict=True)}
+    known = {}
+    for s, (codes, _) in _distinct(docs).items():
+        shard, value = codes % SHARDS, np.empty(len(codes))
+        for k in np.unique(shard).tolist():
+            value[shard == k] = told[s, k]
+        known[s] = codes, value
+    total = np.zeros(docs.num_rows)
+    for a, b, s, code, ends in _slices(docs):
+        codes, value = known[s]
+        sums = np.cumsum(np.r_[0.0, value[np.searchsorted(codes, code)]]) if len(code) else np.zeros(1)
+        total[a:b] = np.diff(sums[np.r_[0, ends]])
+    n = pa.compute.utf8_length(docs["t"]).cast(pa.int64())
+    out = pa.table({"row": docs["row"], "id": docs["id"], "stratum": docs["s"], "n_chars": n, "logp": pa.array(total), "cut": docs["cut"]})
+    return out.to_pandas(types_mapper=pd.ArrowDtype)
 
 
 def perplexities(df: DataFrame, trusted: DataFrame, strata: Sequence[str] = STRATA) -> DataFrame:
     """id, stratum, n_chars, perplexity for each row of df; df and trusted have columns id, s, t.
 
-    The perplexity of a text without characters is null.
+    Perplexity is by character.  That of a text without characters is null.  Log probabilities travel as 32-bit floats.
     """
-    spark = df.sparkSession
     id_type = df.schema["id"].dataType.simpleString()
     before = written()
     model = train(gram_counts(trusted, strata))
-    free_shuffles(spark)
     packs = durable(packed(df, strata), "packs")
     packs_at = last_written()
-    asked = durable(asked_of(packs), "asked", "zstd")
+    asked = durable(asked_of(packs), "asked", "uncompressed")
     asked_at = last_written()
-    known = durable(gram_probabilities(durable(asked.select("stratum", "gram").distinct(), "distinct"), model), "known")
-    # the model is not read again: what is left are the packs, their n-grams and the probabilities
-    kept = [packs_at, asked_at, last_written()]
-    release(spark, before, tuple(kept))
-    free_shuffles(spark)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, blob, held = None, None, []
-
-        def told() -> pa.RecordBatch:
-            docs = _unpacked(blob)
-            own = _Grams(_documents(docs))
-            n, total = own.sizes, np.zeros(len(own.sizes))
-            if n.sum():
-                s, value = (np.concatenate([h[k] for h in held]) for k in (0, 2))
-                total = own.scores(s, [g for h in held for g in h[1]], value)
-            ppl = np.exp(-total / np.maximum(n, 1))
-            flat = [docs[c].chunk(0) for c in ("id", "s")]
-            return pa.RecordBatch.from_arrays([*flat, pa.array(n), pa.array(ppl, mask=n == 0)], names=["id", "stratum", "n_chars", "perplexity"])
-
-        for batch in batches:
-            names = batch.column(0).to_numpy()
-            edges = [0, *(np.flatnonzero(names[1:] != names[:-1]) + 1).tolist(), len(names)] if len(names) else []
-            for at, end in zip(edges[:-1], edges[1:], strict=True):
-                if names[at] != name:
-                    if name is not None:
-                        yield told()
-                    name, blob, held = names[at], None, []
-                part = batch.slice(at, end - at)
-                if part.column(1)[0].as_py() == 0:  # the pack comes before its answers
-                    blob = part.column(5)[0].as_py()
-                    part = part.slice(1)
-                if part.num_rows:
-                    held.append((part.column(2).to_numpy(zero_copy_only=False).astype(np.int64), part.column(3).to_pylist(), part.column(4).to_numpy(zero_copy_only=False).astype(float)))
-        if name is not None:
-            yield told()
-
-    scored = []
-    for turn in range(ROUNDS):
-        mine = F.pmod("pack", F.lit(ROUNDS)) == turn
-        answers = asked.where(mine).join(known, ["stratum", "gram"]).select("pack", "stratum", "gram", F.col("logp").cast("float").alias("logp"))
-        answers = durable(answers, "answers", "zstd")
-        blobs = packs.where(mine).select("pack", F.lit(0).alias("part"), F.lit(None).cast("int").alias("stratum"), F.lit(None).cast("string").alias("gram"), F.lit(None).cast("float").alias("logp"), "blob")
-        rows = blobs.unionByName(answers.select("pack", F.lit(1).alias("part"), "stratum", "gram", "logp", F.lit(None).cast("binary").alias("blob")))
-        dealt = rows.repartition("pack").sortWithinPartitions("pack", "part")
-        scored.append(durable(dealt.mapInArrow(score, f"id {id_type}, stratum int, n_chars bigint, perplexity double"), "scored"))
-        del answers, rows, dealt
-        kept.append(last_written())
-        release(spark, before, tuple(kept))
-        free_shuffles(spark)
-    release(spark, before, tuple(kept[3:]))
-    out = scored[0]
-    for part in scored[1:]:
-        out = out.unionByName(part)
-    return out
+    known = durable(gram_probabilities(durable(distinct_codes(asked), "distinct"), model), "known")
+    # the model is not read again: what is left are the packs, their codes and the probabilities
+    release(df.sparkSession, before, (packs_at, asked_at, last_written()))
+    # a shard is answered in as many tasks as it has thousands of packs, each with the shard's probabilities
+    salts = 1 + packs.count() // TOGETHER
+    keys = ["stratum", "shard", "salt"]
+    lists = known.withColumn("shard", F.pmod("code", F.lit(SHARDS)).cast("int")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    asking = asked.withColumn("salt", F.pmod("pack", F.lit(salts)).cast("int"))
+    answers = lists.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInPandas(_answered, "pack bigint, stratum int, shard int, values binary")
+    scored = packs.groupBy("pack").cogroup(answers.groupBy("pack")).applyInPandas(_scored, f"row bigint, id {id_type}, stratum int, n_chars bigint, logp double, cut boolean")
+    scored = durable(scored, "scored")
+    release(df.sparkSession, before, (last_written(),))
+    long = scored.where("cut").groupBy("row", "id", "stratum").agg(F.sum("n_chars").alias("n_chars"), F.sum("logp").alias("logp"))
+    every = scored.where(~F.col("cut")).drop("cut").unionByName(long)
+    ppl = F.when(F.col("n_chars") > 0, F.exp(-F.col("logp") / F.col("n_chars")))
+    return every.select("id", "stratum", "n_chars", ppl.alias("perplexity"))
 
 
 def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "quality", strata: Sequence[str] = STRATA, quantile: float = QUANTILE) -> DataFrame:
@@ -300,7 +313,7 @@ def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # a sorted join at every size: which documents are trusted grows with the corpus, so it is never broadcast
     trusted = src.join(good.where(~unseen).hint("merge"), "id", "left_semi")
     # written, so that the shuffle of all texts goes before the model is counted
-    trusted = durable(trusted, "trusted")
+    trusted = durable(trusted, "trusted", "zstd")
     free_shuffles(df.sparkSession)
     scored = perplexities(src, trusted, strata)
     held = scored.join(good.where(unseen), "id", "left_semi").where("perplexity is not null")

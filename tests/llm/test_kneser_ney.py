@@ -1,7 +1,11 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from plinth.llm import kneser_ney as kn
@@ -16,8 +20,6 @@ def corpus(spark):
 def plain_model(texts):
     """Interpolated modified Kneser-Ney over characters, with the operator's discounts."""
     n = kn.ORDER
-    from collections import Counter
-
     counts = {n: Counter()}
     for t in texts:
         s = kn.BOS * (n - 1) + t
@@ -102,3 +104,85 @@ def test_one_odd_trusted_document_does_not_set_the_threshold(spark):
     out = {r["doc_id"]: r for r in kn.classify(df, df.where("doc_id < 2000").selectExpr("doc_id", "1 AS quality")).collect()}
     assert not out[2000]["kept"] and not out[odd]["kept"]
     assert sum(out[i]["kept"] for i in range(400)) >= 0.9 * 400
+
+
+def symbols(text):
+    """Symbols by the rule, one character after the other."""
+    out = []
+    for c in map(ord, text):
+        out += [c] if c < 1984 else [1984 + (c >> 10), 3072 + (c & 1023)]
+    return out
+
+
+def grams(text, lead):
+    own, before = symbols(text), symbols(lead)
+    all_of = before + own
+    at = range(len(before) - kn.ORDER + 1, len(all_of) - kn.ORDER + 1)
+    return [sum(s << kn.BITS * (kn.ORDER - 1 - k) for k, s in enumerate(all_of[i : i + kn.ORDER])) for i in at]
+
+
+TEXTS = ["", "abc abc", "naïve “quotes” 漢字かな 🙂🙂 end", "x" * 70 + "é🙂" * 30, "\x00\x02\ud800 odd", "a", "🙂"]
+
+
+def packs_of(texts, monkeypatch, pack, piece):
+    monkeypatch.setattr(kn, "PACK", pack)
+    monkeypatch.setattr(kn, "SLICE", piece)
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(len(texts))), "s": pa.array([["en", "de", None][i % 3] for i in range(len(texts))]), "t": pa.array(texts)})
+    return list(kn._packs(iter([batch]), ("en", "de")))
+
+
+@pytest.mark.parametrize(("pack", "piece"), [(1 << 20, 1 << 19), (40, 16), (7, 3)])
+def test_codes_of_any_script_and_of_cut_texts(monkeypatch, pack, piece):
+    """Counts are the same however texts are cut into packs, pieces and slices."""
+    texts = [t.replace("\ud800", "") for t in TEXTS]
+    got, want = Counter(), Counter()
+    for table in packs_of(texts, monkeypatch, pack, piece):
+        for s, (codes, n) in kn._distinct(table).items():
+            assert (np.diff(codes) > 0).all() and (codes >= 0).all()
+            got.update({(s, c): k for c, k in zip(codes.tolist(), n.tolist(), strict=True)})
+    for i, t in enumerate(texts):
+        want.update((i % 3, g) for g in grams(t.lower(), kn.BOS * 4))
+    assert got == want
+
+
+def test_codes_survive_their_blob():
+    for codes in (np.array([], dtype=np.int64), np.array([0]), np.sort(np.random.default_rng(1).integers(0, 1 << 60, 1000))):
+        assert (kn._codes(kn._squeezed(codes)) == codes).all()
+
+
+@pytest.mark.parametrize(("pack", "piece"), [(1 << 20, 1 << 19), (40, 16)])
+def test_scores_of_cut_texts(monkeypatch, pack, piece):
+    """The pieces of a text add up to the sum over its n-grams."""
+    texts = [t.replace("\ud800", "") for t in TEXTS]
+    value = lambda s, code: np.float32(-((code % 1009) + s) / 64)
+    sums, n = Counter(), Counter()
+    for table in packs_of(texts, monkeypatch, pack, piece):
+        asked = pd.DataFrame([(1, s, k, kn._squeezed(codes[codes % kn.SHARDS == k])) for s, (codes, _) in kn._distinct(table).items() for k in np.unique(codes % kn.SHARDS)], columns=["pack", "stratum", "shard", "codes"])
+        told = []
+        for (s, k), part in asked.groupby(["stratum", "shard"]):
+            codes = np.concatenate([kn._codes(b) for b in part["codes"]] + [np.array([k, k + kn.SHARDS])])  # known holds more than is asked
+            codes = np.unique(codes)[::-1]
+            told.append(kn._answered(pd.DataFrame({"code": codes, "logp": [float(value(s, c)) for c in codes]}), part))
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as writer:
+            writer.write_table(table)
+        blob = kn.zstandard.ZstdCompressor().compress(sink.getvalue().to_pybytes())
+        answers = pd.concat(told) if told else asked.rename(columns={"codes": "values"})
+        for r in kn._scored(pd.DataFrame({"pack": [1], "blob": [blob]}), answers).itertuples():
+            assert r.cut == (len(texts[r.id]) > pack)
+            sums[r.id] += r.logp
+            n[r.id] += r.n_chars
+    for i, t in enumerate(texts):
+        assert n[i] == len(t.lower()) and abs(sums[i] - sum(float(value(i % 3, c)) for c in grams(t.lower(), kn.BOS * 4))) < 1e-6
+
+
+def test_model_of_symbols(spark):
+    """Wide characters in model and text: the plain model over symbols, perplexity by character."""
+    rows = [(i, "de", f"straße “{i % 7}” 漢字かな 🙂 und so weiter") for i in range(30)] + [(50, "de", "“9” 漢 und 🙃 neu")]
+    df = spark.createDataFrame(rows, "id long, s string, t string")
+    got = {r["id"]: r["perplexity"] for r in kn.perplexities(df, df.where("id < 20")).collect()}
+    p = plain_model(["".join(map(chr, symbols(t.lower()))) for i, _, t in rows if i < 20])
+    for i, _, t in (rows[3], rows[-1]):
+        x = kn.BOS * (kn.ORDER - 1) + "".join(map(chr, symbols(t.lower())))
+        want = math.exp(-sum(math.log(p(x[j : j + kn.ORDER])) for j in range(len(x) - kn.ORDER + 1)) / len(t))
+        assert abs(got[i] / want - 1) < 1e-4, i
