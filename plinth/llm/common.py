@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import gc
 import time
+import uuid
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..tables import durable, last_written, release, shared_folder, written  # noqa: F401
+from ..tables import _written, durable, last_written, release, shared_folder, written  # noqa: F401
 
 #: Fixed value: the ASCII white space that separates words.
 SPACE = r"[\x20\x09-\x0D]"
@@ -20,6 +21,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bucketed(df: DataFrame, key: str, width: int) -> tuple[DataFrame, str]:
+    """df written to the shared folder in buckets of key, and the name of its table, which is the caller's to drop.
+
+    Groups and joins by key then read it in place: only the other side is shuffled.  No row moves to be written; the
+    files are release()d as those of durable().
+    """
+    spark, name = df.sparkSession, f"plinth_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/plinth/{name}"
+    df.write.option("path", path).option("compression", "uncompressed").bucketBy(width, key).saveAsTable(name, format="parquet")
+    _written().append(path)
+    return spark.table(name), name
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Let the JVM drop the shuffle files of finished jobs before the next large one starts."""
     for _ in range(2):  # what Python lets go in the first round the JVM finds in the second

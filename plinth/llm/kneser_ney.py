@@ -21,7 +21,7 @@ import pyarrow.compute
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import durable, free_shuffles, last_written, release, written
+from .common import bucketed, durable, free_shuffles, last_written, release, shuffle_width, written
 
 ORDER, BOS = 5, "\x02"
 #: Bits of a symbol; code points of one symbol; first symbol of the second halves of all others.
@@ -268,21 +268,13 @@ def _scored(pack: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
     return out.to_pandas(types_mapper=pd.ArrowDtype)
 
 
-def perplexities(df: DataFrame, trusted: DataFrame, strata: Sequence[str] = STRATA) -> DataFrame:
-    """id, stratum, n_chars, perplexity for each row of df; df and trusted have columns id, s, t.
-
-    Perplexity is by character.  That of a text without characters is null.  Log probabilities travel as 32-bit floats.
-    """
-    id_type = df.schema["id"].dataType.simpleString()
-    before = written()
-    model = train(gram_counts(trusted, strata))
-    packs = durable(packed(df, strata), "packs")
-    packs_at = last_written()
+def _scores(packs: DataFrame, packs_at: str, model: list[tuple[DataFrame, DataFrame]], id_type: str, before: int) -> DataFrame:
+    """row, id, stratum, n_chars, logp, cut of all pieces, written; what the model wrote since before goes on the way."""
     asked = durable(asked_of(packs), "asked", "uncompressed")
     asked_at = last_written()
     known = durable(gram_probabilities(durable(distinct_codes(asked), "distinct"), model), "known")
     # the model is not read again: what is left are the packs, their codes and the probabilities
-    release(df.sparkSession, before, (packs_at, asked_at, last_written()))
+    release(packs.sparkSession, before, (packs_at, asked_at, last_written()))
     # a shard is answered in as many tasks as it has thousands of packs, each with the shard's probabilities
     salts = 1 + packs.count() // TOGETHER
     keys = ["stratum", "shard", "salt"]
@@ -290,8 +282,23 @@ def perplexities(df: DataFrame, trusted: DataFrame, strata: Sequence[str] = STRA
     asking = asked.withColumn("salt", F.pmod("pack", F.lit(salts)).cast("int"))
     answers = lists.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInPandas(_answered, "pack bigint, stratum int, shard int, values binary")
     scored = packs.groupBy("pack").cogroup(answers.groupBy("pack")).applyInPandas(_scored, f"row bigint, id {id_type}, stratum int, n_chars bigint, logp double, cut boolean")
-    scored = durable(scored, "scored")
-    release(df.sparkSession, before, (last_written(),))
+    return durable(scored, "scored")
+
+
+def perplexities(df: DataFrame, trusted: DataFrame, strata: Sequence[str] = STRATA) -> DataFrame:
+    """id, stratum, n_chars, perplexity for each row of df; df and trusted have columns id, s, t.
+
+    Perplexity is by character.  That of a text without characters is null.  Log probabilities travel as 32-bit floats.
+    """
+    spark, before = df.sparkSession, written()
+    model = train(gram_counts(trusted, strata))
+    # in buckets of their number, so that the texts are not shuffled to meet their answers
+    packs, table = bucketed(packed(df, strata), "pack", shuffle_width(spark))
+    try:
+        scored = _scores(packs, last_written(), model, df.schema["id"].dataType.simpleString(), before)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    release(spark, before, (last_written(),))
     long = scored.where("cut").groupBy("row", "id", "stratum").agg(F.sum("n_chars").alias("n_chars"), F.sum("logp").alias("logp"))
     every = scored.where(~F.col("cut")).drop("cut").unionByName(long)
     ppl = F.when(F.col("n_chars") > 0, F.exp(-F.col("logp") / F.col("n_chars")))
