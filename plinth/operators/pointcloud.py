@@ -130,27 +130,46 @@ def ground_elevation(points: DataFrame, key: str) -> DataFrame:
     return aggregated(points.where("classification = 2"), [key], plain, {"median": ("z", 0.5, None), "p25": ("z", 0.25, None), "p75": ("z", 0.75, None)})
 
 
-def density_grid(points: DataFrame, key: str, cell: float) -> DataFrame:
-    """AG-20/21: equal bins over the range, ceil(range / cell) of them, the last one closed; mean and variation over filled cells, share of empty ones."""
-    box = points.groupBy(key).agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
+def in_grid(points: DataFrame, box: DataFrame, key: str, cell: float) -> DataFrame:
+    """points with cell i, j of nx by ny: equal bins over the range in box (key, x0, x1, y0, y1, more), the last one closed."""
     bins = lambda a, b: F.greatest(F.lit(1), F.ceil((F.col(b) - F.col(a)) / cell).cast("int"))
     box = box.withColumns({"nx": bins("x0", "x1"), "ny": bins("y0", "y1")})
     at = lambda v, lo, hi, n: F.least(F.floor(F.coalesce(F.try_divide((F.col(v) - F.col(lo)) * F.col(n), F.col(hi) - F.col(lo)), F.lit(0.0))).cast("int"), F.col(n) - 1)
-    cells = points.join(box, key).withColumns({"i": at("x", "x0", "x1", "nx"), "j": at("y", "y0", "y1", "ny")}).groupBy(key, "i", "j", "nx", "ny").agg(F.count("*").alias("n"))
+    return points.join(box, key).withColumns({"i": at("x", "x0", "x1", "nx"), "j": at("y", "y0", "y1", "ny")})
+
+
+def cell_statistics(cell: float) -> list[Column]:
+    """AG-20/21 over filled cells (n, nx, ny): mean and variation of their density, share of empty ones."""
+    cells = F.first(F.col("nx") * F.col("ny"))
     area = cell * cell
-    out = cells.groupBy(key).agg((F.avg("n") / area).alias("mean_density"), F.try_divide(F.stddev_pop("n"), F.avg("n")).alias("variation"), F.count("*").alias("filled"), F.first(F.col("nx") * F.col("ny")).alias("cells"))
-    return out.withColumn("void_ratio", 1.0 - F.col("filled") / F.col("cells"))
+    return [(F.avg("n") / area).alias("mean_density"), F.try_divide(F.stddev_pop("n"), F.avg("n")).alias("variation"), F.count("*").alias("filled"), cells.alias("cells"), (1.0 - F.count("*") / cells).alias("void_ratio")]
 
 
-def plane_residual(points: DataFrame, key: str) -> DataFrame:
-    """QA-03: deviation from the least-squares plane, from centred sums; null where the points lie on a line."""
-    mean = points.groupBy(key).agg(F.avg("x").alias("mx"), F.avg("y").alias("my"), F.avg("z").alias("mz"), F.count("*").alias("n"))
-    c = points.join(mean, key).withColumns({"dx": F.col("x") - F.col("mx"), "dy": F.col("y") - F.col("my"), "dz": F.col("z") - F.col("mz")})
-    s = c.groupBy(key).agg(F.count("*").alias("n"), *(F.sum(F.col(f"d{a}") * F.col(f"d{b}")).alias(f"s{a}{b}") for a, b in ("xx", "xy", "yy", "xz", "yz", "zz")))
+def density_grid(points: DataFrame, key: str, cell: float) -> DataFrame:
+    """AG-20/21: ceil(range / cell) equal bins over the range of x and of y."""
+    box = points.groupBy(key).agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
+    cells = in_grid(points, box, key, cell).groupBy(key, "i", "j", "nx", "ny").agg(F.count("*").alias("n"))
+    return cells.groupBy(key).agg(*cell_statistics(cell))
+
+
+#: Products of deviations that a plane is fitted by.
+PLANE_SUMS = ("xx", "xy", "yy", "xz", "yz", "zz")
+
+
+def fitted_plane(s: DataFrame) -> DataFrame:
+    """a, b and residual_std of the least-squares plane, from n and the centred sums sxx to szz; null where the points lie on a line."""
     det = F.col("sxx") * F.col("syy") - F.col("sxy") * F.col("sxy")
     s = s.withColumns({"a": F.try_divide(F.col("sxz") * F.col("syy") - F.col("syz") * F.col("sxy"), det), "b": F.try_divide(F.col("syz") * F.col("sxx") - F.col("sxz") * F.col("sxy"), det)})
     rest = F.greatest(F.lit(0.0), (F.col("szz") - F.col("a") * F.col("sxz") - F.col("b") * F.col("syz")) / F.col("n"))
-    return s.select(key, "a", "b", F.sqrt(rest).alias("residual_std"))
+    return s.withColumn("residual_std", F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), F.sqrt(rest)))
+
+
+def plane_residual(points: DataFrame, key: str) -> DataFrame:
+    """QA-03: deviation from the least-squares plane, from centred sums; null where the points lie on a line."""
+    mean = points.groupBy(key).agg(*(F.avg(a).alias(f"m{a}") for a in "xyz"))
+    c = points.join(mean, key).withColumns({f"d{a}": F.col(a) - F.col(f"m{a}") for a in "xyz"})
+    s = c.groupBy(key).agg(F.count("*").alias("n"), *(F.sum(F.col(f"d{a}") * F.col(f"d{b}")).alias(f"s{a}{b}") for a, b in PLANE_SUMS))
+    return fitted_plane(s).select(key, "a", "b", "residual_std")
 
 
 def stepped(rows: DataFrame, key: str, value: str, order: Sequence[str], keep: Sequence[str]) -> DataFrame:

@@ -2,6 +2,9 @@
 
 A pool of neighbours within a radius is an equi-join on grid cells within a tile, counted by a grouped aggregate,
 so a dense tile is spread over tasks by its cells and no tile is gathered.
+
+Checks that follow from numbers of a tile are RULES over one row a tile.  run_checks() gets that row for all checks
+together: two passes over the points and two joins of neighbours, each at the greatest radius that its checks ask for.
 """
 
 from __future__ import annotations
@@ -15,13 +18,53 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..tables import durable
 from .neighbours import nearest
-from .pointcloud import density_grid, gps_gaps, plane_residual
+from .pointcloud import PLANE_SUMS, cell_statistics, density_grid, fitted_plane, gps_gaps, in_grid, plane_residual
 from .quantiles import aggregated
 from .spatial import within_distance
 
 SEVERITIES = ("info", "warning", "error", "critical")
 
 
+#: Issues by check: type, severity, value and condition over one row a tile.  The thresholds are fixed values.
+RULES: dict[str, tuple[tuple[str, str, str, str], ...]] = {
+    "density": (
+        ("low_density", "CASE WHEN mean_density < 1.0 THEN 'critical' ELSE 'error' END", "mean_density", "mean_density < 2.0"),
+        ("density_variation", "'warning'", "variation", "variation > 0.5"),
+        ("data_void", "CASE WHEN void_ratio > 0.1 THEN 'error' ELSE 'warning' END", "void_ratio", "void_ratio > 0.05"),
+    ),
+    "alignment": (("misalignment", "'warning'", "residual_std", "residual_std > 0.5"),),
+    "edge_artifacts": (
+        ("edge_artifacts", "'warning'", "edge_share", "edge_share > 0.1"),
+        ("intensity_banding", "'warning'", "intensity_ratio", "n_edge > 100 AND n_centre > 100 AND (intensity_ratio < 0.5 OR intensity_ratio > 2.0)"),
+    ),
+    "blind_spots": (("blind_spots", "'info'", "centre_share", "centre_share < 0.001"),),
+    "outliers": (("outliers", "'warning'", "radius_ratio", "radius_ratio > 0.01"),),
+    "ghosting": (("ghosting", "'warning'", "candidates", "candidates > 5"),),
+    "blooming": (("blooming", "'warning'", "regions", "regions > 3"),),
+    "completeness": (
+        ("unclassified", "'critical'", "1.0", "known = 0"),
+        ("unclassified", "CASE WHEN unclassified > 0.1 THEN 'error' ELSE 'warning' END", "unclassified", "known > 0 AND unclassified > 0.02"),
+        ("misclassification", "'warning'", "ground", "known > 0 AND ground < 0.05"),
+        ("class_distribution", "'info'", "classes", "known > 0"),
+    ),
+    "misclassification": (
+        ("misclassification", "'warning'", "high_ground", "n2 > 10 AND high_ground > 0.01"),
+        ("misclassification", "'warning'", "low_building", "n2 > 10 AND n6 > 10 AND low_building > 0.1"),
+        *(("misclassification", "'warning'", f"veg{v}", f"n2 > 10 AND veg{v} > 0.2") for v in (3, 4, 5)),
+    ),
+    "class_noise": (("classification_noise", "'warning'", "noise", "noise > 0.05"),),
+    "edge_class": (("misclassification", "'warning'", "quality", "quality < 0.7"),),
+    "noise_points": (("misclassification", "'warning'", "crowded", "crowded > 0.3"),),
+}
+
+
+def ruled(tiles: DataFrame, key: str, names: Sequence[str]) -> DataFrame:
+    """The issues of the named checks' rules, and the check, from one row a tile: one pass, no union."""
+    rules = [(name, *rule) for name in names for rule in RULES[name]]
+    found = (F.when(F.expr(when), F.struct(F.lit(kind).alias("issue_type"), F.expr(severity).alias("severity"), F.expr(value).cast("double").alias("value"), F.lit(name).alias("check"))) for name, kind, severity, value, when in rules)
+    return tiles.select(key, F.explode(F.filter(F.array(*found), lambda i: i.isNotNull())).alias("i")).select(key, "i.*")
+
+
 def issue(df: DataFrame, key: str, kind: str, severity: Column | str, value: Column | str, when: Column) -> DataFrame:
     severity = F.lit(severity) if isinstance(severity, str) else severity
     value = F.col(value) if isinstance(value, str) else value
@@ -30,12 +73,7 @@ def issue(df: DataFrame, key: str, kind: str, severity: Column | str, value: Col
 
 def density(points: DataFrame, key: str, cell: float = 1.0) -> DataFrame:
     """QA-01."""
-    g = density_grid(points, key, cell)
-    return (
-        issue(g, key, "low_density", F.when(F.col("mean_density") < 1.0, "critical").otherwise("error"), "mean_density", F.col("mean_density") < 2.0)
-        .unionByName(issue(g, key, "density_variation", "warning", "variation", F.col("variation") > 0.5))
-        .unionByName(issue(g, key, "data_void", F.when(F.col("void_ratio") > 0.1, "error").otherwise("warning"), "void_ratio", F.col("void_ratio") > 0.05))
-    )
+    return ruled(density_grid(points, key, cell), key, ["density"]).drop("check")
 
 
 def strip_profile(points: DataFrame, key: str, bins: int = 99, least: int = 10) -> DataFrame:
@@ -62,22 +100,28 @@ def striping(points: DataFrame, key: str, offset: float = 0.1, bins: int = 99) -
     return issue(p, key, "striping", "error", "amplitude", (strongest > 10 * mean) & (F.col("amplitude") > offset))
 
 
-def alignment(points: DataFrame, key: str, order: Sequence[str], jump: float = 0.10, residual: float = 0.5) -> DataFrame:
+def jumps(points: DataFrame, key: str, order: Sequence[str], jump: float = 0.10) -> DataFrame:
+    """QA-03: gaps in time over which the height changes."""
+    return issue(gps_gaps(points, key, order), key, "misalignment", "error", F.abs("jump"), F.abs("jump") > jump)
+
+
+def alignment(points: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """QA-03."""
-    gaps = issue(gps_gaps(points, key, order), key, "misalignment", "error", F.abs("jump"), F.abs("jump") > jump)
-    return gaps.unionByName(issue(plane_residual(points, key), key, "misalignment", "warning", "residual_std", F.col("residual_std") > residual))
+    return jumps(points, key, order).unionByName(ruled(plane_residual(points, key), key, ["alignment"]).drop("check"))
+
+
+def _angles(limit: float = 20.0) -> list[Column]:
+    a = F.abs("scan_angle")
+    return [(F.count_if(a > limit) / F.count("*")).alias("edge_share"), F.count_if(a > 15).alias("n_edge"), F.count_if(a < 5).alias("n_centre"), F.avg(F.when(a > 15, F.col("intensity"))).alias("i_edge"), F.avg(F.when(a < 5, F.col("intensity"))).alias("i_centre")]
 
 
 def edge_shares(points: DataFrame, key: str, limit: float = 20.0) -> DataFrame:
     """QA-04."""
-    a = F.abs("scan_angle")
-    return points.groupBy(key).agg((F.count_if(a > limit) / F.count("*")).alias("edge_share"), F.count_if(a > 15).alias("n_edge"), F.count_if(a < 5).alias("n_centre"), F.avg(F.when(a > 15, F.col("intensity"))).alias("i_edge"), F.avg(F.when(a < 5, F.col("intensity"))).alias("i_centre")).withColumn("intensity_ratio", F.try_divide("i_edge", "i_centre"))
+    return points.groupBy(key).agg(*_angles(limit)).withColumn("intensity_ratio", F.try_divide("i_edge", "i_centre"))
 
 
 def edge_artifacts(points: DataFrame, key: str) -> DataFrame:
-    s = edge_shares(points, key)
-    banded = (F.col("n_edge") > 100) & (F.col("n_centre") > 100) & ((F.col("intensity_ratio") < 0.5) | (F.col("intensity_ratio") > 2.0))
-    return issue(s, key, "edge_artifacts", "warning", "edge_share", F.col("edge_share") > 0.1).unionByName(issue(s, key, "intensity_banding", "warning", "intensity_ratio", banded))
+    return ruled(edge_shares(points, key), key, ["edge_artifacts"]).drop("check")
 
 
 def centre_share(points: DataFrame, key: str, radius: float = 0.5) -> DataFrame:
@@ -88,7 +132,7 @@ def centre_share(points: DataFrame, key: str, radius: float = 0.5) -> DataFrame:
 
 
 def blind_spots(points: DataFrame, key: str) -> DataFrame:
-    return issue(centre_share(points, key), key, "blind_spots", "info", "centre_share", F.col("centre_share") < 0.001)
+    return ruled(centre_share(points, key), key, ["blind_spots"]).drop("check")
 
 
 def _other(points: DataFrame, *more: str, key: str) -> DataFrame:
@@ -160,10 +204,15 @@ def noise(points: DataFrame, key: str, most: float = 0.05, cell: float = 10.0, l
     return issue(whole, key, "noise", severity, "noise_level", F.col("noise_level") > most).unionByName(issue(noisy, key, "noise", "warning", "cells", F.col("cells") > few))
 
 
-def outliers(points: DataFrame, key: str) -> DataFrame:
-    k, r = knn_outliers(points, key), radius_outliers(points, key)
+def far_outliers(points: DataFrame, key: str) -> DataFrame:
+    """QA-06 as issues."""
     severity = F.when(F.col("ratio") > 0.04, "error").otherwise("warning")
-    return issue(k, key, "outliers", severity, "ratio", F.col("ratio") > 0.02).unionByName(issue(r, key, "outliers", "warning", "ratio", F.col("ratio") > 0.01))
+    return issue(knn_outliers(points, key), key, "outliers", severity, "ratio", F.col("ratio") > 0.02)
+
+
+def outliers(points: DataFrame, key: str) -> DataFrame:
+    r = radius_outliers(points, key).withColumnRenamed("ratio", "radius_ratio")
+    return far_outliers(points, key).unionByName(ruled(r, key, ["outliers"]).drop("check"))
 
 
 def bright(points: DataFrame, key: str, p: float, least: int) -> DataFrame:
@@ -182,7 +231,7 @@ def ghost_candidates(points: DataFrame, key: str, radius: float = 2.0, rise: flo
 
 
 def ghosting(points: DataFrame, key: str) -> DataFrame:
-    return issue(ghost_candidates(points, key), key, "ghosting", "warning", "candidates", F.col("candidates") > 5)
+    return ruled(ghost_candidates(points, key), key, ["ghosting"]).drop("check")
 
 
 def bloom_regions(points: DataFrame, key: str, radius: float = 0.5, factor: float = 3.0, p: float = 0.99) -> DataFrame:
@@ -194,7 +243,7 @@ def bloom_regions(points: DataFrame, key: str, radius: float = 0.5, factor: floa
 
 
 def blooming(points: DataFrame, key: str) -> DataFrame:
-    return issue(bloom_regions(points, key), key, "blooming", "warning", "regions", F.col("regions") > 3)
+    return ruled(bloom_regions(points, key), key, ["blooming"]).drop("check")
 
 
 def weather_scores(points: DataFrame, key: str, rise: float = 2.0) -> DataFrame:
@@ -215,44 +264,40 @@ def weather(points: DataFrame, key: str) -> DataFrame:
     return issue(weather_scores(points, key), key, "weather_noise", "warning", "score", F.col("score") > 0.8)
 
 
+def _kinds() -> list[Column]:
+    """QA-12: a class is one byte, so the set of a tile's classes is small."""
+    c = F.col("classification")
+    return [F.count(c).alias("known"), F.try_divide(F.count_if(c.isin(0, 1)), F.count("*")).alias("unclassified"), F.try_divide(F.count_if(c == 2), F.count("*")).alias("ground"), F.size(F.collect_set(c)).alias("classes")]
+
+
 def completeness(points: DataFrame, key: str) -> DataFrame:
     """QA-12."""
-    s = points.groupBy(key).agg(F.count("classification").alias("known"), F.try_divide(F.count_if(F.col("classification").isin(0, 1)), F.count("*")).alias("unclassified"), F.try_divide(F.count_if(F.col("classification") == 2), F.count("*")).alias("ground"), F.count_distinct("classification").alias("classes"))
-    some = F.col("known") > 0
-    return (
-        issue(s, key, "unclassified", "critical", F.lit(1.0), ~some)
-        .unionByName(issue(s, key, "unclassified", F.when(F.col("unclassified") > 0.1, "error").otherwise("warning"), "unclassified", some & (F.col("unclassified") > 0.02)))
-        .unionByName(issue(s, key, "misclassification", "warning", "ground", some & (F.col("ground") < 0.05)))
-        .unionByName(issue(s, key, "class_distribution", "info", "classes", some))
-    )
+    return ruled(points.groupBy(key).agg(*_kinds()), key, ["completeness"]).drop("check")
+
+
+def _misplaced(low: float) -> dict[str, Column]:
+    """QA-13: points at the wrong height for their class, over the tile's z0 (lowest point) and gm (median of the ground)."""
+    c, above = F.col("classification"), F.col("z") - F.col("gm")
+    out_of = {3: (above < 0.0) | (above > 0.5), 4: (above < 0.5) | (above > 2.0), 5: above < 2.0}
+    return {"high_ground": (c == 2) & (F.col("z") > F.col("z0") + 5.0), "low_building": (c == 6) & (F.col("z") < F.col("gm") + low), **{f"veg{v}": (c == v) & out_of[v] for v in (3, 4, 5)}}
+
+
+def _shares(wrong: dict[str, Column], n: dict[int, Column]) -> list[Column]:
+    """QA-13: shares from counts of misplaced points and of their classes; of vegetation only where there are over 100."""
+    of = {"high_ground": n[2], "low_building": n[6]}
+    return [*(F.try_divide(wrong[k], of[k]).alias(k) for k in of), *(F.when(n[v] > 100, F.try_divide(wrong[f"veg{v}"], n[v])).alias(f"veg{v}") for v in (3, 4, 5))]
 
 
 def class_shares(points: DataFrame, key: str, low: float = 0.5) -> DataFrame:
     """QA-13: shares of ground far above the lowest point, of buildings at ground height, of vegetation outside its band."""
-    c = F.col("classification")
-    plain = [F.min("z").alias("z0"), F.count_if(c == 2).alias("n2"), F.count_if(c == 6).alias("n6"), *(F.count_if(c == v).alias(f"n{v}") for v in (3, 4, 5))]
+    plain = [F.min("z").alias("z0"), *(F.count_if(F.col("classification") == v).alias(f"n{v}") for v in (2, 3, 4, 5, 6))]
     base = aggregated(points, [key], plain, {"gm": ("z", 0.5, "classification = 2")})
-    p = points.join(base, key)
-    above = F.col("z") - F.col("gm")
-    out_of = {3: (above < 0.0) | (above > 0.5), 4: (above < 0.5) | (above > 2.0), 5: above < 2.0}
-    s = p.groupBy(key).agg(
-        F.max("n2").alias("n2"),
-        F.max("n6").alias("n6"),
-        F.try_divide(F.count_if((c == 2) & (F.col("z") > F.col("z0") + 5.0)), F.count_if(c == 2)).alias("high_ground"),
-        F.try_divide(F.count_if((c == 6) & (F.col("z") < F.col("gm") + low)), F.count_if(c == 6)).alias("low_building"),
-        *(F.when(F.max(f"n{v}") > 100, F.try_divide(F.count_if((c == v) & out_of[v]), F.count_if(c == v))).alias(f"veg{v}") for v in (3, 4, 5)),
-    )
-    return s
+    n = {v: F.max(f"n{v}") for v in (2, 3, 4, 5, 6)}
+    return points.join(base, key).groupBy(key).agg(n[2].alias("n2"), n[6].alias("n6"), *_shares({k: F.count_if(w) for k, w in _misplaced(low).items()}, n))
 
 
 def misclassification(points: DataFrame, key: str) -> DataFrame:
-    s = class_shares(points, key)
-    g = F.col("n2") > 10
-    out = issue(s, key, "misclassification", "warning", "high_ground", g & (F.col("high_ground") > 0.01))
-    out = out.unionByName(issue(s, key, "misclassification", "warning", "low_building", g & (F.col("n6") > 10) & (F.col("low_building") > 0.1)))
-    for v in (3, 4, 5):
-        out = out.unionByName(issue(s, key, "misclassification", "warning", f"veg{v}", g & (F.col(f"veg{v}") > 0.2)))
-    return out
+    return ruled(class_shares(points, key), key, ["misclassification"]).drop("check")
 
 
 def class_noise_shares(points: DataFrame, key: str, radius: float = 1.0, least: int = 10) -> DataFrame:
@@ -265,7 +310,7 @@ def class_noise_shares(points: DataFrame, key: str, radius: float = 1.0, least:
 
 
 def class_noise(points: DataFrame, key: str) -> DataFrame:
-    return issue(class_noise_shares(points, key), key, "classification_noise", "warning", "noise", F.col("noise") > 0.05)
+    return ruled(class_noise_shares(points, key), key, ["class_noise"]).drop("check")
 
 
 def edge_quality(points: DataFrame, key: str, width: float = 0.5, least: int = 100) -> DataFrame:
@@ -280,7 +325,7 @@ def edge_quality(points: DataFrame, key: str, width: float = 0.5, least: int = 1
 
 
 def edge_class(points: DataFrame, key: str) -> DataFrame:
-    return issue(edge_quality(points, key), key, "misclassification", "warning", "quality", F.col("quality") < 0.7)
+    return ruled(edge_quality(points, key), key, ["edge_class"]).drop("check")
 
 
 def noise_isolation(points: DataFrame, key: str, radius: float = 2.0, most: int = 5) -> DataFrame:
@@ -292,7 +337,7 @@ def noise_isolation(points: DataFrame, key: str, radius: float = 2.0, most: int
 
 
 def noise_points(points: DataFrame, key: str) -> DataFrame:
-    return issue(noise_isolation(points, key), key, "misclassification", "warning", "crowded", F.col("crowded") > 0.3)
+    return ruled(noise_isolation(points, key), key, ["noise_points"]).drop("check")
 
 
 #: QA-17: every check by name; each takes (points, key).
@@ -315,12 +360,85 @@ CHECKS = {
 }
 
 
+#: Checks that need more than rules, and what they need.
+MORE = {"striping": striping, "alignment": lambda p, k: jumps(p, k, ["pid"]), "outliers": far_outliers, "noise": noise, "weather": weather}
+#: Checks whose rules ask for neighbours: of all points within a metre, and of bright or noisy points within two.
+NEAR, WIDE = ("outliers", "blooming", "class_noise", "edge_class"), ("ghosting", "noise_points")
+
+
+def tile_statistics(points: DataFrame, key: str, cell: float = 1.0, centre: float = 0.5, low: float = 0.5) -> DataFrame:
+    """One row a tile with all that the rules ask for but neighbours, written: a pass for boxes, means and quantiles, and one by cells."""
+    c = F.col("classification")
+    ends = [*(f(a).alias(a + side) for a in "xy" for f, side in ((F.min, "0"), (F.max, "1"))), F.min("z").alias("z0"), *(F.avg(a).alias(f"m{a}") for a in "xyz")]
+    counts = [F.count("*").alias("points"), *(F.count_if(c == v).alias(f"n{v}") for v in (2, 3, 4, 5, 6, 7)), *_kinds(), *_angles()]
+    cuts = {"gm": ("z", 0.5, "classification = 2"), "cut95": ("intensity", 0.95, None), "cut99": ("intensity", 0.99, None)}
+    first = durable(aggregated(points, [key], [*ends, *counts], cuts).withColumn("intensity_ratio", F.try_divide("i_edge", "i_centre")), "tiles")
+
+    at = in_grid(points, first.select(key, "x0", "x1", "y0", "y1", "z0", "mx", "my", "mz", "gm", "cut95", "cut99"), key, cell)
+    middle = F.hypot(F.col("x") - (F.col("x0") + F.col("x1")) / 2, F.col("y") - (F.col("y0") + F.col("y1")) / 2) < centre
+    flags = {"central": middle, "bright95": F.col("intensity") > F.col("cut95"), "bright99": F.col("intensity") > F.col("cut99"), **{f"__{k}": w for k, w in _misplaced(low).items()}}
+    off = {a: F.col(a) - F.col(f"m{a}") for a in "xyz"}
+    sums = {f"s{a}{b}": off[a] * off[b] for a, b in PLANE_SUMS}
+    cells = at.groupBy(key, "i", "j", "nx", "ny").agg(F.count("*").alias("n"), *(F.count_if(w).alias(k) for k, w in flags.items()), *(F.sum(v).alias(k) for k, v in sums.items()))
+    by_tile = cells.groupBy(key).agg(*cell_statistics(cell), *(F.sum(k).alias(k) for k in (*flags, *sums)), F.sum("n").alias("n"))
+    s = fitted_plane(by_tile).drop("n", *sums).join(first, key)
+    wrong = {k: F.col(f"__{k}") for k in _misplaced(low)}
+    s = s.select("*", (F.col("central") / F.col("points")).alias("centre_share"), *_shares(wrong, {v: F.col(f"n{v}") for v in (2, 3, 4, 5, 6)}))
+    return durable(s.drop("central", *(f"__{k}" for k in wrong)), "tiles")
+
+
+def near_statistics(points: DataFrame, tiles: DataFrame, key: str, radius: float = 1.0, small: float = 0.5) -> DataFrame:
+    """QA-07, 10, 14, 15: one row a tile from one join of all points within radius; counts within small are conditional ones."""
+    cut = tiles.select(key, F.when(F.col("bright99") > 50, F.col("cut99")).alias("__cut"))
+    own = points.join(cut, key).select(key, "pid", "x", "y", "z", "classification", F.coalesce(F.col("intensity") > F.col("__cut"), F.lit(False)).alias("lit"))
+    near = neighbours(own, _other(points, "classification", key=key), key, radius)
+    d2 = sum(((F.col(a) - F.col(f"o{a}")) * (F.col(a) - F.col(f"o{a}")) for a in "xyz"), F.lit(0.0))
+    o, c = F.col("o_classification"), F.col("classification")
+    each = [key, "pid", "classification", "lit"]
+    by = near.groupBy(*each, "o_classification").agg(F.count("*").alias("n"), F.count_if(d2 <= small * small).alias("m"))
+    p = by.groupBy(*each).agg(
+        F.sum("n").alias("all"),
+        F.max(F.struct("n", (-o).alias("c"))).alias("t"),
+        F.sum(F.when(c == o, F.col("n")).otherwise(0)).alias("same"),
+        F.sum("m").alias("close"),
+        *(F.sum(F.when(o == v, F.col("m")).otherwise(0)).alias(f"close{v}") for v in (2, 6)),
+    )
+    p = p.join(tiles.select(key, ((F.col("n2") >= 100) & (F.col("n6") >= 100)).alias("__edged"), F.try_divide(F.col("points"), (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))).alias("__mean")), key)
+    change = (F.col("all") > 10) & (-F.col("t.c") != c)
+    edge = F.col("__edged") & (c == 6) & (F.col("close2") > 0)
+    mix = F.try_divide(F.col("close2"), F.col("close2") + F.col("close6"))
+    s = p.groupBy(key).agg(
+        (F.count_if(F.col("close") < 5) / F.count("*")).alias("radius_ratio"),
+        F.count_if(F.col("lit") & (F.col("close") / (math.pi * small * small) > 3.0 * F.col("__mean"))).alias("regions"),
+        (F.count_if(change) / F.count("*")).alias("noise"),
+        F.count_if(edge).alias("edge_points"),
+        F.count_if(edge & (mix > 0.3) & (mix < 0.7)).alias("__mixed"),
+    )
+    return s.withColumn("quality", F.when(F.col("edge_points") > 100, 1.0 - F.col("__mixed") / F.col("edge_points"))).drop("__mixed")
+
+
+def wide_statistics(points: DataFrame, tiles: DataFrame, key: str, radius: float = 2.0, rise: float = 0.5) -> DataFrame:
+    """QA-09, 16: one row a tile from one join of bright and of noise points with all others within radius."""
+    cut = tiles.select(key, F.when(F.col("bright95") > 10, F.col("cut95")).alias("__cut"), (F.col("n7") >= 10).alias("__many"))
+    own = points.join(cut, key).select(key, "pid", "x", "y", "z", F.coalesce(F.col("intensity") > F.col("__cut"), F.lit(False)).alias("lit"), F.coalesce(F.col("__many") & (F.col("classification") == 7), F.lit(False)).alias("loud"))
+    near = neighbours(own.where("lit OR loud"), _other(points, key=key), key, radius)
+    p = near.groupBy(key, "pid", "z", "lit", "loud").agg(F.count("*").alias("n"), F.percentile(F.when(F.col("lit"), F.col("oz")), F.lit(0.5)).alias("m"))
+    raised = F.col("lit") & (F.col("n") > 10) & (F.col("z") - F.col("m") > rise)
+    return p.groupBy(key).agg(F.count_if(raised).alias("candidates"), F.try_divide(F.count_if(F.col("loud") & (F.col("n") > 5)), F.count_if("loud")).alias("crowded"))
+
+
 def run_checks(points: DataFrame, key: str, names: Sequence[str] | None = None) -> DataFrame:
-    """QA-17: the issues of all checks, or of those named."""
-    out = None
-    for name in names or CHECKS:
-        found = CHECKS[name](points, key).withColumn("check", F.lit(name))
-        out = found if out is None else out.unionByName(found)
+    """QA-17: the issues of all checks, or of those named.  pid tells points apart."""
+    names = list(CHECKS if names is None else names)
+    tiles = tile_statistics(points, key)
+    stats = tiles
+    for group, found in ((NEAR, near_statistics), (WIDE, wide_statistics)):
+        if set(group) & set(names):
+            stats = stats.join(durable(found(points, tiles, key), "near"), key, "left")
+    out = ruled(stats, key, [n for n in names if n in RULES])
+    for name in names:
+        if name in MORE:
+            out = out.unionByName(MORE[name](points, key).withColumn("check", F.lit(name)))
     return out
 
 

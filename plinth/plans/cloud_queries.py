@@ -105,9 +105,13 @@ def stage_summary(p: DataFrame) -> DataFrame:
     return g.agg(F.count("*").alias("n"), F.round(F.avg("m"), 4).alias("mean"), F.round(F.percentile("m", 0.5), 4).alias("median"), F.round(F.stddev_samp("m"), 4).alias("std"), F.round(F.max("m") - F.min("m"), 4).alias("span"), F.round(F.sum("m"), 3).alias("total"))
 
 
-_GRID = """b AS (SELECT tile_id, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1, greatest(1, CAST(ceil((max(x) - min(x)) / 5.0) AS INTEGER)) AS nx, greatest(1, CAST(ceil((max(y) - min(y)) / 5.0) AS INTEGER)) AS ny FROM points GROUP BY tile_id),
+def _grid(cell: float) -> str:
+    return f"""b AS (SELECT tile_id, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1, greatest(1, CAST(ceil((max(x) - min(x)) / {cell}) AS INTEGER)) AS nx, greatest(1, CAST(ceil((max(y) - min(y)) / {cell}) AS INTEGER)) AS ny FROM points GROUP BY tile_id),
 c AS (SELECT tile_id, least(CAST(floor(coalesce((x - x0) * nx / nullif(x1 - x0, 0), 0)) AS INTEGER), nx - 1) AS i, least(CAST(floor(coalesce((y - y0) * ny / nullif(y1 - y0, 0), 0)) AS INTEGER), ny - 1) AS j, nx * ny AS cells FROM points JOIN b USING (tile_id)),
-k AS (SELECT tile_id, i, j, cells, count(*) AS n FROM c GROUP BY ALL), d AS (SELECT tile_id, avg(n) / 25.0 AS mean_density, stddev_pop(n) / avg(n) AS variation, count(*) AS filled, any_value(cells) AS cells, 1.0 - count(*) / any_value(cells)::DOUBLE AS void_ratio FROM k GROUP BY tile_id)"""
+k AS (SELECT tile_id, i, j, cells, count(*) AS n FROM c GROUP BY ALL), d AS (SELECT tile_id, avg(n) / {cell * cell} AS mean_density, stddev_pop(n) / avg(n) AS variation, count(*) AS filled, any_value(cells) AS cells, 1.0 - count(*) / any_value(cells)::DOUBLE AS void_ratio FROM k GROUP BY tile_id)"""
+
+
+_GRID = _grid(5.0)
 
 
 @query("AG-20 AG-21 QA-01", "points", sql=f"WITH {_GRID} SELECT tile_id, round(mean_density, 4) AS mean_density, round(variation, 4) AS variation, filled, cells, round(void_ratio, 4) AS void_ratio FROM d")
@@ -315,9 +319,48 @@ def qa_issues_list(p: DataFrame) -> DataFrame:
     return qa.listed(reports(p), KEY, "density", "critical").select(KEY, "total_issues")
 
 
-@query("QA-01 QA-02 QA-03 QA-04 QA-05 QA-12 QA-13 QA-17", "points")
+_SHARE = "count(*) FILTER (WHERE {0}) / nullif(count(*) FILTER (WHERE {1}), 0)::DOUBLE"
+_VEG = {3: "z - gm < 0 OR z - gm > 0.5", 4: "z - gm < 0.5 OR z - gm > 2.0", 5: "z - gm < 2.0"}
+#: check, type, severity, value, table and condition
+_AGGREGATE_RULES = (
+    ("density", "low_density", "CASE WHEN mean_density < 1 THEN 'critical' ELSE 'error' END", "mean_density", "d", "mean_density < 2"),
+    ("density", "density_variation", "'warning'", "variation", "d", "variation > 0.5"),
+    ("density", "data_void", "CASE WHEN void_ratio > 0.1 THEN 'error' ELSE 'warning' END", "void_ratio", "d", "void_ratio > 0.05"),
+    ("striping", "striping", "'error'", "amplitude", "stripes", "n > 10 AND strongest > 10 * mean AND amplitude > 0.1"),
+    ("alignment", "misalignment", "'error'", "abs(b - a)", "jumps", "abs(b - a) > 0.1"),
+    ("alignment", "misalignment", "'warning'", "residual", "plane", "residual > 0.5"),
+    ("edge_artifacts", "edge_artifacts", "'warning'", "edge_share", "e", "edge_share > 0.1"),
+    ("edge_artifacts", "intensity_banding", "'warning'", "i_edge / i_centre", "e", "n_edge > 100 AND n_centre > 100 AND (i_edge / i_centre < 0.5 OR i_edge / i_centre > 2)"),
+    ("blind_spots", "blind_spots", "'info'", "centre_share", "e", "centre_share < 0.001"),
+    ("completeness", "unclassified", "CASE WHEN u > 0.1 THEN 'error' ELSE 'warning' END", "u", "e", "u > 0.02"),
+    ("completeness", "misclassification", "'warning'", "g", "e", "g < 0.05"),
+    ("completeness", "class_distribution", "'info'", "classes", "e", "true"),
+    ("misclassification", "misclassification", "'warning'", "high_ground", "e", "n2 > 10 AND high_ground > 0.01"),
+    ("misclassification", "misclassification", "'warning'", "low_building", "e", "n2 > 10 AND n6 > 10 AND low_building > 0.1"),
+    *(("misclassification", "misclassification", "'warning'", f"veg{v}", "e", f"n2 > 10 AND n{v} > 100 AND veg{v} > 0.2") for v in _VEG),
+)
+
+
+@query(
+    "QA-01 QA-02 QA-03 QA-04 QA-05 QA-12 QA-13 QA-17",
+    "points",
+    sql=f"""WITH {_grid(1.0)}, h AS (SELECT tile_id, min(z) AS z0, avg(x) AS mx, avg(y) AS my, avg(z) AS mz, median(z) FILTER (WHERE classification = 2) AS gm FROM points GROUP BY tile_id), q AS (SELECT * FROM points JOIN b USING (tile_id) JOIN h USING (tile_id)),
+    e AS (SELECT tile_id, count(*) FILTER (WHERE abs(scan_angle) > 20) / count(*)::DOUBLE AS edge_share, count(*) FILTER (WHERE abs(scan_angle) > 15) AS n_edge, count(*) FILTER (WHERE abs(scan_angle) < 5) AS n_centre, avg(intensity) FILTER (WHERE abs(scan_angle) > 15) AS i_edge, avg(intensity) FILTER (WHERE abs(scan_angle) < 5) AS i_centre,
+    count(*) FILTER (WHERE sqrt(pow(x - (x0 + x1) / 2, 2) + pow(y - (y0 + y1) / 2, 2)) < 0.5) / count(*)::DOUBLE AS centre_share, count(*) FILTER (WHERE classification IN (0, 1)) / count(*)::DOUBLE AS u, count(*) FILTER (WHERE classification = 2) / count(*)::DOUBLE AS g, count(DISTINCT classification) AS classes,
+    {', '.join(f'count(*) FILTER (WHERE classification = {v}) AS n{v}' for v in (2, 3, 4, 5, 6))}, {_SHARE.format('classification = 2 AND z > z0 + 5', 'classification = 2')} AS high_ground, {_SHARE.format('classification = 6 AND z < gm + 0.5', 'classification = 6')} AS low_building,
+    {', '.join(f"{_SHARE.format(f'classification = {v} AND ({w})', f'classification = {v}')} AS veg{v}" for v, w in _VEG.items())} FROM q GROUP BY tile_id),
+    s1 AS (SELECT tile_id, CAST(floor((x - x0) * 99 / nullif(x1 - x0, 0)) AS INTEGER) AS strip, z FROM q), s2 AS (SELECT tile_id, strip, median(z) AS v FROM s1 WHERE strip < 99 GROUP BY ALL HAVING count(*) > 10),
+    s3 AS (SELECT tile_id, v, row_number() OVER (PARTITION BY tile_id ORDER BY strip) - 1 AS i, count(*) OVER (PARTITION BY tile_id) AS n, avg(v) OVER (PARTITION BY tile_id) AS m FROM s2),
+    s4 AS (SELECT tile_id, k, any_value(n) AS n, pow(sum((v - m) * cos(2 * pi() * k * i / n)), 2) + pow(sum((v - m) * sin(2 * pi() * k * i / n)), 2) AS p FROM s3, range(99) AS r(k) WHERE k < n GROUP BY tile_id, k),
+    stripes AS (SELECT * FROM (SELECT tile_id, any_value(n) AS n, max(p) FILTER (WHERE k BETWEEN 1 AND floor(n / 2) - 1) AS strongest, sum(p) / any_value(n) AS mean FROM s4 GROUP BY tile_id) JOIN (SELECT tile_id, stddev_pop(v) AS amplitude FROM s2 GROUP BY tile_id) USING (tile_id)),
+    g1 AS (SELECT tile_id, gps_time, z, {_PID} AS pid FROM points), g2 AS (SELECT *, gps_time - lag(gps_time) OVER (PARTITION BY tile_id ORDER BY gps_time, pid) AS step, median(z) OVER (PARTITION BY tile_id ORDER BY gps_time, pid ROWS BETWEEN 100 PRECEDING AND 1 PRECEDING) AS a,
+    median(z) OVER (PARTITION BY tile_id ORDER BY gps_time, pid ROWS BETWEEN CURRENT ROW AND 99 FOLLOWING) AS b FROM g1), g3 AS (SELECT tile_id, {_Q}(step, 0.95) * 10 AS lim FROM g2 GROUP BY tile_id), jumps AS (SELECT * FROM g2 JOIN g3 USING (tile_id) WHERE step > lim),
+    p1 AS (SELECT tile_id, count(*) AS n, {', '.join(f'sum(({a} - m{a}) * ({c} - m{c})) AS {a}{c}' for a, c in pc.PLANE_SUMS)} FROM q GROUP BY tile_id), p2 AS (SELECT *, (xz * yy - yz * xy) / nullif(xx * yy - xy * xy, 0) AS pa, (yz * xx - xz * xy) / nullif(xx * yy - xy * xy, 0) AS pb FROM p1),
+    plane AS (SELECT tile_id, sqrt(greatest(0, (zz - pa * xz - pb * yz) / n)) AS residual FROM p2) {' UNION ALL '.join(f"SELECT tile_id, '{kind}' AS issue_type, {severity} AS severity, round(CAST({value} AS DOUBLE), 4) AS value, '{check}' AS check_name FROM {table} WHERE {when}" for check, kind, severity, value, table, when in _AGGREGATE_RULES)}""",
+)
 def qa_all_aggregate_checks(p: DataFrame) -> DataFrame:
-    return rounded(qa.run_checks(numbered(p), KEY, ["density", "striping", "alignment", "edge_artifacts", "blind_spots", "completeness", "misclassification"]))
+    found = qa.run_checks(numbered(p), KEY, ["density", "striping", "alignment", "edge_artifacts", "blind_spots", "completeness", "misclassification"])
+    return rounded(found.withColumnRenamed("check", "check_name"))
 
 
 @query("QA-01 QA-02 QA-03 QA-04 QA-05 QA-06 QA-07 QA-08 QA-09 QA-10 QA-11 QA-12 QA-13 QA-14 QA-15 QA-16 QA-17", "points")
