@@ -100,6 +100,18 @@ def inside_edges(edges_: Column, x: Column, y: Column) -> Column:
     return F.aggregate(edges_, F.lit(0), lambda n, e: n + crosses(e)) % 2 == 1
 
 
+def ring_distance(ring: Column, x: Column, y: Column) -> Column:
+    """GE-12, GE-20: 0 within the ring, else the distance to its nearest edge; a ring may be one point or one line."""
+
+    def to(e: Column) -> Column:
+        ax, ay, dx, dy = e["a"]["x"], e["a"]["y"], e["b"]["x"] - e["a"]["x"], e["b"]["y"] - e["a"]["y"]
+        t = F.least(F.greatest(F.coalesce(F.try_divide((x - ax) * dx + (y - ay) * dy, dx * dx + dy * dy), F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
+        u, v = x - (ax + t * dx), y - (ay + t * dy)
+        return F.sqrt(u * u + v * v)
+
+    return F.when(contains(ring, x, y), F.lit(0.0)).otherwise(F.array_min(F.transform(edges(ring), to)))
+
+
 def within_mitre(ring: Column, x: Column, y: Column, distance: float, limit: float = 5.0) -> Column:
     """GE-07: whether a point lies in the ring's buffer with mitred corners, for any simple counter-clockwise ring.
 

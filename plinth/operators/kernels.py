@@ -133,13 +133,6 @@ def hull(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.array(half(points) + half(points[::-1]))
 
 
-def shoelace(ring: np.ndarray) -> float:
-    if len(ring) < 3:
-        return 0.0
-    x, y = ring[:, 0], ring[:, 1]
-    return float(abs(np.dot(x, np.roll(y, -1)) - np.dot(y, np.roll(x, -1))) / 2)
-
-
 def simplify(ring: np.ndarray, tolerance: float) -> np.ndarray:
     """GE-07: Douglas-Peucker on a closed ring that starts at its first point."""
     path = np.vstack([ring, ring[:1]])
@@ -231,21 +224,6 @@ def grouped(df: DataFrame, key: str, body, schema: str) -> DataFrame:
     return df.groupBy(key).applyInPandas(body, schema)
 
 
-def hull_areas(points: DataFrame, key: str) -> DataFrame:
-    """GE-09, PC-05: convex hull of each clip.  Only the two extreme points of each distinct x can be corners."""
-    from pyspark.sql import functions as F
-
-    ends = points.groupBy(key, "x").agg(F.min("y").alias("lo"), F.max("y").alias("hi"))
-    small = ends.select(key, "x", F.explode(F.array("lo", "hi")).alias("y"))
-    kind = points.schema[key].dataType.simpleString()
-
-    def body(pdf: pd.DataFrame) -> pd.DataFrame:
-        ring = hull(pdf["x"].to_numpy(), pdf["y"].to_numpy())
-        return pd.DataFrame({key: [pdf[key].iloc[0]], "convex_hull_area": [shoelace(ring)], "corners": [len(ring)]})
-
-    return grouped(small, key, body, f"{key} {kind}, convex_hull_area double, corners int")
-
-
 #: Cells of one cloth; a larger raster is refused, since a clip or tile is what the filter is for.
 CLOTH_CELLS = 1 << 24
 

@@ -321,7 +321,7 @@ def viewer_tiles(points: DataFrame, key: str, most: int = 100_000) -> DataFrame:
 def full_record(points: DataFrame, clips: DataFrame, key: str) -> DataFrame:
     """AG-18, PC-05/16: all statistics of each clip (key, footprint_area, and ring if footprints are known); zeros without points."""
     from ..functions import geo
-    from .kernels import hull_areas
+    from .hulls import hull_areas
 
     out = clips.join(basic_stats(points, key), key, "left")
     for part in (height_bands, class_stats, shape_scores, height_peaks):

@@ -67,6 +67,13 @@ def points_in_buffers(points: DataFrame, rings: DataFrame, cell: float, distance
     return near.where(geo.within_mitre(F.col("ring"), F.col("x"), F.col("y"), distance))
 
 
+def points_near_rings(points: DataFrame, rings: DataFrame, cell: float, distance: float, by: Sequence[str] = ()) -> DataFrame:
+    """JN-09, GE-20: points (x, y) within or no farther than distance from rings (ring), with that distance."""
+    reach = {f"{d}{i}": F.col(f"{d}{i}") + (distance if i else -distance) for d in "xy" for i in (0, 1)}
+    near = _in_boxes(points, with_box(rings).withColumns(reach), cell, by)
+    return near.withColumn("distance", geo.ring_distance(F.col("ring"), F.col("x"), F.col("y"))).where(F.col("distance") <= distance)
+
+
 def _in_boxes(points: DataFrame, boxes: DataFrame, cell: float, by: Sequence[str]) -> DataFrame:
     cut = boxes.withColumn("__i", F.explode(cells_over(F.col("x0"), F.col("x1"), cell))).withColumn("__j", F.explode(cells_over(F.col("y0"), F.col("y1"), cell)))
     at = points.withColumns({"__i": cell_of(F.col("x"), cell), "__j": cell_of(F.col("y"), cell)})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..config import LAS_CLASSES
-from ..operators import kernels, pointcloud as pc, qa
+from ..operators import hulls, kernels, pointcloud as pc, qa
 from .registry import query, r4, rounded
 
 KEY = "tile_id"
@@ -464,9 +464,16 @@ def dense_points(p: DataFrame) -> DataFrame:
     return qa.dense_noise(numbered(p), KEY, 2.0, 4).groupBy(KEY).agg(F.count("*").alias("kept"))
 
 
-@query("GE-08 GE-09 PC-05", "points")
+@query(
+    "GE-08 GE-09 PC-05",
+    "points",
+    # a corner has no point in one of the four directions; an edge has all points on its left and none beyond its ends
+    sql="""WITH p AS (SELECT DISTINCT tile_id, x, y FROM points), c AS (SELECT a.tile_id, a.x, a.y FROM p a JOIN p b USING (tile_id) GROUP BY ALL HAVING NOT (bool_or(b.x > a.x AND b.y > a.y) AND bool_or(b.x > a.x AND b.y < a.y) AND bool_or(b.x < a.x AND b.y > a.y) AND bool_or(b.x < a.x AND b.y < a.y))),
+    k AS (SELECT tile_id, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS by_, (b.x - a.x) * (p.y - a.y) - (b.y - a.y) * (p.x - a.x) AS side, ((b.x - a.x) * (p.x - a.x) + (b.y - a.y) * (p.y - a.y)) / (pow(b.x - a.x, 2) + pow(b.y - a.y, 2)) AS along FROM c a JOIN c b USING (tile_id) JOIN c p USING (tile_id) WHERE a.x <> b.x OR a.y <> b.y),
+    e AS (SELECT tile_id, ax, ay, bx, by_ FROM k GROUP BY ALL HAVING min(side) >= -1e-7 AND bool_and(abs(side) > 1e-7 OR along BETWEEN -1e-9 AND 1 + 1e-9)) SELECT tile_id, round(sum(ax * by_ - bx * ay) / 2, 4) AS convex_hull_area, CAST(count(*) AS INTEGER) AS corners FROM e GROUP BY tile_id""",
+)
 def hull_areas(p: DataFrame) -> DataFrame:
-    return rounded(kernels.hull_areas(p, KEY))
+    return rounded(hulls.hull_areas(p, KEY))
 
 
 @query("PC-23 QA-08", "points")

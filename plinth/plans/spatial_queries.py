@@ -8,6 +8,7 @@ from ..config import RASTER
 from ..functions import geo
 from ..operators import relational as rel
 from ..operators import spatial as ops
+from ..operators.hulls import hulls
 from ..operators.overlaps import with_overlap
 from .registry import query, r4, rounded
 
@@ -119,6 +120,28 @@ def search_area(b: DataFrame, p: DataFrame) -> DataFrame:
     return p.join(F.broadcast(f), F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1"))).select("pano_id")  # one row
 
 
+_BLOCK, _REACH = 400.0, 39.9  # no coordinate lies 39.9 from another, so that no distance is a tie
+
+
+@query(
+    "JN-09 GE-20 GE-08",
+    "buildings",
+    "panoramas",
+    # a corner of the hull has no point in one of the four directions; an edge has all points on its left
+    sql=f"""WITH f AS (SELECT CAST(floor(cx / {_BLOCK}) AS BIGINT) AS i, CAST(floor(cy / {_BLOCK}) AS BIGINT) AS j, {_BOX} FROM buildings), p AS (SELECT DISTINCT i, j, unnest([x0, x0, x1, x1]) AS x, unnest([y0, y1, y0, y1]) AS y FROM f),
+    c AS (SELECT a.i, a.j, a.x, a.y FROM p a JOIN p b USING (i, j) GROUP BY ALL HAVING NOT (bool_or(b.x > a.x AND b.y > a.y) AND bool_or(b.x > a.x AND b.y < a.y) AND bool_or(b.x < a.x AND b.y > a.y) AND bool_or(b.x < a.x AND b.y < a.y))),
+    e AS (SELECT i, j, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS by_ FROM c a JOIN c b USING (i, j) JOIN c p USING (i, j) WHERE a.x <> b.x OR a.y <> b.y GROUP BY ALL HAVING min((b.x - a.x) * (p.y - a.y) - (b.y - a.y) * (p.x - a.x)) >= -1e-7),
+    t AS (SELECT i, j, pano_id, (bx - ax) * (y - ay) - (by_ - ay) * (x - ax) AS side, least(1, greatest(0, ((x - ax) * (bx - ax) + (y - ay) * (by_ - ay)) / (pow(bx - ax, 2) + pow(by_ - ay, 2)))) AS t, x - ax AS u, y - ay AS v, bx - ax AS dx, by_ - ay AS dy FROM e JOIN panoramas
+    ON x BETWEEN i * {_BLOCK} - 60 AND i * {_BLOCK} + {_BLOCK} + 60 AND y BETWEEN j * {_BLOCK} - 60 AND j * {_BLOCK} + {_BLOCK} + 60), d AS (SELECT i, j, pano_id, CASE WHEN min(side) > 0 THEN 0.0 ELSE min(sqrt(pow(u - t * dx, 2) + pow(v - t * dy, 2))) END AS d FROM t GROUP BY ALL)
+    SELECT i, j, pano_id, round(d, 4) AS distance FROM d WHERE d <= {_REACH}""",
+)
+def hull_search_area(b: DataFrame, p: DataFrame) -> DataFrame:
+    """Panoramas within reach of the hull of all footprints of each block; boxes would take those beyond its cut corners too."""
+    block = {"i": F.floor(F.col("cx") / _BLOCK).cast("long"), "j": F.floor(F.col("cy") / _BLOCK).cast("long")}
+    at = footprints(b).select(*(v.alias(k) for k, v in block.items()), F.inline("ring"))
+    return rounded(ops.points_near_rings(p.select("pano_id", "x", "y"), hulls(at, ["i", "j"]), 100.0, _REACH).select("i", "j", "pano_id", "distance"))
+
+
 @query(
     "JN-05 SC-09 SC-10",
     "buildings",
