@@ -16,6 +16,8 @@ RANGES, RANGE_BYTES, SAMPLES, FULL = 128, 4 << 30, 4, 2.0
 WHOLE = 1 / 32
 #: Rounds of subdivision; each one cuts every overfull range, so more are never needed and an error if they were.
 ROUNDS = 64
+#: Repeated rows that one task numbers at a time.
+REPEATS = 1 << 16
 _START = -(1 << 63)
 
 
@@ -50,6 +52,21 @@ def _thinned(sample: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return sample[SAMPLES - 1 :: SAMPLES] or sample[len(sample) // 2 :][:1]
 
 
+def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, size, crc, key (a hash of the text) and tie, a hash of the id and of the row's number among its repeats.
+
+    Repeats are alike in all of these, so they are counted and numbered anew; a table read in other splits gives the same rows.
+    """
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    named = ["id", "size", "crc", "key"]
+    rows = df.select(F.col(f"`{id_col}`").alias("id"), (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("crc"), F.xxhash64(text).alias("key"))
+    counted = rows.groupBy(*named).agg(F.count("*").alias("n"))
+    # repeats of one row are dealt in runs, so that none makes one task's work
+    runs = counted.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / REPEATS)))).repartition("id", "key", "run")
+    low = F.col("run") * REPEATS
+    return runs.withColumn("nth", F.explode(F.sequence(low, F.least(low + REPEATS, F.col("n")) - 1))).select(*named, F.xxhash64("id", "nth").alias("tie"))
+
+
 def shard_by_bytes(df: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row: id, size, text_crc32, shard, slot.
 
@@ -59,14 +76,11 @@ def shard_by_bytes(df: DataFrame, shards: int, id_col: str = "doc_id", text_col:
     Ranges, with exact sizes, are then laid end to end into shards; slots count from 0 in each shard, without gaps.
     So equal texts share a shard, but for those of over WHOLE of a shard among which a shard's border falls.
     Size is the text's UTF-8 bytes (null: none) plus 8, the CRC of a null text is 0.  An empty table gives an empty
-    result, repeated rows get slots of their own, other columns are ignored.  One row is never divided, so a shard
+    result, repeated rows get slots of their own, other columns are ignored.  The order of rows and their splits change nothing.  One row is never divided, so a shard
     may exceed the mean by about the largest row.
     """
     spark = df.sparkSession
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    key = F.col(f"`{id_col}`")
-    rows = df.select(key.alias("id"), (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("crc"), F.xxhash64(text).alias("key"), F.monotonically_increasing_id().alias("row"))
-    rows = durable(rows.select("id", "size", "crc", "key", F.xxhash64("id", "row").alias("tie")), "keys")
+    rows = durable(_keyed(df, id_col, text_col), "keys")
     total = rows.agg(F.sum("size")).first()[0] or 0
     want = max(shards * RANGES, -(-total // RANGE_BYTES))
     rate = want * SAMPLES / max(total, 1)

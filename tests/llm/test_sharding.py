@@ -67,3 +67,13 @@ def test_columns(awkward, nothing, rows):
     assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in out) == Counter((r[0], len(text(r)) + 8, zlib.crc32(text(r))) for r in rows)
     assert len({(r["shard"], r["slot"]) for r in out}) == len(rows)
     assert shard_by_bytes(nothing, 5).count() == 0
+
+
+def test_the_same_in_any_splits(spark, monkeypatch):
+    """Repeats in runs of three, null ids; the rows of a shard do not depend on how the table is read."""
+    monkeypatch.setattr("plinth.llm.sharding.REPEATS", 3)
+    rows = [(i % 400 if i % 7 else None, f"text {i % 90} " * (i % 5)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    one, other = (Counter(map(tuple, shard_by_bytes(d, 6).collect())) for d in (df.coalesce(1), df.repartition(9).orderBy(F.rand(3))))
+    assert one == other and sum(one.values()) == 2000
+    assert Counter((r[0], r[1], r[2]) for r in one.elements()) == Counter((i, len(t) + 8, zlib.crc32(t.encode())) for i, t in rows)
