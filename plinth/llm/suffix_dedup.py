@@ -446,7 +446,11 @@ def _told_apart(src: DataFrame) -> tuple[DataFrame, int]:
         return src.withColumn("doc", F.col("id")), 0
     placed = numbered(rows, ["id", "__h"], "n")
     placed = durable(placed, "placed")
-    first = placed.groupBy(F.col("id").alias("__id")).agg(F.min("n").alias("first"))
+    first = durable(placed.groupBy(F.col("id").alias("__id")).agg(F.min("n").alias("first"), F.count("*").alias("texts")), "first")
+    last = first.agg(F.max("first").alias("first"), F.max("texts").alias("texts")).first()
+    if last["texts"] > 1 << ROWS or last["first"] >= 1 << (63 - ROWS):
+        raise ValueError(f"an id has more than {1 << ROWS} texts, or there are more than {1 << (63 - ROWS)} rows")
+    first = first.drop("texts")
     doc = F.shiftleft(F.col("first"), ROWS) + (F.col("n") - F.col("first"))
     named = durable(placed.join(first, F.col("id").eqNullSafe(F.col("__id"))).select("__id", F.col("__h").alias("__k"), doc.alias("doc")), "named")
     out = keyed.join(named, F.col("id").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__k"))).select("id", "t", "doc")

@@ -112,3 +112,10 @@ def test_periodic_and_shifted(spark):
 def test_empty(nothing):
     assert dedup_passages(nothing).count() == 0
     assert merge_spans(np.array([1, 3, 9]), np.array([3, 5, 12])).tolist() == [[1, 5], [9, 12]]
+
+
+def test_too_many_texts_of_one_id_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr("plinth.llm.suffix_dedup.ROWS", 2)
+    df = spark.createDataFrame([(None, f"text {i}") for i in range(5)], "doc_id long, text string")
+    with pytest.raises(ValueError, match="texts"):
+        dedup_passages(df)
