@@ -22,6 +22,8 @@ class Definition:
     needs: tuple[str, ...]
     run: Stage
     key: tuple[str, ...]
+    #: The table that the stage adds to: the name by which later stages read it.
+    writes: str
 
 
 def _of(c: Catalog, name: str, region: str | None) -> DataFrame:
@@ -80,8 +82,13 @@ def _ground(c: Catalog, region: str | None) -> DataFrame:
 
 
 def _heights(c: Catalog, region: str | None) -> DataFrame:
+    """The nearest ground of a building is what its features carry, if the projection gave any."""
     best = views.best_feature(_of(c, "features", region), F.col("image_width"), F.col("image_height"))
-    return views.floor_heights(best, _of(c, "ground", region))
+    ground = _of(c, "ground", region).select("id", "ground_elevation_m")
+    if "nearest_ground_m" in best.columns:
+        nearest = best.groupBy("id").agg(F.min("nearest_ground_m").alias("nearest_ground_m"))
+        return views.floor_heights(best, ground.join(nearest, "id", "full"))
+    return views.floor_heights(best, ground.withColumn("nearest_ground_m", F.lit(None).cast("double")))
 
 
 def _validate(c: Catalog, region: str | None) -> DataFrame:
@@ -104,16 +111,16 @@ def _qa(c: Catalog, region: str | None) -> DataFrame:
 
 
 STAGES = (
-    Definition("stage01", ("1", "clip"), ("buildings", "points"), _clip, ("id", "tile_id", "point_id")),
-    Definition("stage02a", ("2a", "harvest"), ("buildings", "panoramas"), _harvest, ("id", "edge_idx", "view_type", "pano_id")),
-    Definition("stage02b", ("2b", "downloads"), ("candidate_views", "buildings", "pano_files"), _downloads, views.VIEW),
-    Definition("stage03", ("3", "windows"), ("candidate_views", "downloads", "panoramas", "buildings"), _windows, views.VIEW),
-    Definition("stage04b", ("4b", "best-view"), ("detections", "candidate_views", "image_scores"), _best, ("id",)),
-    Definition("stage06", ("6", "ground"), ("clipped_points",), _ground, ("id",)),
-    Definition("stage07", ("7", "ffh", "floors"), ("features", "ground"), _heights, ("id",)),
-    Definition("stage08", ("8", "validate", "validation"), ("heights", "labels"), _validate, ("id", "ffh_method")),
-    Definition("stage09a", ("9a", "lidar-stats"), ("clipped_points", "buildings"), _lidar, ("id",)),
-    Definition("qa", ("qa-run",), ("points",), _qa, ("tile_id",)),
+    Definition("stage01", ("1", "clip"), ("buildings", "points"), _clip, ("id", "tile_id", "point_id"), "clipped_points"),
+    Definition("stage02a", ("2a", "harvest"), ("buildings", "panoramas"), _harvest, ("id", "edge_idx", "view_type", "pano_id"), "candidate_views"),
+    Definition("stage02b", ("2b", "downloads"), ("candidate_views", "buildings", "pano_files"), _downloads, views.VIEW, "downloads"),
+    Definition("stage03", ("3", "windows"), ("candidate_views", "downloads", "panoramas", "buildings"), _windows, views.VIEW, "windows"),
+    Definition("stage04b", ("4b", "best-view"), ("detections", "candidate_views", "image_scores"), _best, ("id",), "best_views"),
+    Definition("stage06", ("6", "ground"), ("clipped_points",), _ground, ("id",), "ground"),
+    Definition("stage07", ("7", "ffh", "floors"), ("features", "ground"), _heights, ("id",), "heights"),
+    Definition("stage08", ("8", "validate", "validation"), ("heights", "labels"), _validate, ("id", "ffh_method"), "validation"),
+    Definition("stage09a", ("9a", "lidar-stats"), ("clipped_points", "buildings"), _lidar, ("id",), "lidar_stats"),
+    Definition("qa", ("qa-run",), ("points",), _qa, ("tile_id",), "qa_report"),
 )
 assert HEIGHTS.least <= HEIGHTS.most
 
@@ -132,6 +139,8 @@ def missing(c: Catalog, stage: Definition) -> list[str]:
 def run(c: Catalog, names: Iterable[str], region: str | None = None, to: dict[str, str] | None = None, failed: dict[str, Exception] | None = None) -> dict[str, int]:
     """Rows added by each stage; the region holds in every stage, and a rerun adds nothing twice.
 
+    Each stage writes the table that the next ones read; to names other tables by stage.
+
     Where failed is given, a stage that fails is put there with its error and the next ones still run.
     """
     added = {}
@@ -139,7 +148,7 @@ def run(c: Catalog, names: Iterable[str], region: str | None = None, to: dict[st
         try:
             if gone := missing(c, stage):
                 raise FileNotFoundError(f"{stage.name} needs {', '.join(gone)}")
-            added[stage.name] = c.append(stage.run(c, region), (to or {}).get(stage.name, stage.name), stage.key)
+            added[stage.name] = c.append(stage.run(c, region), (to or {}).get(stage.name, stage.writes), stage.key)
         except Exception as e:
             if failed is None:
                 raise

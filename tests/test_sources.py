@@ -198,4 +198,28 @@ def test_views_are_found_and_downloads_named(spark, tmp_path):
     side = 5500 / 180 * math.degrees(math.atan(5 / 20))
     lo, hi = round(5500 - side), round(5500 + side)
     margin = int((hi - lo) * 0.05)
-    assert {(r["id"], r["clip_left"], r["clip_right"], r["clip_top"], r["clip_bottom"]) for r in c.table("stage03").collect()} == {(i, lo - margin, hi + margin, 1375, 3300) for i in (1, 2)}
+    assert {(r["id"], r["clip_left"], r["clip_right"], r["clip_top"], r["clip_bottom"]) for r in c.table("windows").collect()} == {(i, lo - margin, hi + margin, 1375, 3300) for i in (1, 2)}
+
+
+def test_stages_read_what_stages_write(spark, tmp_path):
+    """From footprints, points and given features to validated heights, no table named by hand."""
+    c = Catalog(spark, str(tmp_path / "c"))
+    square = lambda x: f"POLYGON (({x} 0, {x + 10} 0, {x + 10} 10, {x} 10, {x} 0))"
+    c.overwrite(spark.createDataFrame([(1, "b1", "wagga", square(0)), (2, "b2", "tweed", square(500))], "id long, building_id string, region_name string, footprint_wkt string"), "buildings")
+    c.overwrite(spark.createDataFrame([("t", i, 500.0 * (i % 2) + i % 10, float(i % 7), 3.0 + i % 2, 10, 2, 1, float(i)) for i in range(400)], "tile_id string, point_id long, x double, y double, z double, intensity int, classification int, number_of_returns int, gps_time double"), "points")
+    c.overwrite(spark.createDataFrame([("p_1-x", 5.0, -20.0, 0.0, "wagga"), ("p_3-x", 505.0, -20.0, 0.0, "tweed")], "pano_id string, x double, y double, heading double, region_name string"), "panoramas")
+    c.overwrite(spark.createDataFrame([("p_1-x.jpg", "s/1"), ("p_3-x.jpg", "s/3")], "name string, path string"), "pano_files")
+    assert stages.run(c, ["1", "2a", "2b", "3", "6", "9a"]) == {"stage01": 400, "stage02a": 2, "stage02b": 2, "stage03": 2, "stage06": 2, "stage09a": 2}
+    assert {d.writes for d in stages.STAGES} >= {"clipped_points", "candidate_views", "downloads", "windows", "ground", "heights", "validation"}
+    made = {d.writes for d in stages.STAGES}
+    given = {"buildings", "points", "panoramas", "pano_files", "detections", "image_scores", "features", "labels"}
+    assert all(n in made | given for d in stages.STAGES for n in d.needs)
+    boxes = [(1, 1, 4.0), (2, 2, 4.9), (2, 3, 9.0)]  # the last one is far from a door's shape
+    rows = [(i, e, "Front Door", 0.9, 100.0, 100.0, 140.0, 180.0, 1.8 if e < 3 else 30.0, 0.45, bottom + 2.0, bottom, 200, 200, 3.2 if i == 1 else None) for i, e, bottom in boxes]
+    kinds = "id long, event_id long, class_name string, confidence double, x1 double, y1 double, x2 double, y2 double, area double, ratio double, top double, bottom double, image_width int, image_height int, nearest_ground_m double"
+    c.overwrite(spark.createDataFrame(rows, kinds), "features")
+    c.overwrite(spark.createDataFrame([(1, 1.0), (2, 0.9)], "id long, floor_height_m double"), "labels")
+    assert stages.run(c, ["7", "8"])["stage07"] == 2
+    assert {r["id"]: (r["ffh1"], r["ffh2"], r["ffh3"]) for r in c.table("heights").collect()} == {1: (None, pytest.approx(0.8), pytest.approx(1.0)), 2: (None, None, pytest.approx(0.9))}
+    assert {(r["id"], r["ffh_method"]) for r in c.table("validation").collect()} == {(1, "ffh2"), (1, "ffh3"), (2, "ffh3")}
+    assert set(stages.run(c, ["1", "2a", "2b", "3", "6", "7", "8", "9a"]).values()) == {0}
