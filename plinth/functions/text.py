@@ -40,11 +40,12 @@ def building_folder(id_: Column, building: Column, gnaf: Column) -> Column:
     return F.concat_ws("_", id_.cast("string"), building, key_for_path(gnaf))
 
 
-def humanised(size: Column) -> Column:
-    """SF-07: bytes with one decimal and the largest unit that keeps it at 1 or more."""
+def humanised(size: Column, last: str = "EB") -> Column:
+    """SF-07: bytes with one decimal and the largest unit, up to last, that keeps it at 1 or more."""
     units = ["B", "KB", "MB", "GB", "TB", "PB", "EB"]
-    out = F.concat(F.format_string("%.1f", F.bround(size / float(1024**6), 1)), F.lit(" EB"))
-    for i in range(5, -1, -1):
+    top = units.index(last)
+    out = F.concat(F.format_string("%.1f", F.bround(size / float(1024**top), 1)), F.lit(f" {last}"))
+    for i in range(top - 1, -1, -1):
         out = F.when(size < float(1024 ** (i + 1)), F.concat(F.format_string("%.1f", F.bround(size / float(1024**i), 1)), F.lit(f" {units[i]}"))).otherwise(out)
     return out
 
