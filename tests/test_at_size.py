@@ -28,3 +28,33 @@ def agrees(spark, name, at):
 def test_sizes_beyond_terabytes(spark, tmp_path):
     customer = spark.read.parquet(f"{SF}/customer.parquet")
     agrees(spark, "bytes_humanised", copies(spark, tmp_path, customer=customer.withColumn("c_custkey", F.col("c_custkey") + 899_000)))
+
+
+def test_groups_of_any_size_have_the_same_neighbours(spark, monkeypatch):
+    """Few rows are compared as a whole, many go by the tree; what is folded is what the pairs tell."""
+    from plinth.operators import groups
+    from plinth.operators.neighbours import mean_distance, nearest
+
+    p = spark.range(600).select((F.col("id") % 3).alias("t"), F.concat(F.lit("p"), "id").alias("pid"), (F.col("id") * 37 % 101).cast("double").alias("x"), (F.col("id") * 53 % 89).cast("double").alias("y"))
+    o = p.select("t", F.col("pid").alias("oid"), F.col("x").alias("ox"), F.col("y").alias("oy"))
+    call = lambda *fold: sorted(tuple(r) for r in nearest(p, o, 4, ("x", "y"), ("ox", "oy"), "pid", "oid", ["t"], *fold).collect())
+    pairs, means = call(), call((mean_distance, ["d"]))
+    assert len(pairs) == 2400 and len(means) == 600
+    told = {}
+    for row in pairs:
+        told.setdefault(row[:2], []).append(row[-2:])
+    assert all(abs(d - sum(away for away, rank in told[t, pid] if rank > 1) / 3) < 1e-9 for t, pid, d in means)
+    monkeypatch.setattr(groups, "SMALL", 100)
+    assert call() == pairs and [r[:2] for r in call((mean_distance, ["d"]))] == [r[:2] for r in means]
+
+
+def test_few_rows_need_no_tree(spark, monkeypatch):
+    """Groups of few rows are dealt once: no table but the list of large groups is written."""
+    from plinth import tables
+    from plinth.operators import qa
+    from plinth.plans.cloud_queries import numbered
+    from plinth.plans.standins import view
+
+    mark = tables.written()
+    qa.knn_outliers(numbered(view(spark, SF, "points")), "tile_id", 5).collect()
+    assert [p.rsplit("/", 1)[-1].split("-")[0] for p in tables._written()[mark:]] == ["large", "distances"]
