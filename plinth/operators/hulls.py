@@ -1,6 +1,6 @@
-"""Convex hulls of groups of any size: hulls of parts, then hulls of hulls.
+"""Convex hulls of groups of any size: hulls of whole groups of few rows, else hulls of parts, then hulls of hulls.
 
-A task keeps the corners of its rows' hulls alone, and the hulls of a group's tasks meet in two rounds, so that a group
+Of larger groups a task keeps the corners of its rows' hulls alone, and the hulls of a group's tasks meet in two rounds, so that a group
 with a third of all rows costs one task no more than the corners of SLOTS hulls.
 """
 
@@ -10,12 +10,16 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import geo
+from . import groups
 from .kernels import hull
 
+#: Rows of a group that one task takes, and groups that it tells of at once.
+WHOLE, TOLD = 1 << 18, 1 << 10
 #: Tasks' hulls of a group that meet in the first round, by task number; corners that a task holds before it writes them.
 SLOTS, HELD = 64, 1 << 20
 #: Directions whose farthest points bound an octagon; most points lie inside it.
@@ -70,10 +74,36 @@ def hulls(points: DataFrame, by: Sequence[str]) -> DataFrame:
         ring = [{"x": x, "y": y} for x, y in corners(pdf[["x", "y"]].to_numpy())]
         return pd.DataFrame({**{k: [v] for k, v in zip(keys, key, strict=True)}, "ring": [ring]})
 
-    parts = known.mapInPandas(local, f"{kinds}, __part int")
+    n_by = len(keys)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names: list[pa.RecordBatch] = []
+        rings: list[np.ndarray] = []
+
+        def told() -> pa.RecordBatch:
+            xy = np.concatenate(rings)
+            ends = np.cumsum([0, *map(len, rings)]).astype(np.int32)
+            ring = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(xy[:, 0]), pa.array(xy[:, 1])], names=["x", "y"]))
+            of = pa.Table.from_batches(names).combine_chunks().to_batches()[0]
+            names.clear(), rings.clear()
+            return pa.RecordBatch.from_arrays([*of.columns, ring], names=[*keys, "ring"])
+
+        for group in groups.runs(batches, n_by):
+            names.append(group.slice(0, 1).select(keys))
+            rings.append(corners(np.stack([group.column(n_by + i).to_numpy() for i in range(2)], axis=1)))
+            if len(rings) == TOLD:
+                yield told()
+        if rings:
+            yield told()
+
+    few, many = groups.parted(known, keys, WHOLE)
+    shapes = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in known.schema if f.name in keys) + ", ring array<struct<x: double, y: double>>"
+    out = groups.dealt(few, keys).mapInArrow(whole, shapes).select(*by, "ring")
+    if many is None:
+        return out
+    parts = many.mapInPandas(local, f"{kinds}, __part int")
     met = parts.groupBy(*keys, F.pmod("__part", F.lit(SLOTS)).alias("__slot")).applyInPandas(merged, kinds)
-    shapes = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in known.schema if f.name in keys)
-    return met.groupBy(*keys).applyInPandas(ring_of, f"{shapes}, ring array<struct<x: double, y: double>>").select(*by, "ring")
+    return out.unionByName(met.groupBy(*keys).applyInPandas(ring_of, shapes).select(*by, "ring"))
 
 
 def hull_areas(points: DataFrame, key: str) -> DataFrame:
