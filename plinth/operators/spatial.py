@@ -1,7 +1,12 @@
-"""Spatial joins as equi-joins on grid cells with an exact test after."""
+"""Spatial joins as equi-joins on grid cells with an exact test after.
+
+Both sides are dealt by cell (hint merge): pairs outgrow small files by far, and a broadcast would leave them all to the few
+tasks that read the other side.
+"""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -21,12 +26,19 @@ def cells_over(lo: Column, hi: Column, size: float) -> Column:
     return F.sequence(cell_of(lo, size), cell_of(hi, size))
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """df dealt into as many parts as tasks may run, however few its bytes: what is made of them takes longer than they do."""
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    return df.repartition(n, *by)
+
+
 def within_distance(left: DataFrame, right: DataFrame, radius: float, axes: Sequence[str], other: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """JN-07/19/20: pairs no farther apart than radius, with their distance.
 
     Cells lie over the first two axes, since clouds are surfaces, and are two radii wide: the left side is copied to
     the cells that its disc touches (four on average), the right side lies in one cell, so each pair meets once and
-    AQE may split a dense cell.  The smaller or narrower side should be the left one.  Columns of the two sides must
+    AQE may split a dense cell (without by, cells are spread() instead).  The smaller or narrower side should be the left one.  Columns of the two sides must
     differ, but for those of by, which must be equal.
     """
     size, reach = 2.0 * radius, radius * (1 + 1e-9)  # rounding must not lose a pair at the border of a cell
@@ -36,7 +48,9 @@ def within_distance(left: DataFrame, right: DataFrame, radius: float, axes: Sequ
         near = near.withColumn(k, F.explode(cells_over(F.col(a) - reach, F.col(a) + reach, size)))
     far = right.withColumns({k: cell_of(F.col(o), size) for k, o in zip(keys, other, strict=False)})
     d2 = sum(((F.col(a) - F.col(o)) * (F.col(a) - F.col(o)) for a, o in zip(axes, other, strict=True)), F.lit(0.0))
-    return near.join(far, [*by, *keys]).where(d2 <= radius * radius).withColumn("distance", F.sqrt(d2)).drop(*keys)
+    if not by:
+        near, far = spread(near, *keys), spread(far, *keys)
+    return near.join(far.hint("merge"), [*by, *keys]).where(d2 <= radius * radius).withColumn("distance", F.sqrt(d2)).drop(*keys)
 
 
 def boxes_touching(left: DataFrame, right: DataFrame, cell: float, key: Sequence[str]) -> DataFrame:
@@ -46,7 +60,8 @@ def boxes_touching(left: DataFrame, right: DataFrame, cell: float, key: Sequence
     # a pair that shares many cells counts in the first of them alone
     first = (F.col("__i") == F.greatest(cell_of(F.col("x0"), cell), cell_of(F.col("rx0"), cell))) & (F.col("__j") == F.greatest(cell_of(F.col("y0"), cell), cell_of(F.col("ry0"), cell)))
     meet = (F.col("x0") <= F.col("rx1")) & (F.col("rx0") <= F.col("x1")) & (F.col("y0") <= F.col("ry1")) & (F.col("ry0") <= F.col("y1"))
-    return a.join(b, ["__i", "__j"]).where(meet & first).drop("__i", "__j")
+    at = ("__i", "__j")
+    return spread(a, *at).join(spread(b, *at).hint("merge"), list(at)).where(meet & first).drop("__i", "__j")
 
 
 def points_in_rings(points: DataFrame, rings: DataFrame, cell: float, by: Sequence[str] = ()) -> DataFrame:
@@ -78,7 +93,8 @@ def _in_boxes(points: DataFrame, boxes: DataFrame, cell: float, by: Sequence[str
     cut = boxes.withColumn("__i", F.explode(cells_over(F.col("x0"), F.col("x1"), cell))).withColumn("__j", F.explode(cells_over(F.col("y0"), F.col("y1"), cell)))
     at = points.withColumns({"__i": cell_of(F.col("x"), cell), "__j": cell_of(F.col("y"), cell)})
     inside = F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1"))
-    return at.join(cut, [*by, "__i", "__j"]).where(inside).drop("__i", "__j")
+    # boxes grow with the data and by their cells, which no estimate from the source knows: never sent to all tasks
+    return at.join(cut.hint("merge"), [*by, "__i", "__j"]).where(inside).drop("__i", "__j")
 
 
 def edges_of(buildings: DataFrame) -> DataFrame:
@@ -86,20 +102,51 @@ def edges_of(buildings: DataFrame) -> DataFrame:
     return buildings.select("id", F.inline(geo.outward_edges(F.col("ring"))))
 
 
-def candidate_views(buildings: DataFrame, cameras: DataFrame, radius: float = VIEWS.search_m) -> DataFrame:
+def candidate_views(buildings: DataFrame, cameras: DataFrame, radius: float = VIEWS.search_m, edges: DataFrame | None = None) -> DataFrame:
     """JN-07, GE-12/13, SF-15/16: cameras within radius of an edge's midpoint, on its outer side, outside the building, by view type.
 
-    Cameras, three columns, are copied to cells; rings meet only the pairs that the angle has left.
+    Cameras, three columns, are copied to cells; edges lie in one each and bring their ring, so pairs are tested where
+    they meet and are not shuffled.  edges: those of ringed_edges() to look at, else all.
     """
-    edges = edges_of(buildings).select("id", F.col("idx").alias("edge_idx"), "mx", "my", "nx", "ny")
-    pairs = within_distance(cameras.select("pano_id", F.col("x").alias("px"), F.col("y").alias("py")), edges, radius, ("px", "py"), ("mx", "my"))
+    pairs = within_distance(cameras.select("pano_id", F.col("x").alias("px"), F.col("y").alias("py")), ringed_edges(buildings) if edges is None else edges, radius, ("px", "py"), ("mx", "my"))
     vx, vy = F.col("px") - F.col("mx"), F.col("py") - F.col("my")
     angle = geo.signed_angle(F.col("nx"), F.col("ny"), vx, vy)
-    ahead = pairs.where(F.col("nx") * vx + F.col("ny") * vy > 0).withColumn("angle", angle).withColumn("view_type", geo.view_type(F.col("angle"))).where("view_type IS NOT NULL").drop("nx", "ny")
-    seen = ahead.join(buildings.select("id", "ring"), "id").where(~geo.contains(F.col("ring"), F.col("px"), F.col("py")))
+    ahead = pairs.where(F.col("nx") * vx + F.col("ny") * vy > 0).withColumn("angle", angle).withColumn("view_type", geo.view_type(F.col("angle"))).where("view_type IS NOT NULL")
+    seen = ahead.where(~geo.contains(F.col("ring"), F.col("px"), F.col("py")))
     return seen.select("id", "edge_idx", "pano_id", "view_type", "distance", "angle", "mx", "my", "px", "py")
 
 
+def ringed_edges(buildings: DataFrame) -> DataFrame:
+    """Edges with what tells of the view from a camera."""
+    return buildings.select("id", "ring", F.inline(geo.outward_edges(F.col("ring")))).select("id", F.col("idx").alias("edge_idx"), "mx", "my", "nx", "ny", "ring")
+
+
+#: View types of an edge, and cameras that the disc of the first round should hold in five degrees of it.
+KINDS, HELD = 5, 1.25
+
+
+def nearest_views(buildings: DataFrame, cameras: DataFrame, radius: float = VIEWS.search_m) -> DataFrame:
+    """WN-05: id, edge_idx, view_type, pano_id: the nearest camera of each edge and view type, ties to the smaller pano_id.
+
+    Discs double up to radius; an edge with a camera of every type is done, as none farther off is nearer.  The first
+    disc follows from how densely cameras lie, so that an edge meets about as many of them however many there are.
+    """
+    box = cameras.agg(F.count("*").alias("n"), *(f(a).alias(a + s) for a in "xy" for f, s in ((F.min, "0"), (F.max, "1")))).first()
+    area = (box["x1"] - box["x0"]) * (box["y1"] - box["y0"]) if box["n"] else 0.0
+    reach = min(radius, (HELD * 72 * area / (math.pi * box["n"])) ** 0.5) if area else radius
+    open_, done = ringed_edges(buildings), None
+    while True:
+        best = candidate_views(buildings, cameras, reach, open_).groupBy("id", "edge_idx", "view_type").agg(F.min(F.struct("distance", "pano_id")).alias("b"))
+        found = durable(best.select("id", "edge_idx", "view_type", F.col("b.pano_id").alias("pano_id")), "views")
+        if reach >= radius:
+            return found if done is None else done.unionByName(found)
+        full = durable(found.groupBy("id", "edge_idx").agg(F.count("*").alias("n")).where(F.col("n") == KINDS).select("id", "edge_idx"), "full")
+        settled = found.join(full, ["id", "edge_idx"], "left_semi")
+        done = settled if done is None else done.unionByName(settled)
+        open_ = open_.join(full, ["id", "edge_idx"], "left_anti")
+        reach = min(radius, 2 * reach)
+
+
 def chosen(candidates: DataFrame) -> DataFrame:
     """WN-05: the nearest camera of each edge and view type."""
     w = Window.partitionBy("id", "edge_idx", "view_type").orderBy("distance", "pano_id")
@@ -116,11 +163,15 @@ def with_box(rings: DataFrame, ring: str = "ring", prefix: str = "") -> DataFram
     return rings.withColumns(ends)
 
 
-def rings_meeting(left: DataFrame, right: DataFrame, cell: float, key: str, other: str) -> DataFrame:
-    """JN-05, GE-05: pairs (key, ring) and (other, other_ring) of any simple rings that meet, by border or inside; boxes meet first."""
+def rings_meeting(left: DataFrame, right: DataFrame, cell: float, key: str, other: str, exact: bool = True) -> DataFrame:
+    """JN-05, GE-05: pairs (key, ring) and (other, other_ring) of any simple rings that meet, by border or inside; boxes meet first.
+
+    exact=False: pairs whose boxes meet, for callers that ask for a shared area after.
+    """
     a = with_box(left.select(key, "ring"))
     b = with_box(right.select(F.col(key).alias(other), F.col("ring").alias("other_ring")), "other_ring", "r")
-    near = boxes_touching(a, b, cell, [key]).where(geo.intersects(F.col("ring"), F.col("other_ring")))
+    near = boxes_touching(a, b, cell, [key])
+    near = near.where(geo.intersects(F.col("ring"), F.col("other_ring"))) if exact else near
     return near.select(key, other, "ring", "other_ring")
 
 
@@ -146,7 +197,7 @@ def visible(rays: DataFrame, blockers: DataFrame, cell: float, keys: Sequence[st
     b = blockers.withColumn("__i", F.explode(cells_over(lo("ax", "bx"), hi("ax", "bx"), cell))).withColumn("__j", F.explode(cells_over(lo("ay", "by"), hi("ay", "by"), cell)))
     hit = geo.segment_hit(*(F.col(c) for c in ("px", "py", "mx", "my", "ax", "ay", "bx", "by")))
     length = F.hypot(F.col("mx") - F.col("px"), F.col("my") - F.col("py"))
-    hits = r.join(b, ["__i", "__j"]).where((F.col("id") != F.col("bid")) & (hit * length + slack < length)).select(*dict.fromkeys([*keys, "id", "bid"]))
+    hits = r.join(b.hint("merge"), ["__i", "__j"]).where((F.col("id") != F.col("bid")) & (hit * length + slack < length)).select(*dict.fromkeys([*keys, "id", "bid"]))
     if overlaps is not None:
         hits = hits.join(overlaps, ["id", "bid"], "left_anti")
     return rays.join(hits.select(*keys).distinct(), list(keys), "left_anti")

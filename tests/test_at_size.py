@@ -58,3 +58,22 @@ def test_few_rows_need_no_tree(spark, monkeypatch):
     mark = tables.written()
     qa.knn_outliers(numbered(view(spark, SF, "points")), "tile_id", 5).collect()
     assert [p.rsplit("/", 1)[-1].split("-")[0] for p in tables._written()[mark:]] == ["large", "distances"]
+
+
+def test_discs_that_double_find_the_nearest_views(spark):
+    """Dense cameras take several rounds; the first disc is narrower than the search."""
+    from plinth.functions import geo
+    from plinth.operators import spatial
+
+    b = spark.range(4).select("id", geo.box_ring(F.col("id") * 20.0, F.lit(0.0), F.col("id") * 20.0 + 6.0, F.lit(4.0)).alias("ring"))
+    cameras = spark.range(4000).select(F.col("id").alias("pano_id"), (F.col("id") * 61 % 1009 / 10.0 - 15).alias("x"), (F.col("id") * 37 % 1013 / 20.0 - 25).alias("y"))
+    keys = ["id", "edge_idx", "view_type", "pano_id"]
+    want = spatial.chosen(spatial.candidate_views(b, cameras)).where("is_chosen").select(keys)
+    assert sorted(spatial.nearest_views(b, cameras).collect()) == sorted(want.collect())
+
+
+def test_pairs_are_not_left_to_the_tasks_of_a_small_file(spark):
+    """Small sides are dealt by cell, not broadcast; rays' rings come with their edges."""
+    for name in ("harvest_candidates", "shared_footprints", "clip_points_to_buildings"):
+        plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 1, name
