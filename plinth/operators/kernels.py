@@ -84,6 +84,8 @@ def fill_holes(raster: np.ndarray, nodata: float, most: int = 10) -> np.ndarray:
     label = labels_of(hole, eight=False)
     size = np.bincount(label.ravel())
     v, u = np.nonzero((label > 0) & (size[label] <= most))
+    if not len(v):
+        return out
     out[v, u] = raster[nearest_valid(~hole, v, u)]
     return out
 
@@ -182,28 +184,35 @@ def cloth_surface(i: np.ndarray, j: np.ndarray, top: np.ndarray, rounds: int = 5
     seen = np.isfinite(floor_)
     v, u = np.nonzero(~seen)
     floor_[v, u] = floor_[nearest_valid(seen, v, u)]
-    cloth = np.full(shape, top.max() + 0.05)
-    last, fixed = cloth.copy(), np.zeros(shape, dtype=bool)
+    # flat, so that neighbours along both axes are shifts; of a pair, each side's share of the gap (halved twice where both are free)
+    n, ground = shape[0] * shape[1], floor_.ravel()
+    cloth = np.full(n, top.max() + 0.05)
+    last, fixed, lying = cloth.copy(), np.zeros(n, dtype=bool), -1
+    gap, part, pull, ends = np.empty(n), np.empty(n), np.empty(n), np.arange(n - 1) % shape[1] == shape[1] - 1
     for _ in range(rounds):
+        if lying != (lying := int(np.count_nonzero(fixed))):
+            shares = []
+            for axis, by in enumerate((shape[1], 1)):
+                free_a, free_b = ~fixed[: max(n - by, 0)], ~fixed[by:]
+                share = np.where(free_a & free_b, 0.125, 0.25)
+                if axis:
+                    share[ends] = 0.0
+                shares.append((by, max(n - by, 0), np.where(free_a, share, 0.0), np.where(free_b, share, 0.0)))
         step = np.where(fixed, 0.0, (cloth - last) * 0.99 - gravity * tick * tick)
         last, cloth = cloth, cloth + step
         for _ in range(stiffness):
-            for axis in (0, 1):
-                gap = np.diff(cloth, axis=axis)
-                a = [slice(None)] * 2
-                b = [slice(None)] * 2
-                a[axis], b[axis] = slice(None, -1), slice(1, None)
-                free_a, free_b = ~fixed[tuple(a)], ~fixed[tuple(b)]
-                share = np.where(free_a & free_b, 0.25, 0.5)
-                pull = np.zeros(shape)
-                pull[tuple(a)] += np.where(free_a, gap * share, 0.0)
-                pull[tuple(b)] -= np.where(free_b, gap * share, 0.0)
-                cloth = cloth + pull * 0.5
-        hit = cloth <= floor_
-        cloth = np.where(hit, floor_, cloth)
-        fixed |= hit
+            for by, m, share_a, share_b in shares:
+                np.subtract(cloth[by:], cloth[:m], out=gap[:m])
+                np.multiply(gap[:m], share_a, out=pull[:m])
+                pull[m:] = 0.0
+                np.multiply(gap[:m], share_b, out=part[:m])
+                pull[by:] -= part[:m]
+                cloth += pull
+        fixed |= cloth <= ground
+        np.maximum(cloth, ground, out=cloth)
         if np.abs(cloth - last).max() < 0.005:
             break
+    cloth, fixed = cloth.reshape(shape), fixed.reshape(shape)
     while slope is not None:
         laid = np.zeros(shape, dtype=bool)
         for axis in (0, 1):
@@ -236,6 +245,7 @@ def ground_points(points: DataFrame, key: str, resolution: float = 1.0, threshol
     from pyspark.sql import functions as F
 
     from .qa import neighbour_distances
+    from .spatial import spread
 
     ground = points.where("classification = 2").select(key, "pid", "x", "y", "z")
     outside = neighbour_distances(ground, key, k, factor).where("d > limit").select(key, "pid")
@@ -252,5 +262,5 @@ def ground_points(points: DataFrame, key: str, resolution: float = 1.0, threshol
             raise ValueError("a raster too large for one cloth: clip the points or take a coarser resolution")
         return pdf[[key, "i", "j"]].assign(cloth=cloth_surface(pdf["i"].to_numpy(), pdf["j"].to_numpy(), pdf["top"].to_numpy()))
 
-    cloth = grouped(cells, key, fall, f"{key} {kind}, i int, j int, cloth double")
+    cloth = grouped(spread(cells, key), key, fall, f"{key} {kind}, i int, j int, cloth double")
     return at.join(cloth, [key, "i", "j"]).where(F.abs(-F.col("z") - F.col("cloth")) <= threshold).select(key, "pid", "x", "y", "z")
