@@ -529,11 +529,9 @@ def mask_boxes(p: DataFrame) -> DataFrame:
 def raster_kernels(p: DataFrame) -> DataFrame:
     from ..operators import raster
 
-    r = _raster(p).withColumn("value", F.col("z"))
-    small = raster.resized(raster.filled(r, KEY, (180, 360)), KEY, (180, 360), (90, 180))
     spots = p.groupBy(KEY).agg(F.lit(180.0).alias("x"), F.lit(90.0).alias("y"))
-    near = raster.ground_reference(r, spots, KEY, (180, 360), 2)
-    return rounded(small.groupBy(KEY).agg(F.count("*").alias("pixels"), F.avg("value").alias("mean")).join(near, KEY, "left"))
+    small = raster.surveyed(_raster(p), spots, KEY, (180, 360), (90, 180), least=2)
+    return rounded(small.groupBy(KEY).agg(F.count("*").alias("pixels"), F.avg("value").alias("mean"), F.first("nearest_ground_m").alias("nearest_ground_m")))
 
 
 @query("SF-29", "points", sql="SELECT tile_id, ok, pk, round(CASE WHEN max(intensity) OVER w = min(intensity) OVER w THEN 0.5 ELSE (intensity - min(intensity) OVER w) / (max(intensity) OVER w - min(intensity) OVER w)::DOUBLE END, 4) AS shade FROM points WINDOW w AS (PARTITION BY tile_id)")
