@@ -139,10 +139,17 @@ def in_grid(points: DataFrame, box: DataFrame, key: str, cell: float) -> DataFra
 
 
 def cell_statistics(cell: float) -> list[Column]:
-    """AG-20/21 over filled cells (n, nx, ny): mean and variation of their density, share of empty ones."""
+    """AG-20/21 over filled cells (n, nx, ny): mean and variation of their density, share of empty ones.
+
+    The variation comes from whole numbers: sqrt(cells * sum of squares - square of the sum) / sum.  So a tile that lies
+    on a threshold lies on it whatever the order of its cells.
+    """
     cells = F.first(F.col("nx") * F.col("ny"))
     area = cell * cell
-    return [(F.avg("n") / area).alias("mean_density"), F.try_divide(F.stddev_pop("n"), F.avg("n")).alias("variation"), F.count("*").alias("filled"), cells.alias("cells"), (1.0 - F.count("*") / cells).alias("void_ratio")]
+    whole = lambda c: c.cast("decimal(19,0)")
+    spread = whole(F.count("*")) * whole(F.sum(F.col("n") * F.col("n"))) - whole(F.sum("n")) * whole(F.sum("n"))
+    variation = F.try_divide(F.sqrt(spread.cast("double")), F.sum("n"))
+    return [(F.avg("n") / area).alias("mean_density"), variation.alias("variation"), F.count("*").alias("filled"), cells.alias("cells"), (1.0 - F.count("*") / cells).alias("void_ratio")]
 
 
 def density_grid(points: DataFrame, key: str, cell: float) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..config import LAS_CLASSES
 from ..operators import hulls, kernels, pointcloud as pc, qa
+from ..tables import durable
 from .registry import query, r4, rounded
 
 KEY = "tile_id"
@@ -292,7 +293,9 @@ CASE WHEN mean_density >= 8 THEN 'QL1' WHEN mean_density >= 2 THEN 'QL2' WHEN me
 
 
 def reports(p: DataFrame) -> DataFrame:
-    return qa.report(p.select(KEY).distinct(), qa.density(p, KEY, 5.0), KEY, pc.density_grid(p, KEY, 5.0))
+    """Issues and densities come from one row a tile, written: the points are counted once, and no task holds more than that."""
+    grid = durable(pc.density_grid(p.select(KEY, "x", "y"), KEY, 5.0), "grid")
+    return qa.rule_report(grid, KEY, ["density"])
 
 
 @query("AG-22 SF-32 QA-18 SF-06 SK-09", "points", sql=f"WITH {_ISSUES} SELECT tile_id, round(mean_density, 4) AS mean_density, {', '.join(f'issues_{s}' for s in qa.SEVERITIES)}, issue_types, quality_level, needs_correction FROM r")
