@@ -66,10 +66,11 @@ def _sides(pair: np.ndarray, middle: np.ndarray, way: np.ndarray, b: np.ndarray,
     for i in range(0, len(pair), step):
         own = slice(i, i + step)
         u = b[pair[own]]
-        s = np.roll(u, -1, axis=1) - u
+        v = np.roll(u, -1, axis=1)
+        s = v - u
         m = middle[own, None]
         off = m - u
-        up = (u[..., 1] > m[..., 1]) != (u[..., 1] + s[..., 1] > m[..., 1])
+        up = (u[..., 1] > m[..., 1]) != (v[..., 1] > m[..., 1])  # of the corners themselves: u + s may miss v by its last bit, and a ring that does not close tells wrong sides
         with np.errstate(divide="ignore", invalid="ignore"):
             left = off[..., 0] < s[..., 0] * off[..., 1] / s[..., 1]
             length2 = (s * s).sum(axis=-1)
