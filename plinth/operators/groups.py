@@ -56,6 +56,24 @@ def together(batches: Iterator[pa.RecordBatch], n_by: int) -> Iterator[pa.Record
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
+def packed(rows: DataFrame, by: Sequence[str], most: int) -> DataFrame:
+    """Rows dealt by dealt() or the like, one after the other, as arrays: by, rows; a group of over most rows, or of more than one batch, has several."""
+    n, rest = len(by), [f for f in rows.schema if f.name not in by]
+    order = [*by, *(f.name for f in rest)]
+    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in by)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                new = begins(batch.columns[:n])
+                at = np.concatenate([np.arange(lo, hi, most) for lo, hi in zip(new, [*new[1:], batch.num_rows], strict=True)])
+                held = pa.StructArray.from_arrays(batch.columns[n:], names=order[n:])
+                lists = pa.ListArray.from_arrays(pa.array([*at, batch.num_rows], pa.int32()), held)
+                yield pa.RecordBatch.from_arrays([*(c.take(pa.array(at)) for c in batch.columns[:n]), lists], names=[*by, "rows"])
+
+    return rows.select(*order).mapInArrow(run, f"{kinds}, rows array<struct<{', '.join(f'`{f.name}`: {f.dataType.simpleString()}' for f in rest)}>>")
+
+
 def runs(batches: Iterator[pa.RecordBatch], n_by: int) -> Iterator[pa.RecordBatch]:
     """The groups of sorted rows, each in one batch; the first n_by columns name the group."""
     held: list[pa.RecordBatch] = []

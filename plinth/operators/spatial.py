@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 from ..config import VIEWS
 from ..functions import geo
 from ..tables import durable
-from .overlaps import with_overlap
+from .overlaps import shared_areas
 
 
 def cell_of(v: Column, size: float) -> Column:
@@ -177,10 +177,7 @@ def rings_meeting(left: DataFrame, right: DataFrame, cell: float, key: str, othe
 
 def overlapping(buildings: DataFrame, cell: float, least: float = VIEWS.overlap_area) -> DataFrame:
     """GE-14: id, bid: buildings whose rings share more than least, each pair both ways.  Boxes meet first."""
-    b = with_box(buildings.select("id", "ring"))
-    other = with_box(buildings.select(F.col("id").alias("bid"), F.col("ring").alias("other")), "other", "r")
-    pairs = boxes_touching(b, other, cell, ["id"]).where(F.col("id") < F.col("bid")).select("id", "bid", "ring", "other")
-    kept = durable(with_overlap(pairs).where(F.col("area") > least).select("id", "bid"), "overlaps")
+    kept = durable(shared_areas(buildings, "id", "bid", cell).where(F.col("area") > least).select("id", "bid"), "overlaps")
     return kept.unionByName(kept.select(F.col("bid").alias("id"), F.col("id").alias("bid")))
 
 
