@@ -177,9 +177,12 @@ def ring_of(text: Column) -> Column:
     return F.when((F.size(points) > 1) & (points[0] == F.element_at(points, -1)), F.slice(points, F.lit(1), F.size(points) - 1)).otherwise(points)
 
 
-def outward_edges(ring: Column, min_length: float = 1e-6) -> Column:
-    """GE-10: of each edge that is long enough: idx (from 0, among those kept), ends, midpoint, outward normal, length."""
-    c = centroid(ring)
+def outward_edges(ring: Column, min_length: float = 1e-6, centre: Column | None = None) -> Column:
+    """GE-10: of each edge that is long enough: idx (from 0, among those kept), ends, midpoint, outward normal, length.
+
+    centre: the ring's centroid(), if it is a column already; else it is told again for each edge.
+    """
+    c = centroid(ring) if centre is None else centre
 
     def described(e: Column) -> Column:
         ax, ay, bx, by = e["a"]["x"], e["a"]["y"], e["b"]["x"], e["b"]["y"]

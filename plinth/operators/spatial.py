@@ -15,6 +15,7 @@ from pyspark.sql.window import Window
 from ..config import VIEWS
 from ..functions import geo
 from ..tables import durable
+from . import sightlines
 from .overlaps import shared_areas
 
 
@@ -99,26 +100,30 @@ def _in_boxes(points: DataFrame, boxes: DataFrame, cell: float, by: Sequence[str
 
 def edges_of(buildings: DataFrame) -> DataFrame:
     """GE-10: one row an edge of the ring."""
-    return buildings.select("id", F.inline(geo.outward_edges(F.col("ring"))))
+    return buildings.select("id", "ring", geo.centroid(F.col("ring")).alias("__c")).select("id", F.inline(geo.outward_edges(F.col("ring"), centre=F.col("__c"))))
 
 
-def candidate_views(buildings: DataFrame, cameras: DataFrame, radius: float = VIEWS.search_m, edges: DataFrame | None = None) -> DataFrame:
+#: What candidate_views() tells of a view.
+VIEW = ("id", "edge_idx", "pano_id", "view_type", "distance", "angle", "mx", "my", "px", "py")
+
+
+def candidate_views(buildings: DataFrame, cameras: DataFrame, radius: float = VIEWS.search_m, edges: DataFrame | None = None, columns: Sequence[str] = VIEW) -> DataFrame:
     """JN-07, GE-12/13, SF-15/16: cameras within radius of an edge's midpoint, on its outer side, outside the building, by view type.
 
-    Cameras, three columns, are copied to cells; edges lie in one each and bring their ring, so pairs are tested where
-    they meet and are not shuffled.  edges: those of ringed_edges() to look at, else all.
+    Edges bring their ring, so pairs are tested where they meet and are not shuffled.  edges: those of ringed_edges() to
+    look at, else all.  columns: those of VIEW to tell.
     """
-    pairs = within_distance(cameras.select("pano_id", F.col("x").alias("px"), F.col("y").alias("py")), ringed_edges(buildings) if edges is None else edges, radius, ("px", "py"), ("mx", "my"))
-    vx, vy = F.col("px") - F.col("mx"), F.col("py") - F.col("my")
-    angle = geo.signed_angle(F.col("nx"), F.col("ny"), vx, vy)
-    ahead = pairs.where(F.col("nx") * vx + F.col("ny") * vy > 0).withColumn("angle", angle).withColumn("view_type", geo.view_type(F.col("angle"))).where("view_type IS NOT NULL")
-    seen = ahead.where(~geo.contains(F.col("ring"), F.col("px"), F.col("py")))
-    return seen.select("id", "edge_idx", "pano_id", "view_type", "distance", "angle", "mx", "my", "px", "py")
+    return sightlines.candidates(ringed_edges(buildings) if edges is None else edges, _cameras(cameras), radius, columns)
+
+
+def _cameras(cameras: DataFrame) -> DataFrame:
+    return cameras.select("pano_id", F.col("x").alias("px"), F.col("y").alias("py")).where("px IS NOT NULL AND py IS NOT NULL")
 
 
 def ringed_edges(buildings: DataFrame) -> DataFrame:
-    """Edges with what tells of the view from a camera."""
-    return buildings.select("id", "ring", F.inline(geo.outward_edges(F.col("ring")))).select("id", F.col("idx").alias("edge_idx"), "mx", "my", "nx", "ny", "ring")
+    """Edges with what tells of the view from a camera.  A file of few MB holds many buildings, and edges take longer than their row."""
+    told = spread(buildings.select("id", "ring"), "id").select("id", "ring", geo.centroid(F.col("ring")).alias("__c"))
+    return told.select("id", "ring", F.inline(geo.outward_edges(F.col("ring"), centre=F.col("__c")))).select("id", F.col("idx").alias("edge_idx"), "mx", "my", "nx", "ny", "ring")
 
 
 #: View types of an edge, and cameras that the disc of the first round should hold in five degrees of it.
@@ -134,10 +139,9 @@ def nearest_views(buildings: DataFrame, cameras: DataFrame, radius: float = VIEW
     box = cameras.agg(F.count("*").alias("n"), *(f(a).alias(a + s) for a in "xy" for f, s in ((F.min, "0"), (F.max, "1")))).first()
     area = (box["x1"] - box["x0"]) * (box["y1"] - box["y0"]) if box["n"] else 0.0
     reach = min(radius, (HELD * 72 * area / (math.pi * box["n"])) ** 0.5) if area else radius
-    open_, done = ringed_edges(buildings), None
+    open_, done = durable(ringed_edges(buildings), "edges"), None
     while True:
-        best = candidate_views(buildings, cameras, reach, open_).groupBy("id", "edge_idx", "view_type").agg(F.min(F.struct("distance", "pano_id")).alias("b"))
-        found = durable(best.select("id", "edge_idx", "view_type", F.col("b.pano_id").alias("pano_id")), "views")
+        found = durable(sightlines.nearest(open_, _cameras(cameras), reach).select("id", "edge_idx", "view_type", "pano_id"), "views")
         if reach >= radius:
             return found if done is None else done.unionByName(found)
         full = durable(found.groupBy("id", "edge_idx").agg(F.count("*").alias("n")).where(F.col("n") == KINDS).select("id", "edge_idx"), "full")

@@ -45,6 +45,11 @@ def r4(*columns: str) -> list[Column]:
     return [F.round(c, 4).alias(c) for c in columns]
 
 
+def rounded_as_sql(*columns: str) -> list[Column]:
+    """To four places in doubles, halves away from zero, as the SQL's round(): for many rows, as F.round() goes by decimal digits and takes longer than all else."""
+    return [(F.signum(c) * F.floor(F.abs(c) * 10000.0 + 0.5) / 10000.0).alias(c) for c in columns]
+
+
 def rounded(df: DataFrame, places: int = 4) -> DataFrame:
     """Doubles rounded at the query's boundary; operators keep them whole."""
     return df.select(*(F.round(c, places).alias(c) if t in ("double", "float") else F.col(c) for c, t in df.dtypes))
