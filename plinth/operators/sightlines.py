@@ -89,11 +89,83 @@ def _pairs(edges: pa.StructArray, cameras: pa.StructArray, radius: float) -> Ite
             yield e[out], order[c[out]], kind[out], np.sqrt(d2[out]), angle[out]
 
 
-Made = Callable[[pa.StructArray, pa.StructArray, tuple[np.ndarray, ...]], dict[str, pa.Array]]
-
-
-def meeting(edges: DataFrame, cameras: DataFrame, radius: float, made: Made, kinds: str) -> DataFrame:
-    """What made(edges, cameras, views) makes of the views of each block; edges as of ringed_edges(), cameras with pano_id, px, py."""
+class _Walls:
+    """The walls (bid, ax..by) around the edges of a cell; a building's own walls and those of buildings in its edges' list beside do not count."""
+
+    def __init__(self, walls: pa.StructArray, edges: pa.StructArray) -> None:
+        number = lambda rows, c: rows.field(c).to_numpy(zero_copy_only=False).astype(float)
+        ends = [number(walls, c) for c in ("ax", "ay", "bx", "by")]
+        order = np.argsort(np.minimum(ends[0], ends[2]), kind="stable")
+        self.ax, self.ay, self.bx, self.by = (v[order] for v in ends)
+        self.x0, self.x1 = np.minimum(self.ax, self.bx), np.maximum(self.ax, self.bx)
+        self.y0, self.y1 = np.minimum(self.ay, self.by), np.maximum(self.ay, self.by)
+        self.longest = (self.x1 - self.x0).max(initial=0.0)
+        beside = edges.field("beside")
+        names = pa.concat_arrays([walls.field("bid"), edges.field("id"), beside.flatten()]).to_numpy(zero_copy_only=False)
+        codes = np.unique(names, return_inverse=True)[1]
+        self.n = codes.max(initial=0) + 1
+        self.bid = codes[: len(walls)][order]
+        own, others = codes[len(walls) : len(walls) + len(edges)], codes[len(walls) + len(edges) :]
+        of = np.repeat(np.arange(len(edges)), beside.value_lengths().fill_null(0).to_numpy())
+        self.left_out = np.unique(np.concatenate([np.arange(len(edges)) * self.n + own, of * self.n + others]))
+        self.mx, self.my = number(edges, "mx"), number(edges, "my")
+
+    def _near(self, e: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+        """Place in e, wall: those that count and come within reach of the edge's midpoint, over each axis."""
+        first = np.searchsorted(self.x0, self.mx[e] - reach - self.longest)
+        n = np.searchsorted(self.x0, self.mx[e] + reach, side="right") - first
+        ends, lo, out = np.append(0, np.cumsum(n)), 0, []
+        while lo < len(e):
+            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + PAIRS, side="right")) - 1)
+            at = np.repeat(np.arange(lo, hi), n[lo:hi])
+            w = np.arange(ends[lo], ends[hi]) - np.repeat(ends[lo:hi] - first[lo:hi], n[lo:hi])
+            lo = hi
+            mx, my = self.mx[e[at]], self.my[e[at]]
+            ok = (self.x1[w] >= mx - reach) & (self.y1[w] >= my - reach) & (self.y0[w] <= my + reach)
+            at, w = at[ok], w[ok]
+            key = e[at] * self.n + self.bid[w]
+            ok = self.left_out[np.minimum(np.searchsorted(self.left_out, key), len(self.left_out) - 1)] != key
+            out.append((at[ok], w[ok]))
+        return tuple(np.concatenate(v) for v in zip(*out, strict=True))
+
+    def block(self, e: np.ndarray, px: np.ndarray, py: np.ndarray, radius: float, slack: float) -> np.ndarray:
+        """Whether a wall crosses the ray from P to the edge's midpoint more than slack before it.  Walls near the midpoint come first, as most rays end there."""
+        blocked, reach = np.zeros(len(e), dtype=bool), 1.0
+        while True:
+            ray = np.flatnonzero(~blocked)
+            if not len(ray) or not len(self.bid):
+                return blocked
+            reach = min(reach, radius * (1 + 1e-9))
+            own, place = np.unique(e[ray], return_inverse=True)
+            at, wall = self._near(own, reach)
+            n = np.bincount(at, minlength=len(own))
+            first, n = (np.cumsum(n) - n)[place], n[place]
+            ends, lo = np.append(0, np.cumsum(n)), 0
+            while lo < len(ray):
+                hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + PAIRS, side="right")) - 1)
+                r = np.repeat(ray[lo:hi], n[lo:hi])
+                w = wall[np.arange(ends[lo], ends[hi]) - np.repeat(ends[lo:hi] - first[lo:hi], n[lo:hi])]
+                lo = hi
+                rx, ry, sx, sy = self.mx[e[r]] - px[r], self.my[e[r]] - py[r], self.bx[w] - self.ax[w], self.by[w] - self.ay[w]
+                dx, dy = self.ax[w] - px[r], self.ay[w] - py[r]
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    cross = rx * sy - ry * sx
+                    t, u = (dx * sy - dy * sx) / cross, (dx * ry - dy * rx) / cross
+                length = np.hypot(rx, ry)
+                blocked[r[(cross != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1) & (t * length + slack < length)]] = True
+            if reach >= radius:
+                return blocked
+            reach *= 2
+
+
+Made = Callable[..., dict[str, pa.Array]]
+
+
+def meeting(edges: DataFrame, cameras: DataFrame, radius: float, made: Made, kinds: str, walls: DataFrame | None = None) -> DataFrame:
+    """What made(edges, cameras, views) makes of the views of each block; edges as of ringed_edges(), cameras with pano_id, px, py.
+
+    walls (bid, ax..by): made() gets those within radius of the cell too.
+    """
     from .spatial import cell_of, cells_over, spread
 
     at, size, reach = ["__c0", "__c1"], 2.0 * radius, radius * (1 + 1e-9)
@@ -103,13 +175,20 @@ def meeting(edges: DataFrame, cameras: DataFrame, radius: float, made: Made, kin
     far = edges.withColumns({k: cell_of(F.col(o), size) for k, o in zip(at, ("mx", "my"), strict=True)})
     packs = lambda rows: spread(groups.packed(spread(rows, *at).sortWithinPartitions(*at), at, HELD), *at)
     met = packs(near).withColumnRenamed("rows", "cameras").join(packs(far).withColumnRenamed("rows", "edges").hint("merge"), at)
+    blind = walls is None
+    if not blind:
+        for k, (a, b) in zip(at, (("ax", "bx"), ("ay", "by")), strict=True):
+            walls = walls.withColumn(k, F.explode(cells_over(F.least(a, b) - reach, F.greatest(a, b) + reach, size)))
+        around = spread(walls, *at).groupBy(*at).agg(F.collect_list(F.struct("bid", "ax", "ay", "bx", "by")).alias("walls"))
+        met = met.join(around.hint("merge"), at)  # edges have walls of their own
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for n in range(batch.num_rows):
                 seen, by = batch.column("edges")[n].values, batch.column("cameras")[n].values
+                rest = () if blind else (_Walls(batch.column("walls")[n].values, seen),)
                 for views in _pairs(seen, by, radius):
-                    yield pa.RecordBatch.from_pydict(made(seen, by, views))
+                    yield pa.RecordBatch.from_pydict(made(seen, by, views, *rest))
 
     return met.mapInArrow(run, kinds)
 
@@ -149,3 +228,17 @@ def nearest(edges: DataFrame, cameras: DataFrame, radius: float) -> DataFrame:
     kind = lambda df, c: df.schema[c].dataType.simpleString()
     found = meeting(edges, cameras, radius, made, f"id {kind(edges, 'id')}, edge_idx {kind(edges, 'edge_idx')}, view_type string, distance double, pano_id {kind(cameras, 'pano_id')}")
     return found.groupBy("id", "edge_idx", "view_type").agg(F.min(F.struct("distance", "pano_id")).alias("b")).select("id", "edge_idx", "view_type", "b.distance", "b.pano_id")
+
+
+def unblocked(edges: DataFrame, cameras: DataFrame, walls: DataFrame, radius: float, slack: float = VIEWS.occlusion_slack) -> DataFrame:
+    """JN-08: id, edge_idx, pano_id of the views whose ray no wall (bid, ax..by) of another building crosses more than slack before
+    the edge; those of buildings in beside, a list that edges bring, do not count.  Rays are made and tested in one task."""
+
+    def made(seen: pa.StructArray, by: pa.StructArray, views: tuple[np.ndarray, ...], around: _Walls) -> dict[str, pa.Array]:
+        e, c = views[:2]
+        px, py = (by.field(k).to_numpy(zero_copy_only=False).astype(float)[c] for k in ("px", "py"))
+        free = np.flatnonzero(~around.block(e, px, py, radius, slack))
+        return {k: seen.field(k).take(pa.array(e[free])) for k in ("id", "edge_idx")} | {"pano_id": by.field("pano_id").take(pa.array(c[free]))}
+
+    kinds = {f.name: f.dataType.simpleString() for df in (edges, cameras) for f in df.schema}
+    return meeting(edges, cameras, radius, made, ", ".join(f"{k} {kinds[k]}" for k in ("id", "edge_idx", "pano_id")), walls)

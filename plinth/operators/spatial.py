@@ -204,6 +204,14 @@ def visible(rays: DataFrame, blockers: DataFrame, cell: float, keys: Sequence[st
     return rays.join(hits.select(*keys).distinct(), list(keys), "left_anti")
 
 
+def visible_views(buildings: DataFrame, cameras: DataFrame, cell: float = 40.0, radius: float = VIEWS.search_m) -> DataFrame:
+    """JN-08: id, edge_idx, pano_id: candidate_views() that visible() keeps, with the walls of all buildings but those that overlap the view's own."""
+    edges = durable(ringed_edges(buildings), "edges")
+    beside = overlapping(buildings, cell).groupBy("id").agg(F.collect_list("bid").alias("beside"))
+    walls = edges_of(spread(buildings.select("id", "ring"), "id")).select(F.col("id").alias("bid"), "ax", "ay", "bx", "by")
+    return sightlines.unblocked(edges.join(beside.hint("merge"), "id", "left"), _cameras(cameras), walls, radius)
+
+
 def vertex_pixels(views: DataFrame, rings: DataFrame, width: int, short: float = 0.999) -> DataFrame:
     """GE-15, SF-12: views (id, cam_x, cam_y, yaw, ...) with px, the column of each corner of the ring that they see.
 
